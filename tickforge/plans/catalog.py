@@ -60,3 +60,75 @@ def _mart_perf(spark, sf):
 @register("mart_symbol_performance_wide")
 def _mart_perf_wide(spark, sf):
     return ds.mart_symbol_performance(spark, sf, wide=True)
+
+
+# ---- Bronze -> Silver (P3-P6, A1, F1-F3) ---------------------------------------------
+
+from pyspark.sql import functions as F  # noqa: E402
+
+from ..functions.rules import FAILED_RULES  # noqa: E402
+from ..operators import silver as sv  # noqa: E402
+
+
+def _bronze_typed(spark, sf):
+    return sv.cast_types(ds.bronze(spark, sf))
+
+
+@register("silver_cast")
+def _silver_cast(spark, sf):
+    """Bronze text -> typed columns (try-casts; unparsable values are NULL)."""
+    return _bronze_typed(spark, sf)
+
+
+@register("silver_derived")
+def _silver_derived(spark, sf):
+    return sv.add_derived_columns(_bronze_typed(spark, sf))
+
+
+@register("silver_dedup")
+def _silver_dedup(spark, sf):
+    """One row per trade_id: earliest arrival wins (deterministic)."""
+    return sv.dedup_by_key(sv.add_derived_columns(_bronze_typed(spark, sf)))
+
+
+@register("dedup_stats")
+def _dedup_stats(spark, sf):
+    derived = sv.add_derived_columns(_bronze_typed(spark, sf))
+    kept = sv.dedup_by_key(derived)
+    n_in = derived.agg(F.count(F.lit(1)).alias("rows_in"))
+    n_out = kept.agg(F.count(F.lit(1)).alias("rows_out"))
+    return n_in.crossJoin(n_out).select(
+        "rows_in", "rows_out", (F.col("rows_in") - F.col("rows_out")).alias("duplicates_removed"))
+
+
+@register("silver_fill")
+def _silver_fill(spark, sf):
+    return sv.handle_nulls(sv.dedup_by_key(sv.add_derived_columns(_bronze_typed(spark, sf))))
+
+
+@register("silver_round")
+def _silver_round(spark, sf):
+    """Everything before the quality split (cast, derive, dedup, fill, round)."""
+    return ds.silver_prepared(spark, sf)
+
+
+@register("quality_good")
+def _quality_good(spark, sf):
+    return ds.silver_good(spark, sf)
+
+
+@register("quality_dead_letter")
+def _quality_dead_letter(spark, sf):
+    bad = ds.silver_dead_letter(spark, sf)
+    return bad.withColumn(FAILED_RULES, F.array_join(FAILED_RULES, ","))
+
+
+@register("quality_strict_bad")
+def _quality_strict_bad(spark, sf):
+    """As-written split: rows whose verdict is NULL are in neither side."""
+    return sv.quality_split_strict(ds.silver_prepared(spark, sf))[1]
+
+
+@register("quality_report")
+def _quality_report(spark, sf):
+    return sv.quality_report(ds.silver_prepared(spark, sf))

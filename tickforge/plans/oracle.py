@@ -149,14 +149,80 @@ CTES: dict[str, str] = {
                l_shipdate AS ingested_at
         FROM lineitem JOIN part ON l_partkey = p_partkey""",
 }
+ISO = "'%Y-%m-%dT%H:%M:%S.%f'"
+SILVER_COLS = ("trade_id, symbol, price, quantity, notional, exchange, trade_type, \"timestamp\", "
+               "ingested_at, source, conditions, trade_date, trade_hour")
+
+
+def parse_time(c: str) -> str:
+    return (f"CASE WHEN regexp_matches(trim({c}), '^-?[0-9]{{1,18}}$') "
+            f"THEN make_timestamp(CAST(trim({c}) AS BIGINT) * 1000) "
+            f"ELSE timezone('UTC', TRY_CAST(trim({c}) AS TIMESTAMPTZ)) END")
+
+
+def failed_rules_sql() -> str:
+    return ("concat_ws(',', "
+            "CASE WHEN NOT coalesce(price > 0, false) THEN 'price_positive' END, "
+            "CASE WHEN NOT coalesce(quantity > 0, false) THEN 'quantity_positive' END, "
+            "CASE WHEN NOT coalesce(notional > 0, false) THEN 'notional_positive' END, "
+            "CASE WHEN NOT coalesce(symbol IS NOT NULL AND symbol != '', false) THEN 'symbol_not_empty' END, "
+            "CASE WHEN NOT coalesce(trade_id IS NOT NULL AND trade_id != '', false) THEN 'trade_id_not_empty' END)")
+
+
+CTES.update({
+    "bronze": f"""
+        SELECT CASE WHEN event_id % 103 = 0 THEN '' ELSE CAST(event_id AS VARCHAR) END AS trade_id,
+               CASE WHEN event_id % 101 = 0 THEN ''
+                    WHEN event_id % 10 = 7 THEN upper(event_type) || '-USD'
+                    ELSE upper(event_type) || '/USD' END AS symbol,
+               CASE WHEN event_id % 97 = 0 THEN NULL WHEN event_id % 89 = 0 THEN '-1.0'
+                    WHEN event_id % 83 = 0 THEN 'abc' ELSE CAST(value AS VARCHAR) END AS price,
+               json_extract_string(props, '$.k') AS quantity,
+               CAST(CAST(CAST(value AS DECIMAL(10,2)) * CAST(json_extract_string(props, '$.k') AS DECIMAL(10,0))
+                    AS DECIMAL(18,2)) AS VARCHAR) AS notional,
+               CASE WHEN user_id % 3 = 0 THEN NULL ELSE 'EX' || CAST(user_id % 3 AS VARCHAR) END AS exchange,
+               'CRYPTO' AS trade_type,
+               CASE WHEN event_id % 10 = 7 THEN CAST(epoch_us(ts) // 1000 AS VARCHAR)
+                    ELSE strftime(ts, {ISO}) || '+00:00' END AS "timestamp",
+               strftime(ts + to_seconds(event_id % 300 + n), {ISO}) || '+00:00' AS ingested_at,
+               CASE WHEN event_id % 10 = 7 THEN 'feed_b' ELSE 'feed_a' END AS source,
+               CAST(NULL AS VARCHAR) AS conditions
+        FROM (SELECT *, 0 AS n FROM events UNION ALL SELECT *, 60 AS n FROM events WHERE event_id % 50 = 0)""",
+    "s_cast": f"""
+        SELECT trade_id, symbol, TRY_CAST(price AS DOUBLE) AS price, TRY_CAST(quantity AS DOUBLE) AS quantity,
+               TRY_CAST(notional AS DOUBLE) AS notional, exchange, trade_type,
+               {parse_time('"timestamp"')} AS "timestamp", {parse_time('ingested_at')} AS ingested_at,
+               source, conditions
+        FROM bronze""",
+    "s_derived": """
+        SELECT *, strftime("timestamp", '%Y-%m-%d') AS trade_date, strftime("timestamp", '%H') AS trade_hour
+        FROM s_cast""",
+    "s_dedup": f"""
+        SELECT {SILVER_COLS} FROM (
+          SELECT *, row_number() OVER (PARTITION BY trade_id ORDER BY
+                   ingested_at NULLS FIRST, "timestamp" NULLS FIRST, symbol NULLS FIRST, price NULLS FIRST,
+                   quantity NULLS FIRST, notional NULLS FIRST, exchange NULLS FIRST, trade_type NULLS FIRST,
+                   source NULLS FIRST, conditions NULLS FIRST, trade_date NULLS FIRST, trade_hour NULLS FIRST) AS rn
+          FROM s_derived) WHERE rn = 1""",
+    "s_fill": """
+        SELECT * REPLACE (coalesce(exchange, 'UNKNOWN') AS exchange, coalesce(conditions, 'NONE') AS conditions)
+        FROM s_dedup""",
+    "s_round": "SELECT * REPLACE (round(notional, 2) AS notional) FROM s_fill",
+    "s_routed": f"SELECT *, {failed_rules_sql()} AS failed_rules FROM s_round",
+    "s_good": f"SELECT {SILVER_COLS} FROM s_routed WHERE failed_rules = ''",
+    "s_bad": "SELECT * FROM s_routed WHERE failed_rules != ''",
+})
 CTES.update(_star("", "tfe"))
 CTES.update(_star("w_", "wtr"))
 
 
 def with_ctes(body: str) -> str:
     """Prefix ``body`` with the CTE library (DuckDB skips CTEs it does not use)."""
-    used = {k: v for k, v in CTES.items()}
-    return "WITH " + ",\n".join(f"{k} AS ({v})" for k, v in used.items()) + "\n" + body
+    lib = ",\n".join(f"{k} AS ({v})" for k, v in CTES.items())
+    b = body.lstrip()
+    if b[:5].upper() == "WITH ":
+        return f"WITH {lib},\n{b[5:]}"
+    return f"WITH {lib}\n{b}"
 
 
 # --- output projections shared by several statements --------------------------------
@@ -188,3 +254,34 @@ ORACLE: dict[str, str] = {
     "mart_symbol_performance": with_ctes(mart_perf_out("mart_perf")),
     "mart_symbol_performance_wide": with_ctes(mart_perf_out("w_mart_perf")),
 }
+
+
+def silver_out(src: str, extra: str = "") -> str:
+    derived = ", trade_date, trade_hour" if src != "s_cast" else ""
+    return f"""SELECT trade_id, symbol, price, quantity, notional, exchange, trade_type,
+        {ts('"timestamp"')} AS "timestamp", {ts('ingested_at')} AS ingested_at, source, conditions{derived}{extra}
+        FROM {src}"""
+
+
+ORACLE.update({
+    "silver_cast": with_ctes(silver_out("s_cast")),
+    "silver_derived": with_ctes(silver_out("s_derived")),
+    "silver_dedup": with_ctes(silver_out("s_dedup")),
+    "dedup_stats": with_ctes("""SELECT (SELECT count(*) FROM s_derived) AS rows_in,
+        (SELECT count(*) FROM s_dedup) AS rows_out,
+        (SELECT count(*) FROM s_derived) - (SELECT count(*) FROM s_dedup) AS duplicates_removed"""),
+    "silver_fill": with_ctes(silver_out("s_fill")),
+    "silver_round": with_ctes(silver_out("s_round")),
+    "quality_good": with_ctes(silver_out("s_good")),
+    "quality_dead_letter": with_ctes(silver_out("s_bad", ", failed_rules")),
+    "quality_strict_bad": with_ctes(silver_out(
+        "(SELECT * FROM s_round WHERE NOT (price > 0 AND quantity > 0 AND notional > 0 "
+        "AND (symbol IS NOT NULL AND symbol != '') AND (trade_id IS NOT NULL AND trade_id != '')))")),
+    "quality_report": with_ctes("""
+        WITH flags AS (SELECT failed_rules FROM s_routed),
+             tot AS (SELECT count(*) AS rows_checked, count(*) FILTER (WHERE failed_rules != '') AS rows_failed FROM flags)
+        SELECT r.rule, (SELECT count(*) FROM flags WHERE list_contains(string_split(failed_rules, ','), r.rule)) AS failures,
+               tot.rows_checked, tot.rows_failed
+        FROM (VALUES ('price_positive'), ('quantity_positive'), ('notional_positive'),
+                     ('symbol_not_empty'), ('trade_id_not_empty')) r(rule), tot"""),
+})
