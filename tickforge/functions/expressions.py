@@ -17,7 +17,7 @@ VOLATILITY_MEDIUM_BELOW = 500
 VOLATILITY_TIERS = ("LOW", "MEDIUM", "HIGH")
 MAJOR_BASES = ("BTC", "ETH")
 ASSET_CLASSES = ("CRYPTO", "EQUITY", "FX")
-TRADE_TYPES = ("CRYPTO",)
+TRADE_TYPES = ("CRYPTO", "EQUITY")
 TS_TEXT = "yyyy-MM-dd HH:mm:ss.SSSSSS"
 TS_DISPLAY = "yyyy-MM-dd HH:mm:ss"
 

@@ -132,3 +132,214 @@ def _quality_strict_bad(spark, sf):
 @register("quality_report")
 def _quality_report(spark, sf):
     return sv.quality_report(ds.silver_prepared(spark, sf))
+
+
+# ---- Gold star schema and merges (P7-P13, J1, J2, K4, K5, A3-A7, J5-J7) -------------
+
+from ..operators import gold as gd  # noqa: E402
+from ..operators import quality as dq  # noqa: E402
+from ..operators import reports as rp  # noqa: E402
+
+
+@register("dim_time")
+def _dim_time(spark, sf):
+    return ds.dim_time(spark, sf)
+
+
+@register("dim_instrument")
+def _dim_instrument(spark, sf):
+    return ds.dim_instrument(spark, sf)
+
+
+@register("fact_trades")
+def _fact_trades(spark, sf):
+    """Silver rows of the Bronze pipeline in Gold fact types."""
+    return ds.silver_fact(spark, sf)
+
+
+@register("stg_trades")
+def _stg_trades(spark, sf):
+    return ds.stg_trades(spark, sf, wide=True)
+
+
+@register("stg_instruments")
+def _stg_instruments(spark, sf):
+    return ds.stg_instruments(spark, sf)
+
+
+@register("fact_orphans")
+def _fact_orphans(spark, sf):
+    fact, inst, days, _ = ds.gold_checked(spark, sf)
+    return gd.enforce_foreign_keys(fact, inst, days)[1]
+
+
+@register("fact_trades_new")
+def _fact_trades_new(spark, sf):
+    """Clean trades not yet in the fact loaded from Bronze (insert-if-absent)."""
+    return gd.insert_new(ds.fact(spark, sf), ds.silver_fact(spark, sf), "trade_id")
+
+
+@register("dim_time_new")
+def _dim_time_new(spark, sf):
+    """Dates of the lineitem trades missing from the event-trade date dimension."""
+    return gd.insert_new(ds.dim_time(spark, sf, wide=True), ds.dim_time(spark, sf), "trade_date")
+
+
+@register("gold_symbol_distribution")
+def _gold_symbol_distribution(spark, sf):
+    return rp.gold_symbol_distribution(ds.fact(spark, sf), ds.dim_instrument(spark, sf))
+
+
+@register("gold_date_coverage")
+def _gold_date_coverage(spark, sf):
+    return rp.gold_date_coverage(ds.fact(spark, sf), ds.dim_time(spark, sf))
+
+
+@register("gold_total")
+def _gold_total(spark, sf):
+    return rp.gold_total(ds.fact(spark, sf))
+
+
+@register("all_trades")
+def _all_trades(spark, sf):
+    return rp.all_trades(ds.fact(spark, sf), ds.dim_instrument(spark, sf))
+
+
+@register("silver_symbol_distribution")
+def _silver_symbol_distribution(spark, sf):
+    return rp.silver_symbol_distribution(ds.silver_good(spark, sf))
+
+
+# ---- serving and report frames (A11-A20, A22, A23, L1, L4, F5, F6, F10, P14-P21) ---------
+
+DAILY_FILTER = {"symbol": "CLICK/USD", "start_date": "2024-01-08", "end_date": "2024-01-21"}
+
+
+def _daily_slice(spark, sf):
+    return rp.daily_filtered(ds.mart_daily_summary(spark, sf), **DAILY_FILTER)
+
+
+@register("pipeline_stats")
+def _pipeline_stats(spark, sf):
+    return rp.pipeline_stats(ds.fact(spark, sf))
+
+
+@register("hourly_volume")
+def _hourly_volume(spark, sf):
+    return rp.hourly_volume(ds.fact(spark, sf))
+
+
+@register("hourly_total")
+def _hourly_total(spark, sf):
+    return rp.hourly_total(rp.hourly_volume(ds.fact(spark, sf)))
+
+
+@register("hourly_pivot")
+def _hourly_pivot(spark, sf):
+    return rp.hourly_pivot(rp.hourly_volume(ds.fact(spark, sf)))
+
+
+@register("daily_filtered")
+def _daily_filtered(spark, sf):
+    return _daily_slice(spark, sf)
+
+
+@register("date_bounds")
+def _date_bounds(spark, sf):
+    return rp.date_bounds(ds.mart_daily_summary(spark, sf))
+
+
+@register("daily_volume_trend")
+def _daily_volume_trend(spark, sf):
+    return rp.daily_volume_trend(rp.daily_filtered(ds.mart_daily_summary(spark, sf)))
+
+
+@register("report_daily")
+def _report_daily(spark, sf):
+    return rp.report_daily(rp.daily_filtered(ds.mart_daily_summary(spark, sf)))
+
+
+@register("report_daily_tick")
+def _report_daily_tick(spark, sf):
+    """The report table over the tick-grain mart (as the written SQL feeds it)."""
+    return rp.report_daily(rp.daily_filtered(ds.mart_daily_summary_tick(spark, sf)))
+
+
+@register("market_kpis")
+def _market_kpis(spark, sf):
+    return rp.market_kpis(_daily_slice(spark, sf))
+
+
+@register("symbol_distribution")
+def _symbol_distribution(spark, sf):
+    return rp.symbol_distribution(rp.all_trades(ds.fact(spark, sf), ds.dim_instrument(spark, sf)))
+
+
+@register("recent_trades")
+def _recent_trades(spark, sf):
+    return rp.recent_trades(ds.fact(spark, sf), limit=50)
+
+
+@register("trade_log")
+def _trade_log(spark, sf):
+    return rp.trade_log(rp.recent_trades(ds.fact(spark, sf), limit=10))
+
+
+@register("asset_profile")
+def _asset_profile(spark, sf):
+    return rp.asset_profile(ds.mart_symbol_performance(spark, sf, wide=True))
+
+
+@register("portfolio_share")
+def _portfolio_share(spark, sf):
+    return rp.portfolio_share(ds.mart_symbol_performance(spark, sf))
+
+
+@register("report_assets")
+def _report_assets(spark, sf):
+    return rp.report_assets(ds.mart_symbol_performance(spark, sf, wide=True))
+
+
+# ---- data-quality checks (Q1-Q7) ---------------------------------------------------
+
+@register("dq_unique")
+def _dq_unique(spark, sf):
+    fact, inst, days, _ = ds.gold_checked(spark, sf)
+    return dq.dq_unique(fact, inst, days)
+
+
+@register("dq_not_null")
+def _dq_not_null(spark, sf):
+    fact, inst, days, _ = ds.gold_checked(spark, sf)
+    return dq.dq_not_null(fact, inst, days)
+
+
+@register("dq_relationships")
+def _dq_relationships(spark, sf):
+    fact, inst, days, _ = ds.gold_checked(spark, sf)
+    return dq.dq_relationships(fact, inst, days)
+
+
+@register("dq_accepted_values")
+def _dq_accepted_values(spark, sf):
+    fact, inst, _, _ = ds.gold_checked(spark, sf)
+    return dq.dq_accepted_values(fact, inst)
+
+
+@register("dq_type_bounds")
+def _dq_type_bounds(spark, sf):
+    _, inst, _, silver_rows = ds.gold_checked(spark, sf)
+    return dq.dq_type_bounds(silver_rows, inst)
+
+
+@register("dq_summary")
+def _dq_summary(spark, sf):
+    fact, inst, days, silver_rows = ds.gold_checked(spark, sf)
+    return dq.dq_summary(fact, inst, days, silver_rows)
+
+
+@register("report_summary")
+def _report_summary(spark, sf):
+    fact, inst, days, silver_rows = ds.gold_checked(spark, sf)
+    return rp.report_summary(rp.pipeline_stats(ds.fact(spark, sf)),
+                             dq.dq_summary(fact, inst, days, silver_rows))

@@ -75,3 +75,13 @@ def mart_daily_summary_tick(spark: SparkSession, sf_dir: str, wide: bool = False
 
 def mart_symbol_performance(spark: SparkSession, sf_dir: str, wide: bool = False) -> DataFrame:
     return marts.mart_symbol_performance(stg_trades(spark, sf_dir, wide), stg_instruments(spark, sf_dir, wide))
+
+
+# ---- Gold loaded from the Bronze pipeline, checked against the reference dims ------
+
+def gold_checked(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """(fact, dim_instrument, dim_time, silver) for the quality checks and the
+    key merges: the fact is what the Bronze pipeline loads; the dimensions are
+    the reference dimensions built from the clean trades."""
+    return (silver_fact(spark, sf_dir), dim_instrument(spark, sf_dir), dim_time(spark, sf_dir),
+            silver_good(spark, sf_dir))

@@ -31,7 +31,13 @@ def avg2(c: str) -> str:
     """Exact half-up 2-place average of a positive decimal column (1e-8 units)."""
     s = f"CAST(sum({c}) * 100000000 AS HUGEINT)"
     n = f"count({c})"
-    return f"CAST((2 * {s} + 1000000 * {n}) // (2000000 * {n}) AS DOUBLE) / 100"
+    return f"(CAST((2 * {s} + 1000000 * {n}) // (2000000 * {n}) AS DECIMAL(18,0)) * 0.01)"
+
+
+def div2(total: str, n: str) -> str:
+    """Exact half-up 2-place quotient of a positive 2-place decimal by a count."""
+    t = f"CAST(({total}) * 100 AS HUGEINT)"
+    return f"(CAST((2 * {t} + ({n})) // (2 * ({n})) AS DECIMAL(18,0)) * 0.01)"
 
 
 RULES_OK = ("coalesce(price > 0, false) AND coalesce(quantity > 0, false) AND coalesce(notional > 0, false) "
@@ -211,6 +217,11 @@ CTES.update({
     "s_routed": f"SELECT *, {failed_rules_sql()} AS failed_rules FROM s_round",
     "s_good": f"SELECT {SILVER_COLS} FROM s_routed WHERE failed_rules = ''",
     "s_bad": "SELECT * FROM s_routed WHERE failed_rules != ''",
+    "sfact": """
+        SELECT trade_id, symbol, CAST(trade_date AS DATE) AS trade_date, CAST(trade_hour AS INTEGER) AS trade_hour,
+               CAST(price AS DECIMAL(18,8)) AS price, CAST(quantity AS DECIMAL(18,8)) AS quantity,
+               CAST(notional AS DECIMAL(18,2)) AS notional, trade_type, exchange, source, "timestamp", ingested_at
+        FROM s_good""",
 })
 CTES.update(_star("", "tfe"))
 CTES.update(_star("w_", "wtr"))
@@ -285,3 +296,171 @@ ORACLE.update({
         FROM (VALUES ('price_positive'), ('quantity_positive'), ('notional_positive'),
                      ('symbol_not_empty'), ('trade_id_not_empty')) r(rule), tot"""),
 })
+
+
+FACT_OUT = ("trade_id, symbol, {d}, trade_hour, CAST(price AS DOUBLE) AS price, CAST(quantity AS DOUBLE) AS quantity, "
+            "CAST(notional AS DOUBLE) AS notional, trade_type, exchange, source, {t}, {i}").format(
+    d=d("trade_date") + " AS trade_date", t=ts('"timestamp"') + ' AS "timestamp"', i=ts("ingested_at") + " AS ingested_at")
+DIM_TIME_OUT = (f"{d('trade_date')} AS trade_date, year, month, day, quarter, day_of_week, "
+                "day_of_week_num, is_weekend, month_name")
+
+
+def checks_sql(rows: list[tuple[str, str]]) -> str:
+    """UNION ALL of (check_name, failures, passed) rows from scalar subqueries."""
+    return "\nUNION ALL\n".join(
+        f"SELECT '{n}' AS check_name, CAST(({q}) AS BIGINT) AS failures, ({q}) = 0 AS passed" for n, q in rows)
+
+
+from ..schemas import FIXED_VARCHAR_LIMITS  # noqa: E402
+
+DQ = {
+    "dq_unique": [
+        ("unique:fact_trades.trade_id", "SELECT count(*) FROM (SELECT trade_id FROM sfact GROUP BY trade_id HAVING count(*) > 1)"),
+        ("unique:dim_instrument.symbol", "SELECT count(*) FROM (SELECT symbol FROM dim_instrument GROUP BY symbol HAVING count(*) > 1)"),
+        ("unique:dim_time.trade_date", "SELECT count(*) FROM (SELECT trade_date FROM dim_time GROUP BY trade_date HAVING count(*) > 1)"),
+    ],
+    "dq_not_null": [
+        ("not_null:fact_trades.trade_id", "SELECT count(*) FROM sfact WHERE trade_id IS NULL"),
+        ("not_null:fact_trades.symbol", "SELECT count(*) FROM sfact WHERE symbol IS NULL"),
+        ("not_null:fact_trades.price", "SELECT count(*) FROM sfact WHERE price IS NULL"),
+        ("not_null:dim_instrument.symbol", "SELECT count(*) FROM dim_instrument WHERE symbol IS NULL"),
+        ("not_null:dim_time.trade_date", "SELECT count(*) FROM dim_time WHERE trade_date IS NULL"),
+    ],
+    "dq_relationships": [
+        ("relationships:fact_trades.symbol->dim_instrument",
+         "SELECT count(*) FROM sfact f WHERE f.symbol IS NOT NULL AND NOT EXISTS (SELECT 1 FROM dim_instrument i WHERE i.symbol = f.symbol)"),
+        ("relationships:fact_trades.trade_date->dim_time",
+         "SELECT count(*) FROM sfact f WHERE f.trade_date IS NOT NULL AND NOT EXISTS (SELECT 1 FROM dim_time t WHERE t.trade_date = f.trade_date)"),
+    ],
+    "dq_accepted_values": [
+        ("accepted_values:dim_instrument.asset_class",
+         "SELECT count(*) FROM dim_instrument WHERE NOT (asset_class IN ('CRYPTO', 'EQUITY', 'FX'))"),
+        ("accepted_values:fact_trades.trade_type",
+         "SELECT count(*) FROM sfact WHERE NOT (trade_type IN ('CRYPTO', 'EQUITY'))"),
+    ],
+    "dq_type_bounds": [
+        *[(f"length:fact_trades.{c}<={n}", f"SELECT count(*) FROM s_good WHERE length({c}) > {n}")
+          for c, n in FIXED_VARCHAR_LIMITS["fact_trades"].items()],
+        ("numeric:fact_trades.price(18,8)", "SELECT count(*) FROM s_good WHERE price IS NOT NULL AND TRY_CAST(price AS DECIMAL(18,8)) IS NULL"),
+        ("numeric:fact_trades.quantity(18,8)", "SELECT count(*) FROM s_good WHERE quantity IS NOT NULL AND TRY_CAST(quantity AS DECIMAL(18,8)) IS NULL"),
+        ("numeric:fact_trades.notional(18,2)", "SELECT count(*) FROM s_good WHERE notional IS NOT NULL AND TRY_CAST(notional AS DECIMAL(18,2)) IS NULL"),
+        *[(f"length:dim_instrument.{c}<={n}", f"SELECT count(*) FROM dim_instrument WHERE length({c}) > {n}")
+          for c, n in FIXED_VARCHAR_LIMITS["dim_instrument"].items()],
+    ],
+}
+DQ_ALL = [r for k in ("dq_unique", "dq_not_null", "dq_relationships", "dq_accepted_values", "dq_type_bounds") for r in DQ[k]]
+
+PERF_W = "w_mart_perf"
+HOUR_COLS = ", ".join(
+    f"CAST(coalesce(sum(total_notional) FILTER (WHERE trade_hour = {h}), 0) AS DOUBLE) AS h{h:02d}" for h in range(24))
+DAILY_SLICE = ("(SELECT DISTINCT trade_date, day_of_week, is_weekend, symbol, trade_count, total_notional_usd, "
+               "low_price, high_price, avg_price, open_price, close_price FROM {src} "
+               "WHERE symbol = 'CLICK/USD' AND trade_date >= DATE '2024-01-08' AND trade_date <= DATE '2024-01-21')")
+DAILY_ALL = ("(SELECT DISTINCT trade_date, day_of_week, is_weekend, symbol, trade_count, total_notional_usd, "
+             "low_price, high_price, avg_price, open_price, close_price FROM {src})")
+HOURLY = "(SELECT trade_hour, symbol, count(*) AS trade_count, round(sum(notional), 2) AS total_notional FROM fact GROUP BY trade_hour, symbol)"
+RECENT = ('(SELECT symbol, price, quantity, notional, "timestamp", trade_date, trade_hour, source, trade_id FROM fact '
+          'ORDER BY "timestamp" DESC, trade_id DESC LIMIT {n})')
+STATS = f"""(SELECT count(*) AS total_trades, count(DISTINCT trade_date) AS trading_days, count(DISTINCT symbol) AS symbols,
+        min(ingested_at) AS first_ingested, max(ingested_at) AS last_ingested,
+        round(sum(notional), 2) AS total_notional, {avg2('notional')} AS avg_notional,
+        count(*) FILTER (WHERE exchange = 'UNKNOWN') AS null_exchange_count FROM fact)"""
+
+
+def report_daily_sql(src: str) -> str:
+    return f"""SELECT {d('trade_date')} AS trade_date, symbol, CAST(sum(trade_count) AS BIGINT) AS trade_count,
+        CAST(sum(total_notional_usd) AS DOUBLE) AS total_notional_usd, CAST({avg2('avg_price')} AS DOUBLE) AS avg_price
+        FROM {DAILY_ALL.format(src=src)} GROUP BY trade_date, symbol"""
+
+
+ORACLE.update({
+    "dim_time": with_ctes(f"SELECT {DIM_TIME_OUT} FROM dim_time"),
+    "dim_instrument": with_ctes("SELECT * FROM dim_instrument"),
+    "fact_trades": with_ctes(f"SELECT {FACT_OUT} FROM sfact"),
+    "stg_trades": with_ctes(f"""SELECT trade_id, symbol, {d('trade_date')} AS trade_date, trade_hour,
+        {ts('traded_at')} AS traded_at, {ts('ingested_at')} AS ingested_at, CAST(price AS DOUBLE) AS price,
+        CAST(quantity AS DOUBLE) AS quantity, CAST(notional AS DOUBLE) AS notional, trade_type, exchange,
+        data_source, price_tier FROM w_stg"""),
+    "stg_instruments": with_ctes("SELECT * FROM stg_inst"),
+    "fact_orphans": with_ctes(f"""SELECT {FACT_OUT}, reason FROM (
+        SELECT f.*, concat_ws(',', CASE WHEN i.symbol IS NULL THEN 'missing_instrument' END,
+                                  CASE WHEN t.trade_date IS NULL THEN 'missing_date' END) AS reason
+        FROM sfact f LEFT JOIN (SELECT DISTINCT symbol FROM dim_instrument) i ON f.symbol = i.symbol
+                     LEFT JOIN (SELECT DISTINCT trade_date FROM dim_time) t ON f.trade_date = t.trade_date)
+        WHERE reason != ''"""),
+    "fact_trades_new": with_ctes(f"SELECT {FACT_OUT} FROM fact WHERE trade_id NOT IN (SELECT trade_id FROM sfact WHERE trade_id IS NOT NULL)"),
+    "dim_time_new": with_ctes(f"SELECT {DIM_TIME_OUT} FROM w_dim_time WHERE trade_date NOT IN (SELECT trade_date FROM dim_time)"),
+    "gold_symbol_distribution": with_ctes(f"""SELECT f.symbol, i.asset_class, f.trade_count, f.avg_price, f.total_notional FROM
+        (SELECT symbol, count(trade_id) AS trade_count, CAST({avg2('price')} AS DOUBLE) AS avg_price,
+                CAST(round(sum(notional), 2) AS DOUBLE) AS total_notional FROM fact GROUP BY symbol) f
+        JOIN dim_instrument i ON f.symbol = i.symbol"""),
+    "gold_date_coverage": with_ctes(f"""SELECT {d('f.trade_date')} AS trade_date, t.day_of_week, f.trade_count FROM
+        (SELECT trade_date, count(trade_id) AS trade_count FROM fact GROUP BY trade_date) f
+        JOIN dim_time t ON f.trade_date = t.trade_date"""),
+    "gold_total": with_ctes("SELECT count(*) AS total FROM fact"),
+    "all_trades": with_ctes(f"""SELECT f.trade_id, f.symbol, CAST(f.price AS DOUBLE) AS price, CAST(f.quantity AS DOUBLE) AS quantity,
+        CAST(f.notional AS DOUBLE) AS notional, f.trade_type, f.exchange, f.source, {ts('f."timestamp"')} AS "timestamp",
+        {d('f.trade_date')} AS trade_date, f.trade_hour, {ts('f.ingested_at')} AS ingested_at,
+        i.asset_class, i.base_currency, i.quote_currency
+        FROM fact f JOIN dim_instrument i ON f.symbol = i.symbol"""),
+    "silver_symbol_distribution": with_ctes(f"""SELECT symbol, count(*) AS trade_count,
+        CAST({avg2('CAST(price AS DECIMAL(18,8))')} AS DOUBLE) AS avg_price,
+        CAST(sum(CAST(notional AS DECIMAL(18,2))) AS DOUBLE) AS total_notional FROM s_good GROUP BY symbol"""),
+    "pipeline_stats": with_ctes(f"""SELECT total_trades, trading_days, symbols, {ts('first_ingested')} AS first_ingested,
+        {ts('last_ingested')} AS last_ingested, CAST(total_notional AS DOUBLE) AS total_notional,
+        CAST(avg_notional AS DOUBLE) AS avg_notional, null_exchange_count FROM {STATS}"""),
+    "hourly_volume": with_ctes(f"SELECT trade_hour, symbol, trade_count, CAST(total_notional AS DOUBLE) AS total_notional FROM {HOURLY}"),
+    "hourly_total": with_ctes(f"""SELECT trade_hour, CAST(sum(trade_count) AS BIGINT) AS trade_count,
+        CAST(sum(total_notional) AS DOUBLE) AS total_notional, printf('%02d:00', trade_hour) AS hour_label
+        FROM {HOURLY} GROUP BY trade_hour"""),
+    "hourly_pivot": with_ctes(f"SELECT symbol, {HOUR_COLS} FROM {HOURLY} GROUP BY symbol"),
+    "daily_filtered": with_ctes(f"""SELECT {d('trade_date')} AS trade_date, day_of_week, is_weekend, symbol, trade_count,
+        CAST(total_notional_usd AS DOUBLE) AS total_notional_usd, CAST(low_price AS DOUBLE) AS low_price,
+        CAST(high_price AS DOUBLE) AS high_price, CAST(avg_price AS DOUBLE) AS avg_price,
+        CAST(open_price AS DOUBLE) AS open_price, CAST(close_price AS DOUBLE) AS close_price
+        FROM {DAILY_SLICE.format(src='mart_daily')}"""),
+    "date_bounds": with_ctes(f"SELECT {d('min(trade_date)')} AS min_date, {d('max(trade_date)')} AS max_date FROM mart_daily"),
+    "daily_volume_trend": with_ctes(f"""SELECT {d('trade_date')} AS trade_date, symbol,
+        CAST(sum(total_notional_usd) AS DOUBLE) AS total_notional_usd
+        FROM {DAILY_ALL.format(src='mart_daily')} GROUP BY trade_date, symbol"""),
+    "report_daily": with_ctes(report_daily_sql("mart_daily")),
+    "report_daily_tick": with_ctes(report_daily_sql("mart_tick")),
+    "market_kpis": with_ctes(f"""SELECT CAST(sum(total_notional_usd) AS DOUBLE) AS total_volume,
+        CAST(sum(trade_count) AS BIGINT) AS total_trades, CAST({avg2('avg_price')} AS DOUBLE) AS avg_price,
+        count(DISTINCT trade_date) AS days_covered,
+        CAST({div2('sum(total_notional_usd)', 'greatest(sum(trade_count), 1)')} AS DOUBLE) AS volume_per_trade
+        FROM {DAILY_SLICE.format(src='mart_daily')}"""),
+    "symbol_distribution": with_ctes("""SELECT f.symbol, count(*) AS trade_count, CAST(sum(f.notional) AS DOUBLE) AS total_notional
+        FROM fact f JOIN dim_instrument i ON f.symbol = i.symbol GROUP BY f.symbol"""),
+    "recent_trades": with_ctes(f"""SELECT symbol, CAST(price AS DOUBLE) AS price, CAST(quantity AS DOUBLE) AS quantity,
+        CAST(notional AS DOUBLE) AS notional, {ts('"timestamp"')} AS "timestamp", {d('trade_date')} AS trade_date,
+        trade_hour, source, trade_id FROM {RECENT.format(n=50)}"""),
+    "trade_log": with_ctes(f"""SELECT strftime("timestamp", '%Y-%m-%d %H:%M:%S') AS timestamp_utc, symbol,
+        '$' || format('{{:,.4f}}', CAST(price AS DOUBLE)) AS price, CAST(quantity AS DOUBLE) AS qty,
+        '$' || format('{{:,.2f}}', CAST(notional AS DOUBLE)) AS notional FROM {RECENT.format(n=10)}"""),
+    "asset_profile": with_ctes(f"""SELECT symbol, is_major_coin, CAST(avg_price AS DOUBLE) AS avg_price,
+        CAST(all_time_low AS DOUBLE) AS all_time_low, CAST(all_time_high AS DOUBLE) AS all_time_high,
+        CAST(total_notional_usd AS DOUBLE) AS total_notional_usd, total_trades,
+        CAST(avg_notional_per_trade AS DOUBLE) AS avg_notional_per_trade, trading_days,
+        CAST(coalesce(price_stddev, 0) AS DOUBLE) AS price_stddev,
+        CASE WHEN coalesce(price_stddev, 0) < 100 THEN 'LOW' WHEN coalesce(price_stddev, 0) < 500 THEN 'MEDIUM' ELSE 'HIGH' END AS volatility,
+        CAST(all_time_high - all_time_low AS DOUBLE) AS price_range FROM {PERF_W}"""),
+    "portfolio_share": with_ctes("""SELECT symbol, CAST(total_notional_usd AS DOUBLE) AS total_notional_usd,
+        CAST(total_notional_usd AS DOUBLE) / CAST(sum(total_notional_usd) OVER () AS DOUBLE) AS share FROM mart_perf"""),
+    "report_assets": with_ctes(f"""SELECT symbol, total_trades AS trades, CAST(avg_price AS DOUBLE) AS avg_price,
+        CAST(all_time_low AS DOUBLE) AS low, CAST(all_time_high AS DOUBLE) AS high,
+        CAST(total_notional_usd AS DOUBLE) AS volume_usd,
+        CASE WHEN coalesce(price_stddev, 0) < 100 THEN 'LOW' WHEN coalesce(price_stddev, 0) < 500 THEN 'MEDIUM' ELSE 'HIGH' END AS volatility
+        FROM {PERF_W}"""),
+    **{k: with_ctes(checks_sql(v)) for k, v in DQ.items()},
+    "dq_summary": with_ctes(checks_sql(DQ_ALL)),
+    "report_summary": with_ctes(f"""WITH st AS {STATS}, chk AS ({checks_sql(DQ_ALL)}),
+        c AS (SELECT count(*) AS n_checks, count(*) FILTER (WHERE passed) AS n_passed FROM chk)
+        SELECT * FROM (VALUES
+          ('Total Trades Processed', (SELECT format('{{:,}}', total_trades) FROM st)),
+          ('Total Volume (USD)', (SELECT '$' || format('{{:,.2f}}', CAST(total_notional AS DOUBLE)) FROM st)),
+          ('Trading Days Covered', (SELECT CAST(trading_days AS VARCHAR) FROM st)),
+          ('Average Trade Value', (SELECT '$' || format('{{:,.2f}}', CAST(avg_notional AS DOUBLE)) FROM st)),
+          ('Data Quality Tests', (SELECT n_passed || ' / ' || n_checks || ' Passing' FROM c))
+        ) v(metric, value)"""),
+})
