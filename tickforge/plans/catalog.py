@@ -343,3 +343,44 @@ def _report_summary(spark, sf):
     fact, inst, days, silver_rows = ds.gold_checked(spark, sf)
     return rp.report_summary(rp.pipeline_stats(ds.fact(spark, sf)),
                              dq.dq_summary(fact, inst, days, silver_rows))
+
+
+# ---- documents (L2, N1-N6, K6) ------------------------------------------------------
+
+from ..operators import documents as dc  # noqa: E402
+
+
+@register("recent_trades_per_symbol")
+def _recent_trades_per_symbol(spark, sf):
+    return dc.recent_trades_per_symbol(ds.fact(spark, sf), limit=10)
+
+
+@register("portfolio_documents")
+def _portfolio_documents(spark, sf):
+    """Nested: checked through its flattened forms and read-back sizes."""
+    return ds.portfolio_documents(spark, sf)
+
+
+@register("portfolio_check")
+def _portfolio_check(spark, sf):
+    return dc.document_check(ds.portfolio_documents(spark, sf))
+
+
+@register("portfolio_recent_flat")
+def _portfolio_recent_flat(spark, sf):
+    return dc.flatten_recent(ds.portfolio_documents(spark, sf))
+
+
+@register("portfolio_daily_flat")
+def _portfolio_daily_flat(spark, sf):
+    return dc.flatten_daily(ds.portfolio_documents(spark, sf))
+
+
+@register("portfolio_upsert")
+def _portfolio_upsert(spark, sf):
+    """Documents from the clean fact replace those built from the Bronze load."""
+    merged = dc.upsert_documents(ds.portfolio_documents(spark, sf, from_bronze=True),
+                                 ds.portfolio_documents(spark, sf))
+    return merged.select("_id", "_action", F.col("performance.total_trades").alias("total_trades"),
+                         F.size("recent_trades").alias("recent_trades_count"),
+                         F.size("daily_breakdown").alias("daily_breakdown_count"))

@@ -85,3 +85,17 @@ def gold_checked(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame
     the reference dimensions built from the clean trades."""
     return (silver_fact(spark, sf_dir), dim_instrument(spark, sf_dir), dim_time(spark, sf_dir),
             silver_good(spark, sf_dir))
+
+
+# ---- portfolio documents ---------------------------------------------------------
+
+def portfolio_documents(spark: SparkSession, sf_dir: str, from_bronze: bool = False) -> DataFrame:
+    """Documents over the clean Gold fact, or over the fact the Bronze pipeline
+    loads (its dimensions then derived from that fact itself)."""
+    from ..operators import documents
+
+    f = silver_fact(spark, sf_dir) if from_bronze else fact(spark, sf_dir)
+    stg = marts.stg_trades(f)
+    perf = marts.mart_symbol_performance(stg, marts.stg_instruments(gold.dim_instrument(f), ("CLICK", "VIEW")))
+    daily = marts.mart_daily_summary(stg, gold.dim_time(f))
+    return documents.portfolio_documents(perf, documents.recent_trades_per_symbol(f), daily)

@@ -464,3 +464,38 @@ ORACLE.update({
           ('Data Quality Tests', (SELECT n_passed || ' / ' || n_checks || ' Passing' FROM c))
         ) v(metric, value)"""),
 })
+
+
+RECENT10 = """(SELECT * FROM (SELECT symbol, trade_id, price, quantity, notional, trade_type, exchange, "timestamp",
+        ingested_at, row_number() OVER (PARTITION BY symbol ORDER BY "timestamp" DESC, trade_id DESC) AS recency_rank
+        FROM {src}) WHERE recency_rank <= 10)"""
+SFACT_SYMBOLS = """(SELECT symbol, count(*) AS total_trades, count(DISTINCT trade_date) AS days,
+        least(count(*), 10) AS recent FROM sfact GROUP BY symbol)"""
+
+ORACLE.update({
+    "recent_trades_per_symbol": with_ctes(f"""SELECT symbol, trade_id, CAST(price AS DOUBLE) AS price,
+        CAST(quantity AS DOUBLE) AS quantity, CAST(notional AS DOUBLE) AS notional, trade_type, exchange,
+        {ts('"timestamp"')} AS "timestamp", {ts('ingested_at')} AS ingested_at, recency_rank
+        FROM {RECENT10.format(src='fact')}"""),
+    "portfolio_check": with_ctes("""SELECT p.symbol AS _id, p.total_trades, p.volume_rank,
+        least(p.total_trades, 10) AS recent_trades_count,
+        (SELECT count(*) FROM mart_daily m WHERE m.symbol = p.symbol) AS daily_breakdown_count
+        FROM mart_perf p"""),
+    "portfolio_recent_flat": with_ctes(f"""SELECT symbol, recency_rank AS position, trade_id, CAST(price AS DOUBLE) AS price,
+        CAST(quantity AS DOUBLE) AS quantity, CAST(notional AS DOUBLE) AS notional, trade_type, exchange,
+        {ts('"timestamp"')} AS "timestamp" FROM {RECENT10.format(src='fact')}
+        WHERE symbol IN (SELECT symbol FROM mart_perf)"""),
+    "portfolio_daily_flat": with_ctes(f"""SELECT symbol, {d('trade_date')} AS date, day_of_week, is_weekend, trade_count,
+        CAST(total_notional_usd AS DOUBLE) AS total_notional_usd, CAST(open_price AS DOUBLE) AS open,
+        CAST(high_price AS DOUBLE) AS high, CAST(low_price AS DOUBLE) AS low, CAST(close_price AS DOUBLE) AS close,
+        CAST(avg_price AS DOUBLE) AS avg FROM mart_daily WHERE symbol IN (SELECT symbol FROM mart_perf)"""),
+    "portfolio_upsert": with_ctes(f"""
+        SELECT coalesce(n.symbol, o.symbol) AS _id,
+               CASE WHEN o.symbol IS NULL THEN 'inserted' WHEN n.symbol IS NULL THEN 'kept' ELSE 'updated' END AS _action,
+               CASE WHEN n.symbol IS NOT NULL THEN n.total_trades ELSE o.total_trades END AS total_trades,
+               CASE WHEN n.symbol IS NOT NULL THEN n.recent ELSE o.recent END AS recent_trades_count,
+               CASE WHEN n.symbol IS NOT NULL THEN n.days ELSE o.days END AS daily_breakdown_count
+        FROM {SFACT_SYMBOLS} o
+        FULL OUTER JOIN (SELECT symbol, count(*) AS total_trades, count(DISTINCT trade_date) AS days,
+                                least(count(*), 10) AS recent FROM fact GROUP BY symbol) n ON o.symbol = n.symbol"""),
+})
