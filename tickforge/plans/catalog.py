@@ -384,3 +384,101 @@ def _portfolio_upsert(spark, sf):
     return merged.select("_id", "_action", F.col("performance.total_trades").alias("total_trades"),
                          F.size("recent_trades").alias("recent_trades_count"),
                          F.size("daily_breakdown").alias("daily_breakdown_count"))
+
+
+# ---- feeds (P1, P2, P23, F8, F9, R6) -----------------------------------------------
+
+from ..schemas import FACT_SCHEMA, FEED_B_SCHEMA  # noqa: E402
+from ..sources import feeds as fd  # noqa: E402
+from ..sources import fixtures as fx  # noqa: E402
+
+
+@register("normalize_feed_a")
+def _normalize_feed_a(spark, sf):
+    return fd.normalize_feed_a(fx.feed_a_messages(spark, sf))
+
+
+@register("normalize_feed_b")
+def _normalize_feed_b(spark, sf):
+    return fd.normalize_feed_b(fx.feed_b_messages(spark, sf))
+
+
+@register("feed_corrupt")
+def _feed_corrupt(spark, sf):
+    bad = fd.corrupt_messages(fx.feed_b_messages(spark, sf), FEED_B_SCHEMA)
+    return bad.select("message_id", "arrived_at", "reason")
+
+
+@register("feed_union")
+def _feed_union(spark, sf):
+    return fd.feed_union(fd.normalize_feed_a(fx.feed_a_messages(spark, sf)),
+                         fd.normalize_feed_b(fx.feed_b_messages(spark, sf)))
+
+
+@register("json_roundtrip")
+def _json_roundtrip(spark, sf):
+    """Gold trades encoded as JSON messages and decoded again."""
+    return fd.decode_messages(fd.encode_messages(ds.fact(spark, sf)), FACT_SCHEMA)
+
+
+@register("keyed_messages")
+def _keyed_messages(spark, sf):
+    """Trades as (key = symbol, value = JSON) messages, decoded back with the key."""
+    msgs = fd.encode_messages(ds.fact(spark, sf), key_col="symbol")
+    return msgs.select(F.col("key"), F.from_json("value", FACT_SCHEMA, fd.JSON_OPTIONS).alias("m")) \
+               .select("key", "m.*")
+
+
+# ---- stored layers: write, then read back (K1-K3, K7-K9, R1-R5) ---------------------
+
+from ..session import work_dir  # noqa: E402
+from ..sinks import writers as wr  # noqa: E402
+from ..sources import layers as ly  # noqa: E402
+
+
+def _bronze_written(spark, sf):
+    path = work_dir(spark, "bronze")
+    wr.write_bronze(ds.bronze(spark, sf), path)
+    return path
+
+
+@register("bronze_scan")
+def _bronze_scan(spark, sf):
+    """Bronze written by arrival hour as JSON lines, read back with its schema."""
+    return ly.read_bronze(spark, _bronze_written(spark, sf))
+
+
+BATCH_DATE = "2024-01-15"
+
+
+@register("bronze_scan_day")
+def _bronze_scan_day(spark, sf):
+    """One arrival day of Bronze, selected by partition pruning."""
+    return ly.read_bronze(spark, _bronze_written(spark, sf), batch_date=BATCH_DATE)
+
+
+@register("silver_scan")
+def _silver_scan(spark, sf):
+    path = work_dir(spark, "silver")
+    wr.write_silver(ds.silver_good(spark, sf), path)
+    return ly.read_silver(spark, path)
+
+
+EXPORT_SYMBOL = "VIEW/USD"
+
+
+@register("export_trades")
+def _export_trades(spark, sf):
+    """CSV export of one symbol's trades, read back with the written schema."""
+    rows = rp.all_trades(ds.fact(spark, sf), ds.dim_instrument(spark, sf)) \
+             .filter(F.col("symbol") == EXPORT_SYMBOL)
+    path = work_dir(spark, "export")
+    wr.write_csv(rows, path)
+    return spark.read.schema(rows.schema).option("header", True) \
+                .option("timestampFormat", "yyyy-MM-dd HH:mm:ss.SSSSSS").csv(path)
+
+
+@register("run_metrics")
+def _run_metrics(spark, sf):
+    from .pipeline import metrics_frame
+    return metrics_frame(ds.bronze(spark, sf))

@@ -499,3 +499,57 @@ ORACLE.update({
         FULL OUTER JOIN (SELECT symbol, count(*) AS total_trades, count(DISTINCT trade_date) AS days,
                                 least(count(*), 10) AS recent FROM fact GROUP BY symbol) n ON o.symbol = n.symbol"""),
 })
+
+
+FEED_A = """(SELECT CASE WHEN event_id % 103 = 0 THEN '' ELSE CAST(event_id AS VARCHAR) END AS trade_id,
+        upper(event_type) || '/USD' AS symbol, value AS price,
+        CAST(json_extract_string(props, '$.k') AS DOUBLE) AS quantity,
+        value * CAST(json_extract_string(props, '$.k') AS DOUBLE) AS notional,
+        CASE WHEN user_id % 3 = 0 THEN NULL ELSE 'EX' || CAST(user_id % 3 AS VARCHAR) END AS exchange,
+        'CRYPTO' AS trade_type, ts AS "timestamp", ts + to_seconds(event_id % 300) AS ingested_at,
+        'feed_a' AS source,
+        CASE WHEN event_id % 4 IN (0, 1) THEN NULL ELSE 'I,' || upper(substr(event_type, 1, 1)) END AS conditions
+        FROM events WHERE event_id % 10 != 7)"""
+FEED_B = """(SELECT CASE WHEN event_id % 103 = 0 THEN '' ELSE CAST(event_id AS VARCHAR) END AS trade_id,
+        upper(event_type) || '/USD' AS symbol, value AS price,
+        CAST(json_extract_string(props, '$.k') AS DOUBLE) AS quantity,
+        value * CAST(json_extract_string(props, '$.k') AS DOUBLE) AS notional,
+        CAST(user_id % 3 AS VARCHAR) AS exchange, 'CRYPTO' AS trade_type,
+        make_timestamp((epoch_us(ts) // 1000) * 1000) AS "timestamp",
+        ts + to_seconds(event_id % 300) AS ingested_at, 'feed_b' AS source, CAST(NULL AS VARCHAR) AS conditions
+        FROM events WHERE event_id % 10 = 7 AND event_id % 31 != 0)"""
+
+
+def event_out(src: str) -> str:
+    return f"""SELECT trade_id, symbol, price, quantity, notional, exchange, trade_type,
+        {ts('"timestamp"')} AS "timestamp", {ts('ingested_at')} AS ingested_at, source, conditions FROM {src}"""
+
+
+BRONZE_PARTS = (f"strftime({parse_time('ingested_at')}, '%Y') AS year, strftime({parse_time('ingested_at')}, '%m') AS month, "
+                f"strftime({parse_time('ingested_at')}, '%d') AS day, strftime({parse_time('ingested_at')}, '%H') AS hour")
+
+ORACLE.update({
+    "normalize_feed_a": with_ctes(event_out(FEED_A)),
+    "normalize_feed_b": with_ctes(f"""SELECT trade_id, symbol, price, quantity, notional, exchange, trade_type,
+        {ts('"timestamp"')} AS "timestamp", {ts('ingested_at')} AS ingested_at, source FROM {FEED_B}"""),
+    "feed_corrupt": with_ctes(f"""SELECT event_id AS message_id, {ts('ts + to_seconds(event_id % 300)')} AS arrived_at,
+        'malformed_json' AS reason FROM events WHERE event_id % 10 = 7 AND event_id % 31 = 0"""),
+    "feed_union": with_ctes(event_out(f"(SELECT * FROM {FEED_A} UNION ALL SELECT * FROM {FEED_B})")),
+    "json_roundtrip": with_ctes(f"SELECT {FACT_OUT} FROM fact"),
+    "keyed_messages": with_ctes(f"SELECT symbol AS key, {FACT_OUT} FROM fact"),
+    "bronze_scan": with_ctes(f"SELECT *, {BRONZE_PARTS} FROM bronze"),
+    "bronze_scan_day": with_ctes(f"""SELECT * FROM (SELECT *, {BRONZE_PARTS} FROM bronze)
+        WHERE year = '2024' AND month = '01' AND day = '15'"""),
+    "silver_scan": with_ctes(f"""SELECT trade_id, symbol, price, quantity, notional, exchange, trade_type,
+        {ts('"timestamp"')} AS "timestamp", {ts('ingested_at')} AS ingested_at, source, conditions, trade_date,
+        CAST(trade_hour AS BIGINT) AS trade_hour FROM s_good"""),
+    "export_trades": with_ctes(f"""SELECT f.trade_id, f.symbol, CAST(f.price AS DOUBLE) AS price, CAST(f.quantity AS DOUBLE) AS quantity,
+        CAST(f.notional AS DOUBLE) AS notional, f.trade_type, f.exchange, f.source, {ts('f."timestamp"')} AS "timestamp",
+        {d('f.trade_date')} AS trade_date, f.trade_hour, {ts('f.ingested_at')} AS ingested_at,
+        i.asset_class, i.base_currency, i.quote_currency
+        FROM fact f JOIN dim_instrument i ON f.symbol = i.symbol WHERE f.symbol = 'VIEW/USD'"""),
+    "run_metrics": with_ctes("""SELECT (SELECT count(*) FROM bronze) AS rows_read, (SELECT count(*) FROM s_dedup) AS rows_after_dedup,
+        (SELECT count(*) FROM bronze) - (SELECT count(*) FROM s_dedup) AS duplicates_removed,
+        (SELECT count(*) FROM s_good) AS rows_written, (SELECT count(*) FROM s_bad) AS rows_dead_letter,
+        CASE WHEN (SELECT count(*) FROM s_bad) > 0 THEN 'PARTIAL' ELSE 'SUCCESS' END AS status"""),
+})

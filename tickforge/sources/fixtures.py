@@ -170,4 +170,5 @@ def feed_b_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = F.when(eid % 100 == 7, F.concat(F.lit("["), F.to_json(status), F.lit(","), F.to_json(trade), F.lit("]"))) \
             .otherwise(F.concat(F.lit("["), F.to_json(trade), F.lit("]")))
     text = F.when(eid % 31 == 0, F.concat(F.lit("{broken "), text)).otherwise(text)
-    return ev.select(eid.alias("message_id"), text.alias("value"))
+    arrived = F.timestamp_add("SECOND", eid % 300, F.col("ts"))
+    return ev.select(eid.alias("message_id"), text.alias("value"), arrived.alias("arrived_at"))
