@@ -482,3 +482,37 @@ def _export_trades(spark, sf):
 def _run_metrics(spark, sf):
     from .pipeline import metrics_frame
     return metrics_frame(ds.bronze(spark, sf))
+
+
+# ---- streaming results read back as batch frames (S1-S3, S5) ------------------------
+
+from ..streaming import pipeline as st  # noqa: E402
+
+
+def _landed_bronze(spark, sf):
+    landing = work_dir(spark, "landing")
+    st.replay_by_arrival_day(ds.bronze(spark, sf), landing)
+    return landing
+
+
+@register("stream_silver")
+def _stream_silver(spark, sf):
+    """Bronze files streamed one file per trigger through the Silver
+    transform (foreachBatch + key merge); the stored Silver read back."""
+    landing = _landed_bronze(spark, sf)
+    silver_path, dead, ckpt = (work_dir(spark, n) for n in ("stream-silver", "stream-dead", "stream-ckpt"))
+    q = st.start_silver_stream(st.bronze_file_source(spark, landing, 3), silver_path, dead, ckpt)
+    q.awaitTermination()
+    return ly.read_silver(spark, silver_path)
+
+
+@register("stream_dedup")
+def _stream_dedup(spark, sf):
+    """Trade ids left by watermark-bounded streaming dedup (file sink, read back)."""
+    landing = _landed_bronze(spark, sf)
+    out, ckpt = work_dir(spark, "stream-dedup"), work_dir(spark, "stream-dedup-ckpt")
+    q = (st.dedup_within_watermark(st.bronze_file_source(spark, landing, 1))
+           .writeStream.format("parquet").option("path", out).option("checkpointLocation", ckpt)
+           .outputMode("append").trigger(availableNow=True).start())
+    q.awaitTermination()
+    return spark.read.parquet(out).select("trade_id", "ingested_at")
