@@ -38,12 +38,24 @@ def rule_passes(rule: str) -> Column:
     return F.coalesce(F.expr(rule), F.lit(False))
 
 
+def passes_all(rules: dict[str, str] | None = None) -> Column:
+    """TRUE when every rule is TRUE; a plain predicate (whole-stage codegen)."""
+    rules = QUALITY_RULES if rules is None else rules
+    out = None
+    for r in rules.values():
+        out = rule_passes(r) if out is None else out & rule_passes(r)
+    return out if out is not None else F.lit(True)
+
+
 def failed_rules_column(rules: dict[str, str] | None = None) -> Column:
-    """array<string> of the names of the rules a row fails (empty when clean)."""
+    """array<string> of the names of the rules a row fails (empty when clean).
+
+    Built from concat_ws (which skips NULLs) and split rather than a lambda
+    filter, so the expression stays inside generated code.
+    """
     rules = QUALITY_RULES if rules is None else rules
-    return F.array_compact(
-        F.array(*[F.when(~rule_passes(r), F.lit(n)) for n, r in rules.items()])
-    )
+    joined = F.concat_ws("\u0001", *[F.when(~rule_passes(r), F.lit(n)) for n, r in rules.items()])
+    return F.when(joined == "", F.array().cast("array<string>")).otherwise(F.split(joined, "\u0001"))
 
 
 def with_failed_rules(df: DataFrame, rules: dict[str, str] | None = None) -> DataFrame:

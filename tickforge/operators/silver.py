@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.rules import FAILED_RULES, QUALITY_RULES, strict_split, with_failed_rules
+from ..functions.rules import QUALITY_RULES, passes_all, rule_passes, strict_split, with_failed_rules
 from ..schemas import SILVER_COLUMNS
 
 # Columns that decide which copy of a duplicated trade is kept: earliest arrival,
@@ -103,10 +103,14 @@ def quality_routed(prepared: DataFrame, rules: dict[str, str] | None = None) ->
 
 
 def quality_split(prepared: DataFrame, rules: dict[str, str] | None = None) -> tuple[DataFrame, DataFrame]:
-    """(good, dead_letter). NULL-safe: a rule evaluating to NULL is a failure."""
-    routed = quality_routed(prepared, rules)
-    good = routed.filter(F.size(FAILED_RULES) == 0).drop(FAILED_RULES)
-    bad = routed.filter(F.size(FAILED_RULES) > 0)
+    """(good, dead_letter). NULL-safe: a rule evaluating to NULL is a failure.
+
+    The good side is a plain conjunction; the names of the failed rules are
+    computed for the dead-letter side only.
+    """
+    ok = passes_all(rules)
+    good = prepared.filter(ok)
+    bad = with_failed_rules(prepared.filter(~ok), rules)
     return good, bad
 
 
@@ -118,10 +122,9 @@ def quality_split_strict(prepared: DataFrame, rules: dict[str, str] | None = Non
 def quality_report(prepared: DataFrame, rules: dict[str, str] | None = None) -> DataFrame:
     """One row per rule: how many rows fail it, plus the row totals. One pass."""
     rules = QUALITY_RULES if rules is None else rules
-    routed = quality_routed(prepared, rules)
-    aggs = [F.count_if(F.array_contains(FAILED_RULES, F.lit(n))).alias(n) for n in rules]
-    totals = routed.agg(F.count(F.lit(1)).alias("rows_checked"),
-                        F.count_if(F.size(FAILED_RULES) > 0).alias("rows_failed"), *aggs)
+    aggs = [F.count_if(~rule_passes(r)).alias(n) for n, r in rules.items()]
+    totals = prepared.agg(F.count(F.lit(1)).alias("rows_checked"),
+                          F.count_if(~passes_all(rules)).alias("rows_failed"), *aggs)
     stack = ", ".join(f"'{n}', `{n}`" for n in rules)
     return totals.selectExpr("rows_checked", "rows_failed",
                              f"stack({len(rules)}, {stack}) AS (rule, failures)") \

@@ -14,7 +14,7 @@ from dataclasses import asdict, dataclass
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.rules import FAILED_RULES
+from ..functions.rules import passes_all
 from ..operators import documents, gold, marts, silver
 from ..sinks import writers
 from ..sources import layers
@@ -37,10 +37,10 @@ class RunMetrics:
 def metrics_frame(bronze: DataFrame, rules: dict[str, str] | None = None) -> DataFrame:
     """The run metrics as a one-row frame, computed without writing."""
     read = bronze.agg(F.count(F.lit(1)).alias("rows_read"))
-    routed = silver.quality_routed(silver.silver_prepared(bronze), rules)
-    split = routed.agg(F.count(F.lit(1)).alias("rows_after_dedup"),
-                       F.count_if(F.size(FAILED_RULES) == 0).alias("rows_written"),
-                       F.count_if(F.size(FAILED_RULES) > 0).alias("rows_dead_letter"))
+    ok = passes_all(rules)
+    split = silver.silver_prepared(bronze).agg(F.count(F.lit(1)).alias("rows_after_dedup"),
+                                               F.count_if(ok).alias("rows_written"),
+                                               F.count_if(~ok).alias("rows_dead_letter"))
     return read.crossJoin(split).select(  # two single-row aggregates
         "rows_read", "rows_after_dedup",
         (F.col("rows_read") - F.col("rows_after_dedup")).alias("duplicates_removed"),

@@ -14,9 +14,43 @@ def table_path(sf_dir: str, name: str) -> str:
     return f"{sf_dir.rstrip('/')}/{name}.parquet"
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Give a scan at least one partition per core.
+
+    A file that is a single row group is read by one task, which then runs all
+    map-side work (projections, filters, partial aggregates) alone. When the
+    scan yields fewer partitions than the default parallelism, a round-robin
+    repartition spreads it; on large inputs (many files / row groups) the scan
+    already has more partitions and this is a no-op, so no shuffle is added.
+    Filters and column pruning still reach the scan through the repartition.
+    """
+    target = df.sparkSession.sparkContext.defaultParallelism
+    if _scan_partitions(df) < target:
+        return df.repartition(target)
+    return df
+
+
+_SPLITS: dict[tuple, int] = {}
+
+
+def _scan_partitions(df: DataFrame, path: str | None = None) -> int:
+    """Number of scan partitions (planned once per path and parallelism)."""
+    key = (path, df.sparkSession.sparkContext.defaultParallelism) if path else None
+    if key in _SPLITS:
+        return _SPLITS[key]
+    n = df.rdd.getNumPartitions()
+    if key:
+        _SPLITS[key] = n
+    return n
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str, columns: list[str] | None = None) -> DataFrame:
     """Parquet scan; selecting ``columns`` up front keeps the ReadSchema narrow."""
     if name not in TABLES:
         raise ValueError(f"unknown table {name!r}")
-    df = spark.read.parquet(table_path(sf_dir, name))
+    path = table_path(sf_dir, name)
+    df = spark.read.parquet(path)
+    target = spark.sparkContext.defaultParallelism
+    if _scan_partitions(df, path) < target:
+        df = df.repartition(target)
     return df.select(*columns) if columns else df
