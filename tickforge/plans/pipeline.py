@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from ..functions.rules import passes_all
 from ..operators import documents, gold, marts, silver
 from ..sinks import writers
+from ..session import OBSERVED_WRITE_CONF, conf_override
 from ..sources import layers
 
 
@@ -59,37 +60,39 @@ def bronze_to_silver(spark: SparkSession, bronze_path: str, silver_path: str, de
                      rules: dict[str, str] | None = None) -> RunMetrics:
     """Read Bronze (optionally one day), clean, split, and write Silver and the
     dead letter. Re-running adds no Silver row: keys already in Silver are
-    skipped (left-anti on trade_id against the stored keys)."""
-    bronze = layers.read_bronze_records(spark, bronze_path, batch_date)
-    obs_in = Observation("bronze_in")
-    bronze = bronze.observe(obs_in, F.count(F.lit(1)).alias("n"))
-    prepared = silver.silver_prepared(bronze)
-    good, bad = silver.quality_split(prepared, rules)
-
-    obs_good = Observation("silver_out")
+    skipped (left-anti on trade_id against the stored keys).
+
+    Two actions, one per sink; each plan carries its own observations (an
+    observation belongs to exactly one action). The dedup choice is
+    deterministic, so both plans see the same deduplicated rows.
+    """
+    ok = passes_all(rules)
+
+    # Silver: read -> count -> dedup -> count -> good -> insert-if-absent -> count -> write
+    obs_read, obs_dedup, obs_cand, obs_good = (Observation(n) for n in ("read", "dedup", "cand", "good"))
+    bronze = layers.read_bronze_records(spark, bronze_path, batch_date).observe(obs_read, F.count(F.lit(1)).alias("n"))
+    prepared = silver.silver_prepared(bronze).observe(obs_dedup, F.count(F.lit(1)).alias("n"))
+    good = prepared.filter(ok).observe(obs_cand, F.count(F.lit(1)).alias("n"))
     if _exists(spark, silver_path):
-        existing = spark.read.parquet(silver_path).select("trade_id")
-        obs_new = Observation("silver_candidates")
-        good = good.observe(obs_new, F.count(F.lit(1)).alias("n"))
-        good = gold.insert_new(good, existing, "trade_id")
-    else:
-        obs_new = None
-    good = good.observe(obs_good, F.count(F.lit(1)).alias("n"))
-    writers.write_silver(good, silver_path)
+        good = gold.insert_new(good, spark.read.parquet(silver_path).select("trade_id"), "trade_id")
+    with conf_override(spark, OBSERVED_WRITE_CONF):
+        writers.write_silver(good.observe(obs_good, F.count(F.lit(1)).alias("n")), silver_path)
 
+    # Dead letter: its own plan over the same input
     obs_bad = Observation("dead_letter")
-    bad = bad.observe(obs_bad, F.count(F.lit(1)).alias("n"))
+    bad = silver.quality_split(silver.silver_prepared(layers.read_bronze_records(spark, bronze_path, batch_date)),
+                               rules)[1].observe(obs_bad, F.count(F.lit(1)).alias("n"))
     run_id = run_id or _dt.datetime.now(_dt.timezone.utc).strftime("%Y%m%d_%H%M%S_%f")
-    writers.write_dead_letter(bad, dead_letter_base, run_id)
+    with conf_override(spark, OBSERVED_WRITE_CONF):
+        writers.write_dead_letter(bad, dead_letter_base, run_id)
 
     m = RunMetrics()
-    m.rows_read = int(obs_in.get["n"])
+    m.rows_read = int(obs_read.get["n"])
+    m.rows_after_dedup = int(obs_dedup.get["n"])
+    m.duplicates_removed = m.rows_read - m.rows_after_dedup
     m.rows_written = int(obs_good.get["n"])
+    m.rows_already_present = int(obs_cand.get["n"]) - m.rows_written
     m.rows_dead_letter = int(obs_bad.get["n"])
-    candidates = int(obs_new.get["n"]) if obs_new else m.rows_written
-    m.rows_already_present = candidates - m.rows_written
-    m.rows_after_dedup = candidates + m.rows_dead_letter
-    m.duplicates_removed = m.rows_read - m.rows_after_dedup
     m.status = "PARTIAL" if m.rows_dead_letter else "SUCCESS"
     return m
 
@@ -110,9 +113,10 @@ def silver_to_gold(spark: SparkSession, silver_path: str, gold_base: str) -> dic
         path = f"{base}/{name}"
         if _exists(spark, path):
             frame = gold.insert_new(frame, spark.read.parquet(path), key)
-        obs = Observation(name)
+        obs = Observation(f"gold_{name}")
         frame = frame.observe(obs, F.count(F.lit(1)).alias("n"))
-        writers.write_table(frame, path, partition_by=parts, mode="append")
+        with conf_override(spark, OBSERVED_WRITE_CONF):
+            writers.write_table(frame, path, partition_by=parts, mode="append")
         counts[name] = int(obs.get["n"])
     return counts
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+from contextlib import contextmanager
 import uuid
 
 from pyspark.sql import SparkSession
@@ -77,3 +78,28 @@ def checkpoint_base(spark: SparkSession) -> str:
 def work_dir(spark: SparkSession, name: str) -> str:
     """A fresh, uniquely named folder under the shared checkpoint base."""
     return f"{checkpoint_base(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+@contextmanager
+def conf_override(spark: SparkSession, settings: dict):
+    """Temporarily set runtime SQL confs, restoring the previous values."""
+    old = {k: spark.conf.get(k, None) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        yield spark
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
+
+
+# AQE replaces a stage found empty at runtime by an empty relation, which also
+# drops the CollectMetrics nodes of DataFrame.observe from the final plan, so
+# the observed counts of a write with nothing left to write would be lost.
+OBSERVED_WRITE_CONF = {
+    "spark.sql.adaptive.optimizer.excludedRules":
+        "org.apache.spark.sql.execution.adaptive.AQEPropagateEmptyRelation",
+}

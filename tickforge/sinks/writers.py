@@ -57,11 +57,10 @@ def write_dead_letter(df: DataFrame, base: str, run_id: str) -> str:
 
 def write_table(df: DataFrame, path: str, partition_by: list[str] | None = None,
                 mode: str = "overwrite") -> None:
-    w = df.write.mode(mode)
     if partition_by:
-        df = df.repartition(*partition_by)
-        w = df.write.mode(mode).partitionBy(*partition_by)
-    w.parquet(path)
+        df.repartition(*partition_by).write.mode(mode).partitionBy(*partition_by).parquet(path)
+    else:
+        df.write.mode(mode).parquet(path)
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
