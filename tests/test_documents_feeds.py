@@ -76,3 +76,39 @@ def test_json_keeps_microseconds(spark):
     f = ds.fact(spark, SF_SMALL)
     back = feeds.decode_messages(feeds.encode_messages(f), f.schema)
     assert back.exceptAll(f).count() == 0 and f.exceptAll(back).count() == 0
+
+
+def test_keyed_files_keep_per_symbol_order(spark, tmp_dir):
+    import os
+
+    from pyspark.sql import Window
+
+    from tickforge.sinks import writers
+
+    path = os.path.join(tmp_dir, "keyed")
+    writers.write_keyed_files(ds.fact(spark, SF_SMALL), path, fmt="parquet")
+    back = (spark.read.parquet(path).withColumn("f", F.input_file_name())
+                 .withColumn("pos", F.monotonically_increasing_id()))
+    w = Window.partitionBy("symbol").orderBy("f", "pos")
+    prev = back.withColumn("prev_ts", F.lag("timestamp").over(w))
+    assert prev.filter("prev_ts > timestamp").count() == 0
+
+
+def test_required_columns_checked_before_any_job(spark):
+    import pytest
+
+    from tickforge.schemas import MissingColumnsError, require_columns
+
+    df = spark.range(1).withColumnRenamed("id", "trade_id")
+    with pytest.raises(MissingColumnsError, match="symbol"):
+        require_columns(df, ["trade_id", "symbol"], "silver")
+
+
+def test_sql_serving_with_parameters(spark):
+    from tickforge.plans import serving
+
+    serving.register_views(spark, mart_daily_summary=ds.mart_daily_summary(spark, SF_SMALL))
+    evil = "x' OR '1'='1"
+    assert serving.daily_summary(spark, symbol=evil).count() == 0
+    allrows = serving.daily_summary(spark, symbol="All").count()
+    assert allrows == ds.mart_daily_summary(spark, SF_SMALL).count()

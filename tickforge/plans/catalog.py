@@ -516,3 +516,46 @@ def _stream_dedup(spark, sf):
            .outputMode("append").trigger(availableNow=True).start())
     q.awaitTermination()
     return spark.read.parquet(out).select("trade_id", "ingested_at")
+
+
+# ---- serving by parameterised SQL over views (R8), exports (K9), keyed files (S4) ----
+
+from . import serving as sv_sql  # noqa: E402
+
+
+def _views(spark, sf):
+    sv_sql.register_views(spark, fact_trades=ds.fact(spark, sf),
+                          mart_daily_summary=ds.mart_daily_summary(spark, sf),
+                          mart_symbol_performance=ds.mart_symbol_performance(spark, sf))
+
+
+@register("daily_summary_sql")
+def _daily_summary_sql(spark, sf):
+    _views(spark, sf)
+    return sv_sql.daily_summary(spark, **DAILY_FILTER)
+
+
+@register("pipeline_stats_sql")
+def _pipeline_stats_sql(spark, sf):
+    _views(spark, sf)
+    return sv_sql.pipeline_stats(spark)
+
+
+@register("export_performance")
+def _export_performance(spark, sf):
+    """Performance mart exported as CSV and read back with its schema."""
+    perf = ds.mart_symbol_performance(spark, sf, wide=True)
+    path = work_dir(spark, "export-perf")
+    wr.write_csv(perf, path)
+    return spark.read.schema(perf.schema).option("header", True) \
+                .option("timestampFormat", "yyyy-MM-dd HH:mm:ss.SSSSSS").csv(path)
+
+
+@register("keyed_files")
+def _keyed_files(spark, sf):
+    """Trades written as files ordered per symbol, read back with the file
+    position: each symbol's rows must come back in time order."""
+    path = work_dir(spark, "keyed")
+    wr.write_keyed_files(ds.fact(spark, sf), path, fmt="parquet")
+    back = spark.read.parquet(path).withColumn("_file", F.input_file_name())
+    return back.select("symbol", "trade_id", "timestamp", "price")

@@ -559,3 +559,11 @@ ORACLE.update({
     # stream_dedup has no statement: which re-occurring keys pass depends on
     # where the watermark stands per micro-batch (checked in tests instead).
 })
+
+ORACLE.update({
+    "daily_summary_sql": ORACLE["daily_filtered"],
+    "pipeline_stats_sql": ORACLE["pipeline_stats"],
+    "export_performance": with_ctes(mart_perf_out("w_mart_perf")),
+    "keyed_files": with_ctes(f"""SELECT symbol, trade_id, {ts('"timestamp"')} AS "timestamp",
+        CAST(price AS DOUBLE) AS price FROM fact"""),
+})

@@ -126,3 +126,24 @@ def write_version(spark: SparkSession, df: DataFrame, base: str) -> str:
 def read_version(spark: SparkSession, base: str) -> DataFrame | None:
     v = current_version(spark, base)
     return spark.read.parquet(v) if v else None
+
+
+def write_keyed_files(df: DataFrame, path: str, key: str = "symbol", order: str = "timestamp",
+                      fmt: str = "json", mode: str = "overwrite") -> None:
+    """Files in which each key's rows are contiguous and in ``order``.
+
+    Range partitioning on (key, order) keeps a key's rows in order across
+    consecutive files and splits a hot key over several tasks (hash
+    partitioning on the key alone would put all of it in one task).
+    """
+    (df.repartitionByRange(key, order).sortWithinPartitions(key, order)
+       .write.mode(mode).format(fmt).option("timestampFormat", ISO_UTC).save(path))
+
+
+def write_kafka(df: DataFrame, bootstrap_servers: str, topic: str = "trades", key_col: str = "symbol") -> None:
+    """JSON messages keyed by ``key_col`` (per-key order within a partition)
+    to a topic. Needs the Kafka connector on the cluster."""
+    from ..sources.feeds import encode_messages
+
+    (encode_messages(df, key_col=key_col).write.format("kafka")
+        .option("kafka.bootstrap.servers", bootstrap_servers).option("topic", topic).save())
