@@ -90,3 +90,19 @@ def date_parts(d: str | Column = "trade_date") -> dict[str, Column]:
         "is_weekend": iso.isin(6, 7),
         "month_name": F.date_format(c, "MMMM"),
     }
+
+
+_E20 = "CAST('100000000000000000000' AS DECIMAL(38,0))"
+_E18 = "CAST('1000000000000000000' AS DECIMAL(38,0))"
+
+
+def time_price_key(ts: str | Column = "traded_at", price: str | Column = "price") -> Column:
+    """(event time, price) packed into one decimal(38,0) with the same order.
+
+    key = micros * 1e20 + (price * 1e8 + 1e18), valid for decimal(18,8) prices
+    (|price * 1e8| < 1e18) and any timestamp of years 1..9999. A fixed-width
+    ordering key keeps min_by / max_by in a hash aggregate; a struct key would
+    force a sort-based aggregate.
+    """
+    return (F.unix_micros(col(ts)).cast("decimal(38,0)") * F.expr(_E20)
+            + (col(price).cast("decimal(18,8)") * 100000000).cast("decimal(38,0)") + F.expr(_E18))

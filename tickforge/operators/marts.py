@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.expressions import MAJOR_BASES, display_name, is_major, price_tier
+from ..functions.expressions import MAJOR_BASES, date_parts, display_name, is_major, price_tier, time_price_key
 
 
 def stg_trades(fact: DataFrame) -> DataFrame:
@@ -48,7 +48,19 @@ def exact_avg(c: str):
     return F.sum(c) / F.count(c)
 
 
-def mart_daily_summary(trades: DataFrame, dim_time: DataFrame) -> DataFrame:
+def _with_calendar(daily: DataFrame, dim_time: DataFrame | None) -> DataFrame:
+    """Attach day_of_week / is_weekend: by joining the time dimension, or,
+    when the dimension would be derived from these same trades (dim_time is
+    None), by computing the same attributes on the aggregated rows, which
+    saves a second pass over the trades."""
+    if dim_time is None:
+        parts = date_parts("trade_date")
+        return daily.withColumns({"day_of_week": parts["day_of_week"], "is_weekend": parts["is_weekend"]})
+    days = dim_time.select("trade_date", "day_of_week", "is_weekend")
+    return daily.join(days, "trade_date", "inner")
+
+
+def mart_daily_summary(trades: DataFrame, dim_time: DataFrame | None = None) -> DataFrame:
     """Daily OHLC per (trade_date, symbol): the mart at its intended grain."""
     order = F.struct("traded_at", "trade_id")
     daily = trades.groupBy("trade_date", "symbol").agg(
@@ -63,21 +75,21 @@ def mart_daily_summary(trades: DataFrame, dim_time: DataFrame) -> DataFrame:
         F.min("ingested_at").alias("first_ingested_at"),
         F.max("ingested_at").alias("last_ingested_at"),
     )
-    days = dim_time.select("trade_date", "day_of_week", "is_weekend")
-    return daily.join(days, "trade_date", "inner").select(
+    return _with_calendar(daily, dim_time).select(
         "trade_date", "day_of_week", "is_weekend", "symbol", "trade_count", "total_quantity",
         "total_notional_usd", "low_price", "high_price", "avg_price", "open_price", "close_price",
         "first_ingested_at", "last_ingested_at",
     )
 
 
-def mart_daily_summary_tick(trades: DataFrame, dim_time: DataFrame) -> DataFrame:
+def mart_daily_summary_tick(trades: DataFrame, dim_time: DataFrame | None = None) -> DataFrame:
     """The daily mart as its SQL is written: grouped by (day, symbol, traded_at,
     price), so one row per distinct tick; open/close are the first / last price
     of the (day, symbol) in (traded_at, price) order; then DISTINCT.
 
-    Open/close come from a per-(day, symbol) aggregate joined back on its key,
-    not from a window over the hot (day, symbol) partition.
+    Open/close come from a per-(day, symbol) hash aggregate (ordering key
+    packed into one decimal) joined back on its key, not from a window over
+    the hot (day, symbol) partition.
     """
     ticks = trades.groupBy("trade_date", "symbol", "traded_at", "price").agg(
         F.count(F.lit(1)).alias("trade_count"),
@@ -86,14 +98,12 @@ def mart_daily_summary_tick(trades: DataFrame, dim_time: DataFrame) -> DataFrame
         F.min("ingested_at").alias("first_ingested_at"),
         F.max("ingested_at").alias("last_ingested_at"),
     )
-    order = F.struct("traded_at", "price")
-    ends = ticks.groupBy("trade_date", "symbol").agg(
+    order = time_price_key("traded_at", "price")
+    ends = trades.groupBy("trade_date", "symbol").agg(
         _r2(F.min_by("price", order)).alias("open_price"),
         _r2(F.max_by("price", order)).alias("close_price"),
     )
-    days = dim_time.select("trade_date", "day_of_week", "is_weekend")
-    return (ticks.join(ends, ["trade_date", "symbol"], "inner")
-                 .join(days, "trade_date", "inner")
+    return (_with_calendar(ticks.join(ends, ["trade_date", "symbol"], "inner"), dim_time)
                  .select("trade_date", "day_of_week", "is_weekend", "symbol", "trade_count",
                          "total_quantity", "total_notional_usd",
                          _r2("price").alias("low_price"), _r2("price").alias("high_price"),

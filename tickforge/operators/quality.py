@@ -96,11 +96,63 @@ def dq_type_bounds(silver: DataFrame, instruments: DataFrame) -> DataFrame:
     return _union([_rows(silver, fact_checks), _rows(instruments, too_long("dim_instrument"))])
 
 
-def dq_summary(fact: DataFrame, instruments: DataFrame, dates: DataFrame, silver: DataFrame) -> DataFrame:
+def _keyed_checks(frame: DataFrame, key: str, unique_name: str, flags: list[tuple[str, Column]]) -> DataFrame:
+    """Uniqueness of ``key`` plus any number of row-level checks, in one pass:
+    rows -> per-key counts and flag sums (partial aggregation on the map
+    side) -> one global row -> one output row per check."""
+    per_key = frame.groupBy(key).agg(
+        F.count(F.lit(1)).alias("_n"),
+        *[F.sum(c.cast("int")).alias(f"_f{i}") for i, (_, c) in enumerate(flags)])
+    checks = [(unique_name, F.count_if(F.col("_n") > 1))] + \
+             [(n, F.coalesce(F.sum(f"_f{i}"), F.lit(0))) for i, (n, _) in enumerate(flags)]
+    return _rows(per_key, checks)
+
+
+def _flag(c: Column) -> Column:
+    """A check predicate as a definite 0/1 (NULL counts as not failing, as
+    count_if does)."""
+    return F.coalesce(c, F.lit(False))
+
+
+def dq_summary(fact: DataFrame, instruments: DataFrame, dates: DataFrame, silver: DataFrame,
+               asset_classes: tuple = ASSET_CLASSES, trade_types: tuple = TRADE_TYPES) -> DataFrame:
+    """Every check of the module, with one pass per table.
+
+    The fact-side checks read the Silver rows the fact is loaded from (the
+    fact columns are casts of them): one join to the two key sets and one
+    shuffle by trade_id serve uniqueness, not-null, relationships, accepted
+    values and type bounds together. ``fact`` is not read again.
+    """
+    del fact  # the fact is a pure cast of ``silver``; checked through it
+    sym = instruments.select(F.col("symbol").alias("_sym")).distinct().withColumn("_has_sym", F.lit(True))
+    day = dates.select(F.col("trade_date").alias("_day")).distinct().withColumn("_has_day", F.lit(True))
+    rows = silver.withColumn("_date", F.col("trade_date").cast("date"))
+    tagged = (rows.join(sym, rows.symbol == sym._sym, "left")
+                  .join(day, F.col("_date") == day._day, "left"))
+
+    def no_fit(c, t):
+        return F.col(c).isNotNull() & F.col(c).try_cast(t).isNull()
+
+    fact_flags = [
+        ("not_null:fact_trades.trade_id", F.col("trade_id").isNull()),
+        ("not_null:fact_trades.symbol", F.col("symbol").isNull()),
+        ("not_null:fact_trades.price", F.col("price").isNull()),
+        ("relationships:fact_trades.symbol->dim_instrument", F.col("symbol").isNotNull() & F.col("_has_sym").isNull()),
+        ("relationships:fact_trades.trade_date->dim_time", F.col("_date").isNotNull() & F.col("_has_day").isNull()),
+        ("accepted_values:fact_trades.trade_type", ~F.col("trade_type").isin(list(trade_types))),
+        *[(f"length:fact_trades.{c}<={n}", F.length(c) > n) for c, n in FIXED_VARCHAR_LIMITS["fact_trades"].items()],
+        ("numeric:fact_trades.price(18,8)", no_fit("price", PRICE)),
+        ("numeric:fact_trades.quantity(18,8)", no_fit("quantity", PRICE)),
+        ("numeric:fact_trades.notional(18,2)", no_fit("notional", MONEY)),
+    ]
+    inst_flags = [
+        ("not_null:dim_instrument.symbol", F.col("symbol").isNull()),
+        ("accepted_values:dim_instrument.asset_class", ~F.col("asset_class").isin(list(asset_classes))),
+        *[(f"length:dim_instrument.{c}<={n}", F.length(c) > n) for c, n in FIXED_VARCHAR_LIMITS["dim_instrument"].items()],
+    ]
+    date_flags = [("not_null:dim_time.trade_date", F.col("trade_date").isNull())]
     return _union([
-        dq_unique(fact, instruments, dates),
-        dq_not_null(fact, instruments, dates),
-        dq_relationships(fact, instruments, dates),
-        dq_accepted_values(fact, instruments),
-        dq_type_bounds(silver, instruments),
+        _keyed_checks(tagged, "trade_id", "unique:fact_trades.trade_id", [(n, _flag(c)) for n, c in fact_flags]),
+        _keyed_checks(instruments, "symbol", "unique:dim_instrument.symbol", [(n, _flag(c)) for n, c in inst_flags]),
+        _keyed_checks(dates, "trade_date", "unique:dim_time.trade_date", [(n, _flag(c)) for n, c in date_flags]),
     ])

@@ -114,6 +114,11 @@ def quality_split(prepared: DataFrame, rules: dict[str, str] | None = None) -> t
     return good, bad
 
 
+def quality_good(prepared: DataFrame, rules: dict[str, str] | None = None) -> DataFrame:
+    """The good side alone (no dead-letter columns are built)."""
+    return prepared.filter(passes_all(rules))
+
+
 def quality_split_strict(prepared: DataFrame, rules: dict[str, str] | None = None) -> tuple[DataFrame, DataFrame]:
     """The as-written three-valued split (rows with a NULL verdict vanish)."""
     return strict_split(prepared, rules)

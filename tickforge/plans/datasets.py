@@ -24,7 +24,7 @@ def silver_prepared(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def silver_good(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return silver.quality_split(silver_prepared(spark, sf_dir))[0]
+    return silver.quality_good(silver_prepared(spark, sf_dir))
 
 
 def silver_dead_letter(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -40,11 +40,11 @@ def silver_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def fact(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Gold fact: clean trades that pass the quality rules."""
-    return silver.quality_split(fixtures.trades_from_events(spark, sf_dir))[0]
+    return silver.quality_good(fixtures.trades_from_events(spark, sf_dir))
 
 
 def wide_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return silver.quality_split(fixtures.wide_trades(spark, sf_dir))[0]
+    return silver.quality_good(fixtures.wide_trades(spark, sf_dir))
 
 
 def dim_time(spark: SparkSession, sf_dir: str, wide: bool = False) -> DataFrame:
@@ -66,11 +66,13 @@ def stg_instruments(spark: SparkSession, sf_dir: str, wide: bool = False,
 
 
 def mart_daily_summary(spark: SparkSession, sf_dir: str, wide: bool = False) -> DataFrame:
-    return marts.mart_daily_summary(stg_trades(spark, sf_dir, wide), dim_time(spark, sf_dir, wide))
+    """The time dimension here is derived from these same trades, so its
+    attributes are computed on the aggregated rows (no second pass)."""
+    return marts.mart_daily_summary(stg_trades(spark, sf_dir, wide))
 
 
 def mart_daily_summary_tick(spark: SparkSession, sf_dir: str, wide: bool = False) -> DataFrame:
-    return marts.mart_daily_summary_tick(stg_trades(spark, sf_dir, wide), dim_time(spark, sf_dir, wide))
+    return marts.mart_daily_summary_tick(stg_trades(spark, sf_dir, wide))
 
 
 def mart_symbol_performance(spark: SparkSession, sf_dir: str, wide: bool = False) -> DataFrame:
@@ -97,5 +99,5 @@ def portfolio_documents(spark: SparkSession, sf_dir: str, from_bronze: bool = Fa
     f = silver_fact(spark, sf_dir) if from_bronze else fact(spark, sf_dir)
     stg = marts.stg_trades(f)
     perf = marts.mart_symbol_performance(stg, marts.stg_instruments(gold.dim_instrument(f), ("CLICK", "VIEW")))
-    daily = marts.mart_daily_summary(stg, gold.dim_time(f))
+    daily = marts.mart_daily_summary(stg)
     return documents.portfolio_documents(perf, documents.recent_trades_per_symbol(f), daily)

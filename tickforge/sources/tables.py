@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 TABLES = (
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem",
@@ -19,17 +20,23 @@ def spread(df: DataFrame) -> DataFrame:
 
     A file that is a single row group is read by one task, which then runs all
     map-side work (projections, filters, partial aggregates) alone. When the
-    scan yields fewer partitions than the default parallelism, a round-robin
+    scan yields fewer partitions than the default parallelism, a hash
     repartition spreads it; on large inputs (many files / row groups) the scan
     already has more partitions and this is a no-op, so no shuffle is added.
     Filters and column pruning still reach the scan through the repartition.
     """
     target = df.sparkSession.sparkContext.defaultParallelism
     if _scan_partitions(df) < target:
-        return df.repartition(target)
+        return _hash_spread(df, target)
     return df
 
 
+def _hash_spread(df: DataFrame, n: int) -> DataFrame:
+    """Hash-partition on a hash of all columns: deterministic on retry without
+    the per-task sort that round-robin repartitioning performs for that."""
+    return df.repartition(n, F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]))
+
+
 _SPLITS: dict[tuple, int] = {}
 
 
@@ -51,6 +58,6 @@ def read_table(spark: SparkSession, sf_dir: str, name: str, columns: list[str] |
     path = table_path(sf_dir, name)
     df = spark.read.parquet(path)
     target = spark.sparkContext.defaultParallelism
-    if _scan_partitions(df, path) < target:
-        df = df.repartition(target)
-    return df.select(*columns) if columns else df
+    n = _scan_partitions(df, path)
+    df = df.select(*columns) if columns else df
+    return _hash_spread(df, target) if n < target else df
