@@ -100,3 +100,14 @@ def test_hourly_pivot_fills_zero(spark):
     p = {r.symbol: r for r in reports.hourly_pivot(reports.hourly_volume(f)).collect()}
     assert p["A/USD"].h03 == D("2.00") and p["A/USD"].h05 == 0 and p["B/USD"].h05 == D("4.00")
     assert len(p["A/USD"]) == 25
+
+
+def test_partition_scoped_insert_matches_global(spark):
+    f = fact(spark, [("A/USD", d, dt.time(h), "1", "1") for d in (SAT, SUN, MON) for h in range(2)])
+    stored = f.filter("trade_date != DATE'2024-03-11' OR trade_id = '4'")
+    a = gold.insert_new(f, stored, "trade_id")
+    b = gold.insert_new_in_partitions(f, stored, "trade_id", "trade_date")
+    assert sorted(r.trade_id for r in a.collect()) == sorted(r.trade_id for r in b.collect()) == ["5"]
+    plan = gold.insert_new_in_partitions(f, stored, "trade_id", "trade_date")._jdf.queryExecution() \
+               .optimizedPlan().toString()
+    assert "IN (" in plan.upper() or "INSET" in plan.upper()

@@ -42,6 +42,8 @@ def test_full_pipeline_is_idempotent(spark, tmp_dir):
     m2 = pl.bronze_to_silver(spark, bronze, silver, dead, run_id="r2")
     assert m2.rows_written == 0 and m2.rows_already_present == expected
     assert layers.read_silver(spark, silver).count() == expected
+    m3 = pl.bronze_to_silver(spark, bronze, silver, dead, run_id="r3", key_scope="partition")
+    assert m3.rows_written == 0 and m3.rows_already_present == expected
 
     gold_base, marts_base, docs = (os.path.join(tmp_dir, n) for n in ("gold", "marts", "docs"))
     c1 = pl.silver_to_gold(spark, silver, gold_base)

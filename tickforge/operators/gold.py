@@ -69,6 +69,28 @@ def insert_new(batch: DataFrame, existing: DataFrame, key: str | list[str]) -> D
     return batch.join(existing.select(*keys).distinct(), on=keys, how="left_anti")
 
 
+def insert_new_in_partitions(batch: DataFrame, existing: DataFrame, key: str, partition_col: str,
+                             values: list | None = None) -> DataFrame:
+    """insert_new, reading only the stored partitions the batch touches.
+
+    The batch's distinct partition values (trade dates: bounded by the
+    calendar, a handful per batch) become a literal IN-list on the stored
+    table, which prunes its partitions at planning time; the anti join then
+    runs on (partition, key). Exact when a key never moves between partitions,
+    as for re-delivered trades, whose event time (and so trade_date) is part of
+    the trade. Use ``insert_new`` when that does not hold.
+
+    ``values`` may be given (any superset of the batch's partition values);
+    otherwise they are collected from ``batch``, which runs it once.
+    """
+    if values is None:
+        values = [r[0] for r in batch.select(partition_col).distinct().collect()]
+    if not values:
+        return batch
+    scoped = existing.filter(F.col(partition_col).isin(values)).select(partition_col, key).distinct()
+    return batch.join(scoped, on=[partition_col, key], how="left_anti")
+
+
 def enforce_foreign_keys(fact: DataFrame, instruments: DataFrame, dates: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(kept, orphans): a fact row is kept when its symbol and date both exist.
 

@@ -57,10 +57,12 @@ def _exists(spark: SparkSession, path: str) -> bool:
 
 def bronze_to_silver(spark: SparkSession, bronze_path: str, silver_path: str, dead_letter_base: str,
                      batch_date: str | None = None, run_id: str | None = None,
-                     rules: dict[str, str] | None = None) -> RunMetrics:
+                     rules: dict[str, str] | None = None, key_scope: str = "global") -> RunMetrics:
     """Read Bronze (optionally one day), clean, split, and write Silver and the
     dead letter. Re-running adds no Silver row: keys already in Silver are
-    skipped (left-anti on trade_id against the stored keys).
+    skipped (left-anti on trade_id against the stored keys). ``key_scope=
+    "partition"`` compares against the trade dates the batch touches only
+    (partition-pruned; see ``gold.insert_new_in_partitions``).
 
     Two actions, one per sink; each plan carries its own observations (an
     observation belongs to exactly one action). The dedup choice is
@@ -74,7 +76,16 @@ def bronze_to_silver(spark: SparkSession, bronze_path: str, silver_path: str, de
     prepared = silver.silver_prepared(bronze).observe(obs_dedup, F.count(F.lit(1)).alias("n"))
     good = prepared.filter(ok).observe(obs_cand, F.count(F.lit(1)).alias("n"))
     if _exists(spark, silver_path):
-        good = gold.insert_new(good, spark.read.parquet(silver_path).select("trade_id"), "trade_id")
+        stored = spark.read.parquet(silver_path)
+        if key_scope == "partition":
+            # dates from a separate, unobserved projection of Bronze: a superset
+            # of the good rows' dates (the observed plan must run only once)
+            raw = layers.read_bronze_records(spark, bronze_path, batch_date)
+            dates = [r[0] for r in raw.select(F.date_format(silver.parse_event_time("timestamp"), "yyyy-MM-dd")
+                                              .alias("d")).distinct().collect() if r[0] is not None]
+            good = gold.insert_new_in_partitions(good, stored, "trade_id", "trade_date", dates)
+        else:
+            good = gold.insert_new(good, stored.select("trade_id"), "trade_id")
     with conf_override(spark, OBSERVED_WRITE_CONF):
         writers.write_silver(good.observe(obs_good, F.count(F.lit(1)).alias("n")), silver_path)
 

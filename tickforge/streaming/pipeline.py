@@ -76,11 +76,15 @@ def dedup_within_watermark(bronze: DataFrame, delay: str = "10 minutes",
                   .drop("_event_time"))
 
 
-def silver_batch_writer(silver_path: str, dead_letter_base: str, rules: dict[str, str] | None = None):
+def silver_batch_writer(silver_path: str, dead_letter_base: str, rules: dict[str, str] | None = None,
+                        key_scope: str = "partition"):
     """foreachBatch function: clean one micro-batch and merge it into Silver.
 
-    The dead letter of epoch N goes to its own folder, overwritten on replay,
-    so a retried epoch does not duplicate it either.
+    The merge reads only the Silver partitions (trade dates) the micro-batch
+    touches (``key_scope="partition"``), so its cost follows the batch, not
+    the history; ``"global"`` compares against every stored key. The dead
+    letter of epoch N goes to its own folder, overwritten on replay, so a
+    retried epoch does not duplicate it either.
     """
     def run(batch: DataFrame, epoch_id: int) -> None:
         spark = batch.sparkSession
@@ -88,7 +92,9 @@ def silver_batch_writer(silver_path: str, dead_letter_base: str, rules: dict[str
         try:
             good, bad = silver.quality_split(silver.silver_prepared(batch), rules)
             if _exists(spark, silver_path):
-                good = gold.insert_new(good, spark.read.parquet(silver_path).select("trade_id"), "trade_id")
+                stored = spark.read.parquet(silver_path)
+                good = (gold.insert_new_in_partitions(good, stored, "trade_id", "trade_date")
+                        if key_scope == "partition" else gold.insert_new(good, stored.select("trade_id"), "trade_id"))
             (good.repartition(*SILVER_PARTITIONS).write.mode("append")
                  .partitionBy(*SILVER_PARTITIONS).parquet(silver_path))
             (bad.write.mode("overwrite").option("timestampFormat", writers.ISO_UTC)
@@ -99,8 +105,9 @@ def silver_batch_writer(silver_path: str, dead_letter_base: str, rules: dict[str
 
 
 def start_silver_stream(bronze_stream: DataFrame, silver_path: str, dead_letter_base: str, checkpoint: str,
-                        available_now: bool = True, rules: dict[str, str] | None = None) -> StreamingQuery:
-    w = (bronze_stream.writeStream.foreachBatch(silver_batch_writer(silver_path, dead_letter_base, rules))
+                        available_now: bool = True, rules: dict[str, str] | None = None,
+                        key_scope: str = "partition") -> StreamingQuery:
+    w = (bronze_stream.writeStream.foreachBatch(silver_batch_writer(silver_path, dead_letter_base, rules, key_scope))
                       .option("checkpointLocation", checkpoint))
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="10 seconds")
     return w.start()
