@@ -156,17 +156,18 @@ def portfolio_share(perf: DataFrame) -> DataFrame:
 
 
 def report_summary(stats: DataFrame, dq: DataFrame) -> DataFrame:
-    """(metric, value) rows of the report's summary table."""
-    checks = dq.agg(F.count(F.lit(1)).alias("n_checks"), F.count_if("passed").alias("n_passed"))
-    s = stats.crossJoin(checks)  # both sides are single-row aggregates
-    return s.select(F.expr(
-        "stack(5, "
+    """(metric, value) rows of the report's summary table: the pipeline
+    figures unpivoted, plus one row counting the passing quality checks."""
+    figures = stats.select(F.expr(
+        "stack(4, "
         "'Total Trades Processed', format_number(total_trades, 0), "
         "'Total Volume (USD)', concat('$', format_number(total_notional, 2)), "
         "'Trading Days Covered', cast(trading_days AS string), "
-        "'Average Trade Value', concat('$', format_number(avg_notional, 2)), "
-        "'Data Quality Tests', concat(n_passed, ' / ', n_checks, ' Passing')"
+        "'Average Trade Value', concat('$', format_number(avg_notional, 2))"
         ") AS (metric, value)"))
+    checks = dq.agg(F.concat(F.count_if("passed"), F.lit(" / "), F.count(F.lit(1)), F.lit(" Passing")).alias("value")) \
+               .select(F.lit("Data Quality Tests").alias("metric"), "value")
+    return figures.unionByName(checks)
 
 
 def report_assets(perf: DataFrame) -> DataFrame:

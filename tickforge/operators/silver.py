@@ -51,7 +51,8 @@ def add_derived_columns(df: DataFrame) -> DataFrame:
     })
 
 
-def dedup_by_key(df: DataFrame, key: str = "trade_id", order: list[str] | None = None) -> DataFrame:
+def dedup_by_key(df: DataFrame, key: str = "trade_id", order: list[str] | None = None,
+                 copies_col: str | None = None) -> DataFrame:
     """Keep one row per ``key``: the first by ``order`` (then the rest of the row).
 
     Written as a hash aggregate (``min_by`` over a struct) rather than a
@@ -59,14 +60,17 @@ def dedup_by_key(df: DataFrame, key: str = "trade_id", order: list[str] | None =
     so one hot key (e.g. all rows with an empty id) costs one row per map
     partition in the shuffle instead of a single-task sort of all its rows.
     The choice is deterministic, so recomputation after a lost executor yields
-    the same rows.
+    the same rows. ``copies_col`` adds how many input rows each kept row
+    stands for (so input and output counts come from one aggregate).
     """
     order = [c for c in (order or DEDUP_ORDER) if c in df.columns and c != key]
     rest = [c for c in df.columns if c != key and c not in order]
     payload = [c for c in df.columns if c != key]
+    extra = [F.count(F.lit(1)).alias(copies_col)] if copies_col else []
     picked = (df.groupBy(key)
-                .agg(F.min_by(F.struct(*payload), F.struct(*order, *rest)).alias("_row")))
-    return picked.select(key, *[F.col(f"_row.{c}").alias(c) for c in payload]).select(*df.columns)
+                .agg(F.min_by(F.struct(*payload), F.struct(*order, *rest)).alias("_row"), *extra))
+    out = picked.select(key, *[F.col(f"_row.{c}").alias(c) for c in payload], *([copies_col] if copies_col else []))
+    return out.select(*df.columns, *([copies_col] if copies_col else []))
 
 
 def handle_nulls(df: DataFrame) -> DataFrame:
@@ -86,12 +90,12 @@ def round_numerics(df: DataFrame) -> DataFrame:
     return df.withColumn("notional", F.round("notional", 2))
 
 
-def silver_prepared(bronze: DataFrame) -> DataFrame:
+def silver_prepared(bronze: DataFrame, copies_col: str | None = None) -> DataFrame:
     """Cast, derive, dedup, fill and round: everything before the quality split."""
     df = add_derived_columns(cast_types(bronze.select(*[c for c in bronze.columns
                                                          if c in _BRONZE_SET])))
-    df = dedup_by_key(df)
-    return round_numerics(handle_nulls(df)).select(*SILVER_COLUMNS)
+    df = dedup_by_key(df, copies_col=copies_col)
+    return round_numerics(handle_nulls(df)).select(*SILVER_COLUMNS, *([copies_col] if copies_col else []))
 
 
 _BRONZE_SET = set(SILVER_COLUMNS) - {"trade_date", "trade_hour"}

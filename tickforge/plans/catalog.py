@@ -93,12 +93,10 @@ def _silver_dedup(spark, sf):
 
 @register("dedup_stats")
 def _dedup_stats(spark, sf):
-    derived = sv.add_derived_columns(_bronze_typed(spark, sf))
-    kept = sv.dedup_by_key(derived)
-    n_in = derived.agg(F.count(F.lit(1)).alias("rows_in"))
-    n_out = kept.agg(F.count(F.lit(1)).alias("rows_out"))
-    return n_in.crossJoin(n_out).select(
-        "rows_in", "rows_out", (F.col("rows_in") - F.col("rows_out")).alias("duplicates_removed"))
+    kept = sv.dedup_by_key(sv.add_derived_columns(_bronze_typed(spark, sf)), copies_col="_copies")
+    counts = kept.agg(F.sum("_copies").alias("rows_in"), F.count(F.lit(1)).alias("rows_out"))
+    return counts.select("rows_in", "rows_out",
+                         (F.col("rows_in") - F.col("rows_out")).alias("duplicates_removed"))
 
 
 @register("silver_fill")

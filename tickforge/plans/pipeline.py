@@ -36,13 +36,15 @@ class RunMetrics:
 
 
 def metrics_frame(bronze: DataFrame, rules: dict[str, str] | None = None) -> DataFrame:
-    """The run metrics as a one-row frame, computed without writing."""
-    read = bronze.agg(F.count(F.lit(1)).alias("rows_read"))
+    """The run metrics as a one-row frame, computed without writing: one
+    aggregate over the deduplicated rows, each carrying its copy count."""
     ok = passes_all(rules)
-    split = silver.silver_prepared(bronze).agg(F.count(F.lit(1)).alias("rows_after_dedup"),
-                                               F.count_if(ok).alias("rows_written"),
-                                               F.count_if(~ok).alias("rows_dead_letter"))
-    return read.crossJoin(split).select(  # two single-row aggregates
+    split = silver.silver_prepared(bronze, copies_col="_copies").agg(
+        F.sum("_copies").alias("rows_read"),
+        F.count(F.lit(1)).alias("rows_after_dedup"),
+        F.count_if(ok).alias("rows_written"),
+        F.count_if(~ok).alias("rows_dead_letter"))
+    return split.select(
         "rows_read", "rows_after_dedup",
         (F.col("rows_read") - F.col("rows_after_dedup")).alias("duplicates_removed"),
         "rows_written", "rows_dead_letter",
