@@ -40,3 +40,11 @@ def test_daily_mart_has_no_window_and_partial_aggregate(spark):
 def test_recent_trades_is_top_k(spark):
     p = plan(QUERIES["recent_trades"](spark, SF_SMALL))
     assert "TakeOrderedAndProject" in p
+
+
+def test_cluster_sizing():
+    from tickforge.session import cluster_conf
+
+    c = cluster_conf(100 * 1024 ** 4, 8000)
+    assert int(c["spark.sql.shuffle.partitions"]) == 100 * 1024 ** 4 // (256 * 1024 ** 2)
+    assert int(cluster_conf(10, 8)["spark.sql.shuffle.partitions"]) == 16

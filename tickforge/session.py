@@ -26,17 +26,21 @@ def get_session(
     app_name: str = "tickforge",
     shuffle_partitions: int | None = None,
     extra_conf: dict | None = None,
+    input_bytes: int | None = None,
+    total_cores: int | None = None,
 ) -> SparkSession:
     """Return (or create) a session configured for the engine.
 
-    On a cluster, ``master`` stays None and the launcher decides; shuffle
-    partitions then come from the cluster config. Locally we default to the
+    On a cluster, ``master`` stays None and the launcher decides; pass
+    ``input_bytes`` and ``total_cores`` to size shuffles with ``cluster_conf``. Locally we default to the
     core count, since 200 tiny partitions only add scheduling overhead.
     """
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
     conf = dict(ENGINE_CONF)
+    if input_bytes and total_cores:
+        conf.update(cluster_conf(input_bytes, total_cores))
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra_conf or {})
@@ -47,6 +51,30 @@ def get_session(
     return spark
 
 
+def cluster_conf(input_bytes: int, total_cores: int,
+                 target_partition_bytes: int = 256 * 1024 * 1024) -> dict:
+    """Sizing for a cluster run over ``input_bytes`` of input.
+
+    Shuffle partitions start at about one per ``target_partition_bytes`` of
+    input (at least 2 per core), so no reducer holds more than its share in
+    memory; AQE then coalesces small ones toward the same advisory size and
+    splits skewed join partitions above 4x the median. Scans split at the same
+    size. Example: 100 TB on 1000 executors x 8 cores gives ~400k shuffle
+    partitions before coalescing.
+    """
+    parts = max(2 * total_cores, input_bytes // target_partition_bytes)
+    return {
+        "spark.sql.shuffle.partitions": str(int(parts)),
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * target_partition_bytes),
+        # broadcast only what the runtime statistics show to be small
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": str(64 * 1024 * 1024),
+    }
+
+
 def apply_engine_conf(spark: SparkSession, shuffle_partitions: int | None = None) -> None:
     """Apply the runtime-settable engine settings to an existing session."""
     for k, v in ENGINE_CONF.items():

@@ -38,6 +38,11 @@ def _hash_spread(df: DataFrame, n: int) -> DataFrame:
 
 
 _SPLITS: dict[tuple, int] = {}
+_BYTES: dict[str, int] = {}
+
+# Below this many input bytes per scan partition, a shuffle to spread the scan
+# costs more than the single task it relieves.
+SPREAD_MIN_BYTES_PER_PARTITION = 4 * 1024 * 1024
 
 
 def _scan_partitions(df: DataFrame, path: str | None = None) -> int:
@@ -51,13 +56,30 @@ def _scan_partitions(df: DataFrame, path: str | None = None) -> int:
     return n
 
 
+def _input_bytes(spark: SparkSession, path: str) -> int:
+    """Total size of the files under ``path`` (file-system metadata only)."""
+    if path not in _BYTES:
+        jvm = spark.sparkContext._jvm
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        _BYTES[path] = int(fs.getContentSummary(p).getLength())
+    return _BYTES[path]
+
+
+def should_spread(spark: SparkSession, df: DataFrame, path: str) -> bool:
+    """Spread a scan when it has fewer partitions than cores and each of them
+    carries enough bytes for parallel work to pay for the shuffle."""
+    n = _scan_partitions(df, path)
+    return (n < spark.sparkContext.defaultParallelism
+            and _input_bytes(spark, path) / max(n, 1) >= SPREAD_MIN_BYTES_PER_PARTITION)
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str, columns: list[str] | None = None) -> DataFrame:
     """Parquet scan; selecting ``columns`` up front keeps the ReadSchema narrow."""
     if name not in TABLES:
         raise ValueError(f"unknown table {name!r}")
     path = table_path(sf_dir, name)
     df = spark.read.parquet(path)
-    target = spark.sparkContext.defaultParallelism
-    n = _scan_partitions(df, path)
+    spread_it = should_spread(spark, df, path)
     df = df.select(*columns) if columns else df
-    return _hash_spread(df, target) if n < target else df
+    return _hash_spread(df, spark.sparkContext.defaultParallelism) if spread_it else df
