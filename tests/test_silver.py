@@ -1,7 +1,5 @@
 """Bronze -> Silver on hand-made rows: one case per decision of SURVEY 1.5."""
 
-from pyspark.sql import functions as F
-
 from tickforge.functions.rules import NAN_RULES, QUALITY_RULES
 from tickforge.operators import silver as sv
 from tickforge.schemas import BRONZE_SCHEMA
@@ -108,4 +106,3 @@ def test_failed_rules_listed_in_rule_order(spark):
     df = sv.silver_prepared(bronze(spark, [row(1, price="0", quantity="0", notional="0", trade_id="")]))
     r = sv.quality_split(df)[1].collect()[0]
     assert r.failed_rules == ["price_positive", "quantity_positive", "notional_positive", "trade_id_not_empty"]
-    assert F is not None
