@@ -113,24 +113,26 @@ def bronze_to_silver(spark: SparkSession, bronze_path: str, silver_path: str, de
 def silver_to_gold(spark: SparkSession, silver_path: str, gold_base: str) -> dict:
     """Load Silver into the star schema: new dates, new instruments, and fact
     rows whose trade_id is not stored yet (insert-if-absent, set-based).
-    Fact rows are partitioned by trade_date."""
+    Fact rows are partitioned by trade_date. Returns, per table, how many rows
+    were inserted and how many were skipped as already present."""
     base = gold_base.rstrip("/")
     fact = gold.to_fact(layers.read_silver(spark, silver_path))
     counts = {}
     for name, frame, key, parts in (
         ("dim_time", gold.dim_time(fact), "trade_date", None),
         ("dim_instrument", gold.dim_instrument(fact), "symbol", None),
-        ("fact_trades", silver.dedup_by_key(fact), "trade_id",
-         ["trade_date"]),
+        ("fact_trades", silver.dedup_by_key(fact), "trade_id", ["trade_date"]),
     ):
         path = f"{base}/{name}"
+        obs_in, obs_out = Observation(f"gold_{name}_in"), Observation(f"gold_{name}_out")
+        frame = frame.observe(obs_in, F.count(F.lit(1)).alias("n"))
         if _exists(spark, path):
             frame = gold.insert_new(frame, spark.read.parquet(path), key)
-        obs = Observation(f"gold_{name}")
-        frame = frame.observe(obs, F.count(F.lit(1)).alias("n"))
+        frame = frame.observe(obs_out, F.count(F.lit(1)).alias("n"))
         with conf_override(spark, OBSERVED_WRITE_CONF):
             writers.write_table(frame, path, partition_by=parts, mode="append")
-        counts[name] = int(obs.get["n"])
+        inserted = int(obs_out.get["n"])
+        counts[name] = {"inserted": inserted, "skipped": int(obs_in.get["n"]) - inserted}
     return counts
 
 
@@ -148,14 +150,21 @@ def gold_to_marts(spark: SparkSession, gold_base: str, marts_base: str,
 
 
 def marts_to_documents(spark: SparkSession, gold_base: str, marts_base: str, docs_base: str,
-                       run_time: str | None = None) -> str:
+                       run_time: str | None = None) -> dict:
     """Build all documents and publish them as a new version (replace-by-key
-    against the live version, which is never overwritten in place)."""
+    against the live version, which is never overwritten in place). Returns
+    the new version's path and the inserted / updated / kept counts."""
     fact = spark.read.parquet(f"{gold_base.rstrip('/')}/fact_trades")
     perf = spark.read.parquet(f"{marts_base.rstrip('/')}/mart_symbol_performance")
     daily = spark.read.parquet(f"{marts_base.rstrip('/')}/mart_daily_summary")
     docs = documents.portfolio_documents(perf, documents.recent_trades_per_symbol(fact), daily, run_time)
     live = writers.read_version(spark, docs_base)
-    if live is not None:
-        docs = documents.upsert_documents(live, docs).drop("_action")
-    return writers.write_version(spark, docs, docs_base)
+    merged = (documents.upsert_documents(live, docs) if live is not None
+              else docs.withColumn("_action", F.lit("inserted")))
+    obs = Observation("documents")
+    merged = merged.observe(obs, F.count_if(F.col("_action") == "inserted").alias("inserted"),
+                            F.count_if(F.col("_action") == "updated").alias("updated"),
+                            F.count_if(F.col("_action") == "kept").alias("kept"))
+    with conf_override(spark, OBSERVED_WRITE_CONF):
+        path = writers.write_version(spark, merged.drop("_action"), docs_base)
+    return {"path": path, **{k: int(v) for k, v in obs.get.items()}}

@@ -54,6 +54,13 @@ def events_as_bronze(events: DataFrame) -> DataFrame:
     return to_bronze_text(events.select(*EVENT_COLUMNS))
 
 
+def feed_file_source(spark: SparkSession, path: str, max_files_per_trigger: int = 1) -> DataFrame:
+    """Raw feed messages landed as text lines (one JSON message per line),
+    with the file's modification time as the arrival time."""
+    return (spark.readStream.format("text").option("maxFilesPerTrigger", max_files_per_trigger)
+                 .load(path).select(F.col("value"), F.col("_metadata.file_modification_time").alias("arrived_at")))
+
+
 def write_bronze_stream(bronze: DataFrame, path: str, checkpoint: str,
                         available_now: bool = True, processing_time: str | None = None) -> StreamingQuery:
     """Exactly-once JSON file sink by arrival year/month/day/hour."""
