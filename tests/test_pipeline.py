@@ -130,3 +130,24 @@ def test_feed_stream_to_bronze(spark, tmp_dir):
     from tickforge.operators import silver
 
     assert silver.quality_good(silver.silver_prepared(landed)).count() > 0
+
+
+def test_dead_letter_run_folder_is_never_overwritten(spark, tmp_dir):
+    import pytest
+
+    bad = ds.silver_dead_letter(spark, SF_SMALL)
+    base = os.path.join(tmp_dir, "dead")
+    path = writers.write_dead_letter(bad, base, "run1")
+    back = spark.read.json(path)
+    assert back.count() == bad.count() and "failed_rules" in back.columns
+    with pytest.raises(Exception):
+        writers.write_dead_letter(bad, base, "run1")
+
+
+def test_materialize_view_and_table(spark, tmp_dir):
+    f = ds.fact(spark, SF_SMALL)
+    v = writers.materialize(spark, f, "fact_view")
+    t = writers.materialize(spark, f, "fact_table", kind="table", path=os.path.join(tmp_dir, "fact_table"))
+    assert spark.table("fact_view").count() == spark.table("fact_table").count() == f.count()
+    assert "InMemoryFileIndex" in t._jdf.queryExecution().executedPlan().toString()
+    assert v.count() == t.count()
