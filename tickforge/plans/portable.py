@@ -9,26 +9,25 @@ clients without changing any value the plan computed.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.expressions import TS_TEXT
 
 
 def portable(df: DataFrame) -> DataFrame:
-    cols = []
+    """One projection, written as SQL expressions (parsed on the JVM side)."""
+    exprs = []
     for f in df.schema.fields:
-        c = F.col(f"`{f.name}`")
-        t = f.dataType
-        if isinstance(t, T.DecimalType):
-            c = c.cast("double")
+        c, t = f"`{f.name}`", f.dataType
+        if isinstance(t, (T.DecimalType, T.FloatType)):
+            e = f"CAST({c} AS DOUBLE)"
         elif isinstance(t, T.DateType):
-            c = F.date_format(c, "yyyy-MM-dd")
+            e = f"date_format({c}, 'yyyy-MM-dd')"
         elif isinstance(t, (T.TimestampType, T.TimestampNTZType)):
-            c = F.date_format(c, TS_TEXT)
+            e = f"date_format({c}, '{TS_TEXT}')"
         elif isinstance(t, (T.ShortType, T.ByteType, T.IntegerType)):
-            c = c.cast("bigint")
-        elif isinstance(t, T.FloatType):
-            c = c.cast("double")
-        cols.append(c.alias(f.name))
-    return df.select(*cols)
+            e = f"CAST({c} AS BIGINT)"
+        else:
+            e = c
+        exprs.append(f"{e} AS {c}")
+    return df.selectExpr(*exprs)

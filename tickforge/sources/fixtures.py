@@ -13,7 +13,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..schemas import BRONZE_COLUMNS, FACT_COLUMNS, MONEY, PRICE
 from .tables import read_table
 
 ISO_MICROS = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
@@ -22,37 +21,30 @@ ISO_MICROS = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
 def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = read_table(spark, sf_dir, "events", ["event_id", "ts", "user_id", "event_type", "value", "props"])
     # events.ts is stored without a zone (timestamp_ntz); pin it to UTC.
-    return ev.withColumn("ts", F.col("ts").cast("timestamp"))
+    return ev.selectExpr("event_id", "CAST(ts AS TIMESTAMP) AS ts", "user_id", "event_type", "value", "props")
 
 
 def _quantity_text() -> Column:
     return F.get_json_object("props", "$.k")
 
 
-def _notional() -> Column:
-    # exact decimal product; never round a double to 2 places
-    return (F.col("value").cast("decimal(10,2)") * _quantity_text().cast("decimal(10,0)")).cast(MONEY)
-
-
 def trades_from_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One typed trade per event, in the Gold fact layout."""
-    ev = _events(spark, sf_dir)
-    eid = F.col("event_id")
-    return ev.select(
-        eid.cast("string").alias("trade_id"),
-        F.concat(F.upper("event_type"), F.lit("/USD")).alias("symbol"),
-        F.col("ts").cast("date").alias("trade_date"),
-        F.hour("ts").cast("int").alias("trade_hour"),
-        F.col("value").cast(PRICE).alias("price"),
-        _quantity_text().cast(PRICE).alias("quantity"),
-        _notional().alias("notional"),
-        F.lit("CRYPTO").alias("trade_type"),
-        F.when(F.col("user_id") % 3 == 0, F.lit("UNKNOWN"))
-         .otherwise(F.concat(F.lit("EX"), (F.col("user_id") % 3).cast("string"))).alias("exchange"),
-        F.when(eid % 10 == 7, F.lit("feed_b")).otherwise(F.lit("feed_a")).alias("source"),
-        F.col("ts").alias("timestamp"),
-        F.timestamp_add("SECOND", eid % 300, F.col("ts")).alias("ingested_at"),
-    ).select(*FACT_COLUMNS)
+    return _events(spark, sf_dir).selectExpr(
+        "CAST(event_id AS STRING) AS trade_id",
+        "concat(upper(event_type), '/USD') AS symbol",
+        "CAST(ts AS DATE) AS trade_date",
+        "CAST(hour(ts) AS INT) AS trade_hour",
+        "CAST(value AS DECIMAL(18,8)) AS price",
+        "CAST(get_json_object(props, '$.k') AS DECIMAL(18,8)) AS quantity",
+        "CAST(CAST(value AS DECIMAL(10,2)) * CAST(get_json_object(props, '$.k') AS DECIMAL(10,0))"
+        " AS DECIMAL(18,2)) AS notional",
+        "'CRYPTO' AS trade_type",
+        "CASE WHEN user_id % 3 = 0 THEN 'UNKNOWN' ELSE concat('EX', CAST(user_id % 3 AS STRING)) END AS exchange",
+        "CASE WHEN event_id % 10 = 7 THEN 'feed_b' ELSE 'feed_a' END AS source",
+        "ts AS timestamp",
+        "timestampadd(SECOND, event_id % 300, ts) AS ingested_at",
+    )
 
 
 def bronze_from_events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -62,32 +54,26 @@ def bronze_from_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     non-numeric prices, feed-B symbols ('-') and epoch-millisecond timestamps.
     """
     ev = _events(spark, sf_dir)
-    first = ev.withColumn("n", F.lit(0))
-    again = ev.filter(F.col("event_id") % 50 == 0).withColumn("n", F.lit(60))
-    rows = first.unionByName(again)
-    eid = F.col("event_id")
-    feed_b = eid % 10 == 7
-    typ = F.upper("event_type")
-    iso = lambda c: F.concat(F.date_format(c, ISO_MICROS), F.lit("+00:00"))
-    return rows.select(
-        F.when(eid % 103 == 0, F.lit("")).otherwise(eid.cast("string")).alias("trade_id"),
-        F.when(eid % 101 == 0, F.lit(""))
-         .when(feed_b, F.concat(typ, F.lit("-USD")))
-         .otherwise(F.concat(typ, F.lit("/USD"))).alias("symbol"),
-        F.when(eid % 97 == 0, F.lit(None).cast("string"))
-         .when(eid % 89 == 0, F.lit("-1.0"))
-         .when(eid % 83 == 0, F.lit("abc"))
-         .otherwise(F.col("value").cast("string")).alias("price"),
-        _quantity_text().alias("quantity"),
-        _notional().cast("string").alias("notional"),
-        F.when(F.col("user_id") % 3 == 0, F.lit(None).cast("string"))
-         .otherwise(F.concat(F.lit("EX"), (F.col("user_id") % 3).cast("string"))).alias("exchange"),
-        F.lit("CRYPTO").alias("trade_type"),
-        F.when(feed_b, F.unix_millis("ts").cast("string")).otherwise(iso(F.col("ts"))).alias("timestamp"),
-        iso(F.timestamp_add("SECOND", eid % 300 + F.col("n"), F.col("ts"))).alias("ingested_at"),
-        F.when(feed_b, F.lit("feed_b")).otherwise(F.lit("feed_a")).alias("source"),
-        F.lit(None).cast("string").alias("conditions"),
-    ).select(*BRONZE_COLUMNS)
+    rows = ev.withColumn("n", F.lit(0)).unionByName(
+        ev.filter(F.col("event_id") % 50 == 0).withColumn("n", F.lit(60)))
+    iso = "concat(date_format({}, \"yyyy-MM-dd'T'HH:mm:ss.SSSSSS\"), '+00:00')"
+    return rows.selectExpr(
+        "CASE WHEN event_id % 103 = 0 THEN '' ELSE CAST(event_id AS STRING) END AS trade_id",
+        "CASE WHEN event_id % 101 = 0 THEN '' WHEN event_id % 10 = 7 THEN concat(upper(event_type), '-USD')"
+        " ELSE concat(upper(event_type), '/USD') END AS symbol",
+        "CASE WHEN event_id % 97 = 0 THEN CAST(NULL AS STRING) WHEN event_id % 89 = 0 THEN '-1.0'"
+        " WHEN event_id % 83 = 0 THEN 'abc' ELSE CAST(value AS STRING) END AS price",
+        "get_json_object(props, '$.k') AS quantity",
+        "CAST(CAST(CAST(value AS DECIMAL(10,2)) * CAST(get_json_object(props, '$.k') AS DECIMAL(10,0))"
+        " AS DECIMAL(18,2)) AS STRING) AS notional",
+        "CASE WHEN user_id % 3 = 0 THEN CAST(NULL AS STRING) ELSE concat('EX', CAST(user_id % 3 AS STRING)) END"
+        " AS exchange",
+        "'CRYPTO' AS trade_type",
+        f"CASE WHEN event_id % 10 = 7 THEN CAST(unix_millis(ts) AS STRING) ELSE {iso.format('ts')} END AS timestamp",
+        f"{iso.format('timestampadd(SECOND, event_id % 300 + n, ts)')} AS ingested_at",
+        "CASE WHEN event_id % 10 = 7 THEN 'feed_b' ELSE 'feed_a' END AS source",
+        "CAST(NULL AS STRING) AS conditions",
+    )
 
 
 def wide_trades(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -101,24 +87,22 @@ def wide_trades(spark: SparkSession, sf_dir: str) -> DataFrame:
                     ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
                      "l_quantity", "l_extendedprice", "l_shipdate"])
     part = read_table(spark, sf_dir, "part", ["p_partkey", "p_brand"])
-    j = li.join(part, li.l_partkey == part.p_partkey, "inner")
-    ts = F.col("l_shipdate").cast("timestamp")
-    return j.select(
-        F.concat_ws("-", *[F.col(c).cast("string") for c in
-                           ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")]).alias("trade_id"),
-        F.concat(F.col("p_brand"), F.lit("/USD")).alias("symbol"),
-        ts.cast("date").alias("trade_date"),
-        F.hour(ts).cast("int").alias("trade_hour"),
-        F.col("l_extendedprice").cast(PRICE).alias("price"),
-        F.col("l_quantity").cast(PRICE).alias("quantity"),
-        (F.col("l_extendedprice").cast("decimal(10,2)") * F.col("l_quantity").cast("decimal(10,0)"))
-        .cast(MONEY).alias("notional"),
-        F.lit("CRYPTO").alias("trade_type"),
-        F.concat(F.lit("EX"), (F.col("l_suppkey") % 3).cast("string")).alias("exchange"),
-        F.lit("lineitem").alias("source"),
-        ts.alias("timestamp"),
-        ts.alias("ingested_at"),
-    ).select(*FACT_COLUMNS)
+    return li.join(part, li.l_partkey == part.p_partkey, "inner").selectExpr(
+        "concat_ws('-', CAST(l_orderkey AS STRING), CAST(l_linenumber AS STRING), CAST(l_partkey AS STRING),"
+        " CAST(l_suppkey AS STRING)) AS trade_id",
+        "concat(p_brand, '/USD') AS symbol",
+        "CAST(CAST(l_shipdate AS TIMESTAMP) AS DATE) AS trade_date",
+        "CAST(hour(CAST(l_shipdate AS TIMESTAMP)) AS INT) AS trade_hour",
+        "CAST(l_extendedprice AS DECIMAL(18,8)) AS price",
+        "CAST(l_quantity AS DECIMAL(18,8)) AS quantity",
+        "CAST(CAST(l_extendedprice AS DECIMAL(10,2)) * CAST(l_quantity AS DECIMAL(10,0)) AS DECIMAL(18,2))"
+        " AS notional",
+        "'CRYPTO' AS trade_type",
+        "concat('EX', CAST(l_suppkey % 3 AS STRING)) AS exchange",
+        "'lineitem' AS source",
+        "CAST(l_shipdate AS TIMESTAMP) AS timestamp",
+        "CAST(l_shipdate AS TIMESTAMP) AS ingested_at",
+    )
 
 
 def feed_a_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
