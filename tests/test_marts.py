@@ -111,3 +111,12 @@ def test_partition_scoped_insert_matches_global(spark):
     plan = gold.insert_new_in_partitions(f, stored, "trade_id", "trade_date")._jdf.queryExecution() \
                .optimizedPlan().toString()
     assert "IN (" in plan.upper() or "INSET" in plan.upper()
+
+
+def test_seeded_instruments_merge(spark):
+    f = fact(spark, [("A/USD", MON, dt.time(1), "1", "1"), ("B/USD", MON, dt.time(1), "1", "1")])
+    seed = gold.seed_dim_instrument(spark, [("A/USD", "A", "USD", "CRYPTO", "SEEDED")])
+    merged = {r.symbol: r for r in gold.merge_dim_instrument(seed, f).collect()}
+    assert set(merged) == {"A/USD", "B/USD"}
+    assert merged["A/USD"].exchange == "SEEDED" and merged["B/USD"].exchange == "EX1"
+    assert merged["B/USD"].base_currency == "B" and merged["B/USD"].is_active is True

@@ -58,6 +58,21 @@ def dim_instrument(trades: DataFrame, asset_class: str = "CRYPTO") -> DataFrame:
     ).select(*[F.col(f.name).cast(f.dataType) for f in DIM_INSTRUMENT_SCHEMA.fields])
 
 
+def seed_dim_instrument(spark, rows: list[tuple]) -> DataFrame:
+    """Instrument rows given by the operator (symbol, base, quote, asset_class,
+    exchange), active by default, in the dimension's schema."""
+    df = spark.createDataFrame(rows, "symbol string, base_currency string, quote_currency string, "
+                                     "asset_class string, exchange string")
+    return df.withColumn("is_active", F.lit(True)) \
+             .select(*[F.col(f.name).cast(f.dataType) for f in DIM_INSTRUMENT_SCHEMA.fields])
+
+
+def merge_dim_instrument(stored: DataFrame, trades: DataFrame, asset_class: str = "CRYPTO") -> DataFrame:
+    """Stored (e.g. seeded) instruments plus those first seen in ``trades``;
+    a stored row is never replaced (insert-if-absent on symbol)."""
+    return stored.unionByName(insert_new(dim_instrument(trades, asset_class), stored, "symbol"))
+
+
 def insert_new(batch: DataFrame, existing: DataFrame, key: str | list[str]) -> DataFrame:
     """Rows of ``batch`` whose key is absent from ``existing`` (ON CONFLICT DO NOTHING).
 
