@@ -120,3 +120,23 @@ def test_seeded_instruments_merge(spark):
     assert set(merged) == {"A/USD", "B/USD"}
     assert merged["A/USD"].exchange == "SEEDED" and merged["B/USD"].exchange == "EX1"
     assert merged["B/USD"].base_currency == "B" and merged["B/USD"].is_active is True
+
+
+def test_symbol_mart_from_daily_state_equals_direct(spark):
+    from conftest import SF_SMALL
+    from tickforge.plans import datasets as ds
+
+    for wide in (False, True):
+        stg = ds.stg_trades(spark, SF_SMALL, wide)
+        inst = ds.stg_instruments(spark, SF_SMALL, wide)
+        direct = {r.symbol: r.asDict() for r in marts.mart_symbol_performance(stg, inst).collect()}
+        rolled = {r.symbol: r.asDict() for r in
+                  marts.mart_symbol_performance_from_state(marts.daily_state(stg), inst).collect()}
+        assert direct.keys() == rolled.keys()
+        for sym, a in direct.items():
+            b = rolled[sym]
+            for k in a:
+                if k == "price_stddev" and a[k] is not None:
+                    assert abs(a[k] - b[k]) <= D("0.01"), (sym, k)
+                else:
+                    assert a[k] == b[k], (sym, k, a[k], b[k])

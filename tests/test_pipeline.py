@@ -52,6 +52,13 @@ def test_full_pipeline_is_idempotent(spark, tmp_dir):
     assert {k: v["inserted"] for k, v in c2.items()} == {"dim_time": 0, "dim_instrument": 0, "fact_trades": 0}
     assert c2["fact_trades"]["skipped"] == expected
     pl.gold_to_marts(spark, gold_base, marts_base)
+    daily_before = spark.read.parquet(f"{marts_base}/mart_daily_summary")
+    perf_before = spark.read.parquet(f"{marts_base}/mart_symbol_performance").collect()
+    n_daily = daily_before.count()
+    some_day = str(daily_before.agg(F.min("trade_date")).first()[0])
+    pl.gold_to_marts(spark, gold_base, marts_base, dates=[some_day])   # incremental refresh of one day
+    assert spark.read.parquet(f"{marts_base}/mart_daily_summary").count() == n_daily
+    assert sorted(spark.read.parquet(f"{marts_base}/mart_symbol_performance").collect()) == sorted(perf_before)
     r1 = pl.marts_to_documents(spark, gold_base, marts_base, docs, run_time="2024-02-01T00:00:00Z")
     r2 = pl.marts_to_documents(spark, gold_base, marts_base, docs, run_time="2024-02-02T00:00:00Z")
     assert r1["path"] != r2["path"] and writers.current_version(spark, docs) == r2["path"]

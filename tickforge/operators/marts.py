@@ -142,3 +142,60 @@ def mart_symbol_performance(trades: DataFrame, instruments: DataFrame) -> DataFr
         F.rank().over(Window.orderBy(F.desc("total_notional_usd"))).alias("volume_rank"),
         F.rank().over(Window.orderBy(F.desc("total_trades"))).alias("activity_rank"),
     )
+
+
+# ---- incremental maintenance: per-(day, symbol) state and its roll-up ------------------
+
+def daily_state(trades: DataFrame) -> DataFrame:
+    """Mergeable per-(trade_date, symbol) state of the symbol mart.
+
+    Sums, counts, extremes and the (n, mean, M2) triple of the price make the
+    all-time figures derivable from this table alone, so a load only has to
+    recompute the days it touched.
+    """
+    p = F.col("price").cast("double")
+    return trades.groupBy("trade_date", "symbol").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.sum("notional").alias("sum_notional"),
+        F.count("notional").alias("n_notional"),
+        F.sum("price").alias("sum_price"),
+        F.count("price").alias("n_price"),
+        F.min("price").alias("min_price"),
+        F.max("price").alias("max_price"),
+        F.avg(p).alias("mean_price"),
+        (F.var_pop(p) * F.count(p)).alias("m2_price"),
+        F.max("ingested_at").alias("max_ingested_at"),
+    )
+
+
+def mart_symbol_performance_from_state(state: DataFrame, instruments: DataFrame) -> DataFrame:
+    """The symbol mart rolled up from ``daily_state`` (one row per day and
+    symbol), merging the variance states with the parallel formula
+    M2 = sum(M2_i) + sum(n_i * (mean_i - mean)^2)."""
+    w = Window.partitionBy("symbol")
+    n_all = F.sum("n_price").over(w)
+    mean_all = F.sum(F.col("mean_price") * F.col("n_price")).over(w) / n_all
+    s = state.withColumn("_dev", F.col("n_price") * F.pow(F.col("mean_price") - mean_all, 2))
+    m2 = F.sum("m2_price") + F.sum("_dev")
+    n = F.sum("n_price")
+    perf = s.groupBy("symbol").agg(
+        F.sum("n").alias("total_trades"),
+        _r2(F.sum("sum_notional")).alias("total_notional_usd"),
+        _r2(F.sum("sum_notional") / F.sum("n_notional")).alias("avg_notional_per_trade"),
+        _r2(F.min("min_price")).alias("all_time_low"),
+        _r2(F.max("max_price")).alias("all_time_high"),
+        _r2(F.sum("sum_price") / F.sum("n_price")).alias("avg_price"),
+        _r2(F.when(n > 1, F.sqrt(m2 / (n - 1)))).alias("price_stddev"),
+        F.count(F.lit(1)).alias("trading_days"),
+        F.min("trade_date").alias("first_seen"),
+        F.max("trade_date").alias("last_seen"),
+        F.max("max_ingested_at").alias("last_updated"),
+    )
+    inst = instruments.select("symbol", "display_name", "asset_class", "is_major_coin")
+    return perf.join(inst, "symbol", "inner").select(
+        "symbol", "display_name", "asset_class", "is_major_coin", "total_trades",
+        "total_notional_usd", "avg_notional_per_trade", "all_time_low", "all_time_high",
+        "avg_price", "price_stddev", "trading_days", "first_seen", "last_seen", "last_updated",
+        F.rank().over(Window.orderBy(F.desc("total_notional_usd"))).alias("volume_rank"),
+        F.rank().over(Window.orderBy(F.desc("total_trades"))).alias("activity_rank"),
+    )

@@ -557,3 +557,20 @@ def _keyed_files(spark, sf):
     wr.write_keyed_files(ds.fact(spark, sf), path, fmt="parquet")
     back = spark.read.parquet(path).withColumn("_file", F.input_file_name())
     return back.select("symbol", "trade_id", "timestamp", "price")
+
+
+# ---- incremental mart maintenance (A10 from a per-day state table) ------------------
+
+from ..operators import marts as mt  # noqa: E402
+
+
+@register("mart_symbol_performance_rollup")
+def _mart_perf_rollup(spark, sf):
+    """The symbol mart rolled up from the per-(day, symbol) state table."""
+    return mt.mart_symbol_performance_from_state(mt.daily_state(ds.stg_trades(spark, sf, wide=True)),
+                                                 ds.stg_instruments(spark, sf, wide=True))
+
+
+@register("mart_daily_state")
+def _mart_daily_state(spark, sf):
+    return mt.daily_state(ds.stg_trades(spark, sf))

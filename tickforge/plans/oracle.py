@@ -567,3 +567,7 @@ ORACLE.update({
     "keyed_files": with_ctes(f"""SELECT symbol, trade_id, {ts('"timestamp"')} AS "timestamp",
         CAST(price AS DOUBLE) AS price FROM fact"""),
 })
+
+ORACLE.update({
+    "mart_symbol_performance_rollup": ORACLE["mart_symbol_performance_wide"],
+})

@@ -137,16 +137,29 @@ def silver_to_gold(spark: SparkSession, silver_path: str, gold_base: str) -> dic
 
 
 def gold_to_marts(spark: SparkSession, gold_base: str, marts_base: str,
-                  majors: tuple = marts.MAJOR_BASES) -> None:
-    """Staging as views, marts as tables (overwritten each run)."""
-    base = gold_base.rstrip("/")
-    stg = writers.materialize(spark, marts.stg_trades(spark.read.parquet(f"{base}/fact_trades")), "stg_trades")
+                  majors: tuple = marts.MAJOR_BASES, dates: list[str] | None = None) -> None:
+    """Staging as views, marts as tables.
+
+    ``dates=None`` rebuilds everything. With ``dates`` (the trade dates a load
+    touched), only those days are recomputed: the fact is read for those
+    partitions alone, and the daily mart and the per-day state table replace
+    just those partitions (dynamic partition overwrite). The symbol mart is
+    then rolled up from the state table, whose size is days x symbols.
+    """
+    base, out = gold_base.rstrip("/"), marts_base.rstrip("/")
+    fact = spark.read.parquet(f"{base}/fact_trades")
+    if dates:
+        fact = fact.filter(F.col("trade_date").isin([F.lit(x).cast("date") for x in dates]))
+    stg = writers.materialize(spark, marts.stg_trades(fact), "stg_trades")
     inst = writers.materialize(spark, marts.stg_instruments(spark.read.parquet(f"{base}/dim_instrument"), majors),
                                "stg_instruments")
     days = spark.read.parquet(f"{base}/dim_time")
-    out = marts_base.rstrip("/")
-    writers.write_table(marts.mart_daily_summary(stg, days), f"{out}/mart_daily_summary", ["trade_date"])
-    writers.write_table(marts.mart_symbol_performance(stg, inst), f"{out}/mart_symbol_performance")
+    with conf_override(spark, {"spark.sql.sources.partitionOverwriteMode": "dynamic"}):
+        writers.write_table(marts.mart_daily_summary(stg, days), f"{out}/mart_daily_summary", ["trade_date"])
+        writers.write_table(marts.daily_state(stg), f"{out}/mart_daily_state", ["trade_date"])
+    # derived from the state table (another path), so overwriting is safe
+    state = spark.read.parquet(f"{out}/mart_daily_state")
+    writers.write_table(marts.mart_symbol_performance_from_state(state, inst), f"{out}/mart_symbol_performance")
 
 
 def marts_to_documents(spark: SparkSession, gold_base: str, marts_base: str, docs_base: str,
