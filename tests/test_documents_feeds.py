@@ -112,3 +112,15 @@ def test_sql_serving_with_parameters(spark):
     assert serving.daily_summary(spark, symbol=evil).count() == 0
     allrows = serving.daily_summary(spark, symbol="All").count()
     assert allrows == ds.mart_daily_summary(spark, SF_SMALL).count()
+
+
+def test_documents_json_sink_round_trip(spark, tmp_dir):
+    import os
+
+    from tickforge.sinks import writers
+
+    docs = ds.portfolio_documents(spark, SF_SMALL)
+    path = os.path.join(tmp_dir, "docs")
+    writers.write_documents_json(docs, path)
+    back = spark.read.schema(docs.schema).json(path)
+    assert back.exceptAll(docs).count() == 0 and docs.exceptAll(back).count() == 0

@@ -9,9 +9,24 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-
+from pyspark.sql import functions as F
+
+from ..functions.rules import FAILED_RULES
+from ..operators import documents as dc
+from ..operators import gold as gd
+from ..operators import marts as mt
+from ..operators import quality as dq
+from ..operators import reports as rp
+from ..operators import silver as sv
+from ..schemas import FACT_SCHEMA, FEED_B_SCHEMA
+from ..session import apply_engine_conf, work_dir
+from ..sinks import writers as wr
+from ..sources import feeds as fd
+from ..sources import fixtures as fx
+from ..sources import layers as ly
+from ..streaming import pipeline as st
 from . import datasets as ds
-from ..session import apply_engine_conf
+from . import serving as sv_sql
 from .portable import portable
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -64,11 +79,6 @@ def _mart_perf_wide(spark, sf):
 
 # ---- Bronze -> Silver (P3-P6, A1, F1-F3) ---------------------------------------------
 
-from pyspark.sql import functions as F  # noqa: E402
-
-from ..functions.rules import FAILED_RULES  # noqa: E402
-from ..operators import silver as sv  # noqa: E402
-
 
 def _bronze_typed(spark, sf):
     return sv.cast_types(ds.bronze(spark, sf))
@@ -134,10 +144,6 @@ def _quality_report(spark, sf):
 
 # ---- Gold star schema and merges (P7-P13, J1, J2, K4, K5, A3-A7, J5-J7) -------------
 
-from ..operators import gold as gd  # noqa: E402
-from ..operators import quality as dq  # noqa: E402
-from ..operators import reports as rp  # noqa: E402
-
 
 @register("dim_time")
 def _dim_time(spark, sf):
@@ -345,8 +351,6 @@ def _report_summary(spark, sf):
 
 # ---- documents (L2, N1-N6, K6) ------------------------------------------------------
 
-from ..operators import documents as dc  # noqa: E402
-
 
 @register("recent_trades_per_symbol")
 def _recent_trades_per_symbol(spark, sf):
@@ -386,10 +390,6 @@ def _portfolio_upsert(spark, sf):
 
 # ---- feeds (P1, P2, P23, F8, F9, R6) -----------------------------------------------
 
-from ..schemas import FACT_SCHEMA, FEED_B_SCHEMA  # noqa: E402
-from ..sources import feeds as fd  # noqa: E402
-from ..sources import fixtures as fx  # noqa: E402
-
 
 @register("normalize_feed_a")
 def _normalize_feed_a(spark, sf):
@@ -429,10 +429,6 @@ def _keyed_messages(spark, sf):
 
 # ---- stored layers: write, then read back (K1-K3, K7-K9, R1-R5) ---------------------
 
-from ..session import work_dir  # noqa: E402
-from ..sinks import writers as wr  # noqa: E402
-from ..sources import layers as ly  # noqa: E402
-
 
 def _bronze_written(spark, sf):
     path = work_dir(spark, "bronze")
@@ -484,8 +480,6 @@ def _run_metrics(spark, sf):
 
 # ---- streaming results read back as batch frames (S1-S3, S5) ------------------------
 
-from ..streaming import pipeline as st  # noqa: E402
-
 
 def _landed_bronze(spark, sf):
     landing = work_dir(spark, "landing")
@@ -518,8 +512,6 @@ def _stream_dedup(spark, sf):
 
 # ---- serving by parameterised SQL over views (R8), exports (K9), keyed files (S4) ----
 
-from . import serving as sv_sql  # noqa: E402
-
 
 def _views(spark, sf):
     sv_sql.register_views(spark, fact_trades=ds.fact(spark, sf),
@@ -561,8 +553,6 @@ def _keyed_files(spark, sf):
 
 # ---- incremental mart maintenance (A10 from a per-day state table) ------------------
 
-from ..operators import marts as mt  # noqa: E402
-
 
 @register("mart_symbol_performance_rollup")
 def _mart_perf_rollup(spark, sf):

@@ -147,3 +147,11 @@ def write_kafka(df: DataFrame, bootstrap_servers: str, topic: str = "trades", ke
 
     (encode_messages(df, key_col=key_col).write.format("kafka")
         .option("kafka.bootstrap.servers", bootstrap_servers).option("topic", topic).save())
+
+
+def write_documents_json(docs: DataFrame, path: str, key: str = "_id", mode: str = "overwrite") -> None:
+    """Nested documents as JSON lines (one document per line), the form a
+    document store bulk-loads. Documents are range-partitioned by key so each
+    file holds a contiguous key range; NULL fields are kept as JSON nulls."""
+    (docs.repartitionByRange(key).write.mode(mode)
+         .option("ignoreNullFields", "false").json(path))
