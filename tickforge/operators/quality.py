@@ -114,16 +114,15 @@ def _flag(c: Column) -> Column:
     return F.coalesce(c, F.lit(False))
 
 
-def dq_summary(fact: DataFrame, instruments: DataFrame, dates: DataFrame, silver: DataFrame,
+def dq_summary(silver: DataFrame, instruments: DataFrame, dates: DataFrame,
                asset_classes: tuple = ASSET_CLASSES, trade_types: tuple = TRADE_TYPES) -> DataFrame:
     """Every check of the module, with one pass per table.
 
     The fact-side checks read the Silver rows the fact is loaded from (the
-    fact columns are casts of them): one join to the two key sets and one
-    shuffle by trade_id serve uniqueness, not-null, relationships, accepted
-    values and type bounds together. ``fact`` is not read again.
+    fact columns are casts of them, so the fact itself is not read again):
+    one join to the two key sets and one shuffle by trade_id serve
+    uniqueness, not-null, relationships, accepted values and type bounds.
     """
-    del fact  # the fact is a pure cast of ``silver``; checked through it
     sym = instruments.select(F.col("symbol").alias("_sym")).distinct().withColumn("_has_sym", F.lit(True))
     day = dates.select(F.col("trade_date").alias("_day")).distinct().withColumn("_has_day", F.lit(True))
     rows = silver.withColumn("_date", F.col("trade_date").cast("date"))

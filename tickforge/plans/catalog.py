@@ -338,15 +338,14 @@ def _dq_type_bounds(spark, sf):
 
 @register("dq_summary")
 def _dq_summary(spark, sf):
-    fact, inst, days, silver_rows = ds.gold_checked(spark, sf)
-    return dq.dq_summary(fact, inst, days, silver_rows)
+    _, inst, days, silver_rows = ds.gold_checked(spark, sf)
+    return dq.dq_summary(silver_rows, inst, days)
 
 
 @register("report_summary")
 def _report_summary(spark, sf):
-    fact, inst, days, silver_rows = ds.gold_checked(spark, sf)
-    return rp.report_summary(rp.pipeline_stats(ds.fact(spark, sf)),
-                             dq.dq_summary(fact, inst, days, silver_rows))
+    _, inst, days, silver_rows = ds.gold_checked(spark, sf)
+    return rp.report_summary(rp.pipeline_stats(ds.fact(spark, sf)), dq.dq_summary(silver_rows, inst, days))
 
 
 # ---- documents (L2, N1-N6, K6) ------------------------------------------------------

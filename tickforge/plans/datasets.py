@@ -85,6 +85,8 @@ def gold_checked(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame
     """(fact, dim_instrument, dim_time, silver) for the quality checks and the
     key merges: the fact is what the Bronze pipeline loads; the dimensions are
     the reference dimensions built from the clean trades."""
+    # Separate builds on purpose: one DataFrame object used in two branches of
+    # a plan makes the analyzer re-instance the whole shared subtree.
     return (silver_fact(spark, sf_dir), dim_instrument(spark, sf_dir), dim_time(spark, sf_dir),
             silver_good(spark, sf_dir))
 
@@ -93,11 +95,14 @@ def gold_checked(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame
 
 def portfolio_documents(spark: SparkSession, sf_dir: str, from_bronze: bool = False) -> DataFrame:
     """Documents over the clean Gold fact, or over the fact the Bronze pipeline
-    loads (its dimensions then derived from that fact itself)."""
+    loads (its dimensions then derived from that fact itself). Each branch
+    builds its own fact frame (see ``gold_checked``)."""
     from ..operators import documents
 
-    f = silver_fact(spark, sf_dir) if from_bronze else fact(spark, sf_dir)
-    stg = marts.stg_trades(f)
-    perf = marts.mart_symbol_performance(stg, marts.stg_instruments(gold.dim_instrument(f), ("CLICK", "VIEW")))
-    daily = marts.mart_daily_summary(stg)
-    return documents.portfolio_documents(perf, documents.recent_trades_per_symbol(f), daily)
+    def f():
+        return silver_fact(spark, sf_dir) if from_bronze else fact(spark, sf_dir)
+
+    perf = marts.mart_symbol_performance(marts.stg_trades(f()),
+                                         marts.stg_instruments(gold.dim_instrument(f()), ("CLICK", "VIEW")))
+    daily = marts.mart_daily_summary(marts.stg_trades(f()))
+    return documents.portfolio_documents(perf, documents.recent_trades_per_symbol(f()), daily)

@@ -39,6 +39,7 @@ def _hash_spread(df: DataFrame, n: int) -> DataFrame:
 
 _SPLITS: dict[tuple, int] = {}
 _BYTES: dict[str, int] = {}
+_SCHEMAS: dict[str, object] = {}
 
 # Below this many input bytes per scan partition, a shuffle to spread the scan
 # costs more than the single task it relieves.
@@ -79,7 +80,13 @@ def read_table(spark: SparkSession, sf_dir: str, name: str, columns: list[str] |
     if name not in TABLES:
         raise ValueError(f"unknown table {name!r}")
     path = table_path(sf_dir, name)
-    df = spark.read.parquet(path)
+    # The footer-inferred schema is kept per path and given explicitly on later
+    # reads (no footer scan); the file listing is still done on every read.
+    if path in _SCHEMAS:
+        df = spark.read.schema(_SCHEMAS[path]).parquet(path)
+    else:
+        df = spark.read.parquet(path)
+        _SCHEMAS[path] = df.schema
     spread_it = should_spread(spark, df, path)
     df = df.select(*columns) if columns else df
     return _hash_spread(df, spark.sparkContext.defaultParallelism) if spread_it else df
