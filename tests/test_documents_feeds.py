@@ -67,8 +67,9 @@ def test_feed_union_fills_missing_columns(spark):
 
     u = feeds.feed_union(feeds.normalize_feed_a(fx.feed_a_messages(spark, SF_SMALL)),
                          feeds.normalize_feed_b(fx.feed_b_messages(spark, SF_SMALL)))
-    assert u.columns == feeds.EVENT_COLUMNS
-    assert u.filter("source = 'feed_b' AND conditions IS NOT NULL").count() == 0
+    assert u.columns == feeds.EVENT_COLUMNS + ["exchange_id"]
+    assert u.filter("source = 'feed_b' AND (conditions IS NOT NULL OR exchange IS NOT NULL)").count() == 0
+    assert u.filter("source = 'feed_a' AND exchange_id IS NOT NULL").count() == 0
     assert u.filter("symbol LIKE '%-%'").count() == 0
 
 
@@ -124,3 +125,12 @@ def test_documents_json_sink_round_trip(spark, tmp_dir):
     writers.write_documents_json(docs, path)
     back = spark.read.schema(docs.schema).json(path)
     assert back.exceptAll(docs).count() == 0 and docs.exceptAll(back).count() == 0
+
+
+def test_feed_b_to_bronze_has_unknown_exchange_in_silver(spark):
+    from tickforge.operators import silver
+    from tickforge.sources import fixtures as fx
+
+    b = feeds.to_bronze_text(feeds.normalize_feed_b(fx.feed_b_messages(spark, SF_SMALL)))
+    good = silver.quality_good(silver.silver_prepared(b))
+    assert good.count() > 0 and good.filter("exchange != 'UNKNOWN'").count() == 0

@@ -514,9 +514,9 @@ FEED_B = """(SELECT CASE WHEN event_id % 103 = 0 THEN '' ELSE CAST(event_id AS V
         upper(event_type) || '/USD' AS symbol, value AS price,
         CAST(json_extract_string(props, '$.k') AS DOUBLE) AS quantity,
         value * CAST(json_extract_string(props, '$.k') AS DOUBLE) AS notional,
-        CAST(user_id % 3 AS VARCHAR) AS exchange, 'CRYPTO' AS trade_type,
+        CAST(user_id % 3 AS VARCHAR) AS exchange_id, 'CRYPTO' AS trade_type,
         make_timestamp((epoch_us(ts) // 1000) * 1000) AS "timestamp",
-        ts + to_seconds(event_id % 300) AS ingested_at, 'feed_b' AS source, CAST(NULL AS VARCHAR) AS conditions
+        ts + to_seconds(event_id % 300) AS ingested_at, 'feed_b' AS source
         FROM events WHERE event_id % 10 = 7 AND event_id % 31 != 0)"""
 
 
@@ -530,11 +530,15 @@ BRONZE_PARTS = (f"strftime({parse_time('ingested_at')}, '%Y') AS year, strftime(
 
 ORACLE.update({
     "normalize_feed_a": with_ctes(event_out(FEED_A)),
-    "normalize_feed_b": with_ctes(f"""SELECT trade_id, symbol, price, quantity, notional, exchange, trade_type,
+    "normalize_feed_b": with_ctes(f"""SELECT trade_id, symbol, price, quantity, notional, exchange_id, trade_type,
         {ts('"timestamp"')} AS "timestamp", {ts('ingested_at')} AS ingested_at, source FROM {FEED_B}"""),
     "feed_corrupt": with_ctes(f"""SELECT event_id AS message_id, {ts('ts + to_seconds(event_id % 300)')} AS arrived_at,
         'malformed_json' AS reason FROM events WHERE event_id % 10 = 7 AND event_id % 31 = 0"""),
-    "feed_union": with_ctes(event_out(f"(SELECT * FROM {FEED_A} UNION ALL SELECT * FROM {FEED_B})")),
+    "feed_union": with_ctes(f"""SELECT trade_id, symbol, price, quantity, notional, exchange, trade_type,
+        {ts('"timestamp"')} AS "timestamp", {ts('ingested_at')} AS ingested_at, source, conditions, exchange_id
+        FROM (SELECT *, CAST(NULL AS VARCHAR) AS exchange_id FROM {FEED_A}
+              UNION ALL BY NAME SELECT *, CAST(NULL AS VARCHAR) AS exchange, CAST(NULL AS VARCHAR) AS conditions
+              FROM {FEED_B})"""),
     "json_roundtrip": with_ctes(f"SELECT {FACT_OUT} FROM fact"),
     "keyed_messages": with_ctes(f"SELECT symbol AS key, {FACT_OUT} FROM fact"),
     "bronze_scan": with_ctes(f"SELECT *, {BRONZE_PARTS} FROM bronze"),

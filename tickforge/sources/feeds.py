@@ -53,8 +53,11 @@ def normalize_feed_b(messages: DataFrame, value_col: str = "value", arrived_col:
     """Feed-B JSON arrays -> contract. Only ``ev = 'XT'`` items are trades
     (status items are skipped); short keys renamed; a missing price or size is
     0 and a missing id ''; epoch-millisecond time -> timestamp; 'BASE-QUOTE'
-    -> 'BASE/QUOTE'. The arrival time comes from the message envelope. Feed B
-    has no ``conditions``; ``feed_union`` fills it with NULL."""
+    -> 'BASE/QUOTE'. The arrival time comes from the message envelope. As in
+    the feed's own message contract, the venue is ``exchange_id`` (there is no
+    ``exchange``) and there are no ``conditions``; ``feed_union`` fills the
+    missing columns with NULL, so feed-B rows reach Silver with exchange
+    'UNKNOWN'."""
     items = (messages.select(F.col(arrived_col).alias("_arrived"),
                              F.from_json(value_col, FEED_B_SCHEMA).alias("items"))
                      .filter(F.col("items").isNotNull())
@@ -66,7 +69,7 @@ def normalize_feed_b(messages: DataFrame, value_col: str = "value", arrived_col:
         F.coalesce(F.col("it.i"), F.lit("")).alias("trade_id"),
         F.regexp_replace(F.coalesce(F.col("it.pair"), F.lit("")), "-", "/").alias("symbol"),
         p.alias("price"), s.alias("quantity"), (p * s).alias("notional"),
-        F.col("it.x").alias("exchange"),
+        F.col("it.x").alias("exchange_id"),
         F.lit("CRYPTO").alias("trade_type"),
         F.timestamp_millis(F.coalesce(F.col("it.t"), F.lit(0).cast("bigint"))).alias("timestamp"),
         F.col("_arrived").cast("timestamp").alias("ingested_at"),
@@ -83,16 +86,24 @@ def corrupt_messages(messages: DataFrame, schema, value_col: str = "value") -> D
 
 
 def feed_union(feed_a: DataFrame, feed_b: DataFrame) -> DataFrame:
-    """Both normalised feeds as one frame (columns matched by name)."""
-    return feed_a.unionByName(feed_b, allowMissingColumns=True).select(*EVENT_COLUMNS)
+    """Both normalised feeds as one frame: columns matched by name, a column
+    only one feed has (conditions, exchange_id) is NULL for the other."""
+    u = feed_a.unionByName(feed_b, allowMissingColumns=True)
+    return u.select(*EVENT_COLUMNS, *[c for c in u.columns if c not in EVENT_COLUMNS])
 
 
 def to_bronze_text(events: DataFrame) -> DataFrame:
-    """Contract -> Bronze (every field as text, times ISO-8601 UTC)."""
+    """Contract -> Bronze (every field as text, times ISO-8601 UTC). A field
+    the feed does not carry (feed B: exchange, conditions) lands as NULL."""
     iso = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
-    return events.select(*[
-        (F.date_format(c, iso) if c in ("timestamp", "ingested_at") else F.col(c).cast("string")).alias(c)
-        for c in EVENT_COLUMNS])
+    have = set(events.columns)
+
+    def text(c):
+        if c not in have:
+            return F.lit(None).cast("string")
+        return F.date_format(c, iso) if c in ("timestamp", "ingested_at") else F.col(c).cast("string")
+
+    return events.select(*[text(c).alias(c) for c in EVENT_COLUMNS])
 
 
 # JSON message encoding keeps microseconds; Spark's default JSON timestamp

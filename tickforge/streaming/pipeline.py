@@ -23,7 +23,6 @@ from pyspark.sql.streaming import StreamingQuery
 from ..operators import gold, silver
 from ..schemas import BRONZE_COLUMNS, BRONZE_PARTITIONS, BRONZE_SCHEMA, SILVER_PARTITIONS
 from ..sinks import writers
-from ..sources.feeds import EVENT_COLUMNS
 
 
 def bronze_file_source(spark: SparkSession, path: str, max_files_per_trigger: int = 1) -> DataFrame:
@@ -51,7 +50,7 @@ def events_as_bronze(events: DataFrame) -> DataFrame:
     """Normalised events (typed) -> Bronze text columns."""
     from ..sources.feeds import to_bronze_text
 
-    return to_bronze_text(events.select(*EVENT_COLUMNS))
+    return to_bronze_text(events)
 
 
 def feed_file_source(spark: SparkSession, path: str, max_files_per_trigger: int = 1) -> DataFrame:
