@@ -52,3 +52,20 @@ def test_cluster_sizing():
     c = cluster_conf(100 * 1024 ** 4, 8000)
     assert int(c["spark.sql.shuffle.partitions"]) == 100 * 1024 ** 4 // (256 * 1024 ** 2)
     assert int(cluster_conf(10, 8)["spark.sql.shuffle.partitions"]) == 16
+
+
+@pytest.mark.parametrize("name,fn", [("silver_dedup", "partial_min_by"), ("mart_daily_summary", "partial_min_by"),
+                                     ("mart_symbol_performance", "partial_count")])
+def test_hot_keys_are_pre_aggregated_before_the_shuffle(spark, name, fn):
+    # a key holding a third of all rows is reduced on every mapper first:
+    # the partial aggregate sits below the first exchange on its key
+    p = plan(QUERIES[name](spark, SF_SMALL))
+    below = p.split("Exchange hashpartitioning")[1:]
+    assert any(fn in part.split("Exchange")[0] for part in below), name
+
+
+def test_quality_checks_reuse_the_dedup_partitioning(spark):
+    # the per-trade_id checks group on the key the dedup already shuffled by,
+    # so the plan holds a single exchange on trade_id
+    p = plan(QUERIES["dq_summary"](spark, SF_SMALL))
+    assert p.count("Exchange hashpartitioning(trade_id") == 1
