@@ -30,7 +30,7 @@ SHARE, CAP = 1.5, 2.0
 BLOCK_WORDS = 128
 SEED = "mix-1"
 #: Hash buckets of a source, and slots of a chunk: what one task ranks at a time.
-BUCKETS, CHUNK = 4096, 1 << 16
+BUCKETS, CHUNK = 4096, 1 << 12
 #: Golden ratio in 31-bit fixed point: round(0.6180339887 * 2^31), made odd, so that the points run through all 2^31 values.
 GOLDEN, POINTS = 1327217885, 1 << 31
 #: Cells of the unit interval on which schedule points meet the sources' intervals.

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from tickforge.llm import exact_dedup, mixing, sharding
+from tickforge.llm import bpe, exact_dedup, mixing, sharding
 
 QUERIES = {
     "op1_mixing": mixing.op1_mixing,
     "op2_sharding": sharding.op2_sharding,
     "op4_exact_dedup": exact_dedup.op4_exact_dedup,
+    "op6_bpe": bpe.op6_bpe,
 }
 
 ORACLE = {
