@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from tickforge.llm import bpe, exact_dedup, jaccard_join, langid, mixing, sharding
+from tickforge.llm import ann, bpe, exact_dedup, jaccard_join, langid, mixing, sharding
 
 QUERIES = {
     "op1_mixing": mixing.op1_mixing,
     "op2_sharding": sharding.op2_sharding,
     "op3_jaccard_join": jaccard_join.op3_jaccard_join,
     "op4_exact_dedup": exact_dedup.op4_exact_dedup,
+    "op5_ann": ann.op5_ann,
     "op6_bpe": bpe.op6_bpe,
     "op9_language_id": langid.op9_language_id,
 }
