@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tickforge.llm import ann, bpe, exact_dedup, jaccard_join, langid, mixing, sharding
+from tickforge.llm import ann, bpe, exact_dedup, jaccard_join, langid, mixing, sharding, toxicity
 
 QUERIES = {
     "op1_mixing": mixing.op1_mixing,
@@ -11,6 +11,7 @@ QUERIES = {
     "op4_exact_dedup": exact_dedup.op4_exact_dedup,
     "op5_ann": ann.op5_ann,
     "op6_bpe": bpe.op6_bpe,
+    "op7_toxicity": toxicity.op7_toxicity,
     "op9_language_id": langid.op9_language_id,
 }
 
