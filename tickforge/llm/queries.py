@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tickforge.llm import ann, bpe, exact_dedup, jaccard_join, langid, mixing, sharding, toxicity
+from tickforge.llm import ann, bpe, exact_dedup, jaccard_join, langid, mixing, secret_scan, sharding, toxicity
 
 QUERIES = {
     "op1_mixing": mixing.op1_mixing,
@@ -12,6 +12,7 @@ QUERIES = {
     "op5_ann": ann.op5_ann,
     "op6_bpe": bpe.op6_bpe,
     "op7_toxicity": toxicity.op7_toxicity,
+    "op8_secrets": secret_scan.op8_secrets,
     "op9_language_id": langid.op9_language_id,
 }
 
