@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tickforge.llm import ann, bpe, exact_dedup, jaccard_join, langid, mixing, secret_scan, sharding, toxicity
+from tickforge.llm import ann, bpe, exact_dedup, html_text, jaccard_join, langid, mixing, secret_scan, sharding, toxicity
 
 QUERIES = {
     "op1_mixing": mixing.op1_mixing,
@@ -14,6 +14,7 @@ QUERIES = {
     "op7_toxicity": toxicity.op7_toxicity,
     "op8_secrets": secret_scan.op8_secrets,
     "op9_language_id": langid.op9_language_id,
+    "op10_html_text": html_text.op10_html_text,
 }
 
 ORACLE = {
