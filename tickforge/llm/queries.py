@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import corpus_pipeline
 from tickforge.llm import ann, bpe, exact_dedup, html_text, jaccard_join, langid, mixing, secret_scan, sharding, toxicity
 
 QUERIES = {
@@ -15,9 +16,12 @@ QUERIES = {
     "op8_secrets": secret_scan.op8_secrets,
     "op9_language_id": langid.op9_language_id,
     "op10_html_text": html_text.op10_html_text,
+    "pipeline": corpus_pipeline.run,
 }
 
 ORACLE = {
     "op1_mixing": mixing.OP1_SQL,
     "op4_exact_dedup": exact_dedup.OP4_SQL,
 }
+if corpus_pipeline.ORACLE_SQL:
+    ORACLE["pipeline"] = corpus_pipeline.ORACLE_SQL
