@@ -75,13 +75,13 @@ def dedupe(docs: DataFrame) -> DataFrame:
 
 def keep_first(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` that stay, with all their columns; of rows that repeat a doc_id one stays."""
-    kept = dedupe(docs).filter("kept").groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"))
-    kept = staged(kept, "kept")
+    kept = dedupe(docs).filter("kept").groupBy("doc_id", "text_sha256").agg(F.count(F.lit(1)).alias("_n"))
+    kept = staged(kept, "kept").select(F.col("doc_id").alias("_id"), F.col("text_sha256").alias("_digest"), "_n")
     columns = docs.columns
-    marked = docs.join(kept.select(F.col("doc_id").alias("_id"), F.col("n").alias("_n")),
-                       F.col("doc_id").eqNullSafe(F.col("_id"))).drop("_id")
+    digest = F.sha2(normalised(F.col("text")), 256)
+    marked = docs.join(kept, F.col("doc_id").eqNullSafe(F.col("_id")) & (digest == F.col("_digest"))).drop("_id")
     once = marked.filter("_n = 1").select(columns)
-    repeated = (marked.filter("_n > 1").groupBy(F.col("doc_id").alias("_key"))
+    repeated = (marked.filter("_n > 1").groupBy(F.col("doc_id").alias("_key"), "_digest")
                 .agg(F.first(F.struct(*[F.col(f"`{c}`") for c in columns])).alias("row")).select("row.*"))
     return once.unionByName(repeated)
 
