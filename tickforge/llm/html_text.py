@@ -40,6 +40,11 @@ VOID = frozenset("area base br col embed hr img input link meta param source tra
 #: Elements whose text runs on in the line around them; all others begin and end a block.
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby s samp small "
                    "span strike strong sub sup time tt u var wbr img".split())
+#: Hidden elements, which break no line either.
+HIDDEN = frozenset("script style noscript template title noframes noembed".split())
+#: Elements that end an open one of the same line here when they begin, up to the element that holds them.
+SIBLINGS = {"li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}),
+            "tr": ({"tr", "td", "th"}, {"table"}), "td": ({"td", "th"}, {"table", "tr"}), "th": ({"td", "th"}, {"table", "tr"})}
 #: Elements, roles and words of class names or ids that mark what is no article text.
 DROPPED = frozenset("nav header footer aside form menu dialog template svg math canvas object audio video button select "
                     "option datalist head".split()) | RAW
@@ -86,6 +91,23 @@ def _marks(element: str, attributes: str) -> tuple[bool, bool]:
     return dropped, article
 
 
+def _end_implied(stack: list, element: str) -> None:
+    """End the open elements that the start of a block element ends: a paragraph, and an item of the same list or table."""
+    for i in range(len(stack) - 1, -1, -1):
+        if stack[i][0] == "p":
+            del stack[i:]
+            break
+        if stack[i][0] not in INLINE:
+            break
+    ends, within = SIBLINGS.get(element, ((), ()))
+    for i in range(len(stack) - 1, -1, -1):
+        if not ends or stack[i][0] in within:
+            break
+        if stack[i][0] in ends:
+            del stack[i:]
+            break
+
+
 def read_page(html: str) -> tuple[list[str], bool]:
     """(blocks, whether the page marks them as its article)."""
     # Regions that may be the article: article elements, then main ones, then named ones.
@@ -115,7 +137,7 @@ def read_page(html: str) -> tuple[list[str], bool]:
         if m[1]:
             for i in range(len(stack) - 1, -1, -1):
                 if stack[i][0] == element:
-                    if element not in INLINE:
+                    if element not in INLINE and element not in HIDDEN:
                         close_block()
                     del stack[i:]
                     break
@@ -123,8 +145,10 @@ def read_page(html: str) -> tuple[list[str], bool]:
                 if element not in INLINE and not dropped:
                     close_block()
         else:
-            if element not in INLINE:
+            if element not in INLINE and element not in HIDDEN:
                 close_block()
+                _end_implied(stack, element)
+                dropped, region = (stack[-1][1], stack[-1][2]) if stack else (False, 0)
             if element in RAW and not m[3].rstrip().endswith("/"):
                 raw_end = re.compile(rf"</{re.escape(element)}(?=[\s/>])[^>]*>", re.I).search(html, at)
                 at = raw_end.end() if raw_end else length
