@@ -98,7 +98,7 @@ def test_insert_new_is_idempotent(spark):
 def test_hourly_pivot_fills_zero(spark):
     f = fact(spark, [("A/USD", MON, dt.time(3), "2", "1"), ("B/USD", MON, dt.time(5), "4", "1")])
     p = {r.symbol: r for r in reports.hourly_pivot(reports.hourly_volume(f)).collect()}
-    assert p["A/USD"].h03 == D("2.00") and p["A/USD"].h05 == 0 and p["B/USD"].h05 == D("4.00")
+    assert p["A/USD"].h03 == 1 and p["A/USD"].h05 == 0 and p["B/USD"].h05 == 1
     assert len(p["A/USD"]) == 25
 
 

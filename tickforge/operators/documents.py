@@ -125,6 +125,13 @@ def document_check(docs: DataFrame) -> DataFrame:
     )
 
 
+def flatten_performance(docs: DataFrame) -> DataFrame:
+    """One row per document: its head fields, the performance sub-document's
+    twelve fields and the metadata."""
+    return docs.select("_id", "symbol", "display_name", "asset_class", "is_major_coin", "performance.*",
+                       *[F.col(f"metadata.{c}").alias(f"metadata_{c}") for c in ("source", "pipeline", "last_updated", "version")])
+
+
 def flatten_recent(docs: DataFrame) -> DataFrame:
     """Documents back to one row per embedded recent trade (position from 1)."""
     return docs.select("_id", F.posexplode("recent_trades").alias("pos", "t")) \

@@ -4,10 +4,10 @@ Design notes (scale):
 * Aggregate first, join the dimensions after. The marts' group keys contain
   the join keys, so the dimension joins run on one row per (day, symbol) or
   per symbol instead of one per trade.
-* Open / close are ``min_by`` / ``max_by`` over (event time, trade id): a hash
-  aggregate with a map-side partial phase, so a symbol-day holding a third of
-  all trades is still pre-reduced on every mapper. A window sorted per
-  (day, symbol) would put that whole group into one task.
+* Open / close are found in two hash aggregates (see ``_open_close``), both with
+  a map-side partial phase, so a symbol-day holding a third of all trades is
+  still pre-reduced on every mapper. A window sorted per (day, symbol) would put
+  that whole group into one task.
 """
 
 from __future__ import annotations
@@ -60,9 +60,25 @@ def _with_calendar(daily: DataFrame, dim_time: DataFrame | None) -> DataFrame:
     return daily.join(days, "trade_date", "inner")
 
 
+def _open_close(trades: DataFrame, ends: DataFrame) -> DataFrame:
+    """First and last price of each (day, symbol) in (traded_at, trade_id) order.
+
+    ``ends`` has the first and last instant of each group. Only trades at one
+    of the two are left after the join, so breaking ties by the trade id, whose
+    text keys need a sort aggregate, sorts a row or two per group and task.
+    """
+    at = trades.join(ends.select("trade_date", "symbol", "_lo", "_hi"), ["trade_date", "symbol"], "inner") \
+               .filter((F.col("traded_at") == F.col("_lo")) | (F.col("traded_at") == F.col("_hi")))
+    first = F.when(F.col("traded_at") == F.col("_lo"), F.col("trade_id"))
+    last = F.when(F.col("traded_at") == F.col("_hi"), F.col("trade_id"))
+    return at.groupBy("trade_date", "symbol").agg(
+        _r2(F.min_by("price", first)).alias("open_price"),
+        _r2(F.max_by("price", last)).alias("close_price"),
+    )
+
+
 def mart_daily_summary(trades: DataFrame, dim_time: DataFrame | None = None) -> DataFrame:
     """Daily OHLC per (trade_date, symbol): the mart at its intended grain."""
-    order = F.struct("traded_at", "trade_id")
     daily = trades.groupBy("trade_date", "symbol").agg(
         F.count(F.lit(1)).alias("trade_count"),
         F.sum("quantity").alias("total_quantity"),
@@ -70,11 +86,12 @@ def mart_daily_summary(trades: DataFrame, dim_time: DataFrame | None = None) ->
         _r2(F.min("price")).alias("low_price"),
         _r2(F.max("price")).alias("high_price"),
         _r2(exact_avg("price")).alias("avg_price"),
-        _r2(F.min_by("price", order)).alias("open_price"),
-        _r2(F.max_by("price", order)).alias("close_price"),
+        F.min("traded_at").alias("_lo"),
+        F.max("traded_at").alias("_hi"),
         F.min("ingested_at").alias("first_ingested_at"),
         F.max("ingested_at").alias("last_ingested_at"),
     )
+    daily = daily.join(_open_close(trades, daily), ["trade_date", "symbol"], "left")
     return _with_calendar(daily, dim_time).select(
         "trade_date", "day_of_week", "is_weekend", "symbol", "trade_count", "total_quantity",
         "total_notional_usd", "low_price", "high_price", "avg_price", "open_price", "close_price",
@@ -87,9 +104,10 @@ def mart_daily_summary_tick(trades: DataFrame, dim_time: DataFrame | None = None
     price), so one row per distinct tick; open/close are the first / last price
     of the (day, symbol) in (traded_at, price) order; then DISTINCT.
 
-    Open/close come from a per-(day, symbol) hash aggregate (ordering key
-    packed into one decimal) joined back on its key, not from a window over
-    the hot (day, symbol) partition.
+    Open/close come from a per-(day, symbol) hash aggregate of the ticks
+    (ordering key packed into one decimal) joined back on its key, not from a
+    window over the hot (day, symbol) partition; both sides read one exchange
+    of the ticks.
     """
     ticks = trades.groupBy("trade_date", "symbol", "traded_at", "price").agg(
         F.count(F.lit(1)).alias("trade_count"),
@@ -99,7 +117,7 @@ def mart_daily_summary_tick(trades: DataFrame, dim_time: DataFrame | None = None
         F.max("ingested_at").alias("last_ingested_at"),
     )
     order = time_price_key("traded_at", "price")
-    ends = trades.groupBy("trade_date", "symbol").agg(
+    ends = ticks.groupBy("trade_date", "symbol").agg(
         _r2(F.min_by("price", order)).alias("open_price"),
         _r2(F.max_by("price", order)).alias("close_price"),
     )
@@ -186,7 +204,7 @@ def mart_symbol_performance_from_state(state: DataFrame, instruments: DataFrame)
         _r2(F.max("max_price")).alias("all_time_high"),
         _r2(F.sum("sum_price") / F.sum("n_price")).alias("avg_price"),
         _r2(F.when(n > 1, F.sqrt(m2 / (n - 1)))).alias("price_stddev"),
-        F.count(F.lit(1)).alias("trading_days"),
+        F.count("trade_date").alias("trading_days"),
         F.min("trade_date").alias("first_seen"),
         F.max("trade_date").alias("last_seen"),
         F.max("max_ingested_at").alias("last_updated"),

@@ -56,16 +56,20 @@ def dq_not_null(fact: DataFrame, instruments: DataFrame, dates: DataFrame) -> Da
 
 
 def dq_relationships(fact: DataFrame, instruments: DataFrame, dates: DataFrame) -> DataFrame:
-    """Fact rows whose parent key is missing (left-anti joins, counted).
-    NULL keys are not orphans (as a foreign key treats them)."""
-    no_sym = fact.filter(F.col("symbol").isNotNull()) \
-                 .join(instruments.select("symbol").distinct(), "symbol", "left_anti")
-    no_day = fact.filter(F.col("trade_date").isNotNull()) \
-                 .join(dates.select("trade_date").distinct(), "trade_date", "left_anti")
-    return _union([
-        _rows(no_sym, [("relationships:fact_trades.symbol->dim_instrument", F.count(F.lit(1)))]),
-        _rows(no_day, [("relationships:fact_trades.trade_date->dim_time", F.count(F.lit(1)))]),
-    ])
+    """Fact rows whose parent key is missing. NULL keys are not orphans (as a
+    foreign key treats them). The fact's keys are counted first, so one pass
+    over the fact leaves a row per (symbol, date) for both joins."""
+    keys = fact.groupBy("symbol", "trade_date").agg(F.count(F.lit(1)).alias("_n"))
+    sym = instruments.select(F.col("symbol").alias("_sym")).distinct()
+    day = dates.select(F.col("trade_date").alias("_day")).distinct()
+    tagged = (keys.join(sym, F.col("symbol") == F.col("_sym"), "left")
+                  .join(day, F.col("trade_date") == F.col("_day"), "left"))
+
+    def orphans(key, parent):
+        return F.coalesce(F.sum(F.when(F.col(key).isNotNull() & F.col(parent).isNull(), F.col("_n"))), F.lit(0))
+
+    return _rows(tagged, [("relationships:fact_trades.symbol->dim_instrument", orphans("symbol", "_sym")),
+                          ("relationships:fact_trades.trade_date->dim_time", orphans("trade_date", "_day"))])
 
 
 def dq_accepted_values(fact: DataFrame, instruments: DataFrame,
@@ -135,7 +139,7 @@ def dq_summary(silver: DataFrame, instruments: DataFrame, dates: DataFrame,
     fact_flags = [
         ("not_null:fact_trades.trade_id", F.col("trade_id").isNull()),
         ("not_null:fact_trades.symbol", F.col("symbol").isNull()),
-        ("not_null:fact_trades.price", F.col("price").isNull()),
+        ("not_null:fact_trades.price", F.col("price").try_cast(PRICE).isNull()),
         ("relationships:fact_trades.symbol->dim_instrument", F.col("symbol").isNotNull() & F.col("_has_sym").isNull()),
         ("relationships:fact_trades.trade_date->dim_time", F.col("_date").isNotNull() & F.col("_has_day").isNull()),
         ("accepted_values:fact_trades.trade_type", ~F.col("trade_type").isin(list(trade_types))),

@@ -53,12 +53,12 @@ def hourly_total(hourly: DataFrame) -> DataFrame:
 
 
 def hourly_pivot(hourly: DataFrame, hours: list[int] = HOURS) -> DataFrame:
-    """symbol x hour matrix of notional, missing cells 0.
+    """symbol x hour matrix of trade counts, missing cells 0.
 
     The hour list is fixed, so the pivot needs no extra job to discover values
     and the output schema is stable.
     """
-    p = hourly.groupBy("symbol").pivot("trade_hour", hours).agg(F.sum("total_notional"))
+    p = hourly.groupBy("symbol").pivot("trade_hour", hours).agg(F.sum("trade_count"))
     return p.select("symbol", *[F.coalesce(F.col(str(h)), F.lit(0).cast(p.schema[str(h)].dataType))
                                 .alias(f"h{h:02d}") for h in hours])
 
@@ -135,6 +135,35 @@ def trade_log(recent: DataFrame) -> DataFrame:
     )
 
 
+def market_log(recent: DataFrame) -> DataFrame:
+    """Display columns of the market page's trade table, with the hour."""
+    return recent.select(
+        F.date_format("timestamp", TS_DISPLAY).alias("timestamp_utc"), F.col("symbol"),
+        money_text("price", 4).alias("price"), F.col("quantity").cast("double").alias("qty"),
+        money_text("notional", 2).alias("notional"), hour_label("trade_hour").alias("hour"))
+
+
+def asset_log(recent: DataFrame) -> DataFrame:
+    """Display columns of one asset's trade table (no symbol column)."""
+    return recent.select(
+        F.date_format("timestamp", TS_DISPLAY).alias("timestamp_utc"), money_text("price", 4).alias("price"),
+        F.col("quantity").cast("double").alias("qty"), money_text("notional", 2).alias("notional"), F.col("source"))
+
+
+def report_preview(recent: DataFrame) -> DataFrame:
+    """Display columns of the report page's trade preview."""
+    return recent.select(
+        F.col("trade_id"), F.col("symbol"), money_text("price", 4).alias("price"),
+        F.col("quantity").cast("double").alias("quantity"), money_text("notional", 2).alias("notional"),
+        F.date_format("timestamp", TS_DISPLAY).alias("timestamp"))
+
+
+def positioned(df: DataFrame, *order) -> DataFrame:
+    """A result in its serving order, with the position as a column. For
+    results of report size only: one task numbers them."""
+    return df.withColumn("position", F.row_number().over(Window.orderBy(*order))).orderBy("position")
+
+
 def asset_profile(perf: DataFrame, symbol: str | None = None) -> DataFrame:
     """Per-asset card: mart row plus volatility tier and price range."""
     df = perf if not symbol else perf.filter(F.col("symbol") == symbol)
@@ -155,6 +184,7 @@ def portfolio_share(perf: DataFrame) -> DataFrame:
                        (F.col("total_notional_usd").cast("double") / grand.cast("double")).alias("share"))
 
 
+# The labels of the report's summary rows are in the text below.
 def report_summary(stats: DataFrame, dq: DataFrame) -> DataFrame:
     """(metric, value) rows of the report's summary table: the pipeline
     figures unpivoted, plus one row counting the passing quality checks."""
@@ -180,13 +210,17 @@ def report_assets(perf: DataFrame) -> DataFrame:
 
 
 def all_trades(fact: DataFrame, instruments: DataFrame) -> DataFrame:
-    """Flat trade list with instrument attributes, newest first."""
+    """Flat trade list with instrument attributes. In no order: sort what is
+    served, not the whole fact (see ``newest_first``)."""
     inst = instruments.select("symbol", "asset_class", "base_currency", "quote_currency")
     return (fact.join(inst, "symbol", "inner")
                 .select("trade_id", "symbol", "price", "quantity", "notional", "trade_type",
                         "exchange", "source", "timestamp", "trade_date", "trade_hour",
-                        "ingested_at", "asset_class", "base_currency", "quote_currency")
-                .orderBy(F.desc("timestamp"), F.desc("trade_id")))
+                        "ingested_at", "asset_class", "base_currency", "quote_currency"))
+
+
+def newest_first(trades: DataFrame) -> DataFrame:
+    return trades.orderBy(F.desc("timestamp"), F.desc("trade_id"))
 
 
 def silver_symbol_distribution(silver: DataFrame) -> DataFrame:
@@ -194,8 +228,8 @@ def silver_symbol_distribution(silver: DataFrame) -> DataFrame:
     Money is summed as decimals, so totals are exact."""
     return silver.groupBy("symbol").agg(
         F.count(F.lit(1)).alias("trade_count"),
-        _r2(F.sum(F.col("price").cast("decimal(18,8)")) / F.count("price")).alias("avg_price"),
-        F.sum(F.col("notional").cast("decimal(18,2)")).alias("total_notional"),
+        _r2(F.sum(F.col("price").try_cast("decimal(18,8)")) / F.count(F.col("price").try_cast("decimal(18,8)"))).alias("avg_price"),
+        F.sum(F.col("notional").try_cast("decimal(18,2)")).alias("total_notional"),
     )
 
 

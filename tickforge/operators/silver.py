@@ -20,15 +20,22 @@ DEDUP_ORDER = ["ingested_at", "timestamp", "symbol", "price", "quantity", "notio
                "exchange", "trade_type", "source", "conditions"]
 
 
+# 0001-01-01 00:00:00 and 9999-12-31 23:59:59.999 UTC in epoch milliseconds.
+EPOCH_MILLIS_RANGE = (-62135596800000, 253402300799999)
+
+
 def parse_event_time(c: str | Column) -> Column:
     """ISO-8601 text (with or without offset) or epoch milliseconds -> timestamp.
 
     ANSI casts raise on bad input in Spark 4, so the try_ forms are used: text
-    that is neither parses to NULL, as the rule engine expects.
+    that is neither, or milliseconds beyond the years 1 to 9999, parses to NULL,
+    as the rule engine expects.
     """
     c = F.col(c) if isinstance(c, str) else c
     t = F.trim(c)
-    return (F.when(t.rlike(r"^-?[0-9]{1,18}$"), F.timestamp_millis(t.try_cast("bigint")))
+    millis = t.try_cast("bigint")
+    valid = millis.between(*EPOCH_MILLIS_RANGE)
+    return (F.when(t.rlike(r"^-?[0-9]{1,18}$"), F.when(valid, F.timestamp_millis(F.when(valid, millis))))
              .otherwise(F.try_to_timestamp(t)))
 
 
@@ -55,10 +62,11 @@ def dedup_by_key(df: DataFrame, key: str = "trade_id", order: list[str] | None =
                  copies_col: str | None = None) -> DataFrame:
     """Keep one row per ``key``: the first by ``order`` (then the rest of the row).
 
-    Written as a hash aggregate (``min_by`` over a struct) rather than a
-    row_number window: the partial aggregate collapses copies on the map side,
-    so one hot key (e.g. all rows with an empty id) costs one row per map
-    partition in the shuffle instead of a single-task sort of all its rows.
+    Written as an aggregate (``min_by`` over a struct, which Spark plans as a
+    sort aggregate) rather than a row_number window: the partial phase collapses
+    copies on the map side, so one hot key (e.g. all rows with an empty id)
+    costs one row per map partition in the shuffle instead of a single-task
+    sort of all its rows.
     The choice is deterministic, so recomputation after a lost executor yields
     the same rows. ``copies_col`` adds how many input rows each kept row
     stands for (so input and output counts come from one aggregate).
@@ -101,11 +109,6 @@ def silver_prepared(bronze: DataFrame, copies_col: str | None = None) -> DataFra
 _BRONZE_SET = set(SILVER_COLUMNS) - {"trade_date", "trade_hour"}
 
 
-def quality_routed(prepared: DataFrame, rules: dict[str, str] | None = None) -> DataFrame:
-    """Adds ``failed_rules``; every row is routed to exactly one side by it."""
-    return with_failed_rules(prepared, rules)
-
-
 def quality_split(prepared: DataFrame, rules: dict[str, str] | None = None) -> tuple[DataFrame, DataFrame]:
     """(good, dead_letter). NULL-safe: a rule evaluating to NULL is a failure.
 

@@ -18,7 +18,7 @@ from ..operators import marts as mt
 from ..operators import quality as dq
 from ..operators import reports as rp
 from ..operators import silver as sv
-from ..schemas import FACT_SCHEMA, FEED_B_SCHEMA
+from ..schemas import FACT_SCHEMA, FEED_A_SCHEMA, FEED_B_SCHEMA
 from ..session import apply_engine_conf, work_dir
 from ..sinks import writers as wr
 from ..sources import feeds as fd
@@ -173,8 +173,26 @@ def _stg_instruments(spark, sf):
 
 @register("fact_orphans")
 def _fact_orphans(spark, sf):
-    fact, inst, days, _ = ds.gold_checked(spark, sf)
-    return gd.enforce_foreign_keys(fact, inst, days)[1]
+    return gd.enforce_foreign_keys(ds.silver_fact(spark, sf), ds.dim_instrument(spark, sf), ds.dim_time(spark, sf))[1]
+
+
+@register("dim_instrument_merged")
+def _dim_instrument_merged(spark, sf):
+    """Seeded instruments plus the valid ones first seen in the load."""
+    return ds.seeded_instruments(spark, sf)
+
+
+@register("fact_loaded")
+def _fact_loaded(spark, sf):
+    """Fact rows that meet the column constraints and whose parents exist."""
+    return ds.silver_loaded(spark, sf)[0]
+
+
+@register("fact_rejects")
+def _fact_rejects(spark, sf):
+    """Rows that the load rejects, with the reasons."""
+    rejects = ds.silver_loaded(spark, sf)[1]
+    return rejects.select("trade_id", "symbol", "trade_date", F.col("price").cast("double").alias("price"), "reason")
 
 
 @register("fact_trades_new")
@@ -304,47 +322,81 @@ def _report_assets(spark, sf):
     return rp.report_assets(ds.mart_symbol_performance(spark, sf, wide=True))
 
 
+@register("market_log")
+def _market_log(spark, sf):
+    return rp.market_log(rp.recent_trades(ds.fact(spark, sf), limit=20))
+
+
+@register("asset_log")
+def _asset_log(spark, sf):
+    return rp.asset_log(rp.recent_trades(ds.fact(spark, sf), symbol="CLICK/USD", limit=20))
+
+
+@register("report_preview")
+def _report_preview(spark, sf):
+    return rp.report_preview(rp.recent_trades(ds.fact(spark, sf), limit=100))
+
+
+@register("asset_profile_one")
+def _asset_profile_one(spark, sf):
+    """One symbol's card."""
+    return rp.asset_profile(ds.mart_symbol_performance(spark, sf), symbol="CLICK/USD")
+
+
+@register("daily_ordered")
+def _daily_ordered(spark, sf):
+    """The daily slice in its serving order, numbered."""
+    return rp.positioned(_daily_slice(spark, sf), "trade_date", "symbol")
+
+
+@register("performance_ordered")
+def _performance_ordered(spark, sf):
+    """The symbol mart in its serving order, numbered."""
+    perf = ds.mart_symbol_performance(spark, sf, wide=True)
+    return rp.positioned(perf, "volume_rank", "symbol").select("position", "symbol", "total_notional_usd", "volume_rank")
+
+
 # ---- data-quality checks (Q1-Q7) ---------------------------------------------------
 
 @register("dq_unique")
 def _dq_unique(spark, sf):
-    fact, inst, days, _ = ds.gold_checked(spark, sf)
+    fact, inst, days, _ = ds.raw_checked(spark, sf)
     return dq.dq_unique(fact, inst, days)
 
 
 @register("dq_not_null")
 def _dq_not_null(spark, sf):
-    fact, inst, days, _ = ds.gold_checked(spark, sf)
+    fact, inst, days, _ = ds.raw_checked(spark, sf)
     return dq.dq_not_null(fact, inst, days)
 
 
 @register("dq_relationships")
 def _dq_relationships(spark, sf):
-    fact, inst, days, _ = ds.gold_checked(spark, sf)
+    fact, inst, days, _ = ds.raw_checked(spark, sf)
     return dq.dq_relationships(fact, inst, days)
 
 
 @register("dq_accepted_values")
 def _dq_accepted_values(spark, sf):
-    fact, inst, _, _ = ds.gold_checked(spark, sf)
+    fact, inst, _, _ = ds.raw_checked(spark, sf)
     return dq.dq_accepted_values(fact, inst)
 
 
 @register("dq_type_bounds")
 def _dq_type_bounds(spark, sf):
-    _, inst, _, silver_rows = ds.gold_checked(spark, sf)
+    _, inst, _, silver_rows = ds.raw_checked(spark, sf)
     return dq.dq_type_bounds(silver_rows, inst)
 
 
 @register("dq_summary")
 def _dq_summary(spark, sf):
-    _, inst, days, silver_rows = ds.gold_checked(spark, sf)
+    _, inst, days, silver_rows = ds.raw_checked(spark, sf)
     return dq.dq_summary(silver_rows, inst, days)
 
 
 @register("report_summary")
 def _report_summary(spark, sf):
-    _, inst, days, silver_rows = ds.gold_checked(spark, sf)
+    _, inst, days, silver_rows = ds.raw_checked(spark, sf)
     return rp.report_summary(rp.pipeline_stats(ds.fact(spark, sf)), dq.dq_summary(silver_rows, inst, days))
 
 
@@ -367,6 +419,11 @@ def _portfolio_check(spark, sf):
     return dc.document_check(ds.portfolio_documents(spark, sf))
 
 
+@register("portfolio_performance_flat")
+def _portfolio_performance_flat(spark, sf):
+    return dc.flatten_performance(ds.portfolio_documents(spark, sf))
+
+
 @register("portfolio_recent_flat")
 def _portfolio_recent_flat(spark, sf):
     return dc.flatten_recent(ds.portfolio_documents(spark, sf))
@@ -406,6 +463,22 @@ def _feed_corrupt(spark, sf):
     return bad.select("message_id", "arrived_at", "reason")
 
 
+@register("feed_a_corrupt")
+def _feed_a_corrupt(spark, sf):
+    return fd.corrupt_messages(fx.feed_a_messages(spark, sf), FEED_A_SCHEMA).select("message_id", "reason")
+
+
+@register("topic_trades")
+def _topic_trades(spark, sf):
+    """Both feeds told apart on one topic and normalised."""
+    return fd.normalize_topic(fx.topic_messages(spark, sf))
+
+
+@register("topic_rejects")
+def _topic_rejects(spark, sf):
+    return fd.topic_rejects(fx.topic_messages(spark, sf)).select("message_id", "arrived_at", "reason")
+
+
 @register("feed_union")
 def _feed_union(spark, sf):
     return fd.feed_union(fd.normalize_feed_a(fx.feed_a_messages(spark, sf)),
@@ -457,6 +530,25 @@ def _silver_scan(spark, sf):
     return ly.read_silver(spark, path)
 
 
+@register("dead_letter_scan")
+def _dead_letter_scan(spark, sf):
+    """Dead letter written as JSON lines under its run folder, read back."""
+    bad = ds.silver_dead_letter(spark, sf)
+    path = wr.write_dead_letter(bad, work_dir(spark, "dead-letter"), "run")
+    back = spark.read.schema(bad.schema).option("timestampFormat", wr.ISO_UTC).json(path)
+    return back.withColumn(FAILED_RULES, F.array_join(FAILED_RULES, ","))
+
+
+@register("materialized")
+def _materialized(spark, sf):
+    """Trades per symbol of a staged view and of a written table."""
+    view = wr.materialize(spark, ds.stg_trades(spark, sf), "staged_view")
+    table = wr.materialize(spark, ds.stg_trades(spark, sf), "staged_table", kind="table", path=work_dir(spark, "table"))
+    both = [d.groupBy("symbol").agg(F.count(F.lit(1)).alias("trades")).withColumn("kind", F.lit(k))
+            for k, d in (("view", view), ("table", table))]
+    return both[0].unionByName(both[1])
+
+
 EXPORT_SYMBOL = "VIEW/USD"
 
 
@@ -482,31 +574,40 @@ def _run_metrics(spark, sf):
 
 def _landed_bronze(spark, sf):
     landing = work_dir(spark, "landing")
-    st.replay_by_arrival_day(ds.bronze(spark, sf), landing)
+    st.land_by_arrival_day(ds.bronze(spark, sf), landing)
     return landing
 
 
+@register("stream_bronze")
+def _stream_bronze(spark, sf):
+    """Topic records of both feeds streamed into Bronze, read back."""
+    landing, out, ckpt = (work_dir(spark, n) for n in ("topic", "stream-bronze", "stream-bronze-ckpt"))
+    fx.topic_messages(spark, sf).select("value", "arrived_at").write.parquet(landing)
+    q = st.write_bronze_stream(st.topic_to_bronze(st.topic_file_source(spark, landing, 2)), out, ckpt)
+    q.awaitTermination()
+    return ly.read_bronze_records(spark, out)
+
+
 @register("stream_silver")
 def _stream_silver(spark, sf):
-    """Bronze files streamed one file per trigger through the Silver
-    transform (foreachBatch + key merge); the stored Silver read back."""
+    """Bronze files streamed through the Silver transform (foreachBatch and
+    key merge); the stored Silver read back. Without the arrival time: which
+    of two copies comes first depends on the order of the files."""
     landing = _landed_bronze(spark, sf)
     silver_path, dead, ckpt = (work_dir(spark, n) for n in ("stream-silver", "stream-dead", "stream-ckpt"))
-    q = st.start_silver_stream(st.bronze_file_source(spark, landing, 3), silver_path, dead, ckpt)
+    q = st.start_silver_stream(st.bronze_file_source(spark, landing, 16), silver_path, dead, ckpt)
     q.awaitTermination()
-    return ly.read_silver(spark, silver_path)
+    return ly.read_silver(spark, silver_path).drop("ingested_at")
 
 
 @register("stream_dedup")
 def _stream_dedup(spark, sf):
-    """Trade ids left by watermark-bounded streaming dedup (file sink, read back)."""
+    """Trade ids left by streaming dedup: each of the input's once, however late."""
     landing = _landed_bronze(spark, sf)
     out, ckpt = work_dir(spark, "stream-dedup"), work_dir(spark, "stream-dedup-ckpt")
-    q = (st.dedup_within_watermark(st.bronze_file_source(spark, landing, 1))
-           .writeStream.format("parquet").option("path", out).option("checkpointLocation", ckpt)
-           .outputMode("append").trigger(availableNow=True).start())
+    q = st.dedup_stream(st.bronze_file_source(spark, landing, 16), out, ckpt)
     q.awaitTermination()
-    return spark.read.parquet(out).select("trade_id", "ingested_at")
+    return spark.read.parquet(out).select("trade_id")
 
 
 # ---- serving by parameterised SQL over views (R8), exports (K9), keyed files (S4) ----
@@ -530,6 +631,31 @@ def _pipeline_stats_sql(spark, sf):
     return sv_sql.pipeline_stats(spark)
 
 
+@register("symbol_performance_sql")
+def _symbol_performance_sql(spark, sf):
+    _views(spark, sf)
+    return sv_sql.symbol_performance(spark)
+
+
+@register("recent_trades_sql")
+def _recent_trades_sql(spark, sf):
+    _views(spark, sf)
+    return sv_sql.recent_trades(spark, symbol="CLICK/USD", limit=25)
+
+
+@register("hourly_volume_sql")
+def _hourly_volume_sql(spark, sf):
+    _views(spark, sf)
+    return sv_sql.hourly_volume(spark)
+
+
+@register("all_trades_sql")
+def _all_trades_sql(spark, sf):
+    _views(spark, sf)
+    sv_sql.register_views(spark, dim_instrument=ds.dim_instrument(spark, sf))
+    return sv_sql.all_trades(spark, symbol="VIEW/USD")
+
+
 @register("export_performance")
 def _export_performance(spark, sf):
     """Performance mart exported as CSV and read back with its schema."""
@@ -542,12 +668,11 @@ def _export_performance(spark, sf):
 
 @register("keyed_files")
 def _keyed_files(spark, sf):
-    """Trades written as files ordered per symbol, read back with the file
-    position: each symbol's rows must come back in time order."""
+    """Trades written as files ordered per symbol, read back with their place:
+    per symbol the trades, and how often one comes before an earlier one."""
     path = work_dir(spark, "keyed")
     wr.write_keyed_files(ds.fact(spark, sf), path, fmt="parquet")
-    back = spark.read.parquet(path).withColumn("_file", F.input_file_name())
-    return back.select("symbol", "trade_id", "timestamp", "price")
+    return wr.order_violations(spark.read.parquet(path))
 
 
 # ---- incremental mart maintenance (A10 from a per-day state table) ------------------
@@ -562,4 +687,16 @@ def _mart_perf_rollup(spark, sf):
 
 @register("mart_daily_state")
 def _mart_daily_state(spark, sf):
-    return mt.daily_state(ds.stg_trades(spark, sf))
+    """The state table, its variance state as mean and variance to fixed places."""
+    state = mt.daily_state(ds.stg_trades(spark, sf))
+    return state.select("trade_date", "symbol", "n", "sum_notional", "n_notional", "sum_price", "n_price", "min_price", "max_price",
+                        F.round("mean_price", 6).alias("mean_price"),
+                        F.round(F.col("m2_price") / F.col("n_price"), 3).alias("var_price"), "max_ingested_at")
+
+
+@register("mart_daily_joined")
+def _mart_daily_joined(spark, sf):
+    """The daily mart joined to a time dimension that lacks every seventh day:
+    days without a row there have no mart row either."""
+    days = ds.dim_time(spark, sf).filter(F.col("day") % 7 != 0)
+    return mt.mart_daily_summary(ds.stg_trades(spark, sf), days)

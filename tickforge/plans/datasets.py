@@ -32,8 +32,28 @@ def silver_dead_letter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def silver_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Gold fact rows loaded from the Bronze pipeline's Silver output."""
-    return gold.to_fact(silver_good(spark, sf_dir))
+    """Gold fact rows loaded from the Bronze pipeline's Silver output: those
+    that fit the fact's column constraints."""
+    return gold.split_fact(silver_good(spark, sf_dir))[0]
+
+
+def seeded_instruments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Seeded instruments plus the valid ones that the Bronze pipeline loads."""
+    return gold.merge_dim_instrument(gold.seed_dim_instrument(spark, fixtures.SEED_INSTRUMENTS), silver_fact(spark, sf_dir))
+
+
+def silver_loaded(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """(fact, rejects) of a load: constraints on columns, then on keys against
+    the merged instruments and the dates of the fact."""
+    typed, bad = gold.split_fact(silver_good(spark, sf_dir))
+    kept, orphans = gold.enforce_foreign_keys(typed, seeded_instruments(spark, sf_dir), gold.dim_time(silver_fact(spark, sf_dir)))
+    return kept, gold.reject_rows(bad).unionByName(gold.reject_rows(orphans))
+
+
+def raw_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bronze typed and derived, neither deduplicated nor filtered: what the
+    quality checks are pointed at, as it holds violations of every kind."""
+    return silver.add_derived_columns(silver.cast_types(bronze(spark, sf_dir)))
 
 
 # ---- Gold star schema over the clean trade fixture --------------------------------
@@ -79,16 +99,16 @@ def mart_symbol_performance(spark: SparkSession, sf_dir: str, wide: bool = False
     return marts.mart_symbol_performance(stg_trades(spark, sf_dir, wide), stg_instruments(spark, sf_dir, wide))
 
 
-# ---- Gold loaded from the Bronze pipeline, checked against the reference dims ------
+# ---- Raw input against the reference dimensions --------------------------------------
 
-def gold_checked(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
-    """(fact, dim_instrument, dim_time, silver) for the quality checks and the
-    key merges: the fact is what the Bronze pipeline loads; the dimensions are
-    the reference dimensions built from the clean trades."""
+def raw_checked(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """(fact, dim_instrument, dim_time, silver) for the quality checks: the raw
+    rows in Gold and in Silver types, and the reference dimensions built from
+    the clean trades."""
     # Separate builds on purpose: one DataFrame object used in two branches of
     # a plan makes the analyzer re-instance the whole shared subtree.
-    return (silver_fact(spark, sf_dir), dim_instrument(spark, sf_dir), dim_time(spark, sf_dir),
-            silver_good(spark, sf_dir))
+    return (gold.to_fact(raw_silver(spark, sf_dir)), dim_instrument(spark, sf_dir), dim_time(spark, sf_dir),
+            raw_silver(spark, sf_dir))
 
 
 # ---- portfolio documents ---------------------------------------------------------
@@ -96,7 +116,7 @@ def gold_checked(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame
 def portfolio_documents(spark: SparkSession, sf_dir: str, from_bronze: bool = False) -> DataFrame:
     """Documents over the clean Gold fact, or over the fact the Bronze pipeline
     loads (its dimensions then derived from that fact itself). Each branch
-    builds its own fact frame (see ``gold_checked``)."""
+    builds its own fact frame (see ``raw_checked``)."""
     from ..operators import documents
 
     def f():

@@ -87,24 +87,19 @@ def _star(p: str, src: str) -> dict[str, str]:
                          min(ingested_at) AS first_ingested_at, max(ingested_at) AS last_ingested_at
                   FROM {p}stg GROUP BY trade_date, symbol) a
             JOIN {p}dim_time t ON a.trade_date = t.trade_date""",
+        f"{p}ticks": f"""
+            SELECT trade_date, symbol, traded_at, price, count(*) AS n, sum(quantity) AS quantity, sum(notional) AS notional,
+                   min(ingested_at) AS first_in, max(ingested_at) AS last_in
+            FROM {p}stg GROUP BY ALL""",
+        f"{p}tick_ends": f"""
+            SELECT trade_date, symbol, arg_min(price, (traded_at, price)) AS opening, arg_max(price, (traded_at, price)) AS closing
+            FROM {p}ticks GROUP BY ALL""",
         f"{p}mart_tick": f"""
-            SELECT DISTINCT trade_date, day_of_week, is_weekend, symbol, trade_count, total_quantity,
-                   total_notional_usd, low_price, high_price, avg_price, open_price, close_price,
-                   first_ingested_at, last_ingested_at
-            FROM (
-              SELECT t.trade_date, td.day_of_week, td.is_weekend, t.symbol,
-                     count(*) AS trade_count, sum(t.quantity) AS total_quantity,
-                     round(sum(t.notional), 2) AS total_notional_usd,
-                     round(min(t.price), 2) AS low_price, round(max(t.price), 2) AS high_price,
-                     round(t.price, 2) AS avg_price,
-                     round(first_value(t.price) OVER (PARTITION BY t.trade_date, t.symbol
-                                                      ORDER BY t.traded_at, t.price), 2) AS open_price,
-                     round(last_value(t.price) OVER (PARTITION BY t.trade_date, t.symbol
-                                                     ORDER BY t.traded_at, t.price
-                                                     ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING), 2) AS close_price,
-                     min(t.ingested_at) AS first_ingested_at, max(t.ingested_at) AS last_ingested_at
-              FROM {p}stg t JOIN {p}dim_time td ON t.trade_date = td.trade_date
-              GROUP BY t.trade_date, td.day_of_week, td.is_weekend, t.symbol, t.traded_at, t.price)""",
+            SELECT DISTINCT k.trade_date, c.day_of_week, c.is_weekend, k.symbol, n AS trade_count, quantity AS total_quantity,
+                   round(notional, 2) AS total_notional_usd, round(price, 2) AS low_price, round(price, 2) AS high_price,
+                   round(price, 2) AS avg_price, round(opening, 2) AS open_price, round(closing, 2) AS close_price,
+                   first_in AS first_ingested_at, last_in AS last_ingested_at
+            FROM {p}ticks k NATURAL JOIN {p}tick_ends e, {p}dim_time c WHERE c.trade_date = k.trade_date""",
         f"{p}mart_perf": f"""
             SELECT p.symbol, i.display_name, i.asset_class, i.is_major_coin, p.total_trades,
                    p.total_notional_usd, p.avg_notional_per_trade, p.all_time_low, p.all_time_high,
@@ -162,7 +157,8 @@ SILVER_COLS = ("trade_id, symbol, price, quantity, notional, exchange, trade_typ
 
 def parse_time(c: str) -> str:
     return (f"CASE WHEN regexp_matches(trim({c}), '^-?[0-9]{{1,18}}$') "
-            f"THEN make_timestamp(CAST(trim({c}) AS BIGINT) * 1000) "
+            f"THEN CASE WHEN CAST(trim({c}) AS BIGINT) BETWEEN -62135596800000 AND 253402300799999 "
+            f"THEN make_timestamp(CAST(trim({c}) AS BIGINT) * 1000) END "
             f"ELSE timezone('UTC', TRY_CAST(trim({c}) AS TIMESTAMPTZ)) END")
 
 
@@ -175,20 +171,29 @@ def failed_rules_sql() -> str:
             "CASE WHEN NOT coalesce(trade_id IS NOT NULL AND trade_id != '', false) THEN 'trade_id_not_empty' END)")
 
 
+# Constraints of the fact's columns.
+NOT_NULL = ["trade_id", "symbol", "trade_date", "trade_hour", "price", "quantity", "notional", "trade_type", "source",
+            '"timestamp"', "ingested_at"]
+FACT_NUMBERS = [("price", "DECIMAL(18,8)"), ("quantity", "DECIMAL(18,8)"), ("notional", "DECIMAL(18,2)")]
+FACT_WIDTHS = [("trade_id", 50), ("symbol", 20), ("trade_type", 20), ("exchange", 50), ("source", 50)]
+
 CTES.update({
     "bronze": f"""
-        SELECT CASE WHEN event_id % 103 = 0 THEN '' ELSE CAST(event_id AS VARCHAR) END AS trade_id,
+        SELECT CASE WHEN event_id % 103 = 0 THEN '' WHEN event_id % 233 = 0 THEN lpad(CAST(event_id AS VARCHAR), 60, '0')
+                    ELSE CAST(event_id AS VARCHAR) END AS trade_id,
                CASE WHEN event_id % 101 = 0 THEN ''
                     WHEN event_id % 10 = 7 THEN upper(event_type) || '-USD'
                     ELSE upper(event_type) || '/USD' END AS symbol,
                CASE WHEN event_id % 97 = 0 THEN NULL WHEN event_id % 89 = 0 THEN '-1.0'
-                    WHEN event_id % 83 = 0 THEN 'abc' ELSE CAST(value AS VARCHAR) END AS price,
+                    WHEN event_id % 83 = 0 THEN 'abc' WHEN event_id % 223 = 0 THEN '100000000000.0'
+                    ELSE CAST(value AS VARCHAR) END AS price,
                json_extract_string(props, '$.k') AS quantity,
                CAST(CAST(CAST(value AS DECIMAL(10,2)) * CAST(json_extract_string(props, '$.k') AS DECIMAL(10,0))
                     AS DECIMAL(18,2)) AS VARCHAR) AS notional,
                CASE WHEN user_id % 3 = 0 THEN NULL ELSE 'EX' || CAST(user_id % 3 AS VARCHAR) END AS exchange,
-               'CRYPTO' AS trade_type,
-               CASE WHEN event_id % 10 = 7 THEN CAST(epoch_us(ts) // 1000 AS VARCHAR)
+               CASE WHEN event_id % 199 = 0 THEN 'OPTION' ELSE 'CRYPTO' END AS trade_type,
+               CASE WHEN event_id % 227 = 0 THEN '999999999999999999' WHEN event_id % 229 = 0 THEN 'not a time'
+                    WHEN event_id % 10 = 7 THEN CAST(epoch_us(ts) // 1000 AS VARCHAR)
                     ELSE strftime(ts, {ISO}) || '+00:00' END AS "timestamp",
                strftime(ts + to_seconds(event_id % 300 + n), {ISO}) || '+00:00' AS ingested_at,
                CASE WHEN event_id % 10 = 7 THEN 'feed_b' ELSE 'feed_a' END AS source,
@@ -217,11 +222,30 @@ CTES.update({
     "s_routed": f"SELECT *, {failed_rules_sql()} AS failed_rules FROM s_round",
     "s_good": f"SELECT {SILVER_COLS} FROM s_routed WHERE failed_rules = ''",
     "s_bad": "SELECT * FROM s_routed WHERE failed_rules != ''",
+    "s_checked": f"""
+        SELECT *, concat_ws(',', {", ".join(f"CASE WHEN {c} IS NULL THEN 'null_{c.strip(chr(34))}' END" for c in NOT_NULL)},
+               {", ".join(f"CASE WHEN {c} IS NOT NULL AND TRY_CAST({c} AS {t}) IS NULL THEN 'invalid_{c}' END" for c, t in FACT_NUMBERS)},
+               {", ".join(f"CASE WHEN length({c}) > {n} THEN 'long_{c}' END" for c, n in FACT_WIDTHS)}) AS reason
+        FROM s_good""",
     "sfact": """
         SELECT trade_id, symbol, CAST(trade_date AS DATE) AS trade_date, CAST(trade_hour AS INTEGER) AS trade_hour,
                CAST(price AS DECIMAL(18,8)) AS price, CAST(quantity AS DECIMAL(18,8)) AS quantity,
                CAST(notional AS DECIMAL(18,2)) AS notional, trade_type, exchange, source, "timestamp", ingested_at
-        FROM s_good""",
+        FROM s_checked WHERE reason = ''""",
+    "seeded": """
+        SELECT * FROM (VALUES ('BTC/USD', 'BTC', 'USD', 'CRYPTO', 'SEEDED', true), ('CLICK/USD', 'CLICK', 'USD', 'CRYPTO', 'SEEDED', true),
+                              ('ETH/USD', 'ETH', 'USD', 'CRYPTO', 'SEEDED', true))
+               v(symbol, base_currency, quote_currency, asset_class, exchange, is_active)""",
+    "inst_merged": """
+        SELECT * FROM seeded UNION ALL
+        SELECT symbol, split_part(symbol, '/', 1), substr(symbol, strpos(symbol, '/') + 1), 'CRYPTO',
+               CASE WHEN count(DISTINCT exchange) = 1 THEN any_value(exchange) END, true
+        FROM sfact WHERE strpos(symbol, '/') > 0 AND symbol NOT IN (SELECT symbol FROM seeded) GROUP BY symbol""",
+})
+CTES.update({
+    "rfact": """
+        SELECT trade_id, symbol, TRY_CAST(trade_date AS DATE) AS trade_date, TRY_CAST(price AS DECIMAL(18,8)) AS price, trade_type
+        FROM s_derived""",
 })
 CTES.update(_star("", "tfe"))
 CTES.update(_star("w_", "wtr"))
@@ -311,39 +335,40 @@ def checks_sql(rows: list[tuple[str, str]]) -> str:
         f"SELECT '{n}' AS check_name, CAST(({q}) AS BIGINT) AS failures, ({q}) = 0 AS passed" for n, q in rows)
 
 
+from ..operators.documents import DOC_PIPELINE, DOC_SOURCE, DOC_VERSION  # noqa: E402
 from ..schemas import FIXED_VARCHAR_LIMITS  # noqa: E402
 
 DQ = {
     "dq_unique": [
-        ("unique:fact_trades.trade_id", "SELECT count(*) FROM (SELECT trade_id FROM sfact GROUP BY trade_id HAVING count(*) > 1)"),
+        ("unique:fact_trades.trade_id", "SELECT count(*) FROM (SELECT trade_id FROM rfact GROUP BY trade_id HAVING count(*) > 1)"),
         ("unique:dim_instrument.symbol", "SELECT count(*) FROM (SELECT symbol FROM dim_instrument GROUP BY symbol HAVING count(*) > 1)"),
         ("unique:dim_time.trade_date", "SELECT count(*) FROM (SELECT trade_date FROM dim_time GROUP BY trade_date HAVING count(*) > 1)"),
     ],
     "dq_not_null": [
-        ("not_null:fact_trades.trade_id", "SELECT count(*) FROM sfact WHERE trade_id IS NULL"),
-        ("not_null:fact_trades.symbol", "SELECT count(*) FROM sfact WHERE symbol IS NULL"),
-        ("not_null:fact_trades.price", "SELECT count(*) FROM sfact WHERE price IS NULL"),
+        ("not_null:fact_trades.trade_id", "SELECT count(*) FROM rfact WHERE trade_id IS NULL"),
+        ("not_null:fact_trades.symbol", "SELECT count(*) FROM rfact WHERE symbol IS NULL"),
+        ("not_null:fact_trades.price", "SELECT count(*) FROM rfact WHERE price IS NULL"),
         ("not_null:dim_instrument.symbol", "SELECT count(*) FROM dim_instrument WHERE symbol IS NULL"),
         ("not_null:dim_time.trade_date", "SELECT count(*) FROM dim_time WHERE trade_date IS NULL"),
     ],
     "dq_relationships": [
         ("relationships:fact_trades.symbol->dim_instrument",
-         "SELECT count(*) FROM sfact f WHERE f.symbol IS NOT NULL AND NOT EXISTS (SELECT 1 FROM dim_instrument i WHERE i.symbol = f.symbol)"),
+         "SELECT count(*) FROM rfact f WHERE f.symbol IS NOT NULL AND NOT EXISTS (SELECT 1 FROM dim_instrument i WHERE i.symbol = f.symbol)"),
         ("relationships:fact_trades.trade_date->dim_time",
-         "SELECT count(*) FROM sfact f WHERE f.trade_date IS NOT NULL AND NOT EXISTS (SELECT 1 FROM dim_time t WHERE t.trade_date = f.trade_date)"),
+         "SELECT count(*) FROM rfact f WHERE f.trade_date IS NOT NULL AND NOT EXISTS (SELECT 1 FROM dim_time t WHERE t.trade_date = f.trade_date)"),
     ],
     "dq_accepted_values": [
         ("accepted_values:dim_instrument.asset_class",
          "SELECT count(*) FROM dim_instrument WHERE NOT (asset_class IN ('CRYPTO', 'EQUITY', 'FX'))"),
         ("accepted_values:fact_trades.trade_type",
-         "SELECT count(*) FROM sfact WHERE NOT (trade_type IN ('CRYPTO', 'EQUITY'))"),
+         "SELECT count(*) FROM rfact WHERE NOT (trade_type IN ('CRYPTO', 'EQUITY'))"),
     ],
     "dq_type_bounds": [
-        *[(f"length:fact_trades.{c}<={n}", f"SELECT count(*) FROM s_good WHERE length({c}) > {n}")
+        *[(f"length:fact_trades.{c}<={n}", f"SELECT count(*) FROM s_derived WHERE length({c}) > {n}")
           for c, n in FIXED_VARCHAR_LIMITS["fact_trades"].items()],
-        ("numeric:fact_trades.price(18,8)", "SELECT count(*) FROM s_good WHERE price IS NOT NULL AND TRY_CAST(price AS DECIMAL(18,8)) IS NULL"),
-        ("numeric:fact_trades.quantity(18,8)", "SELECT count(*) FROM s_good WHERE quantity IS NOT NULL AND TRY_CAST(quantity AS DECIMAL(18,8)) IS NULL"),
-        ("numeric:fact_trades.notional(18,2)", "SELECT count(*) FROM s_good WHERE notional IS NOT NULL AND TRY_CAST(notional AS DECIMAL(18,2)) IS NULL"),
+        ("numeric:fact_trades.price(18,8)", "SELECT count(*) FROM s_derived WHERE price IS NOT NULL AND TRY_CAST(price AS DECIMAL(18,8)) IS NULL"),
+        ("numeric:fact_trades.quantity(18,8)", "SELECT count(*) FROM s_derived WHERE quantity IS NOT NULL AND TRY_CAST(quantity AS DECIMAL(18,8)) IS NULL"),
+        ("numeric:fact_trades.notional(18,2)", "SELECT count(*) FROM s_derived WHERE notional IS NOT NULL AND TRY_CAST(notional AS DECIMAL(18,2)) IS NULL"),
         *[(f"length:dim_instrument.{c}<={n}", f"SELECT count(*) FROM dim_instrument WHERE length({c}) > {n}")
           for c, n in FIXED_VARCHAR_LIMITS["dim_instrument"].items()],
     ],
@@ -352,7 +377,7 @@ DQ_ALL = [r for k in ("dq_unique", "dq_not_null", "dq_relationships", "dq_accept
 
 PERF_W = "w_mart_perf"
 HOUR_COLS = ", ".join(
-    f"CAST(coalesce(sum(total_notional) FILTER (WHERE trade_hour = {h}), 0) AS DOUBLE) AS h{h:02d}" for h in range(24))
+    f"CAST(coalesce(sum(trade_count) FILTER (WHERE trade_hour = {h}), 0) AS BIGINT) AS h{h:02d}" for h in range(24))
 DAILY_SLICE = ("(SELECT DISTINCT trade_date, day_of_week, is_weekend, symbol, trade_count, total_notional_usd, "
                "low_price, high_price, avg_price, open_price, close_price FROM {src} "
                "WHERE symbol = 'CLICK/USD' AND trade_date >= DATE '2024-01-08' AND trade_date <= DATE '2024-01-21')")
@@ -367,6 +392,13 @@ STATS = f"""(SELECT count(*) AS total_trades, count(DISTINCT trade_date) AS trad
         count(*) FILTER (WHERE exchange = 'UNKNOWN') AS null_exchange_count FROM fact)"""
 
 
+DAILY_OUT = f"""SELECT {d('trade_date')} AS trade_date, day_of_week, is_weekend, symbol, trade_count,
+        CAST(total_notional_usd AS DOUBLE) AS total_notional_usd, CAST(low_price AS DOUBLE) AS low_price,
+        CAST(high_price AS DOUBLE) AS high_price, CAST(avg_price AS DOUBLE) AS avg_price,
+        CAST(open_price AS DOUBLE) AS open_price, CAST(close_price AS DOUBLE) AS close_price
+        FROM {DAILY_SLICE.format(src='mart_daily')}"""
+
+
 def report_daily_sql(src: str) -> str:
     return f"""SELECT {d('trade_date')} AS trade_date, symbol, CAST(sum(trade_count) AS BIGINT) AS trade_count,
         CAST(sum(total_notional_usd) AS DOUBLE) AS total_notional_usd, CAST({avg2('avg_price')} AS DOUBLE) AS avg_price
@@ -389,6 +421,12 @@ ORACLE.update({
                      LEFT JOIN (SELECT DISTINCT trade_date FROM dim_time) t ON f.trade_date = t.trade_date)
         WHERE reason != ''"""),
     "fact_trades_new": with_ctes(f"SELECT {FACT_OUT} FROM fact WHERE trade_id NOT IN (SELECT trade_id FROM sfact WHERE trade_id IS NOT NULL)"),
+    "fact_loaded": with_ctes(f"SELECT {FACT_OUT} FROM sfact WHERE symbol IN (SELECT symbol FROM inst_merged)"),
+    "fact_rejects": with_ctes("""
+        SELECT trade_id, symbol, trade_date, price, reason FROM s_checked WHERE reason != ''
+        UNION ALL SELECT trade_id, symbol, strftime(trade_date, '%Y-%m-%d'), CAST(price AS DOUBLE), 'missing_instrument'
+        FROM sfact WHERE symbol NOT IN (SELECT symbol FROM inst_merged)"""),
+    "dim_instrument_merged": with_ctes("SELECT * FROM inst_merged"),
     "dim_time_new": with_ctes(f"SELECT {DIM_TIME_OUT} FROM w_dim_time WHERE trade_date NOT IN (SELECT trade_date FROM dim_time)"),
     "gold_symbol_distribution": with_ctes(f"""SELECT f.symbol, i.asset_class, f.trade_count, f.avg_price, f.total_notional FROM
         (SELECT symbol, count(trade_id) AS trade_count, CAST({avg2('price')} AS DOUBLE) AS avg_price,
@@ -404,8 +442,8 @@ ORACLE.update({
         i.asset_class, i.base_currency, i.quote_currency
         FROM fact f JOIN dim_instrument i ON f.symbol = i.symbol"""),
     "silver_symbol_distribution": with_ctes(f"""SELECT symbol, count(*) AS trade_count,
-        CAST({avg2('CAST(price AS DECIMAL(18,8))')} AS DOUBLE) AS avg_price,
-        CAST(sum(CAST(notional AS DECIMAL(18,2))) AS DOUBLE) AS total_notional FROM s_good GROUP BY symbol"""),
+        CAST({avg2('TRY_CAST(price AS DECIMAL(18,8))')} AS DOUBLE) AS avg_price,
+        CAST(sum(TRY_CAST(notional AS DECIMAL(18,2))) AS DOUBLE) AS total_notional FROM s_good GROUP BY symbol"""),
     "pipeline_stats": with_ctes(f"""SELECT total_trades, trading_days, symbols, {ts('first_ingested')} AS first_ingested,
         {ts('last_ingested')} AS last_ingested, CAST(total_notional AS DOUBLE) AS total_notional,
         CAST(avg_notional AS DOUBLE) AS avg_notional, null_exchange_count FROM {STATS}"""),
@@ -414,11 +452,7 @@ ORACLE.update({
         CAST(sum(total_notional) AS DOUBLE) AS total_notional, printf('%02d:00', trade_hour) AS hour_label
         FROM {HOURLY} GROUP BY trade_hour"""),
     "hourly_pivot": with_ctes(f"SELECT symbol, {HOUR_COLS} FROM {HOURLY} GROUP BY symbol"),
-    "daily_filtered": with_ctes(f"""SELECT {d('trade_date')} AS trade_date, day_of_week, is_weekend, symbol, trade_count,
-        CAST(total_notional_usd AS DOUBLE) AS total_notional_usd, CAST(low_price AS DOUBLE) AS low_price,
-        CAST(high_price AS DOUBLE) AS high_price, CAST(avg_price AS DOUBLE) AS avg_price,
-        CAST(open_price AS DOUBLE) AS open_price, CAST(close_price AS DOUBLE) AS close_price
-        FROM {DAILY_SLICE.format(src='mart_daily')}"""),
+    "daily_filtered": with_ctes(DAILY_OUT),
     "date_bounds": with_ctes(f"SELECT {d('min(trade_date)')} AS min_date, {d('max(trade_date)')} AS max_date FROM mart_daily"),
     "daily_volume_trend": with_ctes(f"""SELECT {d('trade_date')} AS trade_date, symbol,
         CAST(sum(total_notional_usd) AS DOUBLE) AS total_notional_usd
@@ -509,7 +543,7 @@ FEED_A = """(SELECT CASE WHEN event_id % 103 = 0 THEN '' ELSE CAST(event_id AS V
         'CRYPTO' AS trade_type, ts AS "timestamp", ts + to_seconds(event_id % 300) AS ingested_at,
         'feed_a' AS source,
         CASE WHEN event_id % 4 IN (0, 1) THEN NULL ELSE 'I,' || upper(substr(event_type, 1, 1)) END AS conditions
-        FROM events WHERE event_id % 10 != 7)"""
+        FROM events WHERE event_id % 10 != 7 AND event_id % 37 != 0)"""
 FEED_B = """(SELECT CASE WHEN event_id % 103 = 0 THEN '' ELSE CAST(event_id AS VARCHAR) END AS trade_id,
         upper(event_type) || '/USD' AS symbol, value AS price,
         CAST(json_extract_string(props, '$.k') AS DOUBLE) AS quantity,
@@ -534,6 +568,11 @@ ORACLE.update({
         {ts('"timestamp"')} AS "timestamp", {ts('ingested_at')} AS ingested_at, source FROM {FEED_B}"""),
     "feed_corrupt": with_ctes(f"""SELECT event_id AS message_id, {ts('ts + to_seconds(event_id % 300)')} AS arrived_at,
         'malformed_json' AS reason FROM events WHERE event_id % 10 = 7 AND event_id % 31 = 0"""),
+    "feed_a_corrupt": with_ctes("""SELECT event_id AS message_id, 'malformed_json' AS reason FROM events
+        WHERE event_id % 10 != 7 AND event_id % 37 = 0"""),
+    "topic_rejects": with_ctes(f"""SELECT event_id AS message_id, {ts('ts + to_seconds(event_id % 300)')} AS arrived_at,
+        'malformed_json' AS reason FROM events
+        WHERE (event_id % 10 = 7 AND event_id % 31 = 0) OR (event_id % 10 != 7 AND event_id % 37 = 0)"""),
     "feed_union": with_ctes(f"""SELECT trade_id, symbol, price, quantity, notional, exchange, trade_type,
         {ts('"timestamp"')} AS "timestamp", {ts('ingested_at')} AS ingested_at, source, conditions, exchange_id
         FROM (SELECT *, CAST(NULL AS VARCHAR) AS exchange_id FROM {FEED_A}
@@ -558,20 +597,60 @@ ORACLE.update({
         CASE WHEN (SELECT count(*) FROM s_bad) > 0 THEN 'PARTIAL' ELSE 'SUCCESS' END AS status"""),
 })
 
+ORACLE["topic_trades"] = ORACLE["feed_union"]
+ISO_TEXT = "strftime({c}, '%Y-%m-%dT%H:%M:%S.%f') || 'Z'"
+
 ORACLE.update({
-    "stream_silver": ORACLE["silver_scan"],
-    # stream_dedup has no statement: which re-occurring keys pass depends on
-    # where the watermark stands per micro-batch (checked in tests instead).
+    "stream_silver": with_ctes(f"""SELECT trade_id, symbol, price, quantity, notional, exchange, trade_type,
+        {ts('"timestamp"')} AS "timestamp", source, conditions, trade_date, CAST(trade_hour AS BIGINT) AS trade_hour FROM s_good"""),
+    "stream_dedup": with_ctes("SELECT DISTINCT trade_id FROM bronze"),
+    "stream_bronze": with_ctes(f"""SELECT trade_id, symbol, CAST(price AS VARCHAR) AS price, CAST(quantity AS VARCHAR) AS quantity,
+        CAST(notional AS VARCHAR) AS notional, exchange, trade_type, {ISO_TEXT.format(c='"timestamp"')} AS "timestamp",
+        {ISO_TEXT.format(c='ingested_at')} AS ingested_at, source, conditions
+        FROM (SELECT * FROM {FEED_A} UNION ALL BY NAME
+              SELECT * EXCLUDE (exchange_id), CAST(NULL AS VARCHAR) AS exchange, CAST(NULL AS VARCHAR) AS conditions FROM {FEED_B})"""),
+    "dead_letter_scan": ORACLE["quality_dead_letter"],
+    "materialized": with_ctes("""SELECT symbol, count(*) AS trades, kind FROM fact, (VALUES ('view'), ('table')) k(kind)
+        GROUP BY symbol, kind"""),
 })
 
 ORACLE.update({
     "daily_summary_sql": ORACLE["daily_filtered"],
     "pipeline_stats_sql": ORACLE["pipeline_stats"],
+    "hourly_volume_sql": ORACLE["hourly_volume"],
+    "all_trades_sql": ORACLE["export_trades"],
+    "symbol_performance_sql": with_ctes(f"SELECT * EXCLUDE (last_updated, activity_rank) FROM ({mart_perf_out('mart_perf')})"),
+    "recent_trades_sql": with_ctes(f"""SELECT symbol, CAST(price AS DOUBLE) AS price, CAST(quantity AS DOUBLE) AS quantity,
+        CAST(notional AS DOUBLE) AS notional, {ts('"timestamp"')} AS "timestamp", {d('trade_date')} AS trade_date, trade_hour,
+        source, trade_id FROM (SELECT * FROM fact WHERE symbol = 'CLICK/USD' ORDER BY "timestamp" DESC, trade_id DESC LIMIT 25)"""),
     "export_performance": with_ctes(mart_perf_out("w_mart_perf")),
-    "keyed_files": with_ctes(f"""SELECT symbol, trade_id, {ts('"timestamp"')} AS "timestamp",
-        CAST(price AS DOUBLE) AS price FROM fact"""),
-})
-
-ORACLE.update({
+    "keyed_files": with_ctes("SELECT symbol, count(*) AS trades, 0 AS order_violations FROM fact GROUP BY symbol"),
     "mart_symbol_performance_rollup": ORACLE["mart_symbol_performance_wide"],
+    "mart_daily_state": with_ctes(f"""SELECT {d('trade_date')} AS trade_date, symbol, count(*) AS n, {dbl('sum(notional)')} AS sum_notional,
+        count(notional) AS n_notional, {dbl('sum(price)')} AS sum_price, count(price) AS n_price, {dbl('min(price)')} AS min_price,
+        {dbl('max(price)')} AS max_price, round(avg(CAST(price AS DOUBLE)), 6) AS mean_price,
+        round(var_pop(CAST(price AS DOUBLE)), 3) AS var_price, {ts('max(ingested_at)')} AS max_ingested_at
+        FROM stg GROUP BY ALL"""),
+    "mart_daily_joined": with_ctes(mart_daily_out("(SELECT * FROM mart_daily WHERE day(trade_date) % 7 != 0)")),
+    "daily_ordered": with_ctes(f"SELECT *, row_number() OVER (ORDER BY trade_date, symbol) AS position FROM ({DAILY_OUT})"),
+    "performance_ordered": with_ctes(f"""SELECT row_number() OVER (ORDER BY volume_rank, symbol) AS position, symbol,
+        CAST(total_notional_usd AS DOUBLE) AS total_notional_usd, volume_rank FROM {PERF_W}"""),
+    "asset_profile_one": ORACLE["asset_profile"].replace(f"FROM {PERF_W}", "FROM mart_perf WHERE symbol = 'CLICK/USD'"),
+    "market_log": with_ctes(f"""SELECT strftime("timestamp", '%Y-%m-%d %H:%M:%S') AS timestamp_utc, symbol,
+        '$' || format('{{:,.4f}}', CAST(price AS DOUBLE)) AS price, CAST(quantity AS DOUBLE) AS qty,
+        '$' || format('{{:,.2f}}', CAST(notional AS DOUBLE)) AS notional, printf('%02d:00', trade_hour) AS hour
+        FROM {RECENT.format(n=20)}"""),
+    "asset_log": with_ctes("""SELECT strftime("timestamp", '%Y-%m-%d %H:%M:%S') AS timestamp_utc,
+        '$' || format('{:,.4f}', CAST(price AS DOUBLE)) AS price, CAST(quantity AS DOUBLE) AS qty,
+        '$' || format('{:,.2f}', CAST(notional AS DOUBLE)) AS notional, source
+        FROM (SELECT * FROM fact WHERE symbol = 'CLICK/USD' ORDER BY "timestamp" DESC, trade_id DESC LIMIT 20)"""),
+    "report_preview": with_ctes(f"""SELECT trade_id, symbol, '$' || format('{{:,.4f}}', CAST(price AS DOUBLE)) AS price,
+        CAST(quantity AS DOUBLE) AS quantity, '$' || format('{{:,.2f}}', CAST(notional AS DOUBLE)) AS notional,
+        strftime("timestamp", '%Y-%m-%d %H:%M:%S') AS "timestamp" FROM {RECENT.format(n=100)}"""),
+    "portfolio_performance_flat": with_ctes(f"""SELECT symbol AS _id, symbol, display_name, asset_class, is_major_coin, total_trades,
+        {dbl('total_notional_usd')} AS total_notional_usd, {dbl('avg_notional_per_trade')} AS avg_notional_per_trade,
+        {dbl('all_time_low')} AS all_time_low, {dbl('all_time_high')} AS all_time_high, {dbl('avg_price')} AS avg_price,
+        {dbl('price_stddev')} AS price_stddev, trading_days, {d('first_seen')} AS first_seen, {d('last_seen')} AS last_seen,
+        volume_rank, activity_rank, '{DOC_SOURCE}' AS metadata_source, '{DOC_PIPELINE}' AS metadata_pipeline,
+        {ts('last_updated')} AS metadata_last_updated, '{DOC_VERSION}' AS metadata_version FROM mart_perf"""),
 })

@@ -1,9 +1,8 @@
 """End-to-end runs of the medallion flow, one action per sink.
 
-Metrics are gathered with ``DataFrame.observe`` during the writes themselves,
-so a run reads Bronze once per sink instead of re-counting every stage; the
-dedup choice is deterministic, so the Silver and dead-letter writes (and any
-task retried after a lost executor) agree on every row.
+A run reads its input once: what two sinks share is staged in the session's
+shared folder, and metrics are gathered with ``DataFrame.observe`` during the
+writes or counted on the staged rows.
 """
 
 from __future__ import annotations
@@ -14,10 +13,10 @@ from dataclasses import asdict, dataclass
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.rules import passes_all
+from ..functions.rules import passes_all, with_failed_rules
 from ..operators import documents, gold, marts, silver
 from ..sinks import writers
-from ..session import OBSERVED_WRITE_CONF, conf_override
+from ..session import OBSERVED_WRITE_CONF, conf_override, path_exists, remove_path, work_dir
 from ..sources import layers
 
 
@@ -51,88 +50,95 @@ def metrics_frame(bronze: DataFrame, rules: dict[str, str] | None = None) -> Dat
         F.when(F.col("rows_dead_letter") > 0, F.lit("PARTIAL")).otherwise(F.lit("SUCCESS")).alias("status"))
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
-
-
 def bronze_to_silver(spark: SparkSession, bronze_path: str, silver_path: str, dead_letter_base: str,
                      batch_date: str | None = None, run_id: str | None = None,
                      rules: dict[str, str] | None = None, key_scope: str = "global") -> RunMetrics:
     """Read Bronze (optionally one day), clean, split, and write Silver and the
     dead letter. Re-running adds no Silver row: keys already in Silver are
-    skipped (left-anti on trade_id against the stored keys). ``key_scope=
-    "partition"`` compares against the trade dates the batch touches only
-    (partition-pruned; see ``gold.insert_new_in_partitions``).
+    skipped (``gold.insert_new``). ``key_scope="partition"`` compares against
+    the trade dates the batch touches only (partition-pruned; see
+    ``gold.insert_new_in_partitions``).
 
-    Two actions, one per sink; each plan carries its own observations (an
-    observation belongs to exactly one action). The dedup choice is
-    deterministic, so both plans see the same deduplicated rows.
+    Bronze is read and deduplicated once: the prepared rows are staged in the
+    shared folder with the verdict beside them, and both sinks, the dates and
+    the counts read them there.
     """
-    ok = passes_all(rules)
-
-    # Silver: read -> count -> dedup -> count -> good -> insert-if-absent -> count -> write
-    obs_read, obs_dedup, obs_cand, obs_good = (Observation(n) for n in ("read", "dedup", "cand", "good"))
+    obs_read = Observation("read")
     bronze = layers.read_bronze_records(spark, bronze_path, batch_date).observe(obs_read, F.count(F.lit(1)).alias("n"))
-    prepared = silver.silver_prepared(bronze).observe(obs_dedup, F.count(F.lit(1)).alias("n"))
-    good = prepared.filter(ok).observe(obs_cand, F.count(F.lit(1)).alias("n"))
-    if _exists(spark, silver_path):
-        stored = spark.read.parquet(silver_path)
-        if key_scope == "partition":
-            # dates from a separate, unobserved projection of Bronze: a superset
-            # of the good rows' dates (the observed plan must run only once)
-            raw = layers.read_bronze_records(spark, bronze_path, batch_date)
-            dates = [r[0] for r in raw.select(F.date_format(silver.parse_event_time("timestamp"), "yyyy-MM-dd")
-                                              .alias("d")).distinct().collect() if r[0] is not None]
-            good = gold.insert_new_in_partitions(good, stored, "trade_id", "trade_date", dates)
-        else:
-            good = gold.insert_new(good, stored.select("trade_id"), "trade_id")
-    with conf_override(spark, OBSERVED_WRITE_CONF):
-        writers.write_silver(good.observe(obs_good, F.count(F.lit(1)).alias("n")), silver_path)
-
-    # Dead letter: its own plan over the same input
-    obs_bad = Observation("dead_letter")
-    bad = silver.quality_split(silver.silver_prepared(layers.read_bronze_records(spark, bronze_path, batch_date)),
-                               rules)[1].observe(obs_bad, F.count(F.lit(1)).alias("n"))
-    run_id = run_id or _dt.datetime.now(_dt.timezone.utc).strftime("%Y%m%d_%H%M%S_%f")
-    with conf_override(spark, OBSERVED_WRITE_CONF):
+    stage = work_dir(spark, "prepared")
+    m = RunMetrics()
+    try:
+        with conf_override(spark, OBSERVED_WRITE_CONF):
+            silver.silver_prepared(bronze).withColumn("_ok", passes_all(rules)).write.parquet(stage)
+        prepared = spark.read.parquet(stage)
+        counted = prepared.agg(F.count(F.lit(1)), F.count_if("_ok")).first()
+        good = prepared.filter("_ok").drop("_ok")
+        if path_exists(spark, silver_path):
+            stored = layers.read_silver(spark, silver_path)
+            good = (gold.insert_new_in_partitions(good, stored, "trade_id", "trade_date")
+                    if key_scope == "partition" else gold.insert_new(good, stored, "trade_id"))
+        obs_good = Observation("good")
+        with conf_override(spark, OBSERVED_WRITE_CONF):
+            writers.write_silver(good.observe(obs_good, F.count(F.lit(1)).alias("n")), silver_path)
+        bad = with_failed_rules(prepared.filter("NOT _ok").drop("_ok"), rules)
+        run_id = run_id or _dt.datetime.now(_dt.timezone.utc).strftime("%Y%m%d_%H%M%S_%f")
         writers.write_dead_letter(bad, dead_letter_base, run_id)
+    finally:
+        remove_path(spark, stage)
 
-    m = RunMetrics()
     m.rows_read = int(obs_read.get["n"])
-    m.rows_after_dedup = int(obs_dedup.get["n"])
+    m.rows_after_dedup = int(counted[0])
     m.duplicates_removed = m.rows_read - m.rows_after_dedup
     m.rows_written = int(obs_good.get["n"])
-    m.rows_already_present = int(obs_cand.get["n"]) - m.rows_written
-    m.rows_dead_letter = int(obs_bad.get["n"])
+    m.rows_already_present = int(counted[1]) - m.rows_written
+    m.rows_dead_letter = m.rows_after_dedup - int(counted[1])
     m.status = "PARTIAL" if m.rows_dead_letter else "SUCCESS"
     return m
 
 
-def silver_to_gold(spark: SparkSession, silver_path: str, gold_base: str) -> dict:
-    """Load Silver into the star schema: new dates, new instruments, and fact
-    rows whose trade_id is not stored yet (insert-if-absent, set-based).
-    Fact rows are partitioned by trade_date. Returns, per table, how many rows
-    were inserted and how many were skipped as already present."""
+def silver_to_gold(spark: SparkSession, silver_path: str, gold_base: str, trade_dates: list[str] | None = None,
+                   seed: list[tuple] | None = None) -> dict:
+    """Load Silver (optionally some trade dates) into the star schema, under its constraints.
+
+    New dates, instruments and fact rows are inserted if absent. A fact row
+    that breaks a NOT NULL, width or range constraint, or whose instrument or
+    date is unknown, goes to ``fact_rejects`` with the reasons. ``seed`` rows
+    start an instrument dimension that doesn't exist yet. Fact rows are
+    partitioned by trade_date. Returns, per table, how many rows were inserted
+    and how many were skipped as already present.
+    """
     base = gold_base.rstrip("/")
-    fact = gold.to_fact(layers.read_silver(spark, silver_path))
+    stage = work_dir(spark, "fact")
     counts = {}
-    for name, frame, key, parts in (
-        ("dim_time", gold.dim_time(fact), "trade_date", None),
-        ("dim_instrument", gold.dim_instrument(fact), "symbol", None),
-        ("fact_trades", silver.dedup_by_key(fact), "trade_id", ["trade_date"]),
-    ):
+
+    def insert(name: str, frame: DataFrame, key: str, parts: list[str] | None = None) -> None:
         path = f"{base}/{name}"
         obs_in, obs_out = Observation(f"gold_{name}_in"), Observation(f"gold_{name}_out")
         frame = frame.observe(obs_in, F.count(F.lit(1)).alias("n"))
-        if _exists(spark, path):
+        if path_exists(spark, path):
             frame = gold.insert_new(frame, spark.read.parquet(path), key)
         frame = frame.observe(obs_out, F.count(F.lit(1)).alias("n"))
         with conf_override(spark, OBSERVED_WRITE_CONF):
             writers.write_table(frame, path, partition_by=parts, mode="append")
         inserted = int(obs_out.get["n"])
         counts[name] = {"inserted": inserted, "skipped": int(obs_in.get["n"]) - inserted}
+
+    try:
+        rows = silver.dedup_by_key(layers.read_silver(spark, silver_path, trade_dates))
+        rows.withColumn("reason", gold.fact_violations()).write.parquet(stage)
+        rows = spark.read.parquet(stage)
+        fact = gold.to_fact(rows.filter("reason = ''"))
+        insert("dim_time", gold.dim_time(fact), "trade_date")
+        if seed and not path_exists(spark, f"{base}/dim_instrument"):
+            writers.write_table(gold.seed_dim_instrument(spark, seed), f"{base}/dim_instrument")
+        insert("dim_instrument", gold.valid_instruments(gold.dim_instrument(fact)), "symbol")
+        kept, orphans = gold.enforce_foreign_keys(fact, spark.read.parquet(f"{base}/dim_instrument"),
+                                                  spark.read.parquet(f"{base}/dim_time"))
+        insert("fact_trades", kept, "trade_id", ["trade_date"])
+        rejects = gold.reject_rows(rows.filter("reason <> ''")).unionByName(gold.reject_rows(orphans))
+        insert("fact_rejects", rejects, "reject_id")
+    finally:
+        remove_path(spark, stage)
     return counts
 
 
@@ -154,7 +160,8 @@ def gold_to_marts(spark: SparkSession, gold_base: str, marts_base: str,
     inst = writers.materialize(spark, marts.stg_instruments(spark.read.parquet(f"{base}/dim_instrument"), majors),
                                "stg_instruments")
     days = spark.read.parquet(f"{base}/dim_time")
-    with conf_override(spark, {"spark.sql.sources.partitionOverwriteMode": "dynamic"}):
+    # A full rebuild replaces the tables, with days that are gone; a refresh replaces the days given.
+    with conf_override(spark, {"spark.sql.sources.partitionOverwriteMode": "dynamic" if dates else "static"}):
         writers.write_table(marts.mart_daily_summary(stg, days), f"{out}/mart_daily_summary", ["trade_date"])
         writers.write_table(marts.daily_state(stg), f"{out}/mart_daily_state", ["trade_date"])
     # derived from the state table (another path), so overwriting is safe

@@ -18,17 +18,21 @@ def _struct(*fields: tuple) -> T.StructType:
     return T.StructType([T.StructField(n, t, True) for n, t in fields])
 
 
-# Feed A event: typed JSON object, one per message.
+# A message that does not parse is kept whole in this field.
+CORRUPT = "_corrupt_record"
+
+# Feed A event: JSON object, one per message. Numbers are read as text, as a
+# feed may quote them, and cast afterwards.
 FEED_A_SCHEMA = _struct(
-    ("trade_id", S), ("symbol", S), ("price", D), ("quantity", D), ("notional", D),
+    ("trade_id", S), ("symbol", S), ("price", S), ("quantity", S), ("notional", S),
     ("exchange", S), ("trade_type", S), ("timestamp", S), ("ingested_at", S),
-    ("source", S), ("conditions", T.ArrayType(S)),
+    ("source", S), ("conditions", T.ArrayType(S)), (CORRUPT, S),
 )
 
 # Feed B message: a JSON array of short-keyed objects; only ev = 'XT' are trades.
 FEED_B_ITEM = _struct(
     ("ev", S), ("status", S), ("message", S), ("i", S), ("pair", S),
-    ("p", D), ("s", D), ("x", S), ("t", T.LongType()),
+    ("p", S), ("s", S), ("x", S), ("t", S),
 )
 FEED_B_SCHEMA = T.ArrayType(FEED_B_ITEM)
 
@@ -56,6 +60,8 @@ FACT_SCHEMA = _struct(
     ("exchange", S), ("source", S), ("timestamp", TS), ("ingested_at", TS),
 )
 FACT_COLUMNS = [f.name for f in FACT_SCHEMA.fields]
+# NOT NULL columns of the fact.
+FACT_NOT_NULL = [c for c in FACT_COLUMNS if c != "exchange"]
 
 DIM_INSTRUMENT_SCHEMA = _struct(
     ("symbol", S), ("base_currency", S), ("quote_currency", S), ("asset_class", S),

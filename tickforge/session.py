@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import atexit
+import re
+import shutil
 import tempfile
-from contextlib import contextmanager
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -17,7 +20,6 @@ ENGINE_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.parquet.filterPushdown": "true",
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }
 
 
@@ -76,31 +78,38 @@ def cluster_conf(input_bytes: int, total_cores: int,
 
 
 def apply_engine_conf(spark: SparkSession, shuffle_partitions: int | None = None) -> None:
-    """Apply the runtime-settable engine settings to an existing session."""
+    """Apply the engine settings, all of which a session can change at run time, to an existing session.
+
+    Fails if one cannot be set: results depend on the UTC zone.
+    """
     for k, v in ENGINE_CONF.items():
-        try:
+        if spark.conf.get(k, None) != v:
             spark.conf.set(k, v)
-        except Exception:  # static conf on a shared session: leave it
-            pass
     if shuffle_partitions:
         spark.conf.set("spark.sql.shuffle.partitions", str(shuffle_partitions))
 
 
+class NoSharedFolderError(RuntimeError):
+    """Raised when intermediate tables have no folder that every executor sees."""
+
+
 def checkpoint_base(spark: SparkSession) -> str:
     """The shared folder for lineage cuts and intermediate tables.
 
-    Taken from the session (``spark.checkpoint.dir`` or an already set
-    checkpoint dir). Only when neither is set (local tests) is a fresh local
-    temp folder created and registered.
+    Taken from the session (``spark.checkpoint.dir`` or a checkpoint dir that is already set). A local master, where
+    driver and executors are one process, falls back to a temp folder, which goes when Python ends; any other fails,
+    since each executor would write to its own disk.
     """
     sc = spark.sparkContext
-    base = sc.getCheckpointDir() or sc.getConf().get("spark.checkpoint.dir", None)
-    if not base:
-        sc.setCheckpointDir(tempfile.mkdtemp(prefix="tickforge-ckpt-"))
-        base = sc.getCheckpointDir()
-    elif sc.getCheckpointDir() is None:
+    if sc.getCheckpointDir() is None:
+        base = sc.getConf().get("spark.checkpoint.dir", None)
+        if not base:
+            if not re.fullmatch(r"local(\[[^\]]*\])?", sc.master):
+                raise NoSharedFolderError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+            base = tempfile.mkdtemp(prefix="tickforge-ckpt-")
+            atexit.register(shutil.rmtree, base, ignore_errors=True)
         sc.setCheckpointDir(base)
-    return base.rstrip("/")
+    return sc.getCheckpointDir().rstrip("/")
 
 
 def work_dir(spark: SparkSession, name: str) -> str:
@@ -108,6 +117,17 @@ def work_dir(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_base(spark)}/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder that the caller made for intermediate data."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
 @contextmanager
 def conf_override(spark: SparkSession, settings: dict):
     """Temporarily set runtime SQL confs, restoring the previous values."""

@@ -3,16 +3,17 @@ arguments, so the same code writes to a cluster file system or object store.
 
 Layouts:
 * Bronze: JSON lines, partitioned by arrival year/month/day/hour (zero-padded).
-* Silver: parquet partitioned by trade_date/trade_hour; rows are clustered by
-  the partition columns first, so each task writes few files, and sorted by
+* Silver: parquet partitioned by trade_date/trade_hour; rows are dealt by the
+  partition columns first, so each task writes few files, and sorted by
   symbol/timestamp inside files so row-group statistics prune symbol filters.
+  Large partitions are split over tasks (see ``by_partition``).
 * Dead letter: JSON under a per-run folder that must not exist yet.
 * Gold tables: parquet, fact partitioned by trade_date.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..schemas import BRONZE_PARTITIONS, SILVER_PARTITIONS
@@ -32,24 +33,35 @@ def bronze_partition_columns(df: DataFrame, arrival_col: str = "ingested_at") ->
                            "day": F.date_format(t, "dd"), "hour": F.date_format(t, "HH")})
 
 
+def by_partition(df: DataFrame, columns: list[str]) -> DataFrame:
+    """Rows dealt to tasks by their partition columns, for a partitioned write.
+
+    A rebalance, unlike ``repartition``, lets adaptive execution split a large
+    partition (a hot hour, day or the NULL partition) over several tasks and
+    files of the advisory size, and merge small ones into one task.
+    """
+    return df.hint("rebalance", *columns)
+
+
 def write_bronze(df: DataFrame, path: str, mode: str = "append") -> None:
     """Bronze rows as JSON lines by arrival hour. File names are unique per
     write, so two writes in the same second never overwrite each other."""
     out = bronze_partition_columns(df)
-    (out.repartition(*BRONZE_PARTITIONS)
+    (by_partition(out, BRONZE_PARTITIONS)
         .write.mode(mode).partitionBy(*BRONZE_PARTITIONS)
         .option("timestampFormat", ISO_UTC).json(path))
 
 
 def write_silver(df: DataFrame, path: str, mode: str = "append") -> None:
-    (df.repartition(*SILVER_PARTITIONS)
+    (by_partition(df, SILVER_PARTITIONS)
        .sortWithinPartitions(*SILVER_PARTITIONS, "symbol", "timestamp")
        .write.mode(mode).partitionBy(*SILVER_PARTITIONS).parquet(path))
 
 
 def write_dead_letter(df: DataFrame, base: str, run_id: str) -> str:
     """Rejected rows (with ``failed_rules``) under ``base/trades_<run_id>``;
-    fails if that run folder already exists."""
+    fails if that run folder already exists. A run without rejects leaves a
+    folder without rows, which marks the run as done."""
     path = f"{base.rstrip('/')}/trades_{run_id}"
     df.write.mode("errorifexists").option("timestampFormat", ISO_UTC).json(path)
     return path
@@ -58,7 +70,7 @@ def write_dead_letter(df: DataFrame, base: str, run_id: str) -> str:
 def write_table(df: DataFrame, path: str, partition_by: list[str] | None = None,
                 mode: str = "overwrite") -> None:
     if partition_by:
-        df.repartition(*partition_by).write.mode(mode).partitionBy(*partition_by).parquet(path)
+        by_partition(df, partition_by).write.mode(mode).partitionBy(*partition_by).parquet(path)
     else:
         df.write.mode(mode).parquet(path)
 
@@ -90,11 +102,19 @@ def _fs(spark: SparkSession, path: str):
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
 
 
+def _versions(spark: SparkSession, base: str) -> list[int]:
+    fs, folder = _fs(spark, f"{base.rstrip('/')}/_VERSIONS")
+    if not fs.exists(folder):
+        return []
+    return [int(f.getPath().getName()) for f in fs.listStatus(folder) if f.getPath().getName().isdigit() and f.getLen() > 0]
+
+
 def current_version(spark: SparkSession, base: str) -> str | None:
     """Path of the live version of a versioned table, or None."""
-    fs, p = _fs(spark, f"{base.rstrip('/')}/_CURRENT")
-    if not fs.exists(p):
+    numbers = _versions(spark, base)
+    if not numbers:
         return None
+    fs, p = _fs(spark, f"{base.rstrip('/')}/_VERSIONS/{max(numbers):010d}")
     stream = fs.open(p)
     try:
         reader = spark.sparkContext._jvm.java.io.BufferedReader(
@@ -106,20 +126,22 @@ def current_version(spark: SparkSession, base: str) -> str | None:
 
 def write_version(spark: SparkSession, df: DataFrame, base: str) -> str:
     """Replace a table without overwriting the path being read: write the new
-    rows to a fresh version folder, then switch the ``_CURRENT`` pointer. A
-    reader of the old version keeps a consistent snapshot; a failed write
-    leaves the old version live."""
+    rows to a fresh version folder, then add a pointer file ``_VERSIONS/<n>``
+    that names it. Pointers are only ever added, under the next free number,
+    and readers follow the highest: at every moment one complete version is
+    live, a failed write leaves the old one live, and nothing is renamed or
+    deleted. Two writers that race for a number: the second fails, as
+    creation does not overwrite.
+    """
     import uuid
 
     target = f"{base.rstrip('/')}/v-{uuid.uuid4().hex[:12]}"
     df.write.mode("errorifexists").parquet(target)
-    fs, tmp = _fs(spark, f"{base.rstrip('/')}/_CURRENT.tmp")
-    out = fs.create(tmp, True)
+    number = max(_versions(spark, base), default=0) + 1
+    fs, pointer = _fs(spark, f"{base.rstrip('/')}/_VERSIONS/{number:010d}")
+    out = fs.create(pointer, False)
     out.write(bytearray(target.encode("utf-8")))
     out.close()
-    _, cur = _fs(spark, f"{base.rstrip('/')}/_CURRENT")
-    fs.delete(cur, False)
-    fs.rename(tmp, cur)
     return target
 
 
@@ -140,6 +162,20 @@ def write_keyed_files(df: DataFrame, path: str, key: str = "symbol", order: str
        .write.mode(mode).format(fmt).option("timestampFormat", ISO_UTC).save(path))
 
 
+def order_violations(files: DataFrame, key: str = "symbol", order: str = "timestamp") -> DataFrame:
+    """Per key: rows, and how often a row of keyed files comes before an earlier
+    one, inside a file or across files. Files are of bounded size, so no task
+    sees more than one file's rows or one key's files."""
+    place = files.select(key, order, F.col("_metadata.file_name").alias("_file"), F.col("_metadata.row_index").alias("_row"))
+    before = Window.partitionBy("_file").orderBy("_row")
+    late = (F.lag(key).over(before) == F.col(key)) & (F.lag(order).over(before) > F.col(order))
+    inside = place.withColumn("_late", F.coalesce(late, F.lit(False)).cast("int")).groupBy(key, "_file").agg(
+        F.count(F.lit(1)).alias("_n"), F.sum("_late").alias("_late"), F.min(order).alias("_lo"), F.max(order).alias("_hi"))
+    across = F.lag("_hi").over(Window.partitionBy(key).orderBy("_file")) > F.col("_lo")
+    return (inside.withColumn("_across", F.coalesce(across, F.lit(False)).cast("int")).groupBy(key)
+                  .agg(F.sum("_n").alias("trades"), F.sum(F.col("_late") + F.col("_across")).alias("order_violations")))
+
+
 def write_kafka(df: DataFrame, bootstrap_servers: str, topic: str = "trades", key_col: str = "symbol") -> None:
     """JSON messages keyed by ``key_col`` (per-key order within a partition)
     to a topic. Needs the Kafka connector on the cluster."""

@@ -1,8 +1,9 @@
 """Feed normalisation: two raw trade feeds -> one typed event contract.
 
-Both feeds arrive as JSON text (a Kafka ``value`` or a line of a file). Parsing
-is ``from_json`` with an explicit schema; text that is not valid JSON parses to
-NULL and is routed to a corrupt-message frame instead of being dropped.
+Both feeds arrive as JSON text (a Kafka ``value`` or a line of a file), on one
+topic or two: feed A sends objects, feed B arrays. Parsing is ``from_json`` with
+an explicit schema; text that is not valid JSON is routed to a corrupt-message
+frame instead of being dropped or half read. Numbers may be quoted.
 
 Normalised contract (``EVENT_COLUMNS``): trade_id, symbol ('BASE/QUOTE'),
 price, quantity, notional (double), exchange, trade_type, timestamp,
@@ -13,9 +14,10 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..operators.silver import parse_event_time
-from ..schemas import FEED_A_SCHEMA, FEED_B_SCHEMA
+from ..schemas import CORRUPT, FEED_A_SCHEMA, FEED_B_SCHEMA
 
 EVENT_COLUMNS = ["trade_id", "symbol", "price", "quantity", "notional", "exchange",
                  "trade_type", "timestamp", "ingested_at", "source", "conditions"]
@@ -32,14 +34,17 @@ def _flatten_conditions(c: Column) -> Column:
 
 def normalize_feed_a(messages: DataFrame, value_col: str = "value") -> DataFrame:
     """Feed-A JSON objects -> contract. Missing id -> ''; notional recomputed
-    as price * quantity when absent."""
-    m = messages.select(F.from_json(value_col, FEED_A_SCHEMA).alias("m")).filter(F.col("m").isNotNull())
+    as price * quantity when absent. Corrupt messages are left out (see
+    ``corrupt_messages``)."""
+    m = messages.select(_parsed(value_col, FEED_A_SCHEMA).alias("m")) \
+                .filter(F.col("m").isNotNull() & F.col(f"m.{CORRUPT}").isNull())
+    price, quantity = F.col("m.price").try_cast("double"), F.col("m.quantity").try_cast("double")
     return m.select(
         F.coalesce(F.col("m.trade_id"), F.lit("")).alias("trade_id"),
         F.col("m.symbol").alias("symbol"),
-        F.col("m.price").alias("price"),
-        F.col("m.quantity").alias("quantity"),
-        F.coalesce(F.col("m.notional"), F.col("m.price") * F.col("m.quantity")).alias("notional"),
+        price.alias("price"),
+        quantity.alias("quantity"),
+        F.coalesce(F.col("m.notional").try_cast("double"), price * quantity).alias("notional"),
         F.col("m.exchange").alias("exchange"),
         F.coalesce(F.col("m.trade_type"), F.lit("CRYPTO")).alias("trade_type"),
         parse_event_time(F.col("m.timestamp")).alias("timestamp"),
@@ -52,7 +57,7 @@ def normalize_feed_a(messages: DataFrame, value_col: str = "value") -> DataFrame
 def normalize_feed_b(messages: DataFrame, value_col: str = "value", arrived_col: str = "arrived_at") -> DataFrame:
     """Feed-B JSON arrays -> contract. Only ``ev = 'XT'`` items are trades
     (status items are skipped); short keys renamed; a missing price or size is
-    0 and a missing id ''; epoch-millisecond time -> timestamp; 'BASE-QUOTE'
+    0 (one that is no number is NULL) and a missing id ''; epoch-millisecond time -> timestamp; 'BASE-QUOTE'
     -> 'BASE/QUOTE'. The arrival time comes from the message envelope. As in
     the feed's own message contract, the venue is ``exchange_id`` (there is no
     ``exchange``) and there are no ``conditions``; ``feed_union`` fills the
@@ -63,28 +68,58 @@ def normalize_feed_b(messages: DataFrame, value_col: str = "value", arrived_col:
                      .filter(F.col("items").isNotNull())
                      .select("_arrived", F.explode("items").alias("it"))
                      .filter(F.col("it.ev") == FEED_B_TRADE_EVENT))
-    p = F.coalesce(F.col("it.p"), F.lit(0.0))
-    s = F.coalesce(F.col("it.s"), F.lit(0.0))
+    p = F.coalesce(F.col("it.p"), F.lit("0")).try_cast("double")
+    s = F.coalesce(F.col("it.s"), F.lit("0")).try_cast("double")
+    t = parse_event_time(F.coalesce(F.col("it.t"), F.lit("0")))
     return items.select(
         F.coalesce(F.col("it.i"), F.lit("")).alias("trade_id"),
         F.regexp_replace(F.coalesce(F.col("it.pair"), F.lit("")), "-", "/").alias("symbol"),
         p.alias("price"), s.alias("quantity"), (p * s).alias("notional"),
         F.col("it.x").alias("exchange_id"),
         F.lit("CRYPTO").alias("trade_type"),
-        F.timestamp_millis(F.coalesce(F.col("it.t"), F.lit(0).cast("bigint"))).alias("timestamp"),
+        t.alias("timestamp"),
         F.col("_arrived").cast("timestamp").alias("ingested_at"),
         F.lit(FEED_B_SOURCE).alias("source"),
     )
 
 
+def _parsed(value_col: str, schema) -> Column:
+    """The message as ``schema``; NULL, or for a struct a filled corrupt field, if it does not parse."""
+    return F.from_json(value_col, schema, {"columnNameOfCorruptRecord": CORRUPT})
+
+
 def corrupt_messages(messages: DataFrame, schema, value_col: str = "value") -> DataFrame:
     """Messages whose text does not parse under ``schema`` (kept whole, with a reason)."""
-    return (messages.withColumn("_parsed", F.from_json(value_col, schema))
-                    .filter(F.col("_parsed").isNull() & F.col(value_col).isNotNull())
+    bad = F.col("_parsed").isNull()
+    if isinstance(schema, T.StructType):
+        bad = bad | F.col(f"_parsed.{CORRUPT}").isNotNull()
+    return (messages.withColumn("_parsed", _parsed(value_col, schema))
+                    .filter(bad & F.col(value_col).isNotNull())
                     .drop("_parsed")
                     .withColumn("reason", F.lit("malformed_json")))
 
 
+def split_topic(messages: DataFrame, value_col: str = "value") -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(feed A, feed B, neither) of a topic that both feeds share, by shape:
+    feed A sends JSON objects, feed B arrays."""
+    first = F.substring(F.ltrim(F.col(value_col)), 1, 1)
+    return (messages.filter(first == "{"), messages.filter(first == "["),
+            messages.filter(F.coalesce(~first.isin("{", "["), F.lit(True))).withColumn("reason", F.lit("unknown_shape")))
+
+
+def normalize_topic(messages: DataFrame, value_col: str = "value", arrived_col: str = "arrived_at") -> DataFrame:
+    """Both feeds of a shared topic -> contract."""
+    a, b, _ = split_topic(messages, value_col)
+    return feed_union(normalize_feed_a(a, value_col), normalize_feed_b(b, value_col, arrived_col))
+
+
+def topic_rejects(messages: DataFrame, value_col: str = "value") -> DataFrame:
+    """Messages of a shared topic that become no trade because they do not parse."""
+    a, b, other = split_topic(messages, value_col)
+    return (corrupt_messages(a, FEED_A_SCHEMA, value_col).unionByName(corrupt_messages(b, FEED_B_SCHEMA, value_col))
+            .unionByName(other))
+
+
 def feed_union(feed_a: DataFrame, feed_b: DataFrame) -> DataFrame:
     """Both normalised feeds as one frame: columns matched by name, a column
     only one feed has (conditions, exchange_id) is NULL for the other."""
@@ -120,6 +155,9 @@ def encode_messages(df: DataFrame, key_col: str | None = None) -> DataFrame:
 
 
 def decode_messages(messages: DataFrame, schema, value_col: str = "value") -> DataFrame:
-    """JSON messages -> typed rows (unparsable text gives a NULL row; see
-    ``corrupt_messages`` to route those)."""
-    return messages.select(F.from_json(value_col, schema, JSON_OPTIONS).alias("m")).select("m.*")
+    """JSON messages -> typed rows. Unparsable text gives no row (see
+    ``corrupt_messages`` to route it)."""
+    whole = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
+    m = F.from_json(value_col, whole, {**JSON_OPTIONS, "columnNameOfCorruptRecord": CORRUPT})
+    return (messages.select(m.alias("m")).filter(F.col("m").isNotNull() & F.col(f"m.{CORRUPT}").isNull())
+                    .select(*[f"m.{f.name}" for f in schema.fields]))

@@ -50,26 +50,30 @@ def trades_from_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 def bronze_from_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All-string Bronze rows: every event once, plus a re-delivered copy of some.
 
-    Dirt is deterministic per event id: empty ids / symbols, NULL, negative and
-    non-numeric prices, feed-B symbols ('-') and epoch-millisecond timestamps.
+    Dirt is deterministic per event id: empty and overlong ids, empty symbols,
+    NULL, negative, non-numeric and out-of-range prices, feed-B symbols ('-'),
+    epoch-millisecond timestamps, and times that are out of range or no time.
     """
     ev = _events(spark, sf_dir)
     rows = ev.withColumn("n", F.lit(0)).unionByName(
         ev.filter(F.col("event_id") % 50 == 0).withColumn("n", F.lit(60)))
     iso = "concat(date_format({}, \"yyyy-MM-dd'T'HH:mm:ss.SSSSSS\"), '+00:00')"
     return rows.selectExpr(
-        "CASE WHEN event_id % 103 = 0 THEN '' ELSE CAST(event_id AS STRING) END AS trade_id",
+        "CASE WHEN event_id % 103 = 0 THEN '' WHEN event_id % 233 = 0 THEN lpad(CAST(event_id AS STRING), 60, '0')"
+        " ELSE CAST(event_id AS STRING) END AS trade_id",
         "CASE WHEN event_id % 101 = 0 THEN '' WHEN event_id % 10 = 7 THEN concat(upper(event_type), '-USD')"
         " ELSE concat(upper(event_type), '/USD') END AS symbol",
         "CASE WHEN event_id % 97 = 0 THEN CAST(NULL AS STRING) WHEN event_id % 89 = 0 THEN '-1.0'"
-        " WHEN event_id % 83 = 0 THEN 'abc' ELSE CAST(value AS STRING) END AS price",
+        " WHEN event_id % 83 = 0 THEN 'abc' WHEN event_id % 223 = 0 THEN '100000000000.0'"
+        " ELSE CAST(value AS STRING) END AS price",
         "get_json_object(props, '$.k') AS quantity",
         "CAST(CAST(CAST(value AS DECIMAL(10,2)) * CAST(get_json_object(props, '$.k') AS DECIMAL(10,0))"
         " AS DECIMAL(18,2)) AS STRING) AS notional",
         "CASE WHEN user_id % 3 = 0 THEN CAST(NULL AS STRING) ELSE concat('EX', CAST(user_id % 3 AS STRING)) END"
         " AS exchange",
-        "'CRYPTO' AS trade_type",
-        f"CASE WHEN event_id % 10 = 7 THEN CAST(unix_millis(ts) AS STRING) ELSE {iso.format('ts')} END AS timestamp",
+        "CASE WHEN event_id % 199 = 0 THEN 'OPTION' ELSE 'CRYPTO' END AS trade_type",
+        "CASE WHEN event_id % 227 = 0 THEN '999999999999999999' WHEN event_id % 229 = 0 THEN 'not a time'"
+        f" WHEN event_id % 10 = 7 THEN CAST(unix_millis(ts) AS STRING) ELSE {iso.format('ts')} END AS timestamp",
         f"{iso.format('timestampadd(SECOND, event_id % 300 + n, ts)')} AS ingested_at",
         "CASE WHEN event_id % 10 = 7 THEN 'feed_b' ELSE 'feed_a' END AS source",
         "CAST(NULL AS STRING) AS conditions",
@@ -106,7 +110,10 @@ def wide_trades(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def feed_a_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Raw feed-A JSON objects (one per event of source feed_a), as ``value`` text."""
+    """Raw feed-A JSON objects (one per event of source feed_a), as ``value`` text.
+
+    One in 37 is cut off, one in 41 quotes its price.
+    """
     ev = _events(spark, sf_dir).filter(F.col("event_id") % 10 != 7)
     eid = F.col("event_id")
     qty = _quantity_text().cast("double")
@@ -129,14 +136,18 @@ def feed_a_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit("feed_a").alias("source"),
         conditions.alias("conditions"),
     )
-    return ev.select(eid.alias("message_id"), F.to_json(msg).alias("value"))
+    text = F.to_json(msg)
+    text = F.when(eid % 41 == 0, F.regexp_replace(text, r'"price":([^,]+),', '"price":"$1",')).otherwise(text)
+    text = F.when(eid % 37 == 0, F.substring(text, 1, 40)).otherwise(text)
+    return ev.select(eid.alias("message_id"), text.alias("value"))
 
 
 def feed_b_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw feed-B messages (JSON arrays) for the feed_b events.
 
     One message in a hundred also carries a status object; one in 31 is
-    malformed (garbage before the array), as a broken frame on the wire would be.
+    malformed (garbage before the array), as a broken frame on the wire would
+    be; one in 43 quotes its price.
     """
     ev = _events(spark, sf_dir).filter(F.col("event_id") % 10 == 7)
     eid = F.col("event_id")
@@ -153,6 +164,24 @@ def feed_b_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.lit("heartbeat").alias("message"))
     text = F.when(eid % 100 == 7, F.concat(F.lit("["), F.to_json(status), F.lit(","), F.to_json(trade), F.lit("]"))) \
             .otherwise(F.concat(F.lit("["), F.to_json(trade), F.lit("]")))
+    text = F.when(eid % 43 == 0, F.regexp_replace(text, r'"p":([^,]+),', '"p":"$1",')).otherwise(text)
     text = F.when(eid % 31 == 0, F.concat(F.lit("{broken "), text)).otherwise(text)
     arrived = F.timestamp_add("SECOND", eid % 300, F.col("ts"))
     return ev.select(eid.alias("message_id"), text.alias("value"), arrived.alias("arrived_at"))
+
+
+def topic_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both feeds on one topic: message_id, value, arrived_at."""
+    a = feed_a_messages(spark, sf_dir).join(
+        _events(spark, sf_dir).select(F.col("event_id").alias("message_id"),
+                                      F.timestamp_add("SECOND", F.col("event_id") % 300, F.col("ts")).alias("arrived_at")),
+        "message_id")
+    return a.select("message_id", "value", "arrived_at").unionByName(feed_b_messages(spark, sf_dir))
+
+
+# Instruments that the dimension is seeded with.
+SEED_INSTRUMENTS = [
+    ("BTC/USD", "BTC", "USD", "CRYPTO", "SEEDED"),
+    ("CLICK/USD", "CLICK", "USD", "CRYPTO", "SEEDED"),
+    ("ETH/USD", "ETH", "USD", "CRYPTO", "SEEDED"),
+]

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 TABLES = (
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem",
@@ -15,78 +14,12 @@ def table_path(sf_dir: str, name: str) -> str:
     return f"{sf_dir.rstrip('/')}/{name}.parquet"
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Give a scan at least one partition per core.
+def read_table(spark: SparkSession, sf_dir: str, name: str, columns: list[str] | None = None) -> DataFrame:
+    """Parquet scan; selecting ``columns`` up front keeps the ReadSchema narrow.
 
-    A file that is a single row group is read by one task, which then runs all
-    map-side work (projections, filters, partial aggregates) alone. When the
-    scan yields fewer partitions than the default parallelism, a hash
-    repartition spreads it; on large inputs (many files / row groups) the scan
-    already has more partitions and this is a no-op, so no shuffle is added.
-    Filters and column pruning still reach the scan through the repartition.
+    How many tasks read it is the session's ``spark.sql.files.maxPartitionBytes`` (see ``session.cluster_conf``).
     """
-    target = df.sparkSession.sparkContext.defaultParallelism
-    if _scan_partitions(df) < target:
-        return _hash_spread(df, target)
-    return df
-
-
-def _hash_spread(df: DataFrame, n: int) -> DataFrame:
-    """Hash-partition on a hash of all columns: deterministic on retry without
-    the per-task sort that round-robin repartitioning performs for that."""
-    return df.repartition(n, F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]))
-
-
-_SPLITS: dict[tuple, int] = {}
-_BYTES: dict[str, int] = {}
-_SCHEMAS: dict[str, object] = {}
-
-# Below this many input bytes per scan partition, a shuffle to spread the scan
-# costs more than the single task it relieves.
-SPREAD_MIN_BYTES_PER_PARTITION = 4 * 1024 * 1024
-
-
-def _scan_partitions(df: DataFrame, path: str | None = None) -> int:
-    """Number of scan partitions (planned once per path and parallelism)."""
-    key = (path, df.sparkSession.sparkContext.defaultParallelism) if path else None
-    if key in _SPLITS:
-        return _SPLITS[key]
-    n = df.rdd.getNumPartitions()
-    if key:
-        _SPLITS[key] = n
-    return n
-
-
-def _input_bytes(spark: SparkSession, path: str) -> int:
-    """Total size of the files under ``path`` (file-system metadata only)."""
-    if path not in _BYTES:
-        jvm = spark.sparkContext._jvm
-        p = jvm.org.apache.hadoop.fs.Path(path)
-        fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-        _BYTES[path] = int(fs.getContentSummary(p).getLength())
-    return _BYTES[path]
-
-
-def should_spread(spark: SparkSession, df: DataFrame, path: str) -> bool:
-    """Spread a scan when it has fewer partitions than cores and each of them
-    carries enough bytes for parallel work to pay for the shuffle."""
-    n = _scan_partitions(df, path)
-    return (n < spark.sparkContext.defaultParallelism
-            and _input_bytes(spark, path) / max(n, 1) >= SPREAD_MIN_BYTES_PER_PARTITION)
-
-
-def read_table(spark: SparkSession, sf_dir: str, name: str, columns: list[str] | None = None) -> DataFrame:
-    """Parquet scan; selecting ``columns`` up front keeps the ReadSchema narrow."""
     if name not in TABLES:
         raise ValueError(f"unknown table {name!r}")
-    path = table_path(sf_dir, name)
-    # The footer-inferred schema is kept per path and given explicitly on later
-    # reads (no footer scan); the file listing is still done on every read.
-    if path in _SCHEMAS:
-        df = spark.read.schema(_SCHEMAS[path]).parquet(path)
-    else:
-        df = spark.read.parquet(path)
-        _SCHEMAS[path] = df.schema
-    spread_it = should_spread(spark, df, path)
-    df = df.select(*columns) if columns else df
-    return _hash_spread(df, spark.sparkContext.defaultParallelism) if spread_it else df
+    df = spark.read.parquet(table_path(sf_dir, name))
+    return df.select(*columns) if columns else df

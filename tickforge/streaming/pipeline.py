@@ -1,17 +1,21 @@
 """Structured Streaming forms of ingest (topic -> Bronze) and Bronze -> Silver.
 
 * Sources: a Kafka topic (``kafka_source``; needs the Kafka connector on the
-  cluster) or a folder of JSON files (``bronze_file_source``), both with an
-  explicit schema and a per-trigger cap.
-* Bronze sink: the file sink with a checkpoint is exactly-once, replacing the
-  consumer-side auto-commit that could lose a partly written batch.
+  cluster) or a folder of files, both with an explicit schema and a
+  per-trigger rate.
+* Topic -> Bronze: ``topic_to_bronze`` tells the feeds apart, normalises both
+  and writes Bronze. The file sink with a checkpoint is exactly-once, replacing
+  the consumer-side auto-commit that could lose a partly written batch.
 * Silver: the batch transforms run unchanged inside ``foreachBatch``. Every
   micro-batch is deduplicated, then merged into Silver insert-if-absent on
   trade_id, so a replayed epoch (after a failure) or a copy arriving in a later
   batch adds nothing.
-* Streaming dedup: ``dropDuplicatesWithinWatermark`` keyed by trade_id, with
-  the watermark bounding its state; a copy later than the watermark passes and
-  is caught by the Silver key merge.
+* Streaming dedup: ``dedup_stream`` keeps the first arrival of each key by a
+  merge with the stored ones. A watermark would bound its state but drop first
+  arrivals that come late, so none is set.
+* Totals: each epoch leaves its counts next to the checkpoint, under its
+  number, so they are complete however long the stream runs and whatever is
+  replayed (``progress_totals``).
 """
 
 from __future__ import annotations
@@ -20,15 +24,19 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from ..functions.rules import passes_all, with_failed_rules
 from ..operators import gold, silver
-from ..schemas import BRONZE_COLUMNS, BRONZE_PARTITIONS, BRONZE_SCHEMA, SILVER_PARTITIONS
+from ..schemas import BRONZE_COLUMNS, BRONZE_PARTITIONS, BRONZE_SCHEMA
+from ..session import path_exists, remove_path, work_dir
 from ..sinks import writers
+from ..sources import layers
 
 
 def bronze_file_source(spark: SparkSession, path: str, max_files_per_trigger: int = 1) -> DataFrame:
-    """Bronze JSON files as a stream (explicit schema, no inference)."""
+    """Bronze JSON files, at any depth under ``path``, as a stream (explicit
+    schema, no inference)."""
     return (spark.readStream.schema(BRONZE_SCHEMA)
-                 .option("maxFilesPerTrigger", max_files_per_trigger)
+                 .option("maxFilesPerTrigger", max_files_per_trigger).option("recursiveFileLookup", "true")
                  .json(path).select(*BRONZE_COLUMNS))
 
 
@@ -60,6 +68,21 @@ def feed_file_source(spark: SparkSession, path: str, max_files_per_trigger: int
                  .load(path).select(F.col("value"), F.col("_metadata.file_modification_time").alias("arrived_at")))
 
 
+def topic_file_source(spark: SparkSession, path: str, max_files_per_trigger: int = 1) -> DataFrame:
+    """Topic records (value, arrived_at) landed as parquet files, with the
+    arrival time of the topic's envelope."""
+    return (spark.readStream.schema("value string, arrived_at timestamp").option("maxFilesPerTrigger", max_files_per_trigger)
+                 .parquet(path))
+
+
+def topic_to_bronze(records: DataFrame) -> DataFrame:
+    """Topic records (value, arrived_at) of both feeds -> Bronze text columns.
+    Feed-A events without an arrival time of their own get the envelope's."""
+    from ..sources.feeds import normalize_topic
+
+    return events_as_bronze(normalize_topic(records))
+
+
 def write_bronze_stream(bronze: DataFrame, path: str, checkpoint: str,
                         available_now: bool = True, processing_time: str | None = None) -> StreamingQuery:
     """Exactly-once JSON file sink by arrival year/month/day/hour."""
@@ -71,78 +94,100 @@ def write_bronze_stream(bronze: DataFrame, path: str, checkpoint: str,
     return w.start()
 
 
-def dedup_within_watermark(bronze: DataFrame, delay: str = "10 minutes",
-                           time_col: str = "ingested_at") -> DataFrame:
-    """Stream dedup on trade_id; state is kept only while within ``delay`` of
-    the arrival-time watermark (the parsed time must be a zoned timestamp)."""
-    t = silver.parse_event_time(time_col)
-    return (bronze.withColumn("_event_time", t)
-                  .withWatermark("_event_time", delay)
-                  .dropDuplicatesWithinWatermark(["trade_id"])
-                  .drop("_event_time"))
+def _counts_path(checkpoint: str) -> str:
+    return f"{checkpoint.rstrip('/')}-counts"
+
+
+def _note_counts(spark: SparkSession, checkpoint: str, epoch_id: int, **counts: int) -> None:
+    """The epoch's counts under its number; a replayed epoch replaces them."""
+    (spark.createDataFrame([(int(epoch_id), *counts.values())], ["epoch", *counts]).coalesce(1)
+          .write.mode("overwrite").parquet(f"{_counts_path(checkpoint)}/epoch_{epoch_id:010d}"))
 
 
-def silver_batch_writer(silver_path: str, dead_letter_base: str, rules: dict[str, str] | None = None,
-                        key_scope: str = "partition"):
+def progress_totals(spark: SparkSession, checkpoint: str) -> dict:
+    """Running totals of a counted stream since its checkpoint began: batches,
+    and the sum of each count."""
+    if not path_exists(spark, _counts_path(checkpoint)):
+        return {"batches": 0, "input_rows": 0}
+    rows = spark.read.option("recursiveFileLookup", "true").parquet(_counts_path(checkpoint))
+    sums = rows.agg(F.count(F.lit(1)).alias("batches"), *[F.sum(c).alias(c) for c in rows.columns if c != "epoch"]).first()
+    return {k: int(v or 0) for k, v in sums.asDict().items()}
+
+
+def dedup_batch_writer(path: str, checkpoint: str, key: str = "trade_id"):
+    """foreachBatch function: the batch's first arrival of each key that is not
+    stored yet is appended to ``path``."""
+    def run(batch: DataFrame, epoch_id: int) -> None:
+        spark = batch.sparkSession
+        stage = work_dir(spark, "dedup-batch")
+        try:
+            batch.write.parquet(stage)
+            rows = spark.read.parquet(stage)
+            new = silver.dedup_by_key(rows, key)
+            if path_exists(spark, path):
+                new = gold.insert_new(new, spark.read.schema(rows.schema).parquet(path), key)
+            new.write.mode("append").parquet(path)
+            _note_counts(spark, checkpoint, epoch_id, input_rows=rows.count())
+        finally:
+            remove_path(spark, stage)
+    return run
+
+
+def dedup_stream(bronze: DataFrame, path: str, checkpoint: str, available_now: bool = True) -> StreamingQuery:
+    """Stream dedup on trade_id, exact for any lateness."""
+    w = bronze.writeStream.foreachBatch(dedup_batch_writer(path, checkpoint)).option("checkpointLocation", checkpoint)
+    w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="10 seconds")
+    return w.start()
+
+
+def silver_batch_writer(silver_path: str, dead_letter_base: str, checkpoint: str, rules: dict[str, str] | None = None,
+                        key_scope: str = "global"):
     """foreachBatch function: clean one micro-batch and merge it into Silver.
 
-    The merge reads only the Silver partitions (trade dates) the micro-batch
-    touches (``key_scope="partition"``), so its cost follows the batch, not
-    the history; ``"global"`` compares against every stored key. The dead
-    letter of epoch N goes to its own folder, overwritten on replay, so a
-    retried epoch does not duplicate it either.
+    The prepared rows are staged once for both sides of the split. The merge
+    compares with every stored key, driven by the batch's keys; ``key_scope=
+    "partition"`` reads only the Silver partitions (trade dates) that the
+    micro-batch touches, for feeds whose copies never change their event time.
+    The dead letter and the counts of epoch N have a place of their own,
+    overwritten on replay, so a retried epoch duplicates nothing.
     """
     def run(batch: DataFrame, epoch_id: int) -> None:
         spark = batch.sparkSession
-        batch = batch.persist()  # read once for both sides of the split
+        raw, stage = work_dir(spark, "batch"), work_dir(spark, "prepared")
         try:
-            good, bad = silver.quality_split(silver.silver_prepared(batch), rules)
-            if _exists(spark, silver_path):
-                stored = spark.read.parquet(silver_path)
+            batch.write.parquet(raw)
+            rows = spark.read.parquet(raw)
+            silver.silver_prepared(rows).withColumn("_ok", passes_all(rules)).write.parquet(stage)
+            prepared = spark.read.parquet(stage)
+            good, bad = prepared.filter("_ok").drop("_ok"), prepared.filter("NOT _ok").drop("_ok")
+            if path_exists(spark, silver_path):
+                stored = layers.read_silver(spark, silver_path)
                 good = (gold.insert_new_in_partitions(good, stored, "trade_id", "trade_date")
-                        if key_scope == "partition" else gold.insert_new(good, stored.select("trade_id"), "trade_id"))
-            (good.repartition(*SILVER_PARTITIONS).write.mode("append")
-                 .partitionBy(*SILVER_PARTITIONS).parquet(silver_path))
-            (bad.write.mode("overwrite").option("timestampFormat", writers.ISO_UTC)
+                        if key_scope == "partition" else gold.insert_new(good, stored, "trade_id"))
+            writers.write_silver(good, silver_path)
+            (with_failed_rules(bad, rules).write.mode("overwrite").option("timestampFormat", writers.ISO_UTC)
                 .json(f"{dead_letter_base.rstrip('/')}/epoch_{epoch_id:08d}"))
+            _note_counts(spark, checkpoint, epoch_id, input_rows=rows.count(), dead_letter_rows=bad.count())
         finally:
-            batch.unpersist()
+            remove_path(spark, raw)
+            remove_path(spark, stage)
     return run
 
 
 def start_silver_stream(bronze_stream: DataFrame, silver_path: str, dead_letter_base: str, checkpoint: str,
                         available_now: bool = True, rules: dict[str, str] | None = None,
-                        key_scope: str = "partition") -> StreamingQuery:
-    w = (bronze_stream.writeStream.foreachBatch(silver_batch_writer(silver_path, dead_letter_base, rules, key_scope))
-                      .option("checkpointLocation", checkpoint))
+                        key_scope: str = "global") -> StreamingQuery:
+    w = (bronze_stream.writeStream
+            .foreachBatch(silver_batch_writer(silver_path, dead_letter_base, checkpoint, rules, key_scope))
+            .option("checkpointLocation", checkpoint))
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="10 seconds")
     return w.start()
 
 
-def progress_totals(query: StreamingQuery) -> dict:
-    """Running totals from the query's progress reports: batches and input rows."""
-    prog = [p for p in (query.recentProgress or []) if p]
-    return {"batches": len(prog),
-            "input_rows": int(sum(p.get("numInputRows", 0) for p in prog))}
-
-
-def _exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
-
-
-def replay_by_arrival_day(bronze: DataFrame, path: str, time_col: str = "ingested_at") -> int:
-    """Test harness for file-stream sources: land ``bronze`` in ``path`` one
-    arrival day per write, oldest first, so file modification times follow
-    arrival order as a real landing folder's do. Returns the number of files
-    landed. Only the distinct day values (bounded by the calendar) reach the
-    driver; each day is written as one file.
-    """
+def land_by_arrival_day(bronze: DataFrame, path: str, time_col: str = "ingested_at") -> None:
+    """Land ``bronze`` as JSON files in a folder per arrival day (rows without
+    one in a folder of their own), in one job with as many files as the rows
+    need: a landing folder for the file-stream sources."""
     day = F.date_format(silver.parse_event_time(time_col), "yyyy-MM-dd")
-    staged = bronze.withColumn("_arrival_day", day)
-    days = [r[0] for r in staged.select("_arrival_day").distinct().orderBy("_arrival_day").collect()]
-    for d in days:
-        (staged.filter(F.col("_arrival_day") == d).drop("_arrival_day")
-               .coalesce(1).write.mode("append").json(path))
-    return len(days)
+    (writers.by_partition(bronze.withColumn("arrival_day", day), ["arrival_day"])
+        .write.mode("append").partitionBy("arrival_day").json(path))
