@@ -33,6 +33,8 @@ from pyspark.sql import functions as F
 from tickforge.llm.common import HOT_KEYS, table
 
 RUN, COPY_SHARE, PACK_BYTES = 12, 0.9, 16_000_000
+#: Tasks that the packs are dealt to at most; two a pack below that, so that few tasks get several packs.
+MOST_TASKS = 100_000
 
 #: HTML's elements. Raw text ends at its own end tag only; void elements have no end tag.
 RAW = frozenset("script style textarea title noscript iframe xmp noembed noframes".split())
@@ -269,7 +271,8 @@ def main_text(pages: DataFrame) -> DataFrame:
     chunk = F.pmod(F.xxhash64("page_id", "url"), F.greatest("chunks", F.lit(1)))
     read = read.withColumn("own", F.when(F.col("chunks") > 0, F.col("host"))).withColumn(
         "pack", F.when(F.col("chunks") > 0, chunk).otherwise(F.pmod(F.xxhash64("host"), F.lit(packs))))
-    return read.groupBy("own", "pack").applyInArrow(
+    tasks = min(2 * (packs + sum(chunks_of.values())), MOST_TASKS)
+    return read.repartition(tasks, "own", "pack").groupBy("own", "pack").applyInArrow(
         _extract, f"page_id {kind}, url string, text string, n_chars long, n_repeated long")
 
 
