@@ -69,3 +69,79 @@ def test_quality_checks_reuse_the_dedup_partitioning(spark):
     # so the plan holds a single exchange on trade_id
     p = plan(QUERIES["dq_summary"](spark, SF_SMALL))
     assert p.count("Exchange hashpartitioning(trade_id") == 1
+
+
+
+def _without_aqe(spark, build):
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        return plan(build())
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
+def _marts(spark, wide=True):
+    from tickforge.plans import datasets as ds
+
+    return ds.stg_trades(spark, SF_SMALL, wide)
+
+
+def test_daily_mart_measures_are_hash_aggregated(spark):
+    """Nothing is sorted before the first exchange of the trades: the text tie-break runs on the boundary rows only."""
+    from tickforge.operators import marts
+
+    p = _without_aqe(spark, lambda: marts.mart_daily_summary(_marts(spark)))
+    measures = [ln for ln in p.split("\n") if "partial_count" in ln and "partial_sum" in ln]
+    assert measures and all("HashAggregate" in ln for ln in measures)
+
+
+def test_tick_mart_open_close_is_hash_aggregated(spark):
+    from tickforge.operators import marts
+
+    p = _without_aqe(spark, lambda: marts.mart_daily_summary_tick(_marts(spark)))
+    ends = [ln for ln in p.split("\n") if "partial_min_by" in ln or "partial_minby" in ln.lower()]
+    assert ends and all("HashAggregate" in ln for ln in ends) and "Window" not in p
+
+
+def test_instrument_dimension_is_hash_aggregated_first(spark):
+    from tickforge.operators import gold
+
+    p = _without_aqe(spark, lambda: gold.dim_instrument(_marts(spark)))
+    lines = [ln for ln in p.split("\n") if "Aggregate" in ln]
+    assert "HashAggregate(keys=[symbol" in lines[-1] and "exchange" in lines[-1], p
+
+
+def test_merge_with_a_small_batch_shuffles_no_stored_keys(spark, tmp_dir):
+    from tickforge.operators import gold
+
+    spark.range(200000).selectExpr("CAST(id AS STRING) AS trade_id", "id AS x").write.parquet(f"{tmp_dir}/stored")
+    spark.range(10).selectExpr("CAST(id * 50000 AS STRING) AS trade_id", "id AS x").write.parquet(f"{tmp_dir}/batch")
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "100k")  # the stored keys are larger, the batch is not
+    try:
+        new = gold.insert_new(spark.read.parquet(f"{tmp_dir}/batch"), spark.read.parquet(f"{tmp_dir}/stored"), "trade_id")
+        lines = plan(new).split("\n")
+        semi = next(i for i, ln in enumerate(lines) if "LeftSemi" in ln)
+        assert "BroadcastHashJoin" in lines[semi] and "BuildRight" in lines[semi]
+        below = lines[semi + 1:next(i for i, ln in enumerate(lines) if i > semi and "FileScan" in ln) + 1]
+        assert not any("Exchange hashpartitioning" in ln for ln in below), below
+        assert new.count() == 6
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def test_silver_load_deduplicates_once(spark, tmp_dir):
+    """One staged plan feeds both sinks and the counts."""
+    from tickforge.operators import silver
+    from tickforge.plans import datasets as ds
+    from tickforge.plans import pipeline as pl
+    from tickforge.sinks import writers
+
+    writers.write_bronze(ds.bronze(spark, SF_SMALL), f"{tmp_dir}/bronze")
+    calls, real = [], silver.silver_prepared
+    silver.silver_prepared = lambda *a, **k: calls.append(1) or real(*a, **k)
+    try:
+        pl.bronze_to_silver(spark, f"{tmp_dir}/bronze", f"{tmp_dir}/silver", f"{tmp_dir}/dead", run_id="a")
+    finally:
+        silver.silver_prepared = real
+    assert len(calls) == 1

@@ -69,16 +69,16 @@ def dim_instrument(trades: DataFrame, asset_class: str = "CRYPTO") -> DataFrame:
     Exchange is the one exchange a symbol trades on, or NULL when it trades on
     several (the dimension keeps one value per symbol).
     """
-    # The distinct pairs first: a hash aggregate, which extremes of text would not be.
+    # The distinct pairs first: a hash aggregate, which an extreme of text would not be.
     per_symbol = trades.select("symbol", "exchange").distinct().groupBy("symbol").agg(
-        F.min("exchange").alias("_ex_min"), F.max("exchange").alias("_ex_max"))
+        F.count("exchange").alias("_kinds"), F.min("exchange").alias("_exchange"))
     parts = F.split(F.col("symbol"), "/", 2)
     return per_symbol.select(
         F.col("symbol"),
         F.get(parts, 0).alias("base_currency"),
         F.get(parts, 1).alias("quote_currency"),
         F.lit(asset_class).alias("asset_class"),
-        F.when(F.col("_ex_min") == F.col("_ex_max"), F.col("_ex_min")).alias("exchange"),
+        F.when(F.col("_kinds") == 1, F.col("_exchange")).alias("exchange"),
         F.lit(True).alias("is_active"),
     ).select(*[F.col(f.name).cast(f.dataType) for f in DIM_INSTRUMENT_SCHEMA.fields])
 

@@ -104,10 +104,11 @@ def mart_daily_summary_tick(trades: DataFrame, dim_time: DataFrame | None = None
     price), so one row per distinct tick; open/close are the first / last price
     of the (day, symbol) in (traded_at, price) order; then DISTINCT.
 
-    Open/close come from a per-(day, symbol) hash aggregate of the ticks
-    (ordering key packed into one decimal) joined back on its key, not from a
-    window over the hot (day, symbol) partition; both sides read one exchange
-    of the ticks.
+    Open/close come from a per-(day, symbol) hash aggregate (ordering key
+    packed into one decimal) joined back on its key, not from a window over
+    the hot (day, symbol) partition. That reads the trades a second time, but
+    shuffles a row per task, day and symbol only; taking them from the ticks
+    would shuffle the ticks twice, as each side prunes its own columns.
     """
     ticks = trades.groupBy("trade_date", "symbol", "traded_at", "price").agg(
         F.count(F.lit(1)).alias("trade_count"),
@@ -117,7 +118,7 @@ def mart_daily_summary_tick(trades: DataFrame, dim_time: DataFrame | None = None
         F.max("ingested_at").alias("last_ingested_at"),
     )
     order = time_price_key("traded_at", "price")
-    ends = ticks.groupBy("trade_date", "symbol").agg(
+    ends = trades.groupBy("trade_date", "symbol").agg(
         _r2(F.min_by("price", order)).alias("open_price"),
         _r2(F.max_by("price", order)).alias("close_price"),
     )
