@@ -11,7 +11,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickforge.llm import bpe, exact_dedup, jaccard_join, langid, mixing
-from tickforge.llm.common import staged, table
+from tickforge.llm.common import scratch, table
+from tickforge.session import remove_path, work_dir
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -52,7 +53,15 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    """The rows of the last stage. What a stage stages for itself goes once its result is written, and so does a result
+    once the next one is; the last result stays in the shared folder, where the returned frame reads it."""
+    docs, last = table(spark, sf_dir, "documents"), None
     for number, (_, stage) in enumerate(STAGES):
-        docs = staged(stage(spark, docs, sf_dir), f"stage{number}")
+        path = work_dir(spark, f"llm-stage{number}")
+        with scratch(spark):
+            out = stage(spark, docs, sf_dir)
+            out.write.parquet(path)
+        if last:
+            remove_path(spark, last)
+        docs, last = spark.read.schema(out.schema).parquet(path), path
     return docs

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickforge.session import work_dir
+from tickforge.session import remove_path, work_dir
 
 #: Fewer than this many keys can each hold more than 1/HOT_KEYS of the rows, which bounds what ``join_counted`` broadcasts.
 HOT_KEYS = 1024
@@ -21,13 +23,30 @@ def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFra
     return df.select(*columns) if columns else df
 
 
+_STAGED: list[str] = []
+
+
+@contextmanager
+def scratch(spark: SparkSession):
+    """Delete, on leaving, the tables that were staged inside: for work whose result is written by then."""
+    begin = len(_STAGED)
+    try:
+        yield
+    finally:
+        for path in _STAGED[begin:]:
+            remove_path(spark, path)
+        del _STAGED[begin:]
+
+
 def staged(df: DataFrame, name: str) -> DataFrame:
     """``df`` written as Parquet under the session's shared checkpoint folder and read back.
 
-    Cuts the lineage: later jobs and retried tasks read the files, which survive the loss of any executor.
+    Cuts the lineage: later jobs and retried tasks read the files, which survive the loss of any executor. The files
+    stay until ``scratch`` or the owner of the folder removes them, as results are read from them lazily.
     """
     path = work_dir(df.sparkSession, f"llm-{name}")
     df.write.parquet(path)
+    _STAGED.append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
