@@ -6,7 +6,8 @@ kernel. A Nystroem map onto ``LANDMARKS`` training texts turns it into features,
 regression learns each language. As the kernel is a product of presence vectors, landmarks, Nystroem map and ridge weights
 fold into one matrix (n-grams by languages), and a batch of documents is scored by one product with its presence matrix.
 
-The training sample is bounded: ``PER_LANG`` documents of each language by hash order, ``MOST_ROWS`` in all, of at most
+The training sample is bounded: ``PER_LANG`` documents of each language by hash order (of at most ``PER_SALT`` from each
+of ``SALTS`` hash classes), ``MOST_ROWS`` in all, of at most
 ``LONGEST`` characters each. It goes through the driver; documents to be scored never do.
 
 Defined results: ``und`` with score 0 for a null text or one without a letter, and for all texts if nothing could be
@@ -26,6 +27,7 @@ from tickforge.llm.common import table
 from tickforge.llm.letters import codes, has_letter
 
 PER_LANG, MOST_ROWS, LONGEST = 400, 8000, 20_000
+SALTS, PER_SALT = 256, 8
 LANDMARKS, RIDGE, SEED = 256, 1e-3, 7
 FOURS = 1 << 20
 FEATURES = 64**2 + 64**3 + FOURS
@@ -127,8 +129,12 @@ def fold(doc_id, parts: int):
 def train(docs: DataFrame, may_learn) -> Model:
     """Fit on a bounded sample of the rows for which ``may_learn`` holds and lang is not null."""
     ids = docs.filter(may_learn & F.col("lang").isNotNull()).select("doc_id", "lang")
-    order = W.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    ids = ids.withColumn("rn", F.row_number().over(order)).filter(F.col("rn") <= PER_LANG).drop("rn")
+    # By (language, salt) first, so that the task of a language gets SALTS * PER_SALT rows at most.
+    ids = ids.withColumn("salt", F.pmod(F.xxhash64("doc_id", F.lit("salt")), F.lit(SALTS)))
+    for part, most in ((("lang", "salt"), PER_SALT), (("lang",), PER_LANG)):
+        order = W.partitionBy(*part).orderBy(F.xxhash64("doc_id"), "doc_id")
+        ids = ids.withColumn("rn", F.row_number().over(order)).filter(F.col("rn") <= most).drop("rn")
+    ids = ids.drop("salt")
     ids = ids.orderBy(F.xxhash64("doc_id", "lang")).limit(MOST_ROWS).dropDuplicates(["doc_id"])
     sample = (docs.filter(may_learn).join(F.broadcast(ids.select("doc_id")), "doc_id")
               .filter(F.col("lang").isNotNull() & (F.length("text") <= LONGEST)).select("doc_id", "lang", "text"))
