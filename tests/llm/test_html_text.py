@@ -29,6 +29,15 @@ def test_article_text(html, expected):
     assert text(html) == expected
 
 
+@pytest.mark.parametrize("html, expected", [
+    ("<div class=post style=\"overflow: hidden\"><p>kept</div>", "kept"), ("<p>see <a href='/hidden/garden'>the garden</a> now", "see the garden now"),
+    ("<p>a <b data-hidden=\"false\">b</b> <i title='the hidden class=ad'>c</i> <a href=/x?id=ad&hidden>d</a>", "a b c d"),
+    ("<p>a<b HIDDEN>b</b><i aria-hidden = 'true'>c</i><u aria-hidden=false>d</u>", "ad"),
+])
+def test_only_whole_attribute_names_hide(html, expected):
+    assert text(html) == expected
+
+
 def test_repeated_tokens_equal_brute_force():
     rng = random.Random(3)
     for round_ in range(400):

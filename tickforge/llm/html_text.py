@@ -62,7 +62,8 @@ _NEGATED = frozenset("has with no without not".split())
 
 _MARKUP = re.compile(
     r"<!--.*?(?:--!?>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[/!?][^>]*(?:>|\Z)|<[a-zA-Z][^>]*(?:>|\Z)", re.S)
-_NAMES = re.compile(r"""\b(class|id|role|hidden|aria-hidden)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""", re.I)
+#: An attribute with its value, which is consumed whole: what looks like a name inside of it is none.
+_ATTRIBUTE = re.compile(r"""([^\s"'>/=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>"'][^\s>]*)))?""")
 _HOST = re.compile(r"^[a-zA-Z][a-zA-Z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)")
 
 
@@ -71,26 +72,26 @@ def host_of(url: str | None) -> str:
     return m[1].lower() if m else ""
 
 
-def _marks(element: str, attributes: str) -> tuple[bool, bool]:
-    """(is no article text, may be the article) by the element's name and attributes."""
+def _marks(element: str, attributes: str) -> tuple[bool, int]:
+    """(is no article text, the kind of article region it may be: 0 none) by the element's name and attributes."""
     if element in DROPPED:
-        return True, False
-    dropped, article = False, element in ("article", "main")
-    for name, *values in _NAMES.findall(attributes):
-        name, value = name.lower(), "".join(values).lower()
-        if name == "hidden" or name == "aria-hidden" and value == "true" or name == "role" and value in DROPPED_ROLES:
-            dropped = True
-        elif name in ("class", "id"):
-            for word in value.split():
-                parts = re.split(r"[^a-z0-9]+", word)
-                if not _NEGATED & set(parts):
-                    dropped |= bool(DROPPED_NAMES & set(parts))
-                    article |= bool(ARTICLE_NAMES & set(parts))
-        elif name == "role" and value in ("main", "article"):
-            article = True
-    if element in ("html", "body", "main", "article") and not (element == "article" and "comment" in attributes.lower()):
+        return True, 0
+    values: dict[str, str] = {}
+    for name, *value in _ATTRIBUTE.findall(attributes):
+        values.setdefault(name.lower(), "".join(value).lower())
+    role = values.get("role", "").strip()
+    dropped = "hidden" in values or values.get("aria-hidden", "").strip() == "true" or role in DROPPED_ROLES
+    named, comment = False, False
+    for name in ("class", "id"):
+        for word in values.get(name, "").split():
+            comment |= "comment" in word
+            parts = set(re.split(r"[^a-z0-9]+", word))
+            if not _NEGATED & parts:
+                dropped |= bool(DROPPED_NAMES & parts)
+                named |= bool(ARTICLE_NAMES & parts)
+    if element in ("html", "body", "main", "article") and not (element == "article" and comment):
         dropped = False
-    return dropped, article
+    return dropped, {"article": 1, "main": 2}.get(element, 2 if role in ("main", "article") else 4 if named else 0)
 
 
 def _end_implied(stack: list, element: str) -> None:
@@ -156,8 +157,7 @@ def read_page(html: str) -> tuple[list[str], bool]:
                 at = raw_end.end() if raw_end else length
                 continue
             if element not in VOID:
-                gone, article = _marks(element, m[3])
-                bit = {"article": 1, "main": 2}.get(element, 2 if article and 'role' in m[3].lower() else 4) if article else 0
+                gone, bit = _marks(element, m[3])
                 stack.append((element, dropped or gone, region | bit))
         dropped, region = (stack[-1][1], stack[-1][2]) if stack else (False, 0)
     close_block()
