@@ -91,6 +91,20 @@ def test_large_hosts_are_split(spark, monkeypatch):
     assert len(got) == 60 and all(BOILER not in r["text"] for r in got.values())
 
 
+def test_split_hosts_give_the_same(spark, monkeypatch):
+    """Lines that two or three of a large host's pages share are found wherever the pages fall; equal pages count as one."""
+    rng = random.Random(6)
+    own = lambda i: " ".join(f"w{i}x{k}" for k in range(60))
+    shared = [" ".join(f"s{j}y{k}" for k in range(14)) for j in range(25)]
+    rows = [(i, "http://big.org/", f"<p>{own(i)}</p><div>{shared[i % 25]}</div><p>{own(-i - 1)}</p>") for i in range(60)]
+    rows += [(100 + i, "http://big.org/", f"<footer>{shared[3]}</footer><article><p>{own(200 + i % 3)} {shared[i % 5]}</article>") for i in range(9)]
+    rows += [(200 + i, None, html) for i, (_, _, html) in enumerate(rng.sample(rows, 8))]
+    whole = answers(spark, rows)
+    assert all(whole[i]["n_repeated"] == 14 and len(whole[i]["text"].split()) == 120 for i in range(60))
+    monkeypatch.setattr(H, "PACK_BYTES", 5000)
+    assert answers(spark, rows) == whole
+
+
 def test_odd_rows(spark):
     rows = [(1, None, None), (2, "http://a/", ""), (None, "http://a/", "<p>x"), (3, "not a url", "<p>y"), (1, None, None), (4, "http://a/", "<p>" + "long " * 50000)]
     got = rows_of(H.main_text(pages(spark, rows)))

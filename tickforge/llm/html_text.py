@@ -10,9 +10,9 @@
 3. Of open blocks, covered tokens are boilerplate and go; unique runs stay. A page that is covered almost whole is a copy
    of an article rather than boilerplate and stays. Marked blocks stay whole: a line that many articles quote is text.
 
-Spark deals pages to tasks by host, small hosts packed together. A host of more than ``PACK_BYTES`` of HTML, and of more
-than 1/1024 of all (so that there are fewer than 1024), is split in chunks by page, each with a suffix array of its own;
-a repeat counts there when both its places fall in one chunk, as a template's do.
+Spark deals pages to tasks by host, small hosts packed together. A host of more than ``PACK_BYTES`` of HTML has its
+distinct texts dealt to chunks of about that size. Each chunk's suffix array finds its windows of ``RUN`` tokens; they meet
+those of the other chunks by a 128-bit hash, so that a repeat counts wherever on the host its places are.
 
 Defined results: a null html is an empty one; a page without text gets the empty text; a null url is a host of its own;
 rows that repeat are read alike, and equal pages don't make each other's text boilerplate; unclosed elements end with the
@@ -23,18 +23,23 @@ from __future__ import annotations
 
 import math
 import re
+from hashlib import blake2b
 from html import unescape
+from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickforge.llm.common import HOT_KEYS, table
+from tickforge.llm.common import HOT_KEYS, join_counted, staged, table  # noqa: F401 (a test sets HOT_KEYS here)
 
 RUN, COPY_SHARE, PACK_BYTES = 12, 0.9, 16_000_000
 #: Tasks that the packs are dealt to at most; two a pack below that, so that few tasks get several packs.
 MOST_TASKS = 100_000
+#: Texts outside of articles that a task remembers.
+MEMO = 200_000
 
 #: HTML's elements. Raw text ends at its own end tag only; void elements have no end tag.
 RAW = frozenset("script style textarea title noscript iframe xmp noembed noframes".split())
@@ -67,11 +72,6 @@ _ATTRIBUTE = re.compile(r"""([^\s"'>/=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>
 _HOST = re.compile(r"^[a-zA-Z][a-zA-Z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)")
 
 
-def host_of(url: str | None) -> str:
-    m = _HOST.match(url or "")
-    return m[1].lower() if m else ""
-
-
 def _marks(element: str, attributes: str) -> tuple[bool, int]:
     """(is no article text, the kind of article region it may be: 0 none) by the element's name and attributes."""
     if element in DROPPED:
@@ -111,26 +111,28 @@ def _end_implied(stack: list, element: str) -> None:
             break
 
 
-def read_page(html: str) -> tuple[list[str], bool]:
-    """(blocks, whether the page marks them as its article)."""
+def read_regions(html: str) -> tuple[list[str], bool, str]:
+    """(blocks, whether the page marks them as its article, the text outside of them)."""
     # Regions that may be the article: article elements, then main ones, then named ones.
-    blocks: list[tuple[str, int]] = []
+    blocks: list[tuple[str, int]] = []  # -1: left out
     line: list[str] = []
+    aside: list[str] = []  # what is left out inside of the line
     stack: list[tuple[str, bool, int]] = []  # element, dropped, regions that it is in (bits)
     dropped, region = False, 0
 
     def close_block():
-        text = " ".join("".join(line).split())
-        line.clear()
-        if text:
-            blocks.append((text, region))
+        for parts, of in ((line, region), (aside, -1)):
+            if parts:
+                text = " ".join("".join(parts).split())
+                parts.clear()
+                if text:
+                    blocks.append((text, of))
 
     at, raw_end = 0, None
     length = len(html)
     while at < length:
         m = _MARKUP.search(html, at)
-        if not dropped:
-            line.append(unescape(html[at:m.start() if m else length]))
+        (aside if dropped else line).append(unescape(html[at:m.start() if m else length]))
         if not m:
             break
         at = m.end()
@@ -145,8 +147,11 @@ def read_page(html: str) -> tuple[list[str], bool]:
                     del stack[i:]
                     break
             else:
-                if element not in INLINE and not dropped:
-                    close_block()
+                if element not in INLINE:
+                    if dropped:
+                        aside.append(" ")
+                    else:
+                        close_block()
         else:
             if element not in INLINE and element not in HIDDEN:
                 close_block()
@@ -162,9 +167,17 @@ def read_page(html: str) -> tuple[list[str], bool]:
         dropped, region = (stack[-1][1], stack[-1][2]) if stack else (False, 0)
     close_block()
     for bit in (1, 2, 4):
-        if any(r & bit for _, r in blocks):
-            return [t for t, r in blocks if r & bit], True
-    return [t for t, _ in blocks], False
+        if any(r > 0 and r & bit for _, r in blocks):
+            own = [r > 0 and r & bit for _, r in blocks]
+            break
+    else:
+        bit, own = 0, [r >= 0 for _, r in blocks]
+    return [t for (t, _), o in zip(blocks, own) if o], bit > 0, " ".join(t for (t, _), o in zip(blocks, own) if not o)
+
+
+def read_page(html: str) -> tuple[list[str], bool]:
+    """(blocks, whether the page marks them as its article)."""
+    return read_regions(html)[:2]
 
 
 def _refined(rank: np.ndarray, active: np.ndarray, offset: int):
@@ -184,96 +197,228 @@ def _refined(rank: np.ndarray, active: np.ndarray, offset: int):
     return new, suffixes, begin, size
 
 
+class Windows:
+    """The substrings of ``run`` tokens (windows) of distinct texts and of texts outside, by a suffix array truncated there.
+
+    Prefix doubling over the concatenated streams (each closed by a token that occurs once): the last doubling overlaps so
+    that the length is ``run``, and suffixes without an equal so far are done and sorted no further. Equal windows are one
+    class; of each class: ``pages`` (texts that have it), ``mix`` (their keys, xor), ``outside`` (whether a text outside has it).
+    """
+
+    def __init__(self, texts: list[list[str]], outside: list[list[str]] = (), run: int = RUN):
+        streams = [*texts, *outside]
+        self.run, self.number = run, {}
+        self.keys = np.array([_key(t) for t in texts], np.int64)
+        lengths = np.array([len(t) + 1 for t in streams], np.int64)
+        number = self.number
+        tokens = np.array([-1 if t is None else number.setdefault(t, len(number)) for s in streams for t in (*s, None)], np.int64)
+        self.tokens = tokens.copy()
+        closing = tokens < 0
+        tokens[closing] = len(number) + np.arange(len(streams))
+        n, length = len(tokens), 1
+        rank, active = tokens, np.flatnonzero(np.bincount(tokens)[tokens] > 1) if n else tokens
+        while length < run and len(active):
+            step = min(length, run - length)
+            rank, suffixes, _, size = _refined(rank, active, step)
+            length += step
+            active = np.sort(suffixes[np.repeat(size > 1, size)])
+        stream, end = np.repeat(np.arange(len(streams)), lengths), np.cumsum(lengths)
+        whole = np.flatnonzero(end[stream] - 1 - np.arange(n) >= run) if n else active
+        _, first, cls = np.unique(rank[whole], return_index=True, return_inverse=True)
+        self.first = whole[first]
+        count = len(first)
+        in_class, in_stream = np.divmod(np.unique(cls * max(len(streams), 1) + stream[whole]), max(len(streams), 1))
+        own = in_stream < len(texts)
+        self.pages, self.outside = np.bincount(in_class[own], minlength=count), np.bincount(in_class[~own], minlength=count) > 0
+        self.mix = np.zeros(count, np.int64)
+        c = in_class[own]
+        if len(c):
+            begin = np.flatnonzero(np.concatenate([[True], c[1:] != c[:-1]]))
+            self.mix[c[begin]] = np.bitwise_xor.reduceat(self.keys[in_stream[own]], begin)
+        counts = np.maximum(lengths[:len(texts)] - run, 0)
+        self.of = np.split(cls[:counts.sum()], np.cumsum(counts)[:-1]) if len(texts) else []
+
+    def hashes(self) -> tuple[np.ndarray, np.ndarray]:
+        """Two 64-bit hashes of each class, which depend on its tokens only."""
+        digests = [blake2b(t.encode("utf-8", "surrogatepass"), digest_size=16).digest() for t in self.number]
+        halves = np.frombuffer(b"".join(digests), np.uint64).reshape(-1, 2)
+        out = []
+        for half in (0, 1):
+            h = np.full(len(self.first), half + 1, np.uint64)
+            for k in range(self.run):
+                h = (h ^ halves[self.tokens[self.first + k], half]) * np.uint64(0x9E3779B97F4A7C15)
+                h ^= h >> np.uint64(29)
+            out.append(h.view(np.int64))
+        return out[0], out[1]
+
+
+def _key(tokens: list[str]) -> int:
+    return int.from_bytes(blake2b(" ".join(tokens).encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little", signed=True)
+
+
+def _tokens(text: str) -> list[str]:
+    return text.split(" ") if text else []
+
+
+def _spread(begins: np.ndarray, length: int, run: int = RUN) -> np.ndarray:
+    """Which of ``length`` tokens lie in a window that begins where ``begins`` holds."""
+    edge = np.zeros(length + 1, np.int64)
+    at = np.flatnonzero(begins)
+    np.add.at(edge, at, 1)
+    np.add.at(edge, at + run, -1)
+    return np.cumsum(edge)[:length] > 0
+
+
 def repeated_tokens(streams: list[list[str]], run: int = RUN) -> list[np.ndarray]:
     """For each token stream, which tokens lie in a substring of ``run`` tokens that begins in two streams or more.
 
-    Equal streams count as one. A suffix array truncated at ``run`` tokens, by prefix doubling over the concatenated
-    streams (each closed by a token that occurs once): the last doubling overlaps so that the length is ``run``, and
-    suffixes without an equal so far are done and sorted no further.
+    Equal streams count as one.
     """
-    first: dict[tuple, int] = {}
-    same = [first.setdefault(tuple(s), i) for i, s in enumerate(streams)]
-    own = [i for i, j in enumerate(same) if i == j]
-    if not own:
-        return []
-    number: dict[str, int] = {}
-    lengths = np.array([len(streams[i]) + 1 for i in own])
-    flat = [t for i in own for t in (*streams[i], None)]
-    tokens = np.array([-1 if t is None else number.setdefault(t, len(number)) for t in flat], np.int64)
-    closing = tokens < 0
-    tokens[closing] = len(number) + np.arange(len(own))
-    n, length = len(tokens), 1
-    page = np.repeat(np.arange(len(own)), lengths)
-    counts = np.bincount(tokens)
-    rank, active = tokens, np.flatnonzero(counts[tokens] > 1)
-    suffixes, begin, size = active, np.zeros(0, np.int64), np.zeros(0, np.int64)
-    while length < run and len(active):
-        step = min(length, run - length)
-        rank, suffixes, begin, size = _refined(rank, active, step)
-        length += step
-        active = np.sort(suffixes[np.repeat(size > 1, size)])
-    covered = np.zeros(n, bool)
-    if len(begin):
-        low, high = np.minimum.reduceat(page[suffixes], begin), np.maximum.reduceat(page[suffixes], begin)
-        starts = suffixes[np.repeat(low != high, size)]
-        edge = np.bincount(starts, minlength=n + run) - np.bincount(starts + run, minlength=n + run)[:n + run]
-        covered = np.cumsum(edge)[:n] > 0
-    end = np.cumsum(lengths)
-    found = {i: covered[e - k:e - 1] for i, e, k in zip(own, end, lengths)}
-    return [found[i] for i in same]
+    place: dict[tuple, int] = {}
+    same = [place.setdefault(tuple(s), len(place)) for s in streams]
+    w = Windows([list(s) for s in place], run=run)
+    return [_spread(w.pages[w.of[i]] > 1, len(s), run) for i, s in zip(same, streams)]
+
+
+def _decide(tokens: list[str], marked: bool, own: int, pages: np.ndarray, mix: np.ndarray, outside: np.ndarray, total: int):
+    """(text, n_repeated) of a text by its windows' ``pages``, ``mix`` and ``outside``; the host has ``total`` distinct texts."""
+    covered = _spread(pages > 1, len(tokens))
+    if marked or not covered.any() or covered.mean() >= COPY_SHARE:
+        gone = np.zeros(len(tokens), bool)
+    else:
+        gone = covered
+    return " ".join(t for t, g in zip(tokens, gone) if not g) if gone.any() else " ".join(tokens), int(covered.sum())
 
 
 def _extract(rows: pa.Table) -> pa.Table:
-    pages = list(zip(*(rows.column(c).to_pylist() for c in ("host", "page_id", "url", "blocks", "marked"))))
+    """The pages of whole hosts."""
+    pages = list(zip(*(rows.column(c).to_pylist() for c in ("host", "page_id", "url", "text", "marked", "outside"))))
     pages.sort(key=lambda p: (p[0], p[1] is None, p[1] or 0))
     out = []
-    begin = 0
-    for end in range(1, len(pages) + 1):
-        if end < len(pages) and pages[end][0] == pages[begin][0]:
-            continue
-        part, begin = pages[begin:end], end
-        streams = [[t for b in p[3] for t in b.split(" ")] for p in part]
-        for (_, page_id, url, blocks, marked), tokens, covered in zip(part, streams, repeated_tokens(streams)):
-            if marked or not covered.any() or covered.mean() >= COPY_SHARE:
-                text = " ".join(blocks)
-            else:
-                text = " ".join(t for t, c in zip(tokens, covered) if not c)
-            out.append((page_id, url, text, len(text), int(covered.sum())))
+    for _, part in groupby(pages, key=lambda p: p[0]):
+        part = list(part)
+        place: dict[str, int] = {}
+        for p in part:
+            place.setdefault(p[3], len(place))
+        texts = [_tokens(t) for t in place]
+        w = Windows(texts, [_tokens(t) for t in sorted({p[5] for p in part if p[5]})])
+        found: dict[tuple, tuple] = {}
+        for _, page_id, url, text, marked, _ in part:
+            if (text, marked) not in found:
+                i = place[text]
+                c = w.of[i]
+                found[text, marked] = _decide(texts[i], marked, w.keys[i], w.pages[c], w.mix[c], w.outside[c], len(texts))
+            text, repeated = found[text, marked]
+            out.append((page_id, url, text, len(text), repeated))
     types = (rows.schema.field("page_id").type, rows.schema.field("url").type, pa.string(), pa.int64(), pa.int64())
     return pa.Table.from_arrays([pa.array([r[i] for r in out], t) for i, t in enumerate(types)],
                                 ["page_id", "url", "text", "n_chars", "n_repeated"])
 
 
-def main_text(pages: DataFrame) -> DataFrame:
-    """page_id, url, text, n_chars, n_repeated (tokens in runs that repeat on the host)."""
-    pages = pages.select("page_id", "url", "html")
-    host = F.lower(F.regexp_extract(F.coalesce("url", F.lit("")), _HOST.pattern, 1))
-    sizes = pages.groupBy(host.alias("host")).agg(F.sum(F.coalesce(F.octet_length("html"), F.lit(0))).alias("bytes"))
-    total = sizes.agg(F.coalesce(F.sum("bytes"), F.lit(0))).first()[0]
-    limit = max(PACK_BYTES, total // HOT_KEYS)
-    chunks_of = {r[0]: math.ceil(r[1] / limit) for r in sizes.filter(F.col("bytes") > limit).collect()}
-    packs = max(1, math.ceil(total / PACK_BYTES))
-    kind = dict(pages.dtypes)["page_id"]
+def _chunk_windows(rows: pa.Table) -> pa.Table:
+    """Each window class of a chunk of a host's distinct texts: host, chunk, its hash (a, b), pages, mix, outside."""
+    texts, asides = ([_tokens(t) for t in sorted(set(rows.filter(pc.field("role") > 0 if own else pc.field("role") == 0)
+                                                     .column("text").to_pylist()))] for own in (True, False))
+    w = Windows(texts, asides)
+    a, b = w.hashes()
+    return pa.Table.from_arrays(
+        [pa.array([rows.column("host")[0].as_py()] * len(a), pa.string()), pa.array([rows.column("chunk")[0].as_py()] * len(a), pa.int64()),
+         pa.array(a), pa.array(b), pa.array(w.pages, pa.int64()), pa.array(w.mix), pa.array(w.outside)],
+        ["host", "chunk", "a", "b", "pages", "mix", "outside"])
+
+
+def _chunk_texts(rows: pa.Table, repeated: pa.Table) -> pa.Table:
+    """key, text, n_repeated of a chunk's texts, by what the whole host says of their windows."""
+    place: dict[str, int] = {}
+    for t in rows.column("text").to_pylist():
+        place.setdefault(t, len(place))
+    texts = [_tokens(t) for t in place]
+    w = Windows(texts)
+    pages, mix, outside = np.ones(len(w.first), np.int64), w.mix.copy(), np.zeros(len(w.first), bool)
+    if repeated.num_rows and len(pages):
+        known = repeated.sort_by("a")
+        a, b, of_pages, of_mix, of_outside = (known.column(c).to_numpy() for c in ("a", "b", "pages", "mix", "outside"))
+        own_a, own_b = w.hashes()
+        at = np.minimum(np.searchsorted(a, own_a), len(a) - 1)
+        hit = (a[at] == own_a) & (b[at] == own_b)
+        pages[hit], mix[hit], outside[hit] = of_pages[at[hit]], of_mix[at[hit]], of_outside[at[hit]]
+    out = []
+    for key, text, role, total in zip(*(rows.column(c).to_pylist() for c in ("key", "text", "role", "total"))):
+        i = place[text]
+        c = w.of[i]
+        out.append((key, *_decide(texts[i], role == 1, w.keys[i], pages[c], mix[c], outside[c], total)))
+    return pa.Table.from_arrays([pa.array([r[i] for r in out], t) for i, t in enumerate((pa.binary(), pa.string(), pa.int64()))],
+                                ["key", "result", "n_repeated"])
 
+
+def _read(pages: DataFrame) -> DataFrame:
+    """host, page_id, url, text, marked, outside (null where the task has met that text of the host before)."""
     def run(batches):
+        seen: set[tuple] = set()
         for batch in batches:
             rows = []
-            for url, html in zip(batch.column("url").to_pylist(), batch.column("html").to_pylist()):
-                blocks, marked = read_page(html or "")
-                rows.append((host_of(url), blocks, marked))
+            for host, html in zip(batch.column("host").to_pylist(), batch.column("html").to_pylist()):
+                blocks, marked, outside = read_regions(html or "")
+                mark = (host, hash(outside))
+                if mark in seen:
+                    outside = None
+                elif len(seen) < MEMO:
+                    seen.add(mark)
+                rows.append((" ".join(blocks), marked, outside or None))
             yield pa.RecordBatch.from_arrays(
-                [pa.array([r[0] for r in rows], pa.string()), pa.array([chunks_of.get(r[0], 0) for r in rows], pa.int32()),
-                 batch.column("page_id"), batch.column("url"),
-                 pa.array([r[1] for r in rows], pa.list_(pa.string())), pa.array([r[2] for r in rows], pa.bool_())],
-                ["host", "chunks", "page_id", "url", "blocks", "marked"])
-
-    read = pages.mapInArrow(run, f"host string, chunks int, page_id {kind}, url string, blocks array<string>, marked boolean")
-    chunk = F.pmod(F.xxhash64("page_id", "url"), F.greatest("chunks", F.lit(1)))
-    read = read.withColumn("own", F.when(F.col("chunks") > 0, F.col("host"))).withColumn(
-        "pack", F.when(F.col("chunks") > 0, chunk).otherwise(F.pmod(F.xxhash64("host"), F.lit(packs))))
-    tasks = min(2 * (packs + sum(chunks_of.values())), MOST_TASKS)
-    return read.repartition(tasks, "own", "pack").groupBy("own", "pack").applyInArrow(
+                [batch.column("host"), batch.column("page_id"), batch.column("url"),
+                 *(pa.array([r[i] for r in rows], t) for i, t in enumerate((pa.string(), pa.bool_(), pa.string())))],
+                ["host", "page_id", "url", "text", "marked", "outside"])
+
+    kind = dict(pages.dtypes)["page_id"]
+    return pages.select("host", "page_id", "url", "html").mapInArrow(
+        run, f"host string, page_id {kind}, url string, text string, marked boolean, outside string")
+
+
+def _split_hosts(pages: DataFrame) -> DataFrame:
+    """The pages of hosts that are split in ``chunks``: distinct texts are dealt to chunks, and windows meet by their hash."""
+    role = F.when(F.col("marked"), 1).otherwise(2)
+    key = lambda *c: F.unhex(F.md5(F.concat_ws("\0", *c).cast("binary")))
+    of = pages.select("host", "chunks").distinct()
+    rows = staged(_read(pages).withColumn("role", role).withColumn("key", key("host", F.col("role").cast("string"), "text")), "pages")
+    streams = rows.select("host", "text", "role").unionByName(
+        rows.filter(F.col("outside").isNotNull()).select("host", F.col("outside").alias("text"), F.lit(0).alias("role"))).distinct()
+    chunk = F.pmod(F.xxhash64("text"), F.col("chunks"))
+    streams = staged(streams.join(F.broadcast(of), "host").withColumn("chunk", chunk), "streams")
+    texts = streams.filter(F.col("role") > 0)
+    totals = texts.select("host", key("host", "text").alias("t")).distinct().groupBy("host").agg(F.count(F.lit(1)).alias("total"))
+    windows = streams.select("host", "chunk", "role", "text").groupBy("host", "chunk").applyInArrow(
+        _chunk_windows, "host string, chunk long, a long, b long, pages long, mix long, outside boolean")
+    repeated = (windows.groupBy("host", "a", "b")
+                .agg(F.sum("pages").alias("pages"), F.bit_xor("mix").alias("mix"), F.max("outside").alias("outside"),
+                     F.collect_list(F.when(F.col("pages") > 0, F.col("chunk"))).alias("chunks"))
+                .filter(F.col("pages") > 1).withColumn("chunk", F.explode("chunks"))
+                .select("host", "chunk", "a", "b", "pages", "mix", "outside"))
+    own = texts.select("host", "chunk", "role", "text").join(F.broadcast(totals), "host").withColumn(
+        "key", key("host", F.col("role").cast("string"), "text"))
+    done = staged(own.groupBy("host", "chunk").cogroup(repeated.groupBy("host", "chunk")).applyInArrow(
+        _chunk_texts, "key binary, result string, n_repeated long"), "texts")
+    ids = rows.select("key", "page_id", "url")
+    counted = done.join(ids.groupBy("key").agg(F.count(F.lit(1)).alias("n")), "key")
+    return join_counted(ids, counted, "key", ids.count()).select(
+        "page_id", "url", F.col("result").alias("text"), F.length("result").cast("long").alias("n_chars"), "n_repeated")
+
+
+def main_text(pages: DataFrame) -> DataFrame:
+    """page_id, url, text, n_chars, n_repeated (tokens in runs that repeat on the host)."""
+    host = F.lower(F.regexp_extract(F.coalesce("url", F.lit("")), _HOST.pattern, 1))
+    pages = pages.select("page_id", "url", "html", host.alias("host"))
+    sizes = staged(pages.groupBy("host").agg(F.sum(F.coalesce(F.octet_length("html"), F.lit(0))).alias("bytes")), "hosts")
+    large = sizes.filter(F.col("bytes") > PACK_BYTES).select("host", F.ceil(F.col("bytes") / PACK_BYTES).cast("long").alias("chunks"))
+    total = sizes.filter(F.col("bytes") <= PACK_BYTES).agg(F.coalesce(F.sum("bytes"), F.lit(0))).first()[0]
+    packs = max(1, math.ceil(total / PACK_BYTES))
+    kind = dict(pages.dtypes)["page_id"]
+    split = not large.isEmpty()
+    small = pages.join(F.broadcast(large.select("host")), "host", "left_anti") if split else pages
+    read = _read(small).withColumn("pack", F.pmod(F.xxhash64("host"), F.lit(packs)))
+    out = read.repartition(min(2 * packs, MOST_TASKS), "pack").groupBy("pack").applyInArrow(
         _extract, f"page_id {kind}, url string, text string, n_chars long, n_repeated long")
+    return out.unionByName(_split_hosts(pages.join(F.broadcast(large), "host"))) if split else out
 
 
 def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
