@@ -105,6 +105,23 @@ def test_split_hosts_give_the_same(spark, monkeypatch):
     assert answers(spark, rows) == whole
 
 
+def test_templates_leave_marked_regions_and_quotes_stay(spark, monkeypatch):
+    own = lambda i: " ".join(f"w{i}x{k}" for k in range(40))
+    legal, quote = " ".join(f"l{k}" for k in range(20)), " ".join(f"q{k}" for k in range(20))
+    # A wrapper that holds its template; a template that is marked as such on most pages; a line that few articles quote.
+    rows = [(i, "http://wrapped.org/", f"<div id=content><div>{BOILER}</div><p>{own(i)}{' ' + quote if i < 3 else ''}</p></div>") for i in range(8)]
+    rows += [(20 + i, "http://mixed.org/", f"<article><p>{own(i)}<div>{legal}</div></article>" if i < 2 else
+              f"<article><p>{own(i)}</article><footer>{legal}</footer>") for i in range(8)]
+    rows += [(40 + i, "http://advert.org/", f"<article><p>{own(i)}{' ' + quote if i < 3 else ''}</article><div class=ad>{quote if i == 7 else 'buy'}</div>")
+             for i in range(8)]
+    for bytes_ in (H.PACK_BYTES, 800):
+        monkeypatch.setattr(H, "PACK_BYTES", bytes_)
+        got = answers(spark, rows)
+        assert all(got[i]["text"] == own(i) + (" " + quote if i < 3 else "") and got[i]["n_repeated"] >= 17 for i in range(8))
+        assert all(got[20 + i]["text"] == own(i) for i in range(8)) and got[20]["n_repeated"] == 20
+        assert all(got[40 + i]["text"] == own(i) + (" " + quote if i < 3 else "") for i in range(8))
+
+
 def test_odd_rows(spark):
     rows = [(1, None, None), (2, "http://a/", ""), (None, "http://a/", "<p>x"), (3, "not a url", "<p>y"), (1, None, None), (4, "http://a/", "<p>" + "long " * 50000)]
     got = rows_of(H.main_text(pages(spark, rows)))

@@ -4,11 +4,13 @@
    adverts, forms, scripts, styles, reader comments: by element, role, class or id) are left out. Where the page marks its
    article (``article``, else ``main``, else a class or id that says so), only that region is read, and its blocks are
    *marked*; on other pages all remaining blocks are *open*.
-2. The token streams of a host's pages are concatenated and a suffix array is built by prefix doubling, up to the first
-   ``RUN`` tokens, which is all that is compared: suffixes of equal rank share a substring of ``RUN`` tokens, and the union
-   of such substrings that start on two or more pages with different text is what longer repeats cover as well.
+2. The token streams of a host's pages are concatenated, and those of the texts left out, and a suffix array is built by
+   prefix doubling, up to the first ``RUN`` tokens, which is all that is compared: suffixes of equal rank share a substring
+   of ``RUN`` tokens, and the union of such substrings that start on two or more pages with different text is what longer
+   repeats cover as well.
 3. Of open blocks, covered tokens are boilerplate and go; unique runs stay. A page that is covered almost whole is a copy
-   of an article rather than boilerplate and stays. Marked blocks stay whole: a line that many articles quote is text.
+   of an article rather than boilerplate and stays. Of marked blocks, what is on most of the host's pages (pages with
+   different text that have it in or outside of their blocks, added up) is its template and goes; what fewer quote is text.
 
 Spark deals pages to tasks by host, small hosts packed together. A host of more than ``PACK_BYTES`` of HTML has its
 distinct texts dealt to chunks of about that size. Each chunk's suffix array finds its windows of ``RUN`` tokens; they meet
@@ -23,13 +25,13 @@ from __future__ import annotations
 
 import math
 import re
+from collections import Counter
 from hashlib import blake2b
 from html import unescape
 from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -38,6 +40,8 @@ from tickforge.llm.common import HOT_KEYS, join_counted, staged, table  # noqa:
 RUN, COPY_SHARE, PACK_BYTES = 12, 0.9, 16_000_000
 #: Tasks that the packs are dealt to at most; two a pack below that, so that few tasks get several packs.
 MOST_TASKS = 100_000
+#: Marked text goes only if it is on most pages of its host, and the host has so many: fewer don't tell a template from a quote.
+LEAST_PAGES = 4
 #: Texts outside of articles that a task remembers.
 MEMO = 200_000
 
@@ -202,13 +206,14 @@ class Windows:
 
     Prefix doubling over the concatenated streams (each closed by a token that occurs once): the last doubling overlaps so
     that the length is ``run``, and suffixes without an equal so far are done and sorted no further. Equal windows are one
-    class; of each class: ``pages`` (texts that have it), ``mix`` (their keys, xor), ``outside`` (whether a text outside has it).
+    class; of each class: ``pages`` (texts that have it), ``mix`` (their keys, xor), ``outside`` (pages whose text outside has it).
     """
 
-    def __init__(self, texts: list[list[str]], outside: list[list[str]] = (), run: int = RUN):
-        streams = [*texts, *outside]
+    def __init__(self, texts: list[list[str]], outside: dict[str, int] | None = None, run: int = RUN):
+        """outside: how many pages each text outside is on."""
+        streams = [*texts, *map(_tokens, outside or ())]
         self.run, self.number = run, {}
-        self.keys = np.array([_key(t) for t in texts], np.int64)
+        self.keys = np.array([_key(" ".join(t)) for t in texts], np.int64)
         lengths = np.array([len(t) + 1 for t in streams], np.int64)
         number = self.number
         tokens = np.array([-1 if t is None else number.setdefault(t, len(number)) for s in streams for t in (*s, None)], np.int64)
@@ -229,7 +234,9 @@ class Windows:
         count = len(first)
         in_class, in_stream = np.divmod(np.unique(cls * max(len(streams), 1) + stream[whole]), max(len(streams), 1))
         own = in_stream < len(texts)
-        self.pages, self.outside = np.bincount(in_class[own], minlength=count), np.bincount(in_class[~own], minlength=count) > 0
+        on = np.array([1] * len(texts) + list((outside or {}).values()), np.int64)
+        self.pages = np.bincount(in_class[own], minlength=count)
+        self.outside = np.bincount(in_class[~own], on[in_stream[~own]], minlength=count).astype(np.int64)
         self.mix = np.zeros(count, np.int64)
         c = in_class[own]
         if len(c):
@@ -252,8 +259,8 @@ class Windows:
         return out[0], out[1]
 
 
-def _key(tokens: list[str]) -> int:
-    return int.from_bytes(blake2b(" ".join(tokens).encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little", signed=True)
+def _key(text: str) -> int:
+    return int.from_bytes(blake2b(text.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little", signed=True)
 
 
 def _tokens(text: str) -> list[str]:
@@ -283,7 +290,10 @@ def repeated_tokens(streams: list[list[str]], run: int = RUN) -> list[np.ndarray
 def _decide(tokens: list[str], marked: bool, own: int, pages: np.ndarray, mix: np.ndarray, outside: np.ndarray, total: int):
     """(text, n_repeated) of a text by its windows' ``pages``, ``mix`` and ``outside``; the host has ``total`` distinct texts."""
     covered = _spread(pages > 1, len(tokens))
-    if marked or not covered.any() or covered.mean() >= COPY_SHARE:
+    if marked:
+        often = (pages + outside) * 2 > total if total >= LEAST_PAGES else np.zeros(len(pages), bool)
+        gone = _spread((pages > 1) & often, len(tokens))
+    elif not covered.any() or covered.mean() >= COPY_SHARE:
         gone = np.zeros(len(tokens), bool)
     else:
         gone = covered
@@ -292,7 +302,7 @@ def _decide(tokens: list[str], marked: bool, own: int, pages: np.ndarray, mix: n
 
 def _extract(rows: pa.Table) -> pa.Table:
     """The pages of whole hosts."""
-    pages = list(zip(*(rows.column(c).to_pylist() for c in ("host", "page_id", "url", "text", "marked", "outside"))))
+    pages = list(zip(*(rows.column(c).to_pylist() for c in ("host", "page_id", "url", "text", "marked", "outside", "aside"))))
     pages.sort(key=lambda p: (p[0], p[1] is None, p[1] or 0))
     out = []
     for _, part in groupby(pages, key=lambda p: p[0]):
@@ -301,9 +311,11 @@ def _extract(rows: pa.Table) -> pa.Table:
         for p in part:
             place.setdefault(p[3], len(place))
         texts = [_tokens(t) for t in place]
-        w = Windows(texts, [_tokens(t) for t in sorted({p[5] for p in part if p[5]})])
+        on = Counter(a for a, _ in {(p[6], p[3]) for p in part})
+        asides = {p[6]: p[5] for p in part if p[5]}
+        w = Windows(texts, {t: on[a] for a, t in sorted(asides.items())})
         found: dict[tuple, tuple] = {}
-        for _, page_id, url, text, marked, _ in part:
+        for _, page_id, url, text, marked, *_ in part:
             if (text, marked) not in found:
                 i = place[text]
                 c = w.of[i]
@@ -317,9 +329,8 @@ def _extract(rows: pa.Table) -> pa.Table:
 
 def _chunk_windows(rows: pa.Table) -> pa.Table:
     """Each window class of a chunk of a host's distinct texts: host, chunk, its hash (a, b), pages, mix, outside."""
-    texts, asides = ([_tokens(t) for t in sorted(set(rows.filter(pc.field("role") > 0 if own else pc.field("role") == 0)
-                                                     .column("text").to_pylist()))] for own in (True, False))
-    w = Windows(texts, asides)
+    parts = list(zip(*(rows.column(c).to_pylist() for c in ("text", "role", "pages"))))
+    w = Windows([_tokens(t) for t in sorted({t for t, role, _ in parts if role})], {t: n for t, role, n in sorted(parts) if not role})
     a, b = w.hashes()
     return pa.Table.from_arrays(
         [pa.array([rows.column("host")[0].as_py()] * len(a), pa.string()), pa.array([rows.column("chunk")[0].as_py()] * len(a), pa.int64()),
@@ -334,7 +345,7 @@ def _chunk_texts(rows: pa.Table, repeated: pa.Table) -> pa.Table:
         place.setdefault(t, len(place))
     texts = [_tokens(t) for t in place]
     w = Windows(texts)
-    pages, mix, outside = np.ones(len(w.first), np.int64), w.mix.copy(), np.zeros(len(w.first), bool)
+    pages, mix, outside = np.ones(len(w.first), np.int64), w.mix.copy(), np.zeros(len(w.first), np.int64)
     if repeated.num_rows and len(pages):
         known = repeated.sort_by("a")
         a, b, of_pages, of_mix, of_outside = (known.column(c).to_numpy() for c in ("a", "b", "pages", "mix", "outside"))
@@ -352,27 +363,27 @@ def _chunk_texts(rows: pa.Table, repeated: pa.Table) -> pa.Table:
 
 
 def _read(pages: DataFrame) -> DataFrame:
-    """host, page_id, url, text, marked, outside (null where the task has met that text of the host before)."""
+    """host, page_id, url, text, marked, aside (a number of the text outside), outside (null where the task has sent it before)."""
     def run(batches):
         seen: set[tuple] = set()
         for batch in batches:
             rows = []
             for host, html in zip(batch.column("host").to_pylist(), batch.column("html").to_pylist()):
                 blocks, marked, outside = read_regions(html or "")
-                mark = (host, hash(outside))
-                if mark in seen:
+                aside = _key(outside)
+                if (host, aside) in seen:
                     outside = None
                 elif len(seen) < MEMO:
-                    seen.add(mark)
-                rows.append((" ".join(blocks), marked, outside or None))
+                    seen.add((host, aside))
+                rows.append((" ".join(blocks), marked, aside, outside or None))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("host"), batch.column("page_id"), batch.column("url"),
-                 *(pa.array([r[i] for r in rows], t) for i, t in enumerate((pa.string(), pa.bool_(), pa.string())))],
-                ["host", "page_id", "url", "text", "marked", "outside"])
+                 *(pa.array([r[i] for r in rows], t) for i, t in enumerate((pa.string(), pa.bool_(), pa.int64(), pa.string())))],
+                ["host", "page_id", "url", "text", "marked", "aside", "outside"])
 
     kind = dict(pages.dtypes)["page_id"]
     return pages.select("host", "page_id", "url", "html").mapInArrow(
-        run, f"host string, page_id {kind}, url string, text string, marked boolean, outside string")
+        run, f"host string, page_id {kind}, url string, text string, marked boolean, aside long, outside string")
 
 
 def _split_hosts(pages: DataFrame) -> DataFrame:
@@ -381,16 +392,18 @@ def _split_hosts(pages: DataFrame) -> DataFrame:
     key = lambda *c: F.unhex(F.md5(F.concat_ws("\0", *c).cast("binary")))
     of = pages.select("host", "chunks").distinct()
     rows = staged(_read(pages).withColumn("role", role).withColumn("key", key("host", F.col("role").cast("string"), "text")), "pages")
-    streams = rows.select("host", "text", "role").unionByName(
-        rows.filter(F.col("outside").isNotNull()).select("host", F.col("outside").alias("text"), F.lit(0).alias("role"))).distinct()
+    on = rows.select("host", "aside", F.md5("text").alias("t")).distinct().groupBy("host", "aside").agg(F.count(F.lit(1)).alias("pages"))
+    asides = (rows.filter(F.col("outside").isNotNull()).select("host", "aside", F.col("outside").alias("text")).distinct()
+              .join(on, ["host", "aside"]).select("host", "text", F.lit(0).alias("role"), "pages"))
+    streams = rows.select("host", "text", "role", F.lit(1).cast("long").alias("pages")).distinct().unionByName(asides)
     chunk = F.pmod(F.xxhash64("text"), F.col("chunks"))
     streams = staged(streams.join(F.broadcast(of), "host").withColumn("chunk", chunk), "streams")
     texts = streams.filter(F.col("role") > 0)
     totals = texts.select("host", key("host", "text").alias("t")).distinct().groupBy("host").agg(F.count(F.lit(1)).alias("total"))
-    windows = streams.select("host", "chunk", "role", "text").groupBy("host", "chunk").applyInArrow(
-        _chunk_windows, "host string, chunk long, a long, b long, pages long, mix long, outside boolean")
+    windows = streams.select("host", "chunk", "role", "text", "pages").groupBy("host", "chunk").applyInArrow(
+        _chunk_windows, "host string, chunk long, a long, b long, pages long, mix long, outside long")
     repeated = (windows.groupBy("host", "a", "b")
-                .agg(F.sum("pages").alias("pages"), F.bit_xor("mix").alias("mix"), F.max("outside").alias("outside"),
+                .agg(F.sum("pages").alias("pages"), F.bit_xor("mix").alias("mix"), F.sum("outside").alias("outside"),
                      F.collect_list(F.when(F.col("pages") > 0, F.col("chunk"))).alias("chunks"))
                 .filter(F.col("pages") > 1).withColumn("chunk", F.explode("chunks"))
                 .select("host", "chunk", "a", "b", "pages", "mix", "outside"))
