@@ -122,6 +122,17 @@ def test_templates_leave_marked_regions_and_quotes_stay(spark, monkeypatch):
         assert all(got[40 + i]["text"] == own(i) + (" " + quote if i < 3 else "") for i in range(8))
 
 
+def test_short_pages_lose_boilerplate_and_near_copies_stay(spark):
+    notice = [" ".join(f"n{j}y{k}" for k in range(50)) for j in range(4)]
+    rows = [(i, "http://h.org/", "".join(f"<div>{n}</div>" for n in notice[:2]) + f"<p>{' '.join(f'w{i}x{k}' for k in range(15 if i < 3 else 300))}</p>"
+             + "".join(f"<div>{n}</div>" for n in notice[2:])) for i in range(6)]
+    story = " ".join(f"s{k}" for k in range(400))
+    rows += [(10, "http://h.org/", f"<p>{story} first print</p>"), (11, "http://h.org/", f"<p>{story.replace('s200 ', 'changed ')} again</p>")]
+    got = answers(spark, rows)
+    assert all(got[i]["text"] == " ".join(f"w{i}x{k}" for k in range(15 if i < 3 else 300)) and got[i]["n_repeated"] == 200 for i in range(6))
+    assert got[10]["text"] == f"{story} first print" and got[11]["text"].endswith("s399 again") and got[11]["text"].startswith("s0 s1")
+
+
 def test_odd_rows(spark):
     rows = [(1, None, None), (2, "http://a/", ""), (None, "http://a/", "<p>x"), (3, "not a url", "<p>y"), (1, None, None), (4, "http://a/", "<p>" + "long " * 50000)]
     got = rows_of(H.main_text(pages(spark, rows)))

@@ -8,8 +8,8 @@
    prefix doubling, up to the first ``RUN`` tokens, which is all that is compared: suffixes of equal rank share a substring
    of ``RUN`` tokens, and the union of such substrings that start on two or more pages with different text is what longer
    repeats cover as well.
-3. Of open blocks, covered tokens are boilerplate and go; unique runs stay. A page that is covered almost whole is a copy
-   of an article rather than boilerplate and stays. Of marked blocks, what is on most of the host's pages (pages with
+3. Of open blocks, covered tokens are boilerplate and go; unique runs stay. A page that is almost whole in long runs
+   of one other page, and of no third, is a copy rather than boilerplate and stays. Of marked blocks, what is on most of the host's pages (pages with
    different text that have it in or outside of their blocks, added up) is its template and goes; what fewer quote is text.
 
 Spark deals pages to tasks by host, small hosts packed together. A host of more than ``PACK_BYTES`` of HTML has its
@@ -38,6 +38,8 @@ from pyspark.sql import functions as F
 from tickforge.llm.common import HOT_KEYS, join_counted, staged, table  # noqa: F401 (a test sets HOT_KEYS here)
 
 RUN, COPY_SHARE, PACK_BYTES = 12, 0.9, 16_000_000
+#: Tokens of a run that is long, for copies.
+LONG = 48
 #: Tasks that the packs are dealt to at most; two a pack below that, so that few tasks get several packs.
 MOST_TASKS = 100_000
 #: Marked text goes only if it is on most pages of its host, and the host has so many: fewer don't tell a template from a quote.
@@ -287,13 +289,29 @@ def repeated_tokens(streams: list[list[str]], run: int = RUN) -> list[np.ndarray
     return [_spread(w.pages[w.of[i]] > 1, len(s), run) for i, s in zip(same, streams)]
 
 
+def _is_copy(pages: np.ndarray, other: np.ndarray, length: int) -> bool:
+    """Whether long runs that one other text alone has, the same all along, make up ``COPY_SHARE`` of a text's ``length`` tokens."""
+    edges = np.flatnonzero(np.concatenate([[True], (pages[1:] != pages[:-1]) | (other[1:] != other[:-1]), [True]])) if len(pages) else []
+    least = min(LONG, length // 2)
+    runs: dict[int, list] = {}
+    for begin, end in zip(edges[:-1], edges[1:]):
+        if pages[begin] == 2 and end - begin + RUN - 1 >= least:
+            runs.setdefault(int(other[begin]), []).append(np.arange(begin, end))
+    for at in runs.values():
+        begins = np.zeros(len(pages), bool)
+        begins[np.concatenate(at)] = True
+        if _spread(begins, length).mean() >= COPY_SHARE:
+            return True
+    return False
+
+
 def _decide(tokens: list[str], marked: bool, own: int, pages: np.ndarray, mix: np.ndarray, outside: np.ndarray, total: int):
     """(text, n_repeated) of a text by its windows' ``pages``, ``mix`` and ``outside``; the host has ``total`` distinct texts."""
     covered = _spread(pages > 1, len(tokens))
     if marked:
         often = (pages + outside) * 2 > total if total >= LEAST_PAGES else np.zeros(len(pages), bool)
         gone = _spread((pages > 1) & often, len(tokens))
-    elif not covered.any() or covered.mean() >= COPY_SHARE:
+    elif _is_copy(pages, mix ^ own, len(tokens)):
         gone = np.zeros(len(tokens), bool)
     else:
         gone = covered
