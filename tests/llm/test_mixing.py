@@ -90,6 +90,25 @@ def test_mixture_has_the_words_taken(spark):
     assert {i: n for i, n in words.items()} == {r["doc_id"]: r["taken"] for r in rows_of(M.take(docs)) if r["taken"]}
 
 
+def test_mixture_has_the_words_taken_of_null_and_repeated_ids(spark):
+    rng = random.Random(8)
+    rows = [(rng.choice([None, 1, 2, i]), prose(rng, rng.choice([3, 40, 150])), "en", rng.choice(["a", "a", "b", None])) for i in range(60)]
+    rows += rows[:20] + [(None, "one two three", "en", "a")] * 30
+    docs = documents(spark, rows)
+    mixed, taken = rows_of(M.mix(docs)), Counter()
+    for r in rows_of(M.take(docs)):
+        taken[r["doc_id"], r["size"]] += r["taken"]
+    whole = {(i, len(t.split())) for i, t, _, _ in rows}
+    words = Counter()
+    for r in mixed:
+        own = [n for i, t, _, s in rows if (i, s) == (r["doc_id"], r["source"]) and t.startswith(r["text"]) for n in [len(t.split())]]
+        words[r["doc_id"], min(own)] += len(r["text"].split())
+    assert None in {r["doc_id"] for r in mixed} and set(words) <= whole
+    assert words == Counter({k: n for k, n in taken.items() if n})
+    key = lambda r: [str(x) for x in r.values()]
+    assert sorted(rows_of(M.mix(documents(spark, rows[::-1]).repartition(7))), key=key) == sorted(mixed, key=key)
+
+
 def test_reruns_agree_whatever_the_partitions(spark):
     rows = corpus(random.Random(5), 120)
     one = rows_of(M.take(documents(spark, rows).repartition(1)))

@@ -13,8 +13,8 @@ Nothing is gathered in one task: ranks and offsets are sums over (source, hash b
 rank inside each, and blocks meet documents on (source, block). Only windows over one row per source are unpartitioned.
 
 Defined results: a null text has no words; a document without words takes none; null is a source of its own, the last;
-rows that repeat a doc_id count as rows of their own (``mix`` returns one of them); other columns pass through ``mix``
-untouched and are ignored otherwise; an empty table gives no rows.
+a null doc_id is one like others, hashed as the empty string; rows that repeat a doc_id count as rows of their own, told
+apart by the digest of doc_id, source and text; other columns pass through ``mix`` untouched and are ignored otherwise; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -37,13 +37,20 @@ GOLDEN, POINTS = 1327217885, 1 << 31
 CELLS = 1024
 
 
+def _digest():
+    """Tells rows of another doc_id, source or text apart."""
+    parts = [F.coalesce(F.concat(F.lit("s"), F.col(c).cast("string")), F.lit("null")) for c in ("doc_id", "source", "text")]
+    return F.unhex(F.md5(F.concat_ws(":", *(F.length(p).cast("string") for p in parts), *parts).cast("binary")))
+
+
 def _sized(docs: DataFrame, seed: str) -> DataFrame:
-    """doc_id, skey (the source, null included), size in words, and the shuffle order with its bucket."""
-    order = F.md5(F.concat_ws(":", F.lit(seed), F.col("doc_id").cast("string")))
+    """doc_id, skey (the source, null included), size in words, the shuffle order with its bucket, and the row's digest."""
+    order = F.md5(F.concat_ws(":", F.lit(seed), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))))
     return staged(docs.select(
         "doc_id", F.coalesce(F.concat(F.lit("s"), F.col("source")), F.lit("z-null")).alias("skey"), F.col("source"),
         F.coalesce(F.regexp_count(F.col("text"), F.lit(WORD)), F.lit(0)).cast("long").alias("size"),
-        order.alias("ord"), F.conv(F.substring(order, 1, 3), 16, 10).cast("int").alias("bucket")), "sizes")
+        order.alias("ord"), F.conv(F.substring(order, 1, 3), 16, 10).cast("int").alias("bucket"),
+        _digest().alias("digest")), "sizes")
 
 
 def source_targets(sized: DataFrame, weights=WEIGHTS, share=SHARE, cap=CAP, block_words=BLOCK_WORDS) -> DataFrame:
@@ -100,28 +107,28 @@ def schedule(sources: DataFrame, block_words=BLOCK_WORDS) -> DataFrame:
 def positions(sized: DataFrame, sources: DataFrame) -> DataFrame:
     """Each document's offset, in words, in its source's shuffled stream; unique per source where size > 0."""
     rows = join_counted(sized.drop("source"), sources.select("skey", "sid", "n"), "skey", sized.count())
-    rows = rows.select("doc_id", "sid", "size", "ord", "bucket")
+    rows = rows.select("doc_id", "sid", "size", "ord", "bucket", "digest")
     sums = rows.groupBy("sid", "bucket").agg(F.sum("size").alias("words"))
     before = sums.select("sid", "bucket", (F.sum("words").over(W.partitionBy("sid").orderBy("bucket")) - F.col("words")).alias("before"))
-    inside = W.partitionBy("sid", "bucket").orderBy("ord", "doc_id", "size").rowsBetween(W.unboundedPreceding, 0)
+    inside = W.partitionBy("sid", "bucket").orderBy("ord", "doc_id", "size", "digest").rowsBetween(W.unboundedPreceding, 0)
     return staged(rows.withColumn("upto", F.sum("size").over(inside)).join(before, ["sid", "bucket"])
-                  .select("doc_id", "sid", "size", (F.col("before") + F.col("upto") - F.col("size")).alias("off")), "positions")
+                  .select("doc_id", "digest", "sid", "size", (F.col("before") + F.col("upto") - F.col("size")).alias("off")), "positions")
 
 
 def mixed_spans(docs: DataFrame, weights=WEIGHTS, share=SHARE, cap=CAP, block_words=BLOCK_WORDS, seed=SEED):
     """(spans, positions, sources). spans is the mixture, in order of slot and word_from: slot, pass, sid, off, doc_id,
-    and the words word_from..word_to (end exclusive) of the document that the slot takes."""
+    digest and size (of the row of docs), and the words word_from..word_to (end exclusive) of the document that the slot takes."""
     sized = _sized(docs, seed)
     sources = source_targets(sized, weights, share, cap, block_words)
     where = positions(sized, sources)
     parts = where.filter("size > 0").select(
-        "doc_id", "sid", "off", "size",
+        "doc_id", "digest", "sid", "off", "size",
         F.explode(F.sequence(F.floor(F.col("off") / block_words),
                              F.floor((F.col("off") + F.col("size") - 1) / block_words))).alias("block"))
     taken = parts.join(schedule(sources, block_words), ["sid", "block"])
     start = F.greatest("off", F.col("block") * block_words)
     end = F.least(F.col("off") + F.col("size"), (F.col("block") + 1) * block_words, F.col("limit"))
-    spans = (taken.select("slot", "pass", "sid", "off", "doc_id", (start - F.col("off")).alias("word_from"),
+    spans = (taken.select("slot", "pass", "sid", "off", "doc_id", "digest", "size", (start - F.col("off")).alias("word_from"),
                           (end - F.col("off")).alias("word_to")).filter("word_to > word_from"))
     return spans, where, sources
 
@@ -141,20 +148,22 @@ def mix(docs: DataFrame, **kw) -> DataFrame:
     """The mixture as documents: a row of ``docs`` for each pass that takes words of it, its text cut to those words.
 
     A document that is taken whole keeps its text as it is; a cut one has its words joined by one space. Only the documents at a source's quota are cut: what a pass
-    takes of a document is always its first words, as passes end at a prefix of the source's stream.
+    takes of a document is always its first words, as passes end at a prefix of the source's stream. Rows of one digest lie
+    next to each other in that stream, so a pass takes the first of them whole, cuts one at most, and leaves the others.
     """
-    spans, where, _ = mixed_spans(docs, **kw)
-    sizes = where.groupBy("doc_id").agg(F.max("size").alias("_size"))
-    picks = (spans.groupBy("doc_id", "off", "pass").agg(F.max("word_to").alias("_words"))
-             .groupBy("doc_id", "pass").agg(F.max("_words").alias("_words")).join(sizes, "doc_id")
-             .select(F.col("doc_id").alias("_id"), "_words", "_size"))
+    spans, _, _ = mixed_spans(docs, **kw)
+    picks = (spans.groupBy("digest", "pass").agg(F.sum(F.col("word_to") - F.col("word_from")).alias("_all"), F.max("size").alias("_size"))
+             .select(F.col("digest").alias("_row"), "_all", "_size"))
     words = F.regexp_extract_all(F.col("text"), F.lit(f"({WORD})"), F.lit(1))
     head = F.array_join(F.slice(words, 1, F.col("_words").cast("int")), " ")
-    once = (docs.withColumn("_row", F.row_number().over(W.partitionBy("doc_id").orderBy("doc_id")))
-            .filter("_row = 1").drop("_row"))
+    others = [F.col(f"`{c}`") for c in docs.columns if c not in ("doc_id", "source", "text")]
+    order = F.to_json(F.struct(*others)) if others else F.lit("")
+    rows = docs.withColumn("_row", _digest())
+    rows = rows.withColumn("_before", F.row_number().over(W.partitionBy("_row").orderBy(order)) - 1)
+    taken = (rows.join(picks, "_row").withColumn("_words", F.least("_size", F.col("_all") - F.col("_before") * F.col("_size")))
+             .filter("_words > 0"))
     text = F.when(F.col("_words") < F.col("_size"), head).otherwise(F.col("text"))
-    return (once.join(picks, F.col("doc_id") == F.col("_id"))
-            .select(*[text.alias(c) if c == "text" else F.col(f"`{c}`") for c in docs.columns]))
+    return taken.select(*[text.alias(c) if c == "text" else F.col(f"`{c}`") for c in docs.columns])
 
 
 def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
