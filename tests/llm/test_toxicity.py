@@ -38,6 +38,13 @@ def test_deobfuscation(chars, written, meant):
     assert T.Restorer(chars).restore(f"You are {written} here.") == f"you are {meant} here."
 
 
+@pytest.mark.parametrize("written, meant", [("iddiot", "idiot"), ("idiot$", None), ("s. t. u. p. i. d", "stupid"), ("m - o - r - o - n", "moron"),
+                                            ("tra$h", "trash"), ("c u s", "cus"), ("tra$$", None), ("1 2 3", "1 2 3"), ("i  d  i  o  t", "idiot")])
+def test_gate_is_as_wide_as_the_channel(chars, written, meant):
+    got = T.Restorer(chars).restore(f"You, {written}, here.")
+    assert got == f"you, {meant}, here." if meant else "$" not in got
+
+
 def test_viterbi_finds_the_cheapest_reading(chars):
     r = T.Restorer(chars)
     for token in ("1d10t", "ssstup1d", "m00r", "a$$", "4l1"):

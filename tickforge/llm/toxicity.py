@@ -4,7 +4,9 @@ Channel. A writer may replace letters by look-alikes (leetspeak), spread a word'
 Every token that shows such a sign becomes a lattice: each run of one character offers the letters it may stand for, once
 or twice, or nothing, at the channel's cost. Viterbi search with three letters of history finds the reading that costs
 least under the channel and a character language model; what it restores replaces the token. Tokens without a sign have
-one reading and stay.
+one reading and stay. Signs are look-alikes before or between letters, trailing $ and @, repeated and doubled letters, and
+three letters or more that one to three separators each hold apart. Where the sign is weak (a doubled letter, or a spaced
+word of three letters or of longer separators), the token as written competes.
 
 Language model: character 2-, 3- and 4-grams counted over the whole texts of all documents (4-grams hashed to 20 bits, so
 the tables are bounded), each order smoothed by the next shorter one.
@@ -22,7 +24,7 @@ from __future__ import annotations
 import math
 import re
 from collections import Counter
-from functools import cache
+from functools import cache, lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -45,13 +47,19 @@ MEMO = 200_000
 LEET = {"0": "o", "1": "il", "3": "e", "4": "a", "5": "s", "7": "t", "8": "b", "9": "g", "@": "a", "$": "s", "!": "i", "|": "il", "+": "t"}
 #: Channel costs in nats: a look-alike, a letter written twice, three or more times, a look-alike that is none, a separator.
 LOOKALIKE, DOUBLED, REPEATED, NO_LETTER, SEPARATOR = 0.7, 3.0, 0.5, 4.0, 0.1
+#: A reading of a word whose only sign is a doubled letter must cost less than this share of the word as written: a letter
+#: less saves about the cost of one in any word that the model doesn't know.
+SHARE = 0.5
 
 _LETTER = r"[^\W\d_]"
 _WORDS = re.compile(rf"{_LETTER}+")
 _MARK = rf"(?:[^\W_]|[{re.escape(''.join(c for c in LEET if not c.isdigit()))}])"
 _SPACED = re.compile(rf"(?<![^\W_])(?:{_MARK}[ .\-_*~]){{3,}}{_MARK}(?![^\W_])")
+_GAP = re.compile(r"[ .\-_*~]{1,3}")
+_WIDE = re.compile(rf"(?<![^\W_])(?:{_MARK}{_GAP.pattern}){{2,}}{_MARK}(?![^\W_])")
 _TOKEN = re.compile(rf"{_MARK}+")
-_SIGN = re.compile(rf"[{re.escape(''.join(LEET))}](?={_LETTER})|(?<={_LETTER})\d|({_LETTER})\1\1")
+_SIGN = re.compile(rf"[{re.escape(''.join(LEET))}](?={_LETTER})|(?<={_LETTER})\d|({_LETTER})\1\1|(?<={_LETTER})[$@]+(?![^\W_])")
+_DOUBLE = re.compile(rf"({_LETTER})\1")
 _BREAK = "\0"
 
 
@@ -70,11 +78,19 @@ def _may_show(text: str) -> tuple[bool, bool]:
     """Whether a token of the text may show a sign, and whether a word may be spaced: a cheap test before the patterns."""
     points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
     c = _classes()[np.minimum(points, 0x3000)]
-    letter, mark, gap = (c & 1) != 0, (c & 7) != 0, (c & 8) != 0
-    sign = ((c[:-1] & 2) != 0) & letter[1:] | letter[:-1] & ((c[1:] & 4) != 0)
-    same = points[1:] == points[:-1]
-    spaced = mark[:-6] & gap[1:-5] & mark[2:-4] & gap[3:-3] & mark[4:-2] & gap[5:-1] & mark[6:] if len(c) > 6 else c[:0]
-    return bool(sign.any() or (letter[2:] & same[1:] & same[:-1]).any()), bool(spaced.any())
+    letter, mark, alnum = (c & 1) != 0, (c & 7) != 0, (c & 5) != 0
+    sign = ((c[:-1] & 2) != 0) & letter[1:] | letter[:-1] & ((c[1:] & 6) != 0)
+    alone = mark.copy()
+    alone[1:] &= ~alnum[:-1]
+    alone[:-1] &= ~alnum[1:]
+    near = np.diff(np.flatnonzero(alone)) <= 4
+    return bool(sign.any() or (letter[1:] & (points[1:] == points[:-1])).any()), bool((near[1:] & near[:-1]).any())
+
+
+@lru_cache(maxsize=1 << 16)
+def _code(char: str) -> int:
+    c = codes(char)
+    return int(c[1]) if len(c) > 1 else 0
 
 
 class CharModel:
@@ -158,12 +174,13 @@ def char_model(docs: DataFrame) -> CharModel:
 class Restorer:
     def __init__(self, model: CharModel):
         self.model = model
-        self.memo: dict[str, str] = {}
+        self.memo: dict[tuple[str, int], tuple[str, float]] = {}
+        self.tokens: dict[str, str] = {}
 
     def _runs(self, token: str):
         return [(m[0][0], len(m[0])) for m in re.finditer(r"(.)\1*", token, re.S)]
 
-    def _readings(self, char: str, count: int, spaced: bool):
+    def _readings(self, char: str, count: int, spaced: int):
         """(emitted, cost) of a run of one character."""
         if char.isalpha():
             if count == 1:
@@ -175,18 +192,22 @@ class Restorer:
             once, twice = {1: (0.0, None), 2: (DOUBLED, 0.0)}.get(count, (REPEATED, REPEATED))
             readings = [(a, LOOKALIKE + once) for a in LEET[char]] + [(_BREAK, NO_LETTER)]
             return readings + [(a * 2, LOOKALIKE + twice) for a in LEET[char] if twice is not None]
-        return [("", SEPARATOR)] if spaced else [(_BREAK, 0.0)]
+        return [[(_BREAK, 0.0)], [("", SEPARATOR)], [("", SEPARATOR), (_BREAK, 0.0)]][spaced]
+
+    def decode(self, token: str, spaced: int = 0) -> str:
+        """The cheapest reading of a lower-case token. spaced: separators go (1), or go or break words (2)."""
+        return self._cheapest(token, spaced)[0]
 
-    def decode(self, token: str, spaced: bool = False) -> str:
-        """The cheapest reading of a lower-case token."""
-        known = self.memo.get(token)
+    def _cheapest(self, token: str, spaced: int) -> tuple[str, float]:
+        """The cheapest reading and its cost."""
+        known = self.memo.get((token, spaced))
         if known is not None:
             return known
         paths = {0: (0.0, None)}  # by the last three codes: cost, and the chain of what was emitted
         for char, count in self._runs(token):
             after = {}
             for emitted, price in self._readings(char, count, spaced):
-                code = [0 if c == _BREAK else int(codes(c)[1]) if len(codes(c)) > 1 else 0 for c in emitted]
+                code = [_code(c) for c in emitted]
                 for history, (cost, chain) in paths.items():
                     cost += price
                     for c in code:
@@ -195,7 +216,7 @@ class Restorer:
                     if history not in after or cost < after[history][0]:
                         after[history] = (cost, (chain, emitted))
             paths = after
-        chain = min(((cost + self.model.cost(h, 0), i, chain) for i, (h, (cost, chain)) in enumerate(paths.items())))[2]
+        price, _, chain = min((cost + self.model.cost(h, 0), i, chain) for i, (h, (cost, chain)) in enumerate(paths.items()))
         parts = []
         while chain:
             chain, emitted = chain
@@ -203,17 +224,63 @@ class Restorer:
         out = "".join(reversed(parts)).replace(_BREAK, " ")
         if len(self.memo) > MEMO:
             self.memo.clear()
-        self.memo[token] = out
-        return out
+        self.memo[token, spaced] = out, price
+        return out, price
+
+    def _written(self, word: str) -> float:
+        """The cost of a word of letters as it is written."""
+        history, cost = 0, 0.0
+        for c in word:
+            c = _code(c)
+            cost += self.model.cost(history, c)
+            history = (history << 6 | c) & 0x3FFFF
+        return cost + self.model.cost(history, 0)
+
+    def _undoubled(self, word: str) -> str:
+        """The word with those doubled letters single for which that costs less than ``SHARE`` of the word as written."""
+        ends = [m.end() for m in _DOUBLE.finditer(word)]
+        most = SHARE * self._written(word)
+        if len(ends) > 4:
+            reading, price = self._cheapest(word, 0)
+            return reading if price < most else word
+        best = (most, word)
+        for some in range(1, 1 << len(ends)):
+            gone = [e for i, e in enumerate(ends) if some >> i & 1]
+            if DOUBLED * len(gone) < best[0]:
+                reading = "".join(word[a:b - 1] for a, b in zip([0, *gone], gone)) + word[gone[-1]:]
+                best = min(best, (DOUBLED * len(gone) + self._written(reading), reading))
+        return best[1]
+
+    def _token(self, token: str) -> str:
+        known = self.tokens.get(token)
+        if known is None:
+            known = token
+            if _SIGN.search(token):
+                known = self.decode(token)
+            elif _DOUBLE.search(token) and token.isalpha():
+                known = self._undoubled(token)
+            if len(self.tokens) > MEMO:
+                self.tokens.clear()
+            self.tokens[token] = known
+        return known
+
+    def _apart(self, word: str) -> str:
+        if _SPACED.fullmatch(word):
+            return self.decode(word, 1)
+        if not _WORDS.search(word) or sum(c.isalnum() for c in word) < 2:
+            return word
+        marks = _GAP.sub(" ", word)
+        reading = self.decode(marks, 2)
+        return word if reading.split() == marks.split() else reading
 
     def restore(self, text: str) -> str:
         """The lower-case text with every token that shows a sign of obfuscation replaced by its cheapest reading."""
         text = text.lower()
         sign, spaced = _may_show(text)
         if spaced:
-            text = _SPACED.sub(lambda m: self.decode(m[0], True), text)
+            text = _WIDE.sub(lambda m: self._apart(m[0]), text)
         if sign:
-            text = _TOKEN.sub(lambda m: self.decode(m[0]) if _SIGN.search(m[0]) else m[0], text)
+            text = _TOKEN.sub(lambda m: self._token(m[0]), text)
         return text
 
 
