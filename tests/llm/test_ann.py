@@ -64,6 +64,32 @@ def test_split_cells_give_the_same(spark, monkeypatch):
     assert answers(A.nearest(table(spark, vectors), F.col("vec_id") % 50 == 0)) == whole
 
 
+def test_query_blocks_are_bounded_and_give_the_same(spark, monkeypatch):
+    rng = np.random.default_rng(6)
+    vectors = [(50 * i, rng.standard_normal(12).astype(np.float32).tolist()) for i in range(400)]
+    whole = answers(A.nearest(table(spark, vectors), F.col("vec_id") % 50 == 0))
+    monkeypatch.setattr(A, "QUERIES", 50)
+    assert answers(A.nearest(table(spark, vectors), F.col("vec_id") % 50 == 0)) == whole
+    rows = spark.range(400).select((F.col("id") % 2).alias("pack"), F.col("id").cast("string").cast("binary").alias("digest"))
+    many = spark.createDataFrame([(0, 200)], "pack long, n long")
+    for visits, copies in ((400, 8 * 400), (many, 4 * 200 + 200)):
+        index, queries = A._blocked(rows, rows, visits)
+        sizes = {(r["pack"], r["block"]): r["count"] for r in queries.groupBy("pack", "block").count().collect()}
+        assert sum(sizes.values()) == 400 and index.count() == copies
+        assert all(n < 100 for (p, _), n in sizes.items() if p == 0 or visits == 400)
+
+
+def test_neighbouring_cells_share_packs(monkeypatch):
+    monkeypatch.setattr(A, "BLOCK", 100)
+    h = A.Hasher(16, 8, 2, 2.0, 5)
+    cells = h.cells(A._scaled(np.random.default_rng(7).standard_normal((4000, 16)))).ravel()
+    names, n = np.unique(cells >> A.HASH_BITS, return_counts=True)
+    packs = A._packs(dict(zip(names.tolist(), n.tolist())))
+    sizes = np.bincount(A._pack_of(cells, 0, packs))
+    probes = h.probes(A._scaled(np.ones((1, 16)))[0], 0.5, 0.8)
+    assert len(sizes) >= 80 and len(set(A._pack_of(probes, 0, packs).tolist())) < len(sizes) / 3
+
+
 def test_probes_come_in_order_of_their_chance():
     h = A.Hasher(8, 4, 1, 2.0, 5)
     unit = A._scaled(np.random.default_rng(4).standard_normal((1, 8)))[0]

@@ -10,7 +10,8 @@ vectors in double precision, and the best of all tables are merged.
 ``reach`` is the distance to the last wanted neighbour that 95% of a bounded sample (``SAMPLE`` queries, by hash order)
 don't exceed, found by an exact scan. M grows with the logarithm of the number of vectors.
 
-Cells meet probes by shuffling on the cell. A cell that holds over 1/1024 of the vectors (fewer than 1024 such a table, so
+Cells meet probes by shuffling on packs of neighbouring cells (equal or next in a table's ``LEADING`` projections), of about
+``BLOCK`` vectors, so that a query meets few packs. A pack that over ``QUERIES`` queries visit is searched in blocks of them. A cell that holds over 1/1024 of the vectors (fewer than 1024 such a table, so
 the list is bounded) is split in blocks, and its probes go to each. Equal vectors are indexed once, with the smallest ids
 that could be among any query's answers; equal queries are searched once. A query for which fewer neighbours are found than
 exist is answered by an exact scan of all vectors in blocks.
@@ -37,6 +38,9 @@ from tickforge.llm.common import HOT_KEYS, staged, table
 TABLES, WIDTH, RECALL, SAMPLE, SEED = 6, 2.0, 0.97, 64, 11
 #: Rows of the index that one task holds, about.
 BLOCK = 50_000
+#: Queries that one task holds, about, and projections by which cells are neighbours: three bits of a cell's key each.
+QUERIES, LEADING = 10_000, 4
+PREFIXES, HASH_BITS = 1 << 3 * (LEADING + 1), 63 - 3 * (LEADING + 1)
 _PHI = np.vectorize(lambda z: 0.5 * math.erfc(-z / math.sqrt(2)), otypes=[float])
 
 
@@ -56,12 +60,15 @@ class Hasher:
         return (np.einsum("nd,tdm->tnm", unit, self.a) + self.b[:, None, :]) / self.width
 
     def key(self, t: int, coordinates: np.ndarray) -> np.ndarray:
-        """A 64-bit hash of a table's cells."""
+        """A number of a table's cells: the table and the leading coordinates, three bits each, then a hash."""
         x = np.full(coordinates.shape[:-1], t + 1, np.uint64)
         for c in np.moveaxis(coordinates.astype(np.int64).view(np.uint64), -1, 0):
             x = (x ^ c) * np.uint64(0x9E3779B97F4A7C15)
             x ^= x >> np.uint64(32)
-        return x.view(np.int64)
+        prefix = np.full(x.shape, t & 7, np.int64)
+        for j in range(LEADING):
+            prefix = prefix << 3 | (np.clip(coordinates[..., j].astype(np.int64) + 4, 0, 7) if j < self.m else 0)
+        return prefix << HASH_BITS | (x >> np.uint64(64 - HASH_BITS)).view(np.int64)
 
     def cells(self, unit: np.ndarray) -> np.ndarray:
         places = np.floor(self.places(unit))
@@ -173,11 +180,28 @@ def _merged(found: DataFrame, k: int) -> DataFrame:
             .withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k))
 
 
-def _packed(index: DataFrame, queries: DataFrame, k: int) -> DataFrame:
+def _blocked(index: DataFrame, queries: DataFrame, visits: DataFrame | int):
+    """index and queries with ``block``: a pack's queries are dealt to blocks of about ``QUERIES``, its vectors are in each.
+
+    visits: the number of queries, or pack and n, the number of its queries, for packs that have more than ``QUERIES``.
+    """
+    if isinstance(visits, int):
+        blocks = F.lit(max(1, math.ceil(visits / QUERIES)))
+    else:
+        visits = visits.select("pack", F.ceil(F.col("n") / QUERIES).cast("int").alias("blocks"))
+        index, queries = (side.join(visits, "pack", "left") for side in (index, queries))
+        blocks = F.coalesce("blocks", F.lit(1))
+    last = (blocks - 1).cast("int")
+    return (index.withColumn("block", F.explode(F.sequence(F.lit(0), last))).drop("blocks"),
+            queries.withColumn("block", F.pmod(F.xxhash64("digest"), blocks).cast("int")).drop("blocks"))
+
+
+def _packed(index: DataFrame, queries: DataFrame, k: int, visits: DataFrame | int) -> DataFrame:
     """index and queries: pack, digest, vector, cells, and of the index ids."""
+    index, queries = _blocked(index, queries, visits)
     both = index.withColumn("query", F.lit(False)).unionByName(
         queries.withColumn("ids", F.lit(None).cast("array<long>")).withColumn("query", F.lit(True)))
-    found = both.select("pack", "query", "digest", "vector", "cells", "ids").groupBy("pack").applyInArrow(
+    found = both.select("pack", "block", "query", "digest", "vector", "cells", "ids").groupBy("pack", "block").applyInArrow(
         lambda t: _search(t, k), "digest binary, vec_id long, score double")
     return _merged(found, k)
 
@@ -188,7 +212,7 @@ def scan(base: DataFrame, queries: DataFrame, rows: int, k: int) -> DataFrame:
     none = F.lit(None).cast("array<long>")
     index = base.withColumn("pack", F.pmod(F.xxhash64("digest"), F.lit(blocks))).withColumn("cells", none)
     asked = queries.select("digest", "vector", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))).alias("pack"))
-    return _packed(index, asked.withColumn("cells", none), k)
+    return _packed(index, asked.withColumn("cells", none), k, queries.count())
 
 
 def _hashed(base: DataFrame, hasher: Hasher) -> DataFrame:
@@ -205,12 +229,28 @@ def _hashed(base: DataFrame, hasher: Hasher) -> DataFrame:
     return base.mapInArrow(run, f"digest binary, vector {kind}, ids array<long>, all_cells array<long>")
 
 
-def _pack_of(cell: np.ndarray, block, packs: int) -> np.ndarray:
+def _packs(counts: dict[int, int]) -> tuple[np.ndarray, np.ndarray]:
+    """(first pack, number of packs) of each prefix by its number of vectors: small neighbours share one, large ones are split."""
+    first, split = np.zeros(PREFIXES, np.int64), np.ones(PREFIXES, np.int64)
+    pack, held = 0, 0
+    for prefix in range(PREFIXES):
+        n = counts.get(prefix, 0)
+        if held and held + n > BLOCK:
+            pack, held = pack + 1, 0
+        first[prefix], held = pack, held + n
+        if n > BLOCK:
+            split[prefix] = math.ceil(n / BLOCK)
+            pack, held = pack + int(split[prefix]), 0
+    return first, split
+
+
+def _pack_of(cell: np.ndarray, block, packs: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
+    first, split = (p[cell >> HASH_BITS] for p in packs)
     x = (cell.view(np.uint64) + np.uint64(1) * np.asarray(block, np.uint64)) * np.uint64(0xBF58476D1CE4E5B9)
-    return ((x ^ (x >> np.uint64(31))) % np.uint64(packs)).astype(np.int64)
+    return first + ((x ^ (x >> np.uint64(31))) % split.astype(np.uint64)).astype(np.int64)
 
 
-def _index_rows(hashed: DataFrame, blocks_of: dict, packs: int) -> DataFrame:
+def _index_rows(hashed: DataFrame, blocks_of: dict, packs: tuple) -> DataFrame:
     """A row per vector and table, in the pack of its cell (of one block of it, where the cell is split)."""
     kind = dict(hashed.dtypes)["vector"]
 
@@ -228,7 +268,7 @@ def _index_rows(hashed: DataFrame, blocks_of: dict, packs: int) -> DataFrame:
     return hashed.mapInArrow(run, f"pack long, digest binary, vector {kind}, ids array<long>, cells array<long>")
 
 
-def _probe_rows(queries: DataFrame, hasher: Hasher, reach: float, chance: float, blocks_of: dict, packs: int) -> DataFrame:
+def _probe_rows(queries: DataFrame, hasher: Hasher, reach: float, chance: float, blocks_of: dict, packs: tuple) -> DataFrame:
     """A row per query and pack with the cells to visit there."""
     kind = dict(queries.dtypes)["vector"]
 
@@ -278,8 +318,11 @@ def nearest(vectors: DataFrame, is_query, k: int = 5, tables: int = TABLES, reca
     limit = max(BLOCK // 4, distinct // HOT_KEYS)
     counts = hashed.select(F.explode("all_cells").alias("cell")).groupBy("cell").count().filter(F.col("count") > limit).collect()
     blocks_of = {r[0]: math.ceil(r[1] / limit) for r in counts}
-    packs = max(1, math.ceil(distinct * tables / BLOCK))
-    found = staged(_packed(_index_rows(hashed, blocks_of, packs), _probe_rows(queries, hasher, reach, chance, blocks_of, packs), k1), "found")
+    prefixes = hashed.select(F.explode("all_cells").alias("cell")).groupBy(F.shiftright("cell", HASH_BITS).alias("prefix"))
+    packs = _packs({r[0]: r[1] for r in prefixes.count().collect()})  # PREFIXES rows at most
+    probes = staged(_probe_rows(queries, hasher, reach, chance, blocks_of, packs), "probes")
+    visits = probes.groupBy("pack").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > QUERIES)
+    found = staged(_packed(_index_rows(hashed, blocks_of, packs), probes, k1, 1 if visits.isEmpty() else visits), "found")
     total = base.agg(F.sum(F.size("ids"))).first()[0]
     short = queries.join(found.groupBy("digest").count().filter(F.col("count") >= min(k1, total)), "digest", "left_anti")
     if not short.isEmpty():
