@@ -21,6 +21,7 @@ from ..operators import silver as sv
 from ..schemas import FACT_SCHEMA, FEED_A_SCHEMA, FEED_B_SCHEMA
 from ..session import apply_engine_conf, work_dir
 from ..sinks import writers as wr
+from ..sinks.key_index import KeyIndex, insert_indexed
 from ..sources import feeds as fd
 from ..sources import fixtures as fx
 from ..sources import layers as ly
@@ -201,6 +202,19 @@ def _fact_trades_new(spark, sf):
     return gd.insert_new(ds.fact(spark, sf), ds.silver_fact(spark, sf), "trade_id")
 
 
+@register("fact_trades_indexed")
+def _fact_trades_indexed(spark, sf):
+    """The same merge through a key index: the Bronze load is stored and
+    indexed, then the clean trades are merged in; what that added."""
+    path = work_dir(spark, "fact-indexed")
+    wr.write_table(ds.silver_fact(spark, sf), path, ["trade_date"], bloom="trade_id")
+    wr.write_table(ds.fact(spark, sf), f"{path}-batch")
+    added = f"{path}-added"
+    insert_indexed(spark.read.parquet(f"{path}-batch"), KeyIndex(spark, f"{path}-keys", buckets=16), spark.read.parquet(path),
+                   lambda new: new.write.parquet(added))
+    return spark.read.schema(FACT_SCHEMA).parquet(added)
+
+
 @register("dim_time_new")
 def _dim_time_new(spark, sf):
     """Dates of the lineitem trades missing from the event-trade date dimension."""

@@ -421,6 +421,7 @@ ORACLE.update({
                      LEFT JOIN (SELECT DISTINCT trade_date FROM dim_time) t ON f.trade_date = t.trade_date)
         WHERE reason != ''"""),
     "fact_trades_new": with_ctes(f"SELECT {FACT_OUT} FROM fact WHERE trade_id NOT IN (SELECT trade_id FROM sfact WHERE trade_id IS NOT NULL)"),
+    "fact_trades_indexed": with_ctes(f"SELECT {FACT_OUT} FROM fact WHERE trade_id NOT IN (SELECT trade_id FROM sfact WHERE trade_id IS NOT NULL)"),
     "fact_loaded": with_ctes(f"SELECT {FACT_OUT} FROM sfact WHERE symbol IN (SELECT symbol FROM inst_merged)"),
     "fact_rejects": with_ctes("""
         SELECT trade_id, symbol, trade_date, price, reason FROM s_checked WHERE reason != ''

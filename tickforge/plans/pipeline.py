@@ -16,8 +16,10 @@ from pyspark.sql import functions as F
 from ..functions.rules import passes_all, with_failed_rules
 from ..operators import documents, gold, marts, silver
 from ..sinks import writers
+from ..sinks.key_index import KeyIndex, insert_indexed
 from ..session import OBSERVED_WRITE_CONF, conf_override, path_exists, remove_path, work_dir
 from ..sources import layers
+from ..streaming.pipeline import silver_key_index
 
 
 @dataclass
@@ -57,7 +59,8 @@ def bronze_to_silver(spark: SparkSession, bronze_path: str, silver_path: str, de
     dead letter. Re-running adds no Silver row: keys already in Silver are
     skipped (``gold.insert_new``). ``key_scope="partition"`` compares against
     the trade dates the batch touches only (partition-pruned; see
-    ``gold.insert_new_in_partitions``).
+    ``gold.insert_new_in_partitions``), ``"index"`` looks them up in a key
+    index kept next to Silver (see ``sinks.key_index``).
 
     Bronze is read and deduplicated once: the prepared rows are staged in the
     shared folder with the verdict beside them, and both sinks, the dates and
@@ -73,13 +76,18 @@ def bronze_to_silver(spark: SparkSession, bronze_path: str, silver_path: str, de
         prepared = spark.read.parquet(stage)
         counted = prepared.agg(F.count(F.lit(1)), F.count_if("_ok")).first()
         good = prepared.filter("_ok").drop("_ok")
-        if path_exists(spark, silver_path):
-            stored = layers.read_silver(spark, silver_path)
-            good = (gold.insert_new_in_partitions(good, stored, "trade_id", "trade_date")
-                    if key_scope == "partition" else gold.insert_new(good, stored, "trade_id"))
-        obs_good = Observation("good")
-        with conf_override(spark, OBSERVED_WRITE_CONF):
-            writers.write_silver(good.observe(obs_good, F.count(F.lit(1)).alias("n")), silver_path)
+        stored = layers.read_silver(spark, silver_path) if path_exists(spark, silver_path) else None
+        if key_scope == "index":
+            index = KeyIndex(spark, silver_key_index(silver_path))
+            written = insert_indexed(good, index, stored, lambda new: writers.write_silver(new, silver_path))
+        else:
+            if stored is not None:
+                good = (gold.insert_new_in_partitions(good, stored, "trade_id", "trade_date")
+                        if key_scope == "partition" else gold.insert_new(good, stored, "trade_id"))
+            obs_good = Observation("good")
+            with conf_override(spark, OBSERVED_WRITE_CONF):
+                writers.write_silver(good.observe(obs_good, F.count(F.lit(1)).alias("n")), silver_path)
+            written = int(obs_good.get["n"])
         bad = with_failed_rules(prepared.filter("NOT _ok").drop("_ok"), rules)
         run_id = run_id or _dt.datetime.now(_dt.timezone.utc).strftime("%Y%m%d_%H%M%S_%f")
         writers.write_dead_letter(bad, dead_letter_base, run_id)
@@ -89,7 +97,7 @@ def bronze_to_silver(spark: SparkSession, bronze_path: str, silver_path: str, de
     m.rows_read = int(obs_read.get["n"])
     m.rows_after_dedup = int(counted[0])
     m.duplicates_removed = m.rows_read - m.rows_after_dedup
-    m.rows_written = int(obs_good.get["n"])
+    m.rows_written = written
     m.rows_already_present = int(counted[1]) - m.rows_written
     m.rows_dead_letter = m.rows_after_dedup - int(counted[1])
     m.status = "PARTIAL" if m.rows_dead_letter else "SUCCESS"
@@ -104,7 +112,8 @@ def silver_to_gold(spark: SparkSession, silver_path: str, gold_base: str, trade_
     that breaks a NOT NULL, width or range constraint, or whose instrument or
     date is unknown, goes to ``fact_rejects`` with the reasons. ``seed`` rows
     start an instrument dimension that doesn't exist yet. Fact rows are
-    partitioned by trade_date. Returns, per table, how many rows were inserted
+    partitioned by trade_date, and merged through a key index next to the fact,
+    so that a load costs what it brings. Returns, per table, how many rows were inserted
     and how many were skipped as already present.
     """
     base = gold_base.rstrip("/")
@@ -134,7 +143,17 @@ def silver_to_gold(spark: SparkSession, silver_path: str, gold_base: str, trade_
         insert("dim_instrument", gold.valid_instruments(gold.dim_instrument(fact)), "symbol")
         kept, orphans = gold.enforce_foreign_keys(fact, spark.read.parquet(f"{base}/dim_instrument"),
                                                   spark.read.parquet(f"{base}/dim_time"))
-        insert("fact_trades", kept, "trade_id", ["trade_date"])
+        path, staged_kept = f"{base}/fact_trades", work_dir(spark, "kept")
+        try:
+            kept.write.parquet(staged_kept)
+            kept = spark.read.schema(kept.schema).parquet(staged_kept)
+            offered = kept.count()
+            inserted = insert_indexed(
+                kept, KeyIndex(spark, f"{base}/fact_trades-keys"), spark.read.parquet(path) if path_exists(spark, path) else None,
+                lambda new: writers.write_table(new, path, partition_by=["trade_date"], mode="append", bloom="trade_id"))
+            counts["fact_trades"] = {"inserted": inserted, "skipped": offered - inserted}
+        finally:
+            remove_path(spark, staged_kept)
         rejects = gold.reject_rows(rows.filter("reason <> ''")).unionByName(gold.reject_rows(orphans))
         insert("fact_rejects", rejects, "reject_id")
     finally:

@@ -52,10 +52,16 @@ def write_bronze(df: DataFrame, path: str, mode: str = "append") -> None:
         .option("timestampFormat", ISO_UTC).json(path))
 
 
+def bloom_options(column: str) -> dict:
+    """Writer options for a Bloom filter on a column in every row group, of the size its values need."""
+    return {f"parquet.bloom.filter.enabled#{column}": "true", "parquet.bloom.filter.adaptive.enabled": "true"}
+
+
 def write_silver(df: DataFrame, path: str, mode: str = "append") -> None:
+    """Silver with a Bloom filter on trade_id: a look-up of some ids skips the row groups that hold none of them."""
     (by_partition(df, SILVER_PARTITIONS)
        .sortWithinPartitions(*SILVER_PARTITIONS, "symbol", "timestamp")
-       .write.mode(mode).partitionBy(*SILVER_PARTITIONS).parquet(path))
+       .write.mode(mode).options(**bloom_options("trade_id")).partitionBy(*SILVER_PARTITIONS).parquet(path))
 
 
 def write_dead_letter(df: DataFrame, base: str, run_id: str) -> str:
@@ -68,11 +74,13 @@ def write_dead_letter(df: DataFrame, base: str, run_id: str) -> str:
 
 
 def write_table(df: DataFrame, path: str, partition_by: list[str] | None = None,
-                mode: str = "overwrite") -> None:
+                mode: str = "overwrite", bloom: str | None = None) -> None:
+    """A parquet table, where asked by partition and with a Bloom filter on one column."""
+    options = bloom_options(bloom) if bloom else {}
     if partition_by:
-        by_partition(df, partition_by).write.mode(mode).partitionBy(*partition_by).parquet(path)
+        by_partition(df, partition_by).write.mode(mode).options(**options).partitionBy(*partition_by).parquet(path)
     else:
-        df.write.mode(mode).parquet(path)
+        df.write.mode(mode).options(**options).parquet(path)
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
@@ -137,12 +145,17 @@ def write_version(spark: SparkSession, df: DataFrame, base: str) -> str:
 
     target = f"{base.rstrip('/')}/v-{uuid.uuid4().hex[:12]}"
     df.write.mode("errorifexists").parquet(target)
+    publish_version(spark, base, target)
+    return target
+
+
+def publish_version(spark: SparkSession, base: str, target: str) -> None:
+    """Make the complete folder ``target`` the live version of ``base`` (see ``write_version``)."""
     number = max(_versions(spark, base), default=0) + 1
     fs, pointer = _fs(spark, f"{base.rstrip('/')}/_VERSIONS/{number:010d}")
     out = fs.create(pointer, False)
     out.write(bytearray(target.encode("utf-8")))
     out.close()
-    return target
 
 
 def read_version(spark: SparkSession, base: str) -> DataFrame | None:

@@ -8,8 +8,8 @@
   the consumer-side auto-commit that could lose a partly written batch.
 * Silver: the batch transforms run unchanged inside ``foreachBatch``. Every
   micro-batch is deduplicated, then merged into Silver insert-if-absent on
-  trade_id, so a replayed epoch (after a failure) or a copy arriving in a later
-  batch adds nothing.
+  trade_id through a key index, so a replayed epoch (after a failure) or a copy
+  arriving in a later batch adds nothing, and no epoch reads the history.
 * Streaming dedup: ``dedup_stream`` keeps the first arrival of each key by a
   merge with the stored ones. A watermark would bound its state but drop first
   arrivals that come late, so none is set.
@@ -29,6 +29,7 @@ from ..operators import gold, silver
 from ..schemas import BRONZE_COLUMNS, BRONZE_PARTITIONS, BRONZE_SCHEMA
 from ..session import path_exists, remove_path, work_dir
 from ..sinks import writers
+from ..sinks.key_index import KeyIndex, insert_indexed
 from ..sources import layers
 
 
@@ -140,14 +141,21 @@ def dedup_stream(bronze: DataFrame, path: str, checkpoint: str, available_now: b
     return w.start()
 
 
+def silver_key_index(silver_path: str) -> str:
+    """Where the key index of a Silver table is."""
+    return f"{silver_path.rstrip('/')}-keys"
+
+
 def silver_batch_writer(silver_path: str, dead_letter_base: str, checkpoint: str, rules: dict[str, str] | None = None,
-                        key_scope: str = "global"):
+                        key_scope: str = "index", buckets: int = 64):
     """foreachBatch function: clean one micro-batch and merge it into Silver.
 
     The prepared rows are staged once for both sides of the split. The merge
-    compares with every stored key, driven by the batch's keys; ``key_scope=
-    "partition"`` reads only the Silver partitions (trade dates) that the
-    micro-batch touches, for feeds whose copies never change their event time.
+    finds the batch's keys in an index kept next to Silver (``key_index``), so
+    its cost follows the batch and not the history. ``key_scope="global"``
+    compares with every stored key instead; ``"partition"`` reads only the
+    Silver partitions (trade dates) that the micro-batch touches, for feeds
+    whose copies never change their event time.
     The dead letter and the counts of epoch N have a place of their own,
     overwritten on replay, so a retried epoch duplicates nothing.
     """
@@ -160,11 +168,15 @@ def silver_batch_writer(silver_path: str, dead_letter_base: str, checkpoint: str
             silver.silver_prepared(rows).withColumn("_ok", passes_all(rules)).write.parquet(stage)
             prepared = spark.read.parquet(stage)
             good, bad = prepared.filter("_ok").drop("_ok"), prepared.filter("NOT _ok").drop("_ok")
-            if path_exists(spark, silver_path):
-                stored = layers.read_silver(spark, silver_path)
-                good = (gold.insert_new_in_partitions(good, stored, "trade_id", "trade_date")
-                        if key_scope == "partition" else gold.insert_new(good, stored, "trade_id"))
-            writers.write_silver(good, silver_path)
+            stored = layers.read_silver(spark, silver_path) if path_exists(spark, silver_path) else None
+            if key_scope == "index":
+                index = KeyIndex(spark, silver_key_index(silver_path), buckets=buckets)
+                insert_indexed(good, index, stored, lambda new: writers.write_silver(new, silver_path))
+            else:
+                if stored is not None:
+                    good = (gold.insert_new_in_partitions(good, stored, "trade_id", "trade_date")
+                            if key_scope == "partition" else gold.insert_new(good, stored, "trade_id"))
+                writers.write_silver(good, silver_path)
             (with_failed_rules(bad, rules).write.mode("overwrite").option("timestampFormat", writers.ISO_UTC)
                 .json(f"{dead_letter_base.rstrip('/')}/epoch_{epoch_id:08d}"))
             _note_counts(spark, checkpoint, epoch_id, input_rows=rows.count(), dead_letter_rows=bad.count())
@@ -176,7 +188,7 @@ def silver_batch_writer(silver_path: str, dead_letter_base: str, checkpoint: str
 
 def start_silver_stream(bronze_stream: DataFrame, silver_path: str, dead_letter_base: str, checkpoint: str,
                         available_now: bool = True, rules: dict[str, str] | None = None,
-                        key_scope: str = "global") -> StreamingQuery:
+                        key_scope: str = "index") -> StreamingQuery:
     w = (bronze_stream.writeStream
             .foreachBatch(silver_batch_writer(silver_path, dead_letter_base, checkpoint, rules, key_scope))
             .option("checkpointLocation", checkpoint))
