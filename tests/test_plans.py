@@ -5,6 +5,7 @@ import pytest
 
 from conftest import SF_SMALL
 from tickforge.plans.catalog import QUERIES
+from tickforge.session import work_dir
 
 
 def plan(df):
@@ -90,11 +91,51 @@ def test_daily_mart_measures_are_hash_aggregated(spark):
     """Nothing is sorted before the first exchange of the trades: the text tie-break runs on the boundary rows only."""
     from tickforge.operators import marts
 
-    p = _without_aqe(spark, lambda: marts.mart_daily_summary(_marts(spark)))
-    measures = [ln for ln in p.split("\n") if "partial_count" in ln and "partial_sum" in ln]
+    plans, real = [], marts.staged
+    marts.staged = lambda df, name: plans.append(_without_aqe(spark, lambda: df)) or real(df, name)
+    try:
+        marts.mart_daily_summary(_marts(spark))
+    finally:
+        marts.staged = real
+    measures = [ln for ln in plans[0].split("\n") if "partial_count" in ln and "partial_sum" in ln]
     assert measures and all("HashAggregate" in ln for ln in measures)
 
 
+def test_daily_mart_reads_trades_twice_and_shuffles_boundary_rows_only(spark):
+    """With broadcast joins off, the one exchange above the second read of the trades lies behind the runtime filter."""
+    from tickforge.operators import marts
+    from tickforge.session import conf_override
+
+    spark.range(20_000).selectExpr(
+        "CAST(id AS STRING) AS trade_id", "concat('S', id % 3) AS symbol", "DATE'2024-01-01' AS trade_date",
+        "timestampadd(SECOND, CAST(id AS INT), TIMESTAMP'2024-01-01') AS traded_at", "current_timestamp() AS ingested_at",
+        "CAST(id AS DECIMAL(18,8)) AS price", "CAST(1 AS DECIMAL(18,8)) AS quantity", "CAST(1 AS DECIMAL(18,2)) AS notional",
+    ).write.mode("overwrite").parquet(path := work_dir(spark, "mart-trades"))
+    with conf_override(spark, {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false"}):
+        mart = marts.mart_daily_summary(spark.read.parquet(path))
+        p = plan(mart)
+        lines = p.split("\n")
+        scans = [i for i, ln in enumerate(lines) if "FileScan" in ln and "traded_at" in ln]
+        assert len(scans) == 1
+        exchange = max(i for i in range(scans[0]) if "Exchange hashpartitioning" in lines[i])
+        between = "".join(lines[exchange:scans[0]])
+        assert "getbit" in between and "BroadcastHashJoin" in between, p
+        assert [(r.symbol, float(r.open_price), float(r.close_price)) for r in mart.orderBy("symbol").collect()] == [
+            ("S0", 0.0, 19998.0), ("S1", 1.0, 19999.0), ("S2", 2.0, 19997.0)]
+
+
+def test_runtime_filter_keeps_every_key_and_few_others(spark):
+    from tickforge.operators.membership import bits_for, key_words, may_be_in
+
+    keys = spark.range(5000).selectExpr("id * 7 AS a", "CAST(id AS STRING) AS b")
+    rows = spark.range(200_000).selectExpr("id AS a", "CAST(id DIV 7 AS STRING) AS b", "id AS _x")
+    kept = may_be_in(rows, ["a", "b"], key_words(keys, ["a", "b"], 5000), 5000)
+    assert kept.columns == rows.columns
+    assert kept.join(keys, ["a", "b"], "left_semi").count() == 5000
+    assert 5000 <= kept.count() < 5000 + 195_000 / 8
+    assert bits_for(0) == 64 and bits_for(10**12) == 1 << 27
+
+
 def test_tick_mart_open_close_is_hash_aggregated(spark):
     from tickforge.operators import marts
 

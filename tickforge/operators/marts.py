@@ -4,10 +4,10 @@ Design notes (scale):
 * Aggregate first, join the dimensions after. The marts' group keys contain
   the join keys, so the dimension joins run on one row per (day, symbol) or
   per symbol instead of one per trade.
-* Open / close are found in two hash aggregates (see ``_open_close``), both with
-  a map-side partial phase, so a symbol-day holding a third of all trades is
-  still pre-reduced on every mapper. A window sorted per (day, symbol) would put
-  that whole group into one task.
+* Open / close come from the trades at a group's first and last instant alone
+  (see ``_open_close``), which a runtime Bloom filter finds before the shuffle,
+  so a symbol-day holding a third of all trades sends a few rows. A window
+  sorted per (day, symbol) would put that whole group into one task.
 """
 
 from __future__ import annotations
@@ -16,6 +16,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.expressions import MAJOR_BASES, date_parts, display_name, is_major, price_tier, time_price_key
+from ..session import staged
+from .membership import key_words, may_be_in
 
 
 def stg_trades(fact: DataFrame) -> DataFrame:
@@ -60,15 +62,21 @@ def _with_calendar(daily: DataFrame, dim_time: DataFrame | None) -> DataFrame:
     return daily.join(days, "trade_date", "inner")
 
 
-def _open_close(trades: DataFrame, ends: DataFrame) -> DataFrame:
+def _open_close(trades: DataFrame, ends: DataFrame, groups: int) -> DataFrame:
     """First and last price of each (day, symbol) in (traded_at, trade_id) order.
 
-    ``ends`` has the first and last instant of each group. Only trades at one
-    of the two are left after the join, so breaking ties by the trade id, whose
-    text keys need a sort aggregate, sorts a row or two per group and task.
+    ``ends`` has the first and last instant of each of ``groups`` groups. Trades
+    at other instants of their group leave by a runtime Bloom filter over (day,
+    symbol, instant) before the join, so only boundary rows (and a few by
+    chance) are shuffled, even where the ends are too many to broadcast. Ties
+    are broken by the trade id, whose text keys need a sort aggregate; it sorts
+    a row or two per group and task.
     """
-    at = trades.join(ends.select("trade_date", "symbol", "_lo", "_hi"), ["trade_date", "symbol"], "inner") \
-               .filter((F.col("traded_at") == F.col("_lo")) | (F.col("traded_at") == F.col("_hi")))
+    instants = ends.select("trade_date", "symbol", F.explode(F.array("_lo", "_hi")).alias("traded_at"))
+    key = ["trade_date", "symbol", "traded_at"]
+    near = may_be_in(trades.select(*key, "trade_id", "price"), key, key_words(instants, key, 2 * groups), 2 * groups)
+    at = near.join(ends.select("trade_date", "symbol", "_lo", "_hi"), ["trade_date", "symbol"], "inner") \
+             .filter((F.col("traded_at") == F.col("_lo")) | (F.col("traded_at") == F.col("_hi")))
     first = F.when(F.col("traded_at") == F.col("_lo"), F.col("trade_id"))
     last = F.when(F.col("traded_at") == F.col("_hi"), F.col("trade_id"))
     return at.groupBy("trade_date", "symbol").agg(
@@ -78,7 +86,11 @@ def _open_close(trades: DataFrame, ends: DataFrame) -> DataFrame:
 
 
 def mart_daily_summary(trades: DataFrame, dim_time: DataFrame | None = None) -> DataFrame:
-    """Daily OHLC per (trade_date, symbol): the mart at its intended grain."""
+    """Daily OHLC per (trade_date, symbol): the mart at its intended grain.
+
+    The measures are aggregated and staged first (a row per day and symbol), so
+    the trades are read twice in all: once for them, once for open and close.
+    """
     daily = trades.groupBy("trade_date", "symbol").agg(
         F.count(F.lit(1)).alias("trade_count"),
         F.sum("quantity").alias("total_quantity"),
@@ -91,7 +103,8 @@ def mart_daily_summary(trades: DataFrame, dim_time: DataFrame | None = None) ->
         F.min("ingested_at").alias("first_ingested_at"),
         F.max("ingested_at").alias("last_ingested_at"),
     )
-    daily = daily.join(_open_close(trades, daily), ["trade_date", "symbol"], "left")
+    daily = staged(daily, "daily")
+    daily = daily.join(_open_close(trades, daily, daily.count()), ["trade_date", "symbol"], "left")
     return _with_calendar(daily, dim_time).select(
         "trade_date", "day_of_week", "is_weekend", "symbol", "trade_count", "total_quantity",
         "total_notional_usd", "low_price", "high_price", "avg_price", "open_price", "close_price",

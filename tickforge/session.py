@@ -9,7 +9,7 @@ import tempfile
 import uuid
 from contextlib import contextmanager
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every plan in the package assumes. UTC matters for date_format / hour()
 # (the trade_date / trade_hour partition values); AQE re-plans joins and coalesces
@@ -117,6 +117,13 @@ def work_dir(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_base(spark)}/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def staged(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written under the shared checkpoint base and read back: computed once, its lineage cut."""
+    path = work_dir(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
