@@ -3,7 +3,10 @@ re-runs, and the streaming form against the batch form."""
 
 import datetime as dt
 import os
+import time
 
+import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -12,8 +15,10 @@ from tickforge.plans import datasets as ds
 from tickforge.plans import pipeline as pl
 from tickforge.schemas import BRONZE_COLUMNS, SILVER_SCHEMA
 from tickforge.sinks import writers
+from tickforge.sinks.key_index import KeyIndex
 from tickforge.sources import layers
 from tickforge.streaming import pipeline as st
+from tickforge.streaming.totals import FOLD_AT, EpochTotals
 
 
 def test_bronze_round_trip_and_day_pruning(spark, tmp_dir):
@@ -98,14 +103,14 @@ def _bronze_rows(spark, rows):
 def test_replayed_epochs_and_null_dates_add_nothing(spark, tmp_dir):
     rows = _bronze_rows(spark, [("1", "2024-01-01T10:00:00Z", "2024-01-01T10:00:01Z"), ("2", "not a time", "2024-01-01T10:00:02Z"),
                                 ("3", "999999999999999999", "2024-01-01T10:00:03Z")])
-    for scope in ("global", "partition"):
+    for scope in ("global", "partition", "index"):
         silver, dead, ckpt = (os.path.join(tmp_dir, f"{scope}-{n}") for n in ("silver", "dead", "ckpt"))
         run = st.silver_batch_writer(silver, dead, ckpt, key_scope=scope)
         for epoch in (0, 0, 1):
             run(rows, epoch)
         got = layers.read_silver(spark, silver)
         assert sorted(r.trade_id for r in got.collect()) == ["1", "2", "3"]
-        assert st.progress_totals(spark, ckpt) == {"batches": 2, "input_rows": 6, "dead_letter_rows": 0}
+        assert st.progress_totals(spark, ckpt) == {"batches": 2, "input_rows": 6, "dead_letter_rows": 0, "stored_rows": 0}
 
 
 def test_stream_dedup_keeps_late_first_arrivals(spark, tmp_dir):
@@ -121,12 +126,84 @@ def test_stream_dedup_keeps_late_first_arrivals(spark, tmp_dir):
     assert st.progress_totals(spark, ckpt)["input_rows"] == 13
 
 
-def test_totals_of_a_long_stream_are_complete(spark, tmp_dir):
+def _dedup_files(spark, tmp_dir, files):
+    """Streams files of (id, event time, arrival), one an epoch; the ids stored, and what each epoch read of stored keys."""
+    landing, out, ckpt = (os.path.join(tmp_dir, n) for n in ("landing", "out", "ckpt"))
+    for rows in files:
+        _bronze_rows(spark, rows).coalesce(1).write.mode("append").json(landing)
+        time.sleep(0.01)
+    lookups, real = [], KeyIndex.absent
+    KeyIndex.absent = lambda self, batch: lookups.append(sorted(r[0] for r in batch.select("trade_id").collect())) or real(self, batch)
+    try:
+        q = st.dedup_stream(st.bronze_file_source(spark, landing, 1), out, ckpt, delay="1 hour")
+        q.awaitTermination()
+    finally:
+        KeyIndex.absent = real
+    return sorted(r.trade_id for r in spark.read.parquet(out).collect()), lookups, q, ckpt
+
+
+def test_stream_dedup_state_is_bounded_and_on_time_rows_read_no_stored_key(spark, tmp_dir):
+    day = "2024-01-01T{}:00Z".format
+    on_time = [[(f"{h}-{i}", day(f"{h:02d}:30"), day(f"{h:02d}:31")) for i in range(5)]
+               + [(f"{h - 1}-0", day(f"{h - 1:02d}:30"), day(f"{h:02d}:31"))] * (h > 0) for h in range(8)]
+    ids, lookups, q, ckpt = _dedup_files(spark, tmp_dir, on_time)
+    assert ids == sorted(f"{h}-{i}" for h in range(8) for i in range(5))
+    assert lookups == [] and st.progress_totals(spark, ckpt)["late_rows"] == 0
+    held = [p["stateOperators"][0]["numRowsTotal"] for p in q.recentProgress if p["stateOperators"]]
+    assert max(held) <= 20  # three or four hours of five keys, of eight
+
+
+def test_stream_dedup_finds_late_rows_by_the_index(spark, tmp_dir):
+    day = "2024-01-01T{}:00Z".format
+    files = [[("a", day("01:00"), day("01:01"))], [("b", day("08:00"), day("08:01"))], [("c", day("08:10"), day("08:11"))],
+             # late: a copy that the state has forgotten, one in two copies that is new, one without a time, one ahead of its arrival
+             [("a", day("01:00"), day("08:30")), ("d", day("02:00"), day("08:30")), ("d", day("02:00"), day("08:31")), ("e", None, day("08:30")),
+              ("f", "2030-01-01T00:00:00Z", day("08:30")), ("b", day("08:00"), day("08:30"))],
+             [("d", day("02:00"), day("08:40")), ("e", "not a time", day("08:41")), ("g", day("08:20"), day("08:41")), (None, day("08:20"), day("08:41"))]]
+    ids, lookups, _, ckpt = _dedup_files(spark, tmp_dir, files)
+    assert ids == list("abcdefg")
+    assert lookups and all(k in "adef" for ks in lookups for k in ks)
+    assert st.progress_totals(spark, ckpt)["stored_rows"] == 7
+
+
+def test_dedup_epochs_that_fail_are_repeated_exactly(spark, tmp_dir):
+    out, ckpt = os.path.join(tmp_dir, "out"), os.path.join(tmp_dir, "ckpt")
+
+    def epoch_of(ids):
+        """What an epoch gets whose keys the state has all let through."""
+        rows = _bronze_rows(spark, [(str(i), "2024-01-01T09:00:00Z", "2024-01-01T09:00:01Z") for i in ids]).withColumn("_clock", st._clock())
+        return rows.withColumn("_raw", F.lit(True)).unionByName(
+            rows.select("trade_id", "_clock").withColumn("_raw", F.lit(False)), allowMissingColumns=True)
+
+    rows = epoch_of(range(6))
+    run = st.dedup_batch_writer(out, ckpt, "1 hour", buckets=4)
+    run(rows, 0)
+    run(rows, 0)  # complete: nothing again
+    real, KeyIndex.done = KeyIndex.done, lambda self, tag: (_ for _ in ()).throw(RuntimeError("lost"))
+    more = epoch_of(range(6, 9))
+    try:
+        with pytest.raises(RuntimeError):
+            run(more, 1)
+    finally:
+        KeyIndex.done = real
+    run(more, 1)
+    assert sorted(r.trade_id for r in spark.read.parquet(out).collect()) == [str(i) for i in range(9)]
+
+
+def test_totals_of_a_long_stream_are_complete_in_few_files(spark, tmp_dir):
     ckpt = os.path.join(tmp_dir, "ckpt")
-    for epoch in range(130):
-        st._note_counts(spark, ckpt, epoch, input_rows=3)
-    st._note_counts(spark, ckpt, 7, input_rows=3)  # replayed
-    assert st.progress_totals(spark, ckpt) == {"batches": 130, "input_rows": 390}
+    totals = EpochTotals(spark, ckpt)
+    for epoch in range(200):  # notes as ``note`` leaves them, without a job each
+        folder = f"{ckpt}-counts/epochs/{epoch:010d}"
+        os.makedirs(folder)
+        pq.write_table(pa.table({"epoch": [epoch], "input_rows": [3]}), f"{folder}/part.parquet")
+        open(f"{folder}/_SUCCESS", "w").close()
+        if epoch % FOLD_AT == FOLD_AT - 1:
+            totals.fold(epoch - 1)
+    totals.note(7, input_rows=4)  # replayed after it was folded
+    got = st.progress_totals(spark, ckpt)
+    files = sum(f.endswith(".parquet") for _, _, fs in os.walk(f"{ckpt}-counts") for f in fs)
+    assert got == {"batches": 200, "input_rows": 601} and files < 2 * FOLD_AT
 
 
 def test_landing_keeps_rows_without_arrival_time(spark, tmp_dir):

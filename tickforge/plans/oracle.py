@@ -604,6 +604,7 @@ ISO_TEXT = "strftime({c}, '%Y-%m-%dT%H:%M:%S.%f') || 'Z'"
 ORACLE.update({
     "stream_silver": with_ctes(f"""SELECT trade_id, symbol, price, quantity, notional, exchange, trade_type,
         {ts('"timestamp"')} AS "timestamp", source, conditions, trade_date, CAST(trade_hour AS BIGINT) AS trade_hour FROM s_good"""),
+    "stream_totals": with_ctes("SELECT (SELECT count(*) FROM bronze) AS input_rows, (SELECT count(*) FROM s_good) AS stored_rows"),
     "stream_dedup": with_ctes("SELECT DISTINCT trade_id FROM bronze"),
     "stream_bronze": with_ctes(f"""SELECT trade_id, symbol, CAST(price AS VARCHAR) AS price, CAST(quantity AS VARCHAR) AS quantity,
         CAST(notional AS VARCHAR) AS notional, exchange, trade_type, {ISO_TEXT.format(c='"timestamp"')} AS "timestamp",
@@ -632,7 +633,7 @@ ORACLE.update({
         {dbl('max(price)')} AS max_price, round(avg(CAST(price AS DOUBLE)), 6) AS mean_price,
         round(var_pop(CAST(price AS DOUBLE)), 3) AS var_price, {ts('max(ingested_at)')} AS max_ingested_at
         FROM stg GROUP BY ALL"""),
-    "mart_daily_joined": with_ctes(mart_daily_out("(SELECT * FROM mart_daily WHERE day(trade_date) % 7 != 0)")),
+    "mart_daily_joined": with_ctes(mart_daily_out("mart_daily")),
     "daily_ordered": with_ctes(f"SELECT *, row_number() OVER (ORDER BY trade_date, symbol) AS position FROM ({DAILY_OUT})"),
     "performance_ordered": with_ctes(f"""SELECT row_number() OVER (ORDER BY volume_rank, symbol) AS position, symbol,
         CAST(total_notional_usd AS DOUBLE) AS total_notional_usd, volume_rank FROM {PERF_W}"""),

@@ -125,9 +125,9 @@ class KeyIndex:
         for t in tags:
             remove_path(self.spark, f"{self.path}/tail/{t}")
 
-    def add(self, rows: DataFrame) -> str:
+    def add(self, rows: DataFrame, tag: str | None = None) -> str:
         """Notes the keys of rows that are about to be stored; returns the load's tag."""
-        tag = uuid.uuid4().hex[:12]
+        tag = tag or uuid.uuid4().hex[:12]
         keys = rows.select(F.col(self.key).cast("string").alias(self.key)).dropna()
         keys.hint("rebalance").write.options(**writers.bloom_options(self.key)).parquet(f"{self.path}/tail/{tag}")
         return tag
@@ -145,9 +145,13 @@ class KeyIndex:
                 self.done(kept)
             remove_path(self.spark, f"{self.path}/tail/{tag}")
 
-    def maintain(self) -> None:
-        """Merges a long tail into the base, and rewrites a base of many files."""
-        tags = [t for t, ok in self._tags().items() if ok]
+    def confirmed(self, tag: str) -> bool | None:
+        """Whether a load in the tail is confirmed; None if there is none of that tag."""
+        return self._tags().get(tag)
+
+    def maintain(self, but: str | None = None) -> None:
+        """Merges a long tail into the base, all but one load of it, and rewrites a base of many files."""
+        tags = [t for t, ok in self._tags().items() if ok and t != but]
         if len(tags) < MERGE_AT:
             return
         location = writers.current_version(self.spark, f"{self.path}/base")

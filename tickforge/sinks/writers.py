@@ -122,7 +122,11 @@ def current_version(spark: SparkSession, base: str) -> str | None:
     numbers = _versions(spark, base)
     if not numbers:
         return None
-    fs, p = _fs(spark, f"{base.rstrip('/')}/_VERSIONS/{max(numbers):010d}")
+    return _pointed(spark, f"{base.rstrip('/')}/_VERSIONS/{max(numbers):010d}")
+
+
+def _pointed(spark: SparkSession, pointer: str) -> str:
+    fs, p = _fs(spark, pointer)
     stream = fs.open(p)
     try:
         reader = spark.sparkContext._jvm.java.io.BufferedReader(
@@ -158,6 +162,16 @@ def publish_version(spark: SparkSession, base: str, target: str) -> None:
     out.close()
 
 
+def drop_versions(spark: SparkSession, base: str, keep: int) -> None:
+    """Delete the folders of all but the ``keep`` newest versions, and then their pointers."""
+    from ..session import remove_path
+
+    for number in sorted(_versions(spark, base))[:-keep]:
+        pointer = f"{base.rstrip('/')}/_VERSIONS/{number:010d}"
+        remove_path(spark, _pointed(spark, pointer))
+        remove_path(spark, pointer)
+
+
 def read_version(spark: SparkSession, base: str) -> DataFrame | None:
     v = current_version(spark, base)
     return spark.read.parquet(v) if v else None
