@@ -158,12 +158,6 @@ def report_preview(recent: DataFrame) -> DataFrame:
         F.date_format("timestamp", TS_DISPLAY).alias("timestamp"))
 
 
-def positioned(df: DataFrame, *order) -> DataFrame:
-    """A result in its serving order, with the position as a column. For
-    results of report size only: one task numbers them."""
-    return df.withColumn("position", F.row_number().over(Window.orderBy(*order))).orderBy("position")
-
-
 def asset_profile(perf: DataFrame, symbol: str | None = None) -> DataFrame:
     """Per-asset card: mart row plus volatility tier and price range."""
     df = perf if not symbol else perf.filter(F.col("symbol") == symbol)

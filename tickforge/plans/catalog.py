@@ -16,11 +16,15 @@ from ..operators import documents as dc
 from ..operators import gold as gd
 from ..operators import marts as mt
 from ..operators import quality as dq
+from ..operators import load_states as ls
+from ..operators import newest as nw
+from ..operators import positions as ps
 from ..operators import reports as rp
 from ..operators import silver as sv
 from ..schemas import FACT_SCHEMA, FEED_A_SCHEMA, FEED_B_SCHEMA
-from ..session import apply_engine_conf, work_dir
+from ..session import apply_engine_conf, staged, work_dir
 from ..sinks import writers as wr
+from ..sinks.doc_store import DocumentStore
 from ..sinks.key_index import KeyIndex, insert_indexed
 from ..sources import feeds as fd
 from ..sources import fixtures as fx
@@ -317,6 +321,50 @@ def _recent_trades(spark, sf):
     return rp.recent_trades(ds.fact(spark, sf), limit=50)
 
 
+def _stored_fact(spark, sf):
+    path = work_dir(spark, "stored-fact")
+    wr.write_table(ds.fact(spark, sf), path, ["trade_date"])
+    return path
+
+
+@register("recent_trades_stored")
+def _recent_trades_stored(spark, sf):
+    """The newest trades of the stored fact, from its newest date partitions."""
+    return nw.recent_trades_stored(spark, _stored_fact(spark, sf), 50, schema=FACT_SCHEMA)
+
+
+@register("recent_trades_stored_symbol")
+def _recent_trades_stored_symbol(spark, sf):
+    return nw.recent_trades_stored(spark, _stored_fact(spark, sf), 200, "VIEW/USD", FACT_SCHEMA)
+
+
+@register("pipeline_stats_states")
+def _pipeline_stats_states(spark, sf):
+    """The same figures from the states of two loads, one per feed, without
+    reading a trade twice."""
+    path, numbers = work_dir(spark, "load-states"), None
+    for feed in ("feed_a", "feed_b"):
+        rows = ds.fact(spark, sf).filter(F.col("source") == feed)
+        numbers = staged(ls.number_symbols(numbers, rows), "symbol-numbers")
+        ls.load_state(rows, numbers).write.mode("append").parquet(path)
+    return ls.pipeline_stats_from_states(spark.read.parquet(path))
+
+
+@register("fact_positioned")
+def _fact_positioned(spark, sf):
+    """Every trade with its position from newest to oldest."""
+    rows = ds.fact(spark, sf).select("trade_id", "timestamp")
+    return ps.positioned(rows, F.desc("timestamp"), F.desc("trade_id"))
+
+
+@register("fact_page")
+def _fact_page(spark, sf):
+    """A page of the positioned trades (101 to 150), read from the files that hold it."""
+    path = work_dir(spark, "positioned")
+    ps.positioned(ds.fact(spark, sf).select("trade_id", "timestamp"), F.desc("timestamp"), F.desc("trade_id")).write.parquet(path)
+    return ps.page(spark.read.parquet(path), 100, 50)
+
+
 @register("trade_log")
 def _trade_log(spark, sf):
     return rp.trade_log(rp.recent_trades(ds.fact(spark, sf), limit=10))
@@ -361,14 +409,14 @@ def _asset_profile_one(spark, sf):
 @register("daily_ordered")
 def _daily_ordered(spark, sf):
     """The daily slice in its serving order, numbered."""
-    return rp.positioned(_daily_slice(spark, sf), "trade_date", "symbol")
+    return ps.positioned(_daily_slice(spark, sf), "trade_date", "symbol")
 
 
 @register("performance_ordered")
 def _performance_ordered(spark, sf):
     """The symbol mart in its serving order, numbered."""
     perf = ds.mart_symbol_performance(spark, sf, wide=True)
-    return rp.positioned(perf, "volume_rank", "symbol").select("position", "symbol", "total_notional_usd", "volume_rank")
+    return ps.positioned(perf, "volume_rank", "symbol").select("position", "symbol", "total_notional_usd", "volume_rank")
 
 
 # ---- data-quality checks (Q1-Q7) ---------------------------------------------------
@@ -459,6 +507,17 @@ def _portfolio_upsert(spark, sf):
                          F.size("daily_breakdown").alias("daily_breakdown_count"))
 
 
+@register("portfolio_upsert_buckets")
+def _portfolio_upsert_buckets(spark, sf):
+    """The same upsert into a store in hash buckets, read back."""
+    store = DocumentStore(spark, work_dir(spark, "documents"), buckets=16)
+    store.upsert(ds.portfolio_documents(spark, sf, from_bronze=True))
+    store.upsert(ds.portfolio_documents(spark, sf))
+    return store.read().select("_id", F.col("performance.total_trades").alias("total_trades"),
+                               F.size("recent_trades").alias("recent_trades_count"),
+                               F.size("daily_breakdown").alias("daily_breakdown_count"))
+
+
 # ---- feeds (P1, P2, P23, F8, F9, R6) -----------------------------------------------
 
 

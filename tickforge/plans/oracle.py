@@ -656,3 +656,14 @@ ORACLE.update({
         volume_rank, activity_rank, '{DOC_SOURCE}' AS metadata_source, '{DOC_PIPELINE}' AS metadata_pipeline,
         {ts('last_updated')} AS metadata_last_updated, '{DOC_VERSION}' AS metadata_version FROM mart_perf"""),
 })
+
+ORACLE.update({
+    "recent_trades_stored": ORACLE["recent_trades"],
+    "recent_trades_stored_symbol": ORACLE["recent_trades_sql"].replace("'CLICK/USD'", "'VIEW/USD'").replace("LIMIT 25", "LIMIT 200"),
+    "pipeline_stats_states": ORACLE["pipeline_stats"],
+    "fact_positioned": with_ctes(f"""SELECT trade_id, {ts('"timestamp"')} AS "timestamp",
+        row_number() OVER (ORDER BY "timestamp" DESC, trade_id DESC) AS position FROM fact"""),
+    "fact_page": with_ctes(f"""SELECT * FROM (SELECT trade_id, {ts('"timestamp"')} AS "timestamp",
+        row_number() OVER (ORDER BY "timestamp" DESC, trade_id DESC) AS position FROM fact) WHERE position BETWEEN 101 AND 150"""),
+    "portfolio_upsert_buckets": f"SELECT * EXCLUDE (_action) FROM ({ORACLE['portfolio_upsert']})",
+})

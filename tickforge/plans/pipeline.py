@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from ..functions.rules import passes_all, with_failed_rules
 from ..operators import documents, gold, marts, silver
 from ..sinks import writers
+from ..sinks.doc_store import DocumentStore
 from ..sinks.key_index import KeyIndex, insert_indexed
 from ..session import OBSERVED_WRITE_CONF, conf_override, path_exists, remove_path, work_dir
 from ..sources import layers
@@ -189,14 +190,22 @@ def gold_to_marts(spark: SparkSession, gold_base: str, marts_base: str,
 
 
 def marts_to_documents(spark: SparkSession, gold_base: str, marts_base: str, docs_base: str,
-                       run_time: str | None = None) -> dict:
+                       run_time: str | None = None, buckets: int | None = None, symbols: list[str] | None = None) -> dict:
     """Build all documents and publish them as a new version (replace-by-key
     against the live version, which is never overwritten in place). Returns
-    the new version's path and the inserted / updated / kept counts."""
+    the new version's path and the inserted / updated / kept counts.
+
+    With ``buckets``, the documents are in a ``DocumentStore`` of so many hash
+    buckets, where only those of the documents built are written again;
+    ``symbols`` (those that a load touched) limits what is built."""
     fact = spark.read.parquet(f"{gold_base.rstrip('/')}/fact_trades")
     perf = spark.read.parquet(f"{marts_base.rstrip('/')}/mart_symbol_performance")
     daily = spark.read.parquet(f"{marts_base.rstrip('/')}/mart_daily_summary")
+    if symbols is not None:
+        fact, perf, daily = (d.filter(F.col("symbol").isin(list(symbols))) for d in (fact, perf, daily))
     docs = documents.portfolio_documents(perf, documents.recent_trades_per_symbol(fact), daily, run_time)
+    if buckets:
+        return DocumentStore(spark, docs_base, buckets=buckets).upsert(docs)
     live = writers.read_version(spark, docs_base)
     merged = (documents.upsert_documents(live, docs) if live is not None
               else docs.withColumn("_action", F.lit("inserted")))
