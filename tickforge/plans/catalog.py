@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.rules import FAILED_RULES
+from ..operators import deltas as dl
 from ..operators import documents as dc
 from ..operators import gold as gd
 from ..operators import marts as mt
@@ -21,11 +22,13 @@ from ..operators import newest as nw
 from ..operators import positions as ps
 from ..operators import reports as rp
 from ..operators import silver as sv
-from ..schemas import FACT_SCHEMA, FEED_A_SCHEMA, FEED_B_SCHEMA
+from ..schemas import BRONZE_PARTITIONS, BRONZE_SCHEMA, FACT_SCHEMA, FEED_A_SCHEMA, FEED_B_SCHEMA
 from ..session import apply_engine_conf, staged, work_dir
 from ..sinks import writers as wr
+from ..sinks.compaction import CompactedFolder
 from ..sinks.doc_store import DocumentStore
 from ..sinks.key_index import KeyIndex, insert_indexed
+from ..sinks.zorder import write_zordered
 from ..sources import feeds as fd
 from ..sources import fixtures as fx
 from ..sources import layers as ly
@@ -759,6 +762,28 @@ def _keyed_files(spark, sf):
     return wr.order_violations(spark.read.parquet(path))
 
 
+@register("zorder_scan")
+def _zorder_scan(spark, sf):
+    """Trades of one symbol in some hours, from a fact written in Z-order of (symbol, timestamp)."""
+    path = work_dir(spark, "zorder")
+    write_zordered(ds.fact(spark, sf), path, ["symbol", "timestamp"], rows_per_file=2000)
+    return spark.read.parquet(path).filter(
+        "symbol = 'CLICK/USD' AND timestamp >= TIMESTAMP'2024-01-10 06:00:00' AND timestamp < TIMESTAMP'2024-01-11 18:00:00'")
+
+
+@register("bronze_compacted")
+def _bronze_compacted(spark, sf):
+    """Bronze in two appends, the first compacted before the second; read back."""
+    path = work_dir(spark, "bronze-small")
+    first = F.abs(F.xxhash64("trade_id", "ingested_at")) % 2 == 0
+    wr.write_bronze(ds.bronze(spark, sf).filter(first), path)
+    folder = CompactedFolder(spark, path, BRONZE_SCHEMA, list(BRONZE_PARTITIONS), options={"timestampFormat": wr.ISO_UTC})
+    folder.compact(8 << 20)
+    wr.write_bronze(ds.bronze(spark, sf).filter(~first), path)
+    folder.compact(8 << 20)
+    return folder.read()
+
+
 # ---- incremental mart maintenance (A10 from a per-day state table) ------------------
 
 
@@ -778,6 +803,19 @@ def _mart_daily_state(spark, sf):
                         F.round(F.col("m2_price") / F.col("n_price"), 3).alias("var_price"), "max_ingested_at")
 
 
+@register("mart_daily_corrected")
+def _mart_daily_corrected(spark, sf):
+    """The per-day state after corrections: a load in which every tenth price
+    was wrong and every seventh trade missing is corrected by signed deltas."""
+    trades = ds.stg_trades(spark, sf)
+    number = F.col("trade_id").cast("long")
+    wrong = trades.withColumn("price", F.when(number % 10 == 0, F.col("price") + 1000).otherwise(F.col("price")).cast(trades.schema["price"].dataType))
+    state = staged(dl.state_of(wrong.filter(number % 7 != 0)), "state")
+    gone = wrong.filter((number % 10 == 0) & (number % 7 != 0))
+    come = trades.filter((number % 10 == 0) | (number % 7 == 0))
+    return dl.changed_state(state, gone, come, trades)[0]
+
+
 @register("mart_daily_joined")
 def _mart_daily_joined(spark, sf):
     """The daily mart joined to the time dimension (a day without a row there

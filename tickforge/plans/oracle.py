@@ -667,3 +667,14 @@ ORACLE.update({
         row_number() OVER (ORDER BY "timestamp" DESC, trade_id DESC) AS position FROM fact) WHERE position BETWEEN 101 AND 150"""),
     "portfolio_upsert_buckets": f"SELECT * EXCLUDE (_action) FROM ({ORACLE['portfolio_upsert']})",
 })
+
+ORACLE.update({
+    "zorder_scan": with_ctes(f"""SELECT {FACT_OUT} FROM fact WHERE symbol = 'CLICK/USD'
+        AND "timestamp" >= TIMESTAMP '2024-01-10 06:00:00' AND "timestamp" < TIMESTAMP '2024-01-11 18:00:00'"""),
+    "bronze_compacted": ORACLE["bronze_scan"],
+    "mart_daily_corrected": with_ctes(f"""SELECT {d('trade_date')} AS trade_date, symbol, count(*) AS n, {dbl('sum(notional)')} AS sum_notional,
+        count(notional) AS n_notional, {dbl('sum(quantity)')} AS sum_quantity, {dbl('sum(price)')} AS sum_price, count(price) AS n_price,
+        {dbl('min(price)')} AS min_price, {dbl('max(price)')} AS max_price, {ts('min(ingested_at)')} AS first_ingested,
+        {ts('max(ingested_at)')} AS max_ingested_at, {ts('min(traded_at)')} AS first_traded, {ts('max(traded_at)')} AS last_traded
+        FROM stg GROUP BY ALL"""),
+})
