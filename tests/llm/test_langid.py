@@ -60,3 +60,13 @@ def test_letter_codes():
     assert codes("É").tolist() == codes("é").tolist() and has_letter("1é") and not has_letter("1_²")
     text = "word " * 30000
     assert len(codes(text)) == len(text) + 1
+
+
+def test_a_language_of_long_texts_only_is_learned(spark):
+    rng = random.Random(4)
+    words = {"xx": ["aka", "oko", "uku", "aki"], "yy": ["zrt", "brz", "trk", "krz"]}
+    rows = [(i, prose(rng, 6000 if i % 2 else 40, words["yy" if i % 2 else "xx"]), "yy" if i % 2 else "xx", "s") for i in range(60)]
+    rows += rows[:6]  # repeated ids
+    got = rows_of(langid.identify(documents(spark, rows)))
+    assert min(len(t) for _, t, g, _ in rows if g == "yy") > langid.LONGEST
+    assert all(r["lang_pred"] == ("yy" if r["doc_id"] % 2 else "xx") for r in got)

@@ -8,7 +8,7 @@ fold into one matrix (n-grams by languages), and a batch of documents is scored
 
 The training sample is bounded: ``PER_LANG`` documents of each language by hash order (of at most ``PER_SALT`` from each
 of ``SALTS`` hash classes), ``MOST_ROWS`` in all, of at most
-``LONGEST`` characters each. It goes through the driver; documents to be scored never do.
+the first ``LONGEST`` characters each. It goes through the driver; documents to be scored never do.
 
 Defined results: ``und`` with score 0 for a null text or one without a letter, and for all texts if nothing could be
 learned; a text none of whose n-grams a landmark has gets the language that is likeliest a priori, with a low score; rows
@@ -134,11 +134,11 @@ def train(docs: DataFrame, may_learn) -> Model:
     for part, most in ((("lang", "salt"), PER_SALT), (("lang",), PER_LANG)):
         order = W.partitionBy(*part).orderBy(F.xxhash64("doc_id"), "doc_id")
         ids = ids.withColumn("rn", F.row_number().over(order)).filter(F.col("rn") <= most).drop("rn")
-    ids = ids.drop("salt")
-    ids = ids.orderBy(F.xxhash64("doc_id", "lang")).limit(MOST_ROWS).dropDuplicates(["doc_id"])
-    sample = (docs.filter(may_learn).join(F.broadcast(ids.select("doc_id")), "doc_id")
-              .filter(F.col("lang").isNotNull() & (F.length("text") <= LONGEST)).select("doc_id", "lang", "text"))
-    rows = sorted((r for r in sample.limit(MOST_ROWS).collect() if has_letter(r.text)), key=lambda r: (r.doc_id, r.lang, r.text))
+    ids = ids.select("doc_id", "lang").distinct().orderBy(F.xxhash64("doc_id", "lang"), "doc_id", "lang").limit(MOST_ROWS)
+    # The smallest text of an id and language that repeat; whole rows, each cut to what is learned from.
+    sample = (docs.filter(may_learn).select("doc_id", "lang", F.substring("text", 1, LONGEST).alias("text"))
+              .join(F.broadcast(ids), ["doc_id", "lang"]).groupBy("doc_id", "lang").agg(F.min("text").alias("text")).collect())
+    rows = sorted((r for r in sample if r.text and has_letter(r.text)), key=lambda r: (r.doc_id, r.lang, r.text))
     return fit([r.text for r in rows], [r.lang for r in rows])
 
 

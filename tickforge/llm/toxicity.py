@@ -12,7 +12,8 @@ Language model: character 2-, 3- and 4-grams counted over the whole texts of all
 the tables are bounded), each order smoothed by the next shorter one.
 
 Score: logistic regression on words and word beginnings of the restored text, each by presence and by rate. It is trained
-on a bounded sample, ``MOST_ROWS`` labelled rows by hash order of at most ``LONGEST`` characters each.
+on a bounded sample, ``MOST_ROWS`` labelled ids by hash order, each with the first ``LONGEST`` characters of its text (of the
+smallest one, where an id repeats).
 
 Defined results: a null or empty text scores as one without words; without labels, or with one label only, every score is
 the smoothed share of label 1; a document with several labels counts as toxic if one says so; null labels are left out;
@@ -99,7 +100,20 @@ class CharModel:
     def __init__(self, two: np.ndarray, three: np.ndarray, four: np.ndarray):
         self.two, self.three, self.four = two, three, four
         self.one = two.reshape(64, 64).sum(axis=0) + 0.5
+        self._forget()
+
+    def _forget(self) -> None:
+        """What was worked out with the model, kept with it: a worker's tasks share the broadcast model, and so this."""
         self.memo: dict[tuple[int, int], float] = {}
+        self.readings: dict[tuple[str, int], tuple[str, float]] = {}
+        self.tokens: dict[str, str] = {}
+
+    def __getstate__(self):
+        return {n: getattr(self, n) for n in ("one", "two", "three", "four")}
+
+    def __setstate__(self, state):
+        self.__dict__.update(state)
+        self._forget()
 
     def cost(self, history: int, code: int) -> float:
         """history: the last three codes as one 18-bit number."""
@@ -173,9 +187,7 @@ def char_model(docs: DataFrame) -> CharModel:
 
 class Restorer:
     def __init__(self, model: CharModel):
-        self.model = model
-        self.memo: dict[tuple[str, int], tuple[str, float]] = {}
-        self.tokens: dict[str, str] = {}
+        self.model, self.memo, self.tokens = model, model.readings, model.tokens
 
     def _runs(self, token: str):
         return [(m[0][0], len(m[0])) for m in re.finditer(r"(.)\1*", token, re.S)]
@@ -280,7 +292,10 @@ class Restorer:
         if spaced:
             text = _WIDE.sub(lambda m: self._apart(m[0]), text)
         if sign:
-            text = _TOKEN.sub(lambda m: self._token(m[0]), text)
+            # Every distinct token once; most texts have none that changes, and stay as they are.
+            changed = {t: r for t in set(_TOKEN.findall(text)) if (r := self._token(t)) != t}
+            if changed:
+                text = _TOKEN.sub(lambda m: changed.get(m[0], m[0]), text)
         return text
 
 
@@ -368,9 +383,10 @@ def train(docs: DataFrame, labels: DataFrame, may_learn, chars: CharModel) -> Sc
     known = (labels.filter(may_learn & F.col("toxic").isNotNull() & F.col("doc_id").isNotNull())
              .groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
              .orderBy(F.xxhash64("doc_id"), "doc_id").limit(MOST_ROWS))
-    sample = (docs.select("doc_id", "text").join(F.broadcast(known), "doc_id").filter(F.length("text") <= LONGEST)
-              .limit(2 * MOST_ROWS).collect())
-    rows = sorted({(r.doc_id, r.text, r.toxic) for r in sample})
+    # The smallest text of an id that repeats.
+    sample = (docs.select("doc_id", F.substring("text", 1, LONGEST).alias("text")).join(F.broadcast(known), "doc_id")
+              .groupBy("doc_id").agg(F.min("text").alias("text"), F.max("toxic").alias("toxic")).filter(F.col("text").isNotNull()).collect())
+    rows = sorted((r.doc_id, r.text, r.toxic) for r in sample)
     restorer = Restorer(chars)
     return fit([restorer.restore(r[1]) for r in rows], [r[2] for r in rows])
 
