@@ -1,9 +1,10 @@
+import random
 import zlib
 
 import numpy as np
 import pytest
 from conftest import SF_CHECK
-from helpers import documents, rows_of
+from helpers import documents, prose, rows_of
 
 from tickforge.llm import langid as L
 from tickforge.llm.letters import codes, has_letter
@@ -67,6 +68,6 @@ def test_a_language_of_long_texts_only_is_learned(spark):
     words = {"xx": ["aka", "oko", "uku", "aki"], "yy": ["zrt", "brz", "trk", "krz"]}
     rows = [(i, prose(rng, 6000 if i % 2 else 40, words["yy" if i % 2 else "xx"]), "yy" if i % 2 else "xx", "s") for i in range(60)]
     rows += rows[:6]  # repeated ids
-    got = rows_of(langid.identify(documents(spark, rows)))
-    assert min(len(t) for _, t, g, _ in rows if g == "yy") > langid.LONGEST
+    got = rows_of(L.identify(documents(spark, rows)))
+    assert min(len(t) for _, t, g, _ in rows if g == "yy") > L.LONGEST
     assert all(r["lang_pred"] == ("yy" if r["doc_id"] % 2 else "xx") for r in got)

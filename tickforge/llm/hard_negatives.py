@@ -138,7 +138,9 @@ def _groups(rows: DataFrame, anchors: DataFrame, row_blocks: int, anchor_blocks:
                         deal(row_blocks).alias("row_block")).withColumn("anchor_block", every(anchor_blocks))
     left = anchors.select("vec_id", "label", "bits", F.col("windows").cast(WINDOWS).alias("windows"), F.lit(True).alias("asks"),
                           deal(anchor_blocks).alias("anchor_block")).withColumn("row_block", every(row_blocks))
-    return right.unionByName(left.select(*right.columns)).groupBy("row_block", "anchor_block")
+    both = right.unionByName(left.select(*right.columns))
+    # Groups cost time rather than bytes, so they keep tasks of their own.
+    return both.repartition(row_blocks * anchor_blocks, "row_block", "anchor_block").groupBy("row_block", "anchor_block")
 
 
 def _first(score: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
