@@ -1,5 +1,7 @@
 import random
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from conftest import SF_SMALL
 from helpers import rows_of
@@ -147,3 +149,46 @@ def test_every_article_of_the_test_tables(spark):
     for r in spark.read.parquet(f"{SF_SMALL}/pages.parquet").collect():
         blocks, marked = H.read_page(r.html)
         assert marked and " ".join(blocks[1:]) in known
+
+
+def test_anchors_of_equal_windows_are_equal_and_few():
+    rng = np.random.default_rng(6)
+    words = [f"w{i}" for i in range(300)]
+    shared = [words[i] for i in rng.integers(0, 300, 40)]
+    texts = [[words[i] for i in rng.integers(0, 300, 200)] + shared + [words[i] for i in rng.integers(0, 300, 50)] for _ in range(3)]
+    w = [H.Windows([t]) for t in texts]
+    of_hash = [dict(zip(zip(*(h.tolist() for h in x.hashes(7))), x.anchors(7).tolist())) for x in w]
+    common = set(of_hash[0]) & set(of_hash[1]) & set(of_hash[2])
+    assert len(common) == 40 - H.RUN + 1
+    assert all(of_hash[0][h] == of_hash[1][h] == of_hash[2][h] for h in common)
+    assert len(set(of_hash[0].values())) < 0.35 * len(of_hash[0])
+    rows = pa.table({"number": [7, 7], "chunk": [1, 1], "role": [1, 0], "text": [" ".join(texts[0]), " ".join(texts[1])], "pages": [1, 1]})
+    assert set(H._chunk_anchors(rows).column("anchor").to_pylist()) == set(of_hash[0].values()) | set(of_hash[1].values())
+
+
+@pytest.mark.parametrize("seed", range(2))
+def test_split_hosts_decide_as_a_brute_force_over_all_windows(spark, monkeypatch, seed):
+    """Open pages: a token goes if a window over it is on two distinct texts or more, whatever chunk they are in."""
+    monkeypatch.setattr(H, "PACK_BYTES", 1500)
+    monkeypatch.setattr(H, "_is_copy", lambda *a: False)
+    rng = np.random.default_rng(seed)
+    word = lambda n: [f"w{i}" for i in rng.integers(0, 400, n)]
+    lines = [word(14) for _ in range(6)]
+    texts = []
+    for i in range(60):
+        t = word(20)
+        for j in rng.integers(0, 30, 2):
+            t += (lines[j] if j < 6 else []) + word(8)
+        texts.append(t)
+    df = spark.createDataFrame([(i, f"http://h/{i}", f"<p>{' '.join(t)}</p>") for i, t in enumerate(texts)], "page_id long, url string, html string")
+    got = {r.page_id: r.text for r in H.main_text(df).collect()}
+    on = {}
+    for i, t in enumerate(texts):
+        for a in range(len(t) - H.RUN + 1):
+            on.setdefault(tuple(t[a:a + H.RUN]), set()).add(tuple(t))
+    for i, t in enumerate(texts):
+        gone = set()
+        for a in range(len(t) - H.RUN + 1):
+            if len(on[tuple(t[a:a + H.RUN])]) > 1:
+                gone |= set(range(a, a + H.RUN))
+        assert got[i] == " ".join(w for k, w in enumerate(t) if k not in gone), i

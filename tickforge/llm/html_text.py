@@ -13,8 +13,9 @@
    different text that have it in or outside of their blocks, added up) is its template and goes; what fewer quote is text.
 
 Spark deals pages to tasks by host, small hosts packed together. A host of more than ``PACK_BYTES`` of HTML has its
-distinct texts dealt to chunks of about that size. Each chunk's suffix array finds its windows of ``RUN`` tokens; they meet
-those of the other chunks by a 128-bit hash, so that a repeat counts wherever on the host its places are.
+distinct texts dealt to chunks of about that size. A chunk sends the anchors of its windows of ``RUN`` tokens, the least hash of
+the grams in each, about a quarter of the places. Equal windows have equal anchors, so only windows whose anchor another
+chunk has need leave their chunk; they meet by a 128-bit hash, and a repeat counts wherever on the host its places are.
 
 Defined results: a null html is an empty one; a page without text gets the empty text; a null url is a host of its own;
 rows that repeat are read alike, and equal pages don't make each other's text boilerplate; unclosed elements end with the
@@ -36,14 +37,21 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickforge.llm.common import HOT_KEYS, join_counted, staged, table  # noqa: F401 (a test sets HOT_KEYS here)
+from tickforge.operators.positions import positioned
 
 RUN, COPY_SHARE, PACK_BYTES = 12, 0.9, 16_000_000
 #: Tokens of a run that is long, for copies.
 LONG = 48
 #: Tasks that the packs are dealt to at most; two a pack below that, so that few tasks get several packs.
 MOST_TASKS = 100_000
-#: Marked text goes only if it is on most pages of its host, and the host has so many: fewer don't tell a template from a quote.
+#: Marked text goes only if it is on most pages of its host, and on so many: fewer don't tell a template from a quote.
 LEAST_PAGES = 4
+#: Tokens of the grams that anchor windows: equal windows have the same least gram.
+ANCHOR = 6
+#: Split hosts are broadcast up to this many.
+MOST_HOSTS = 500_000
+#: Low bits of a chunk's number, for the place in its host.
+CHUNK_BITS = 24
 #: Texts outside of articles that a task remembers.
 MEMO = 200_000
 
@@ -247,19 +255,44 @@ class Windows:
         counts = np.maximum(lengths[:len(texts)] - run, 0)
         self.of = np.split(cls[:counts.sum()], np.cumsum(counts)[:-1]) if len(texts) else []
 
-    def hashes(self) -> tuple[np.ndarray, np.ndarray]:
-        """Two 64-bit hashes of each class, which depend on its tokens only."""
-        digests = [blake2b(t.encode("utf-8", "surrogatepass"), digest_size=16).digest() for t in self.number]
-        halves = np.frombuffer(b"".join(digests), np.uint64).reshape(-1, 2)
-        out = []
+    def hashes(self, salt: int = 0) -> tuple[np.ndarray, np.ndarray]:
+        """Two 64-bit hashes of each class, which depend on its tokens and the salt only."""
+        halves, out = _digests(self.number), []
         for half in (0, 1):
-            h = np.full(len(self.first), half + 1, np.uint64)
+            h = np.full(len(self.first), 2 * salt + half + 1, np.uint64)
             for k in range(self.run):
-                h = (h ^ halves[self.tokens[self.first + k], half]) * np.uint64(0x9E3779B97F4A7C15)
-                h ^= h >> np.uint64(29)
+                h = _mixed(h, halves[self.tokens[self.first + k], half])
             out.append(h.view(np.int64))
         return out[0], out[1]
 
+    def anchors(self, salt: int = 0) -> np.ndarray:
+        """The anchor of each class."""
+        return _anchors(self.tokens, _digests(self.number), salt)[self.first] if len(self.first) else np.zeros(0, np.int64)
+
+
+def _digests(number: dict[str, int]) -> np.ndarray:
+    """Two 64-bit halves of each token's digest, by the token's number; the last row is for the end of a stream."""
+    digests = [blake2b(t.encode("utf-8", "surrogatepass"), digest_size=16).digest() for t in number]
+    return np.concatenate([np.frombuffer(b"".join(digests), np.uint64).reshape(-1, 2), np.zeros((1, 2), np.uint64)])
+
+
+def _mixed(h: np.ndarray, more: np.ndarray) -> np.ndarray:
+    h = (h ^ more) * np.uint64(0x9E3779B97F4A7C15)
+    return h ^ h >> np.uint64(29)
+
+
+def _anchors(tokens: np.ndarray, halves: np.ndarray, salt: int, run: int = RUN) -> np.ndarray:
+    """The anchor of the window of ``run`` tokens that begins at each place: the least hash of its grams."""
+    n = len(tokens)
+    padded = np.concatenate([tokens, np.full(run, -1)])
+    grams = np.full(n + run - ANCHOR + 1, salt + 1, np.uint64)
+    for k in range(ANCHOR):
+        grams = _mixed(grams, halves[padded[k:k + len(grams)], 0])
+    least = grams[:n]
+    for k in range(1, run - ANCHOR + 1):
+        least = np.minimum(least, grams[k:k + n])
+    return least.view(np.int64)
+
 
 def _key(text: str) -> int:
     return int.from_bytes(blake2b(text.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little", signed=True)
@@ -309,7 +342,7 @@ def _decide(tokens: list[str], marked: bool, own: int, pages: np.ndarray, mix: n
     """(text, n_repeated) of a text by its windows' ``pages``, ``mix`` and ``outside``; the host has ``total`` distinct texts."""
     covered = _spread(pages > 1, len(tokens))
     if marked:
-        often = (pages + outside) * 2 > total if total >= LEAST_PAGES else np.zeros(len(pages), bool)
+        often = ((pages + outside) * 2 > total) & (pages + outside >= LEAST_PAGES)
         gone = _spread((pages > 1) & often, len(tokens))
     elif _is_copy(pages, mix ^ own, len(tokens)):
         gone = np.zeros(len(tokens), bool)
@@ -345,37 +378,57 @@ def _extract(rows: pa.Table) -> pa.Table:
                                 ["page_id", "url", "text", "n_chars", "n_repeated"])
 
 
-def _chunk_windows(rows: pa.Table) -> pa.Table:
-    """Each window class of a chunk of a host's distinct texts: host, chunk, its hash (a, b), pages, mix, outside."""
+def _streams(rows: pa.Table) -> tuple[int, int, list[list[str]], dict[str, int]]:
+    """(host, chunk, distinct texts, texts outside with their pages) of a chunk."""
     parts = list(zip(*(rows.column(c).to_pylist() for c in ("text", "role", "pages"))))
-    w = Windows([_tokens(t) for t in sorted({t for t, role, _ in parts if role})], {t: n for t, role, n in sorted(parts) if not role})
-    a, b = w.hashes()
-    return pa.Table.from_arrays(
-        [pa.array([rows.column("host")[0].as_py()] * len(a), pa.string()), pa.array([rows.column("chunk")[0].as_py()] * len(a), pa.int64()),
-         pa.array(a), pa.array(b), pa.array(w.pages, pa.int64()), pa.array(w.mix), pa.array(w.outside)],
-        ["host", "chunk", "a", "b", "pages", "mix", "outside"])
+    return (rows.column("number")[0].as_py(), rows.column("chunk")[0].as_py(), [_tokens(t) for t in sorted({t for t, role, _ in parts if role})],
+            {t: n for t, role, n in sorted(parts) if not role})
+
+
+def _chunk_anchors(rows: pa.Table) -> pa.Table:
+    """The distinct anchors of all windows of a chunk: chunk, anchor."""
+    host, chunk, texts, outside = _streams(rows)
+    number: dict[str, int] = {}
+    streams = [*texts, *map(_tokens, outside)]
+    tokens = np.array([number.setdefault(t, len(number)) for s in streams for t in s], np.int64)
+    lengths = np.array([len(s) for s in streams], np.int64)
+    left = np.repeat(np.cumsum(lengths), lengths) - np.arange(len(tokens))
+    found = np.unique(_anchors(tokens, _digests(number), host)[left >= RUN]) if len(tokens) else np.zeros(0, np.int64)
+    return pa.Table.from_arrays([pa.array(np.full(len(found), chunk)), pa.array(found)], ["chunk", "anchor"])
+
+
+def _chunk_windows(rows: pa.Table, shared: pa.Table) -> pa.Table:
+    """Each window class of a chunk whose anchor other chunks have: chunk, its hash (a, b), pages, mix, outside."""
+    columns = (np.zeros(0, np.int64),) * 6
+    if rows.num_rows and shared.num_rows:
+        host, chunk, texts, outside = _streams(rows)
+        w = Windows(texts, outside)
+        at = np.flatnonzero(np.isin(w.anchors(host), shared.column("anchor").to_numpy()))
+        a, b = w.hashes(host)
+        columns = (np.full(len(at), chunk), a[at], b[at], w.pages[at].astype(np.int64), w.mix[at], w.outside[at])
+    return pa.Table.from_arrays([pa.array(c) for c in columns], ["chunk", "a", "b", "pages", "mix", "outside"])
 
 
 def _chunk_texts(rows: pa.Table, repeated: pa.Table) -> pa.Table:
-    """key, text, n_repeated of a chunk's texts, by what the whole host says of their windows."""
-    place: dict[str, int] = {}
-    for t in rows.column("text").to_pylist():
-        place.setdefault(t, len(place))
-    texts = [_tokens(t) for t in place]
-    w = Windows(texts)
-    pages, mix, outside = np.ones(len(w.first), np.int64), w.mix.copy(), np.zeros(len(w.first), np.int64)
-    if repeated.num_rows and len(pages):
-        known = repeated.sort_by("a")
-        a, b, of_pages, of_mix, of_outside = (known.column(c).to_numpy() for c in ("a", "b", "pages", "mix", "outside"))
-        own_a, own_b = w.hashes()
-        at = np.minimum(np.searchsorted(a, own_a), len(a) - 1)
-        hit = (a[at] == own_a) & (b[at] == own_b)
-        pages[hit], mix[hit], outside[hit] = of_pages[at[hit]], of_mix[at[hit]], of_outside[at[hit]]
+    """key, result, n_repeated of a chunk's texts: windows that other chunks share count as the whole host says, others here."""
     out = []
-    for key, text, role, total in zip(*(rows.column(c).to_pylist() for c in ("key", "text", "role", "total"))):
-        i = place[text]
-        c = w.of[i]
-        out.append((key, *_decide(texts[i], role == 1, w.keys[i], pages[c], mix[c], outside[c], total)))
+    if rows.num_rows:
+        host, _, texts, outside = _streams(rows)
+        place = {" ".join(t): i for i, t in enumerate(texts)}
+        w = Windows(texts, outside)
+        pages, mix, on = w.pages.astype(np.int64), w.mix.copy(), w.outside.copy()
+        if repeated.num_rows and len(pages):
+            known = repeated.sort_by("a")
+            a, b, of_pages, of_mix, of_outside = (known.column(c).to_numpy() for c in ("a", "b", "pages", "mix", "outside"))
+            own_a, own_b = w.hashes(host)
+            at = np.minimum(np.searchsorted(a, own_a), len(a) - 1)
+            hit = (a[at] == own_a) & (b[at] == own_b)
+            pages[hit], mix[hit], on[hit] = of_pages[at[hit]], of_mix[at[hit]], of_outside[at[hit]]
+        for key, text, role, total in zip(*(rows.column(c).to_pylist() for c in ("key", "text", "role", "total"))):
+            if role:
+                i = place[text]
+                c = w.of[i]
+                out.append((key, *_decide(texts[i], role == 1, w.keys[i], pages[c], mix[c], on[c], total)))
     return pa.Table.from_arrays([pa.array([r[i] for r in out], t) for i, t in enumerate((pa.binary(), pa.string(), pa.int64()))],
                                 ["key", "result", "n_repeated"])
 
@@ -404,30 +457,40 @@ def _read(pages: DataFrame) -> DataFrame:
         run, f"host string, page_id {kind}, url string, text string, marked boolean, aside long, outside string")
 
 
-def _split_hosts(pages: DataFrame) -> DataFrame:
-    """The pages of hosts that are split in ``chunks``: distinct texts are dealt to chunks, and windows meet by their hash."""
+def _checked(hosts: DataFrame, count: int) -> DataFrame:
+    """A row per split host, broadcast only while they are few."""
+    return F.broadcast(hosts) if count <= MOST_HOSTS else hosts
+
+
+def _split_hosts(pages: DataFrame, of: DataFrame, count: int) -> DataFrame:
+    """The pages of the ``count`` hosts ``of`` (host, number, chunks): distinct texts are dealt to chunks, windows meet by hash."""
     role = F.when(F.col("marked"), 1).otherwise(2)
     key = lambda *c: F.unhex(F.md5(F.concat_ws("\0", *c).cast("binary")))
-    of = pages.select("host", "chunks").distinct()
     rows = staged(_read(pages).withColumn("role", role).withColumn("key", key("host", F.col("role").cast("string"), "text")), "pages")
     on = rows.select("host", "aside", F.md5("text").alias("t")).distinct().groupBy("host", "aside").agg(F.count(F.lit(1)).alias("pages"))
     asides = (rows.filter(F.col("outside").isNotNull()).select("host", "aside", F.col("outside").alias("text")).distinct()
               .join(on, ["host", "aside"]).select("host", "text", F.lit(0).alias("role"), "pages"))
-    streams = rows.select("host", "text", "role", F.lit(1).cast("long").alias("pages")).distinct().unionByName(asides)
-    chunk = F.pmod(F.xxhash64("text"), F.col("chunks"))
-    streams = staged(streams.join(F.broadcast(of), "host").withColumn("chunk", chunk), "streams")
-    texts = streams.filter(F.col("role") > 0)
-    totals = texts.select("host", key("host", "text").alias("t")).distinct().groupBy("host").agg(F.count(F.lit(1)).alias("total"))
-    windows = streams.select("host", "chunk", "role", "text", "pages").groupBy("host", "chunk").applyInArrow(
-        _chunk_windows, "host string, chunk long, a long, b long, pages long, mix long, outside long")
-    repeated = (windows.groupBy("host", "a", "b")
+    texts = rows.select("host", "text", "role", F.lit(1).cast("long").alias("pages")).distinct()
+    totals = rows.select("host", F.md5("text").alias("t")).distinct().groupBy("host").agg(F.count(F.lit(1)).alias("total"))
+    hosts = staged(of.join(totals, "host"), "split")
+    # A chunk's number holds its host's.
+    chunk = F.shiftleft("number", CHUNK_BITS) + F.pmod(F.xxhash64("text"), F.col("chunks"))
+    streams = staged(texts.unionByName(asides).join(_checked(hosts, count), "host").withColumn("chunk", chunk)
+                     .withColumn("key", F.when(F.col("role") > 0, key("host", F.col("role").cast("string"), "text")))
+                     .select("number", "chunk", "role", "text", "pages", "total", "key"), "streams")
+    # Anchors meet first: windows leave their chunk only where another chunk has their anchor.
+    narrow = streams.select("number", "chunk", "role", "text", "pages")
+    anchors = narrow.groupBy("chunk").applyInArrow(_chunk_anchors, "chunk long, anchor long")
+    shared = staged(anchors.groupBy("anchor").agg(F.collect_set("chunk").alias("chunks")).filter(F.size("chunks") > 1)
+                    .select(F.explode("chunks").alias("chunk"), "anchor"), "anchors")
+    windows = narrow.groupBy("chunk").cogroup(shared.groupBy("chunk")).applyInArrow(
+        _chunk_windows, "chunk long, a long, b long, pages long, mix long, outside long")
+    repeated = (windows.groupBy("a", "b")
                 .agg(F.sum("pages").alias("pages"), F.bit_xor("mix").alias("mix"), F.sum("outside").alias("outside"),
                      F.collect_list(F.when(F.col("pages") > 0, F.col("chunk"))).alias("chunks"))
                 .filter(F.col("pages") > 1).withColumn("chunk", F.explode("chunks"))
-                .select("host", "chunk", "a", "b", "pages", "mix", "outside"))
-    own = texts.select("host", "chunk", "role", "text").join(F.broadcast(totals), "host").withColumn(
-        "key", key("host", F.col("role").cast("string"), "text"))
-    done = staged(own.groupBy("host", "chunk").cogroup(repeated.groupBy("host", "chunk")).applyInArrow(
+                .select("chunk", "a", "b", "pages", "mix", "outside"))
+    done = staged(streams.groupBy("chunk").cogroup(repeated.groupBy("chunk")).applyInArrow(
         _chunk_texts, "key binary, result string, n_repeated long"), "texts")
     ids = rows.select("key", "page_id", "url")
     counted = done.join(ids.groupBy("key").agg(F.count(F.lit(1)).alias("n")), "key")
@@ -441,15 +504,18 @@ def main_text(pages: DataFrame) -> DataFrame:
     pages = pages.select("page_id", "url", "html", host.alias("host"))
     sizes = staged(pages.groupBy("host").agg(F.sum(F.coalesce(F.octet_length("html"), F.lit(0))).alias("bytes")), "hosts")
     large = sizes.filter(F.col("bytes") > PACK_BYTES).select("host", F.ceil(F.col("bytes") / PACK_BYTES).cast("long").alias("chunks"))
+    large = staged(positioned(large, "host").withColumnRenamed("position", "number"), "large")
+    count = large.count()
     total = sizes.filter(F.col("bytes") <= PACK_BYTES).agg(F.coalesce(F.sum("bytes"), F.lit(0))).first()[0]
     packs = max(1, math.ceil(total / PACK_BYTES))
     kind = dict(pages.dtypes)["page_id"]
-    split = not large.isEmpty()
-    small = pages.join(F.broadcast(large.select("host")), "host", "left_anti") if split else pages
+    small = pages.join(_checked(large.select("host"), count), "host", "left_anti") if count else pages
     read = _read(small).withColumn("pack", F.pmod(F.xxhash64("host"), F.lit(packs)))
     out = read.repartition(min(2 * packs, MOST_TASKS), "pack").groupBy("pack").applyInArrow(
         _extract, f"page_id {kind}, url string, text string, n_chars long, n_repeated long")
-    return out.unionByName(_split_hosts(pages.join(F.broadcast(large), "host"))) if split else out
+    if not count:
+        return out
+    return out.unionByName(_split_hosts(pages.join(_checked(large.select("host"), count), "host", "left_semi"), large, count))
 
 
 def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
