@@ -1,7 +1,6 @@
 import random
 
 import numpy as np
-import pyarrow as pa
 import pytest
 from conftest import SF_SMALL
 from helpers import rows_of
@@ -162,8 +161,7 @@ def test_anchors_of_equal_windows_are_equal_and_few():
     assert len(common) == 40 - H.RUN + 1
     assert all(of_hash[0][h] == of_hash[1][h] == of_hash[2][h] for h in common)
     assert len(set(of_hash[0].values())) < 0.35 * len(of_hash[0])
-    rows = pa.table({"number": [7, 7], "chunk": [1, 1], "role": [1, 0], "text": [" ".join(texts[0]), " ".join(texts[1])], "pages": [1, 1]})
-    assert set(H._chunk_anchors(rows).column("anchor").to_pylist()) == set(of_hash[0].values()) | set(of_hash[1].values())
+    assert set(H._anchors_of(texts[:2], 7).tolist()) == set(of_hash[0].values()) | set(of_hash[1].values())
 
 
 @pytest.mark.parametrize("seed", range(2))

@@ -26,6 +26,7 @@ from __future__ import annotations
 
 import math
 import re
+import zlib
 from collections import Counter
 from hashlib import blake2b
 from html import unescape
@@ -39,7 +40,7 @@ from pyspark.sql import functions as F
 from tickforge.llm.common import HOT_KEYS, join_counted, staged, table  # noqa: F401 (a test sets HOT_KEYS here)
 from tickforge.operators.positions import positioned
 
-RUN, COPY_SHARE, PACK_BYTES = 12, 0.9, 16_000_000
+RUN, COPY_SHARE, PACK_BYTES = 12, 0.9, 8_000_000
 #: Tokens of a run that is long, for copies.
 LONG = 48
 #: Tasks that the packs are dealt to at most; two a pack below that, so that few tasks get several packs.
@@ -298,6 +299,15 @@ def _key(text: str) -> int:
     return int.from_bytes(blake2b(text.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little", signed=True)
 
 
+def _body(text: str) -> bytes:
+    """A text as it is staged and shuffled. Equal texts have equal bodies."""
+    return zlib.compress(text.encode("utf-8", "surrogatepass"), 1)
+
+
+def _text(body: bytes | None) -> str | None:
+    return None if body is None else zlib.decompress(body).decode("utf-8", "surrogatepass")
+
+
 def _tokens(text: str) -> list[str]:
     return text.split(" ") if text else []
 
@@ -353,7 +363,8 @@ def _decide(tokens: list[str], marked: bool, own: int, pages: np.ndarray, mix: n
 
 def _extract(rows: pa.Table) -> pa.Table:
     """The pages of whole hosts."""
-    pages = list(zip(*(rows.column(c).to_pylist() for c in ("host", "page_id", "url", "text", "marked", "outside", "aside"))))
+    pages = [(*p[:3], _text(p[3]), p[4], _text(p[5]), p[6])
+             for p in zip(*(rows.column(c).to_pylist() for c in ("host", "page_id", "url", "text", "marked", "outside", "aside")))]
     pages.sort(key=lambda p: (p[0], p[1] is None, p[1] or 0))
     out = []
     for _, part in groupby(pages, key=lambda p: p[0]):
@@ -380,21 +391,30 @@ def _extract(rows: pa.Table) -> pa.Table:
 
 def _streams(rows: pa.Table) -> tuple[int, int, list[list[str]], dict[str, int]]:
     """(host, chunk, distinct texts, texts outside with their pages) of a chunk."""
-    parts = list(zip(*(rows.column(c).to_pylist() for c in ("text", "role", "pages"))))
+    parts = [(_text(t), *more) for t, *more in zip(*(rows.column(c).to_pylist() for c in ("text", "role", "pages")))]
     return (rows.column("number")[0].as_py(), rows.column("chunk")[0].as_py(), [_tokens(t) for t in sorted({t for t, role, _ in parts if role})],
             {t: n for t, role, n in sorted(parts) if not role})
 
 
-def _chunk_anchors(rows: pa.Table) -> pa.Table:
-    """The distinct anchors of all windows of a chunk: chunk, anchor."""
-    host, chunk, texts, outside = _streams(rows)
+def _anchors_of(streams: list[list[str]], host: int) -> np.ndarray:
+    """The distinct anchors of all windows of token streams."""
     number: dict[str, int] = {}
-    streams = [*texts, *map(_tokens, outside)]
     tokens = np.array([number.setdefault(t, len(number)) for s in streams for t in s], np.int64)
     lengths = np.array([len(s) for s in streams], np.int64)
     left = np.repeat(np.cumsum(lengths), lengths) - np.arange(len(tokens))
-    found = np.unique(_anchors(tokens, _digests(number), host)[left >= RUN]) if len(tokens) else np.zeros(0, np.int64)
-    return pa.Table.from_arrays([pa.array(np.full(len(found), chunk)), pa.array(found)], ["chunk", "anchor"])
+    return np.unique(_anchors(tokens, _digests(number), host)[left >= RUN]) if len(tokens) else np.zeros(0, np.int64)
+
+
+def _chunk_anchors(streams: DataFrame) -> DataFrame:
+    """chunk, anchor of every window, once or more: texts are read where they lie."""
+    def run(batches):
+        for batch in batches:
+            rows = sorted(zip(*(batch.column(c).to_pylist() for c in ("chunk", "number", "text"))), key=lambda r: r[:2])
+            for (chunk, host), part in groupby(rows, key=lambda r: r[:2]):
+                found = _anchors_of([_tokens(_text(r[2])) for r in part], host)
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(found), chunk)), pa.array(found)], ["chunk", "anchor"])
+
+    return streams.select("chunk", "number", "text").mapInArrow(run, "chunk long, anchor long")
 
 
 def _chunk_windows(rows: pa.Table, shared: pa.Table) -> pa.Table:
@@ -426,13 +446,27 @@ def _chunk_texts(rows: pa.Table, repeated: pa.Table) -> pa.Table:
             pages[hit], mix[hit], on[hit] = of_pages[at[hit]], of_mix[at[hit]], of_outside[at[hit]]
         for key, text, role, total in zip(*(rows.column(c).to_pylist() for c in ("key", "text", "role", "total"))):
             if role:
-                i = place[text]
+                i = place[_text(text)]
                 c = w.of[i]
-                out.append((key, *_decide(texts[i], role == 1, w.keys[i], pages[c], mix[c], on[c], total)))
-    return pa.Table.from_arrays([pa.array([r[i] for r in out], t) for i, t in enumerate((pa.binary(), pa.string(), pa.int64()))],
+                result, covered = _decide(texts[i], role == 1, w.keys[i], pages[c], mix[c], on[c], total)
+                out.append((key, _body(result), covered))
+    return pa.Table.from_arrays([pa.array([r[i] for r in out], t) for i, t in enumerate((pa.binary(), pa.binary(), pa.int64()))],
                                 ["key", "result", "n_repeated"])
 
 
+def _unfolded(rows: DataFrame) -> DataFrame:
+    """page_id, url, text, n_chars, n_repeated from rows whose text is a body."""
+    def run(batches):
+        for batch in batches:
+            texts = [_text(b) for b in batch.column("result").to_pylist()]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("page_id"), batch.column("url"), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64()),
+                 batch.column("n_repeated")], ["page_id", "url", "text", "n_chars", "n_repeated"])
+
+    return rows.select("page_id", "url", "result", "n_repeated").mapInArrow(
+        run, f"page_id {dict(rows.dtypes)['page_id']}, url string, text string, n_chars long, n_repeated long")
+
+
 def _read(pages: DataFrame) -> DataFrame:
     """host, page_id, url, text, marked, aside (a number of the text outside), outside (null where the task has sent it before)."""
     def run(batches):
@@ -446,15 +480,15 @@ def _read(pages: DataFrame) -> DataFrame:
                     outside = None
                 elif len(seen) < MEMO:
                     seen.add((host, aside))
-                rows.append((" ".join(blocks), marked, aside, outside or None))
+                rows.append((_body(" ".join(blocks)), marked, aside, _body(outside) if outside else None))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("host"), batch.column("page_id"), batch.column("url"),
-                 *(pa.array([r[i] for r in rows], t) for i, t in enumerate((pa.string(), pa.bool_(), pa.int64(), pa.string())))],
+                 *(pa.array([r[i] for r in rows], t) for i, t in enumerate((pa.binary(), pa.bool_(), pa.int64(), pa.binary())))],
                 ["host", "page_id", "url", "text", "marked", "aside", "outside"])
 
     kind = dict(pages.dtypes)["page_id"]
     return pages.select("host", "page_id", "url", "html").mapInArrow(
-        run, f"host string, page_id {kind}, url string, text string, marked boolean, aside long, outside string")
+        run, f"host string, page_id {kind}, url string, text binary, marked boolean, aside long, outside binary")
 
 
 def _checked(hosts: DataFrame, count: int) -> DataFrame:
@@ -465,7 +499,7 @@ def _checked(hosts: DataFrame, count: int) -> DataFrame:
 def _split_hosts(pages: DataFrame, of: DataFrame, count: int) -> DataFrame:
     """The pages of the ``count`` hosts ``of`` (host, number, chunks): distinct texts are dealt to chunks, windows meet by hash."""
     role = F.when(F.col("marked"), 1).otherwise(2)
-    key = lambda *c: F.unhex(F.md5(F.concat_ws("\0", *c).cast("binary")))
+    key = lambda host, role, text: F.unhex(F.md5(F.concat(F.encode(F.concat_ws("\0", host, role, F.lit("")), "UTF-8"), text)))
     rows = staged(_read(pages).withColumn("role", role).withColumn("key", key("host", F.col("role").cast("string"), "text")), "pages")
     on = rows.select("host", "aside", F.md5("text").alias("t")).distinct().groupBy("host", "aside").agg(F.count(F.lit(1)).alias("pages"))
     asides = (rows.filter(F.col("outside").isNotNull()).select("host", "aside", F.col("outside").alias("text")).distinct()
@@ -480,8 +514,7 @@ def _split_hosts(pages: DataFrame, of: DataFrame, count: int) -> DataFrame:
                      .select("number", "chunk", "role", "text", "pages", "total", "key"), "streams")
     # Anchors meet first: windows leave their chunk only where another chunk has their anchor.
     narrow = streams.select("number", "chunk", "role", "text", "pages")
-    anchors = narrow.groupBy("chunk").applyInArrow(_chunk_anchors, "chunk long, anchor long")
-    shared = staged(anchors.groupBy("anchor").agg(F.collect_set("chunk").alias("chunks")).filter(F.size("chunks") > 1)
+    shared = staged(_chunk_anchors(streams).groupBy("anchor").agg(F.collect_set("chunk").alias("chunks")).filter(F.size("chunks") > 1)
                     .select(F.explode("chunks").alias("chunk"), "anchor"), "anchors")
     windows = narrow.groupBy("chunk").cogroup(shared.groupBy("chunk")).applyInArrow(
         _chunk_windows, "chunk long, a long, b long, pages long, mix long, outside long")
@@ -491,11 +524,10 @@ def _split_hosts(pages: DataFrame, of: DataFrame, count: int) -> DataFrame:
                 .filter(F.col("pages") > 1).withColumn("chunk", F.explode("chunks"))
                 .select("chunk", "a", "b", "pages", "mix", "outside"))
     done = staged(streams.groupBy("chunk").cogroup(repeated.groupBy("chunk")).applyInArrow(
-        _chunk_texts, "key binary, result string, n_repeated long"), "texts")
+        _chunk_texts, "key binary, result binary, n_repeated long"), "texts")
     ids = rows.select("key", "page_id", "url")
     counted = done.join(ids.groupBy("key").agg(F.count(F.lit(1)).alias("n")), "key")
-    return join_counted(ids, counted, "key", ids.count()).select(
-        "page_id", "url", F.col("result").alias("text"), F.length("result").cast("long").alias("n_chars"), "n_repeated")
+    return _unfolded(join_counted(ids, counted, "key", ids.count()))
 
 
 def main_text(pages: DataFrame) -> DataFrame:
