@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from contextlib import contextmanager
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,6 +24,25 @@ def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFra
     return df.select(*columns) if columns else df
 
 
+#: The columns of ``documents``; any others ride along in one struct column while an operator works.
+DOCUMENT_COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
+
+
+def carrying(operator):
+    """An operator (docs, ...) -> rows with all columns of docs, whose own column names clash with none that docs bring along."""
+    @wraps(operator)
+    def run(docs: DataFrame, *args, **kw) -> DataFrame:
+        others = [c for c in docs.columns if c not in DOCUMENT_COLUMNS]
+        if not others:
+            return operator(docs, *args, **kw)
+        own = [c for c in docs.columns if c in DOCUMENT_COLUMNS]
+        packed = docs.select(*own, F.struct(*[F.col(f"`{c}`") for c in others]).alias("carried"))
+        out = operator(packed, *args, **kw)
+        return out.select(*[F.col(c) if c in own else F.col("carried").getField(c).alias(c) for c in docs.columns])
+
+    return run
+
+
 _STAGED: list[str] = []
 
 

@@ -16,7 +16,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickforge.llm.common import SPACE_RUN, join_counted, staged, table
+from tickforge.llm.common import SPACE_RUN, carrying, join_counted, staged, table
 from tickforge.session import work_dir
 
 
@@ -73,6 +73,7 @@ def dedupe(docs: DataFrame) -> DataFrame:
     return add_documents(docs, name)
 
 
+@carrying
 def keep_first(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` that stay, with all their columns; of rows that repeat a doc_id one stays."""
     kept = dedupe(docs).filter("kept").groupBy("doc_id", "text_sha256").agg(F.count(F.lit(1)).alias("_n"))

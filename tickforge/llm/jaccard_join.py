@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickforge.llm.common import WORD, join_counted, staged, table
+from tickforge.llm.common import WORD, carrying, join_counted, staged, table
 from tickforge.llm.components import components
 
 N, THRESHOLD, RECALL, MOST_HASHES = 5, 0.8, 0.99999, 100
@@ -226,6 +226,7 @@ def jaccard_classes(docs: DataFrame, threshold: float = THRESHOLD, recall: float
     return out.select("doc_id", "class_id", "n_links").unionByName(alone)
 
 
+@carrying
 def keep_one(docs: DataFrame, **kw) -> DataFrame:
     """The rows of ``docs`` that stand for their class (or, without a doc_id, for no class), with all columns."""
     goes = jaccard_classes(docs, **kw).filter("class_id <> doc_id").select(F.col("doc_id").alias("_id"))

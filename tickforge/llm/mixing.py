@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tickforge.llm.common import WORD, join_counted, staged, table
+from tickforge.llm.common import WORD, carrying, join_counted, staged, table
 
 WEIGHTS = (3, 1, 2)
 SHARE, CAP = 1.5, 2.0
@@ -144,6 +144,7 @@ def take(docs: DataFrame, **kw) -> DataFrame:
         "doc_id", "size", "source_size", "target", F.coalesce("taken", F.lit(0).cast("long")).alias("taken"))
 
 
+@carrying
 def mix(docs: DataFrame, **kw) -> DataFrame:
     """The mixture as documents: a row of ``docs`` for each pass that takes words of it, its text cut to those words.
 
