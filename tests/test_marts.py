@@ -140,3 +140,9 @@ def test_symbol_mart_from_daily_state_equals_direct(spark):
                     assert abs(a[k] - b[k]) <= D("0.01"), (sym, k)
                 else:
                     assert a[k] == b[k], (sym, k, a[k], b[k])
+
+
+def test_days_without_a_dimension_row_have_no_mart_row(spark):
+    f = fact(spark, [("A/USD", d, dt.time(1), "1", "1") for d in (SAT, SUN, MON)])
+    days = gold.dim_time(f).filter("trade_date <> DATE'2024-03-10'")
+    assert {r.trade_date for r in marts.mart_daily_summary(marts.stg_trades(f), days).collect()} == {SAT, MON}
