@@ -57,11 +57,11 @@ def test_empty_documents_run_through(spark, tmp_dir):
 
 
 def test_queries_are_registered_in_full():
-    assert {f"op{n}" for n in range(1, 11)} | {"pipeline"} == {q.split("_")[0] for q in QUERIES}
-    assert len(QUERIES) == 11 and set(ORACLE) <= set(QUERIES) and 4 <= len(corpus_pipeline.STAGES) <= 5
+    assert {f"op{n}" for n in range(1, 14)} | {"pipeline"} == {q.split("_")[0] for q in QUERIES}
+    assert len(QUERIES) == 14 and set(ORACLE) <= set(QUERIES) and 4 <= len(corpus_pipeline.STAGES) <= 5
 
 
-@pytest.mark.parametrize("name", ["op1_mixing", "op4_exact_dedup"])
+@pytest.mark.parametrize("name", ["op1_mixing", "op4_exact_dedup", "op12_pii"])
 def test_queries_equal_their_sql(spark, name):
     import duckdb
     from conftest import SF_SMALL
