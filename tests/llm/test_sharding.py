@@ -1,6 +1,7 @@
 import random
 import zlib
 from collections import Counter, defaultdict
+from itertools import combinations
 
 import pytest
 from helpers import documents, prose, rows_of
@@ -53,6 +54,55 @@ def test_hot_group_takes_as_few_shards_as_fit(spark):
     assert kept > 0.15
 
 
+def kept(rows, got):
+    """The share of links that lie inside a shard."""
+    by_text = groups(rows, got).values()
+    links = sum(len(s) * (len(s) - 1) for s in by_text)
+    return sum(n * (n - 1) for s in by_text for n in Counter(s).values()) / links
+
+
+@pytest.mark.parametrize("size", [2, 8])
+def test_tables_full_of_links_keep_them(spark, size):
+    # No unlinked document could give way: full shards have to exchange theirs. Chance alone keeps 6%.
+    rows = [(i, f"text {i // size}", "en", "s") for i in range(6400)]
+    got = rows_of(S.shard_documents(documents(spark, rows)))
+    check(rows, got)
+    assert kept(rows, got) > 0.9
+
+
+def test_small_tables_against_the_best_placement(spark):
+    """Greedy moves stop at local optima in tables of ten rows: above chance (4 of 9 links), below the best."""
+    rng = random.Random(4)
+    found = best = total = 0
+    for _ in range(2):
+        rows = [(i, f"text {rng.randrange(4)}", "en", "s") for i in range(10)]
+        got = rows_of(S.shard_documents(documents(spark, rows), shards=2))
+        check(rows, got, 2)
+        links = [(i, j) for i in range(10) for j in range(i) if rows[i][1] == rows[j][1]]
+        shard = {r["doc_id"]: r["shard"] for r in got}
+        found += sum(shard[i] == shard[j] for i, j in links)
+        total += len(links)
+        best += max(sum((i in half) == (j in half) for i, j in links) for half in map(set, combinations(range(10), 5)))
+    assert 4 / 9 * total < found <= best
+
+
+def test_exchanges_balance_and_leave_no_cycle():
+    rng = random.Random(2)
+    for _ in range(50):
+        n = rng.randrange(1, 7)
+        wishes = [[rng.randrange(6) if a != b and rng.random() < 0.6 else 0 for b in range(n)] for a in range(n)]
+        free = [rng.choice([0, 0, 3]) for _ in range(n)]
+        got = S.exchanges(wishes, free)
+        left = [[w - g for w, g in zip(*rows)] for rows in zip(wishes, got)]
+        assert all(0 <= g <= w for rows in zip(wishes, got) for w, g in zip(*rows))
+        assert all(sum(row[s] for row in got) - sum(got[s]) <= free[s] for s in range(n))
+        # What is left has no cycle: nodes without a wish left go away one by one.
+        nodes = set(range(n))
+        while ends := {a for a in nodes if not any(left[a][b] for b in nodes)}:
+            nodes -= ends
+        assert not nodes
+
+
 def test_all_rows_in_one_group(spark):
     rows = [(i, "same", "en", "s") for i in range(333)]
     check(rows, rows_of(S.shard_documents(documents(spark, rows))))
