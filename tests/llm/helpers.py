@@ -4,7 +4,7 @@ import random
 
 #: Names that operators use inside; tables that bring them along must not disturb anything.
 CLASHING = ("n", "digest", "size", "label", "key", "node", "shard", "rank", "pack", "sid", "words", "link", "bucket", "score",
-            "_row", "_before", "_size", "_all", "_words", "_id", "_digest", "_n", "_key", "carried")
+            "_row", "_before", "_size", "_all", "_words", "_id", "_digest", "_n", "_key", "carried", "rid", "least")
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, " + ", ".join(f"`{c}` string" for c in CLASHING)
 

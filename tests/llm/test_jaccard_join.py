@@ -96,6 +96,40 @@ def test_small_and_odd_tables(spark, rows):
         assert {(r["class_id"], r["n_links"]) for r in got} == {(1, 1)}
 
 
+def test_rows_without_an_id_are_linked(spark):
+    base = prose(random.Random(5), 80)
+    texts = [base, base + " more", base + " other", base + " last"]
+    rows = [(None, texts[0], "en", "s"), (5, texts[1], "en", "s"), (None, texts[2], "en", "s"), (9, texts[3], "en", "s"), (9, texts[3], "en", "s")]
+    docs = documents(spark, rows)
+    got = sorted((r["doc_id"] or 0, r["class_id"], r["n_links"]) for r in rows_of(J.jaccard_classes(docs)))
+    assert got == [(0, 5, 4), (0, 5, 4), (5, 5, 4), (9, 5, 4), (9, 5, 4)]
+    assert [r["doc_id"] for r in rows_of(J.keep_one(docs))] == [5]
+
+
+def test_a_class_without_ids_keeps_one_text(spark):
+    base = prose(random.Random(6), 80)
+    docs = documents(spark, [(None, base, "en", "s"), (None, base + " more", "en", "s"), (None, "quite another text than those before", "en", "s")])
+    assert {(r["class_id"], r["n_links"]) for r in rows_of(J.jaccard_classes(docs))} == {(None, 1), (None, 0)}
+    kept = [r["text"] for r in rows_of(J.keep_one(docs))]
+    assert len(kept) == 2 and "quite another text than those before" in kept
+
+
+def test_one_id_with_two_texts_joins_no_classes(spark):
+    rng = random.Random(7)
+    a, b = prose(rng, 80), prose(rng, 80)
+    docs = documents(spark, [(1, a, "en", "s"), (1, b, "en", "s"), (2, a + " more", "en", "s"), (3, b + " more", "en", "s"), (4, b, "en", "s")])
+    got = sorted((r["doc_id"], r["class_id"], r["n_links"]) for r in rows_of(J.jaccard_classes(docs)))
+    assert got == [(1, 2, 1), (1, 3, 2), (2, 2, 1), (3, 3, 2), (4, 3, 2)]
+    assert sorted(r["doc_id"] for r in rows_of(J.keep_one(docs))) == [2, 3]
+
+
+def test_rows_that_repeat_often_are_verified_once(spark):
+    base = prose(random.Random(9), 60)
+    rows = [(None, base, "en", "s")] * 1200 + [(7, base, "en", "s")] * 1200 + [(8, base + " more", "en", "s")]
+    got = rows_of(J.jaccard_classes(documents(spark, rows)))
+    assert {(r["class_id"], r["n_links"]) for r in got} == {(7, 2400)} and len(got) == 2401
+
+
 def test_components_follow_long_chains(spark):
     from tickforge.llm.components import components
 

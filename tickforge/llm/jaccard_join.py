@@ -8,16 +8,17 @@ shares a band with probability ``RECALL`` at least (22 bands of 4 rows: 0.99999;
 1. A task turns each text into a digest of its words, its number of n-grams and its band hashes. Texts of the same words
    are collapsed to one with a count, so groups of copies weigh nothing from here on.
 2. (band hash, text) rows are shuffled on the band hash; only hashes that two texts share go on, without any text.
-   Connected components over them are the candidate clusters, and only texts in one are looked at again.
+   Connected components over them are the candidate clusters, and only texts in one are looked at again. Texts are nodes by
+   a number of their own, whatever ids their rows have.
 3. A cluster's texts meet once, with full n-gram sets: small clusters are packed together, a large one is split in blocks
    of bounded size and every pair of blocks is one task. There a pair is verified if it shares a band hash. Tasks return
    each text's number of links and the text that stands for its local cluster: rows by text, never by pair.
-4. Connected components over those rows are the classes.
+4. Connected components over those rows are the classes; only then do ids come in.
 
 Defined results: a null text, or one without words, is in a class of its own without links; texts of the same words are
-linked; rows that repeat a doc_id are copies (or, with other texts, one document with several texts); a null doc_id
-stands for no class, so texts that only such rows have get a null class and count their copies alone; other columns are
-ignored; an empty table gives no rows.
+linked; rows without a doc_id are linked like others, and their class is null only where no row of it has an id. Rows that
+repeat a doc_id are rows of their own, each in its text's class: an id whose texts are in several classes stands for one
+of them only if that class has no other id. Other columns are ignored; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -31,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickforge.llm.common import WORD, carrying, join_counted, staged, table
+from tickforge.llm.common import HOT_KEYS, WORD, carrying, join_counted, staged, table
 from tickforge.llm.components import components
 
 N, THRESHOLD, RECALL, MOST_HASHES = 5, 0.8, 0.99999, 100
@@ -110,17 +111,18 @@ class Signer:
 
 
 def signatures(docs: DataFrame, bands: int, rows: int, n: int) -> DataFrame:
-    """doc_id, digest (null without words), grams, bands."""
+    """doc_id, rid, digest (null without words), grams, bands."""
     def run(batches):
         signer = Signer(bands, rows, n)
         for batch in batches:
             got = [signer.sign(t.as_py()) for t in batch.column("text")]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array([g[0] for g in got], pa.binary()), pa.array([g[1] for g in got], pa.int32()),
-                 pa.array([g[2] for g in got], pa.list_(pa.int64()))], ["doc_id", "digest", "grams", "bands"])
+                [batch.column("doc_id"), batch.column("rid"), pa.array([g[0] for g in got], pa.binary()),
+                 pa.array([g[1] for g in got], pa.int32()), pa.array([g[2] for g in got], pa.list_(pa.int64()))],
+                ["doc_id", "rid", "digest", "grams", "bands"])
 
-    return docs.select("doc_id", "text").mapInArrow(
-        run, f"doc_id {dict(docs.dtypes)['doc_id']}, digest binary, grams int, bands array<long>")
+    return docs.select("doc_id", "rid", "text").mapInArrow(
+        run, f"doc_id {dict(docs.dtypes)['doc_id']}, rid binary, digest binary, grams int, bands array<long>")
 
 
 def _links(sets: list[np.ndarray], bands: np.ndarray, copies: np.ndarray, side: np.ndarray | None, threshold: float):
@@ -182,15 +184,31 @@ def _verify(rows: pa.Table, n: int, threshold: float) -> pa.Table:
     return pa.Table.from_arrays([pa.array([r[k] for r in out], pa.int64()) for k in range(3)], schema=_VERIFIED)
 
 
+def _identified(docs: DataFrame) -> DataFrame:
+    """``docs`` with ``rid``, which only rows of the same doc_id (or none) and text share."""
+    name = F.concat(F.coalesce(F.col("doc_id").cast("long").cast("string"), F.lit("")), F.lit(" "), F.coalesce("text", F.lit("")))
+    return docs.withColumn("rid", F.unhex(F.md5(name.cast("binary"))))
+
+
+def _once(docs: DataFrame, signed: DataFrame, rows: int) -> DataFrame:
+    """rid, text of ``docs``; of rows that repeat more than ``rows`` / 1024 times (fewer than 1024 kinds) just one."""
+    hot = staged(signed.groupBy("rid").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > rows // HOT_KEYS + 1).select("rid"), "hot")
+    texts = docs.select("rid", "text")
+    if hot.isEmpty():
+        return texts
+    return texts.join(F.broadcast(hot), "rid", "left_anti").unionByName(
+        texts.join(F.broadcast(hot), "rid", "left_semi").dropDuplicates(["rid"]))
+
+
 def _verified(docs: DataFrame, texts: DataFrame, n: int, threshold: float) -> DataFrame:
-    """(node, root, links): a row per text and task that linked it. texts: node, label, digest, grams, bands, copies."""
+    """(node, root, links): a row per text and task that linked it. docs: rid, text. texts: node, rid, label, digest, grams, bands, copies."""
     stats = texts.groupBy("label").agg(F.count(F.lit(1)).alias("n"), F.sum("grams").alias("all"))
     stats = stats.withColumn("blocks", F.ceil(F.greatest(F.col("n") / BLOCK_TEXTS, F.col("all") / BLOCK_NGRAMS)).cast("int"))
     stats = staged(stats, "clusters")
     small = stats.filter("blocks = 1").agg(F.coalesce(F.sum("all"), F.lit(0))).first()[0]
     packs = int(small // BLOCK_NGRAMS) + 1
     whole = join_counted(texts, stats.select("label", "n", "blocks"), "label", texts.count())
-    whole = docs.select(F.col("doc_id").alias("node"), "text").join(whole, "node")
+    whole = docs.join(whole, "rid")
     block = F.pmod(F.xxhash64("node", F.lit("block")), F.col("blocks")).cast("int")
     with_block = whole.withColumn("block", block)
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
@@ -202,35 +220,61 @@ def _verified(docs: DataFrame, texts: DataFrame, n: int, threshold: float) -> Da
     return rows.groupBy("pack", "b1", "b2").applyInArrow(lambda t: _verify(t, n, threshold), "node long, root long, links long")
 
 
-def jaccard_classes(docs: DataFrame, threshold: float = THRESHOLD, recall: float = RECALL, n: int = N) -> DataFrame:
-    """One row per document: doc_id, class_id (the class's smallest doc_id), n_links (documents linked to it)."""
+def _ids(signed: DataFrame, texts: DataFrame) -> DataFrame:
+    """label, class_id, least (of a class without ids, the hash of the row that stands for it), n (its texts)."""
+    rows = signed.filter("doc_id IS NOT NULL AND digest IS NOT NULL").select("doc_id", "digest", F.xxhash64("digest").alias("hash"))
+    several = rows.groupBy("doc_id").agg(F.min("hash").alias("low"), F.max("hash").alias("high")).filter("low <> high").select("doc_id")
+    met = rows.join(several, "doc_id").join(texts.select("digest", "label"), "digest")
+    torn = met.groupBy("doc_id").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low <> high").select("doc_id")
+    sure = rows.join(torn, "doc_id", "left_anti").groupBy("digest").agg(F.min("doc_id").alias("sure"))
+    return texts.join(sure, "digest", "left").groupBy("label").agg(
+        F.coalesce(F.min("sure"), F.min("doc_id")).alias("class_id"), F.min(F.xxhash64("rid")).alias("least"),
+        F.count(F.lit(1)).alias("n"))
+
+
+def _classes(docs: DataFrame, threshold: float, recall: float, n: int) -> DataFrame:
+    """One row per document: doc_id, rid, class_id, n_links, stays. docs: doc_id, text, rid."""
     bands, rows = choose_bands(threshold, recall)
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     signed = staged(signatures(docs, bands, rows, n), "signatures")
-    texts = signed.filter("digest IS NOT NULL").groupBy("digest").agg(
-        F.min(F.when(F.col("doc_id").isNotNull(), F.struct("doc_id", "grams", "bands"))).alias("first"),
-        F.count(F.lit(1)).alias("copies"))
-    texts = staged(texts.select("digest", "copies", F.col("first.doc_id").alias("node"), F.col("first.grams").alias("grams"),
-                                F.col("first.bands").alias("bands")), "texts")
-    spread = texts.filter("node IS NOT NULL").select("node", F.explode("bands").alias("key"))
+    total = signed.count()
+    first = F.struct(F.col("doc_id").isNull().alias("without"), "doc_id", "rid", "grams", "bands")
+    texts = signed.filter("digest IS NOT NULL").groupBy("digest").agg(F.min(first).alias("first"), F.count(F.lit(1)).alias("copies"))
+    # The numbers are fixed once written, so a task that is run again changes none that was read.
+    texts = staged(texts.select("digest", "copies", "first.doc_id", "first.rid", "first.grams", "first.bands",
+                                F.monotonically_increasing_id().alias("node")), "texts")
+    spread = texts.select("node", F.explode("bands").alias("key"))
     shared = spread.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("key")
     clusters = staged(components(spread.join(shared, "key")), "candidates")
-    found = staged(_verified(docs, texts.join(clusters, "node"), n, threshold), "verified")
+    found = staged(_verified(_once(docs, signed, total), texts.join(clusters, "node"), n, threshold), "verified")
     classes = staged(components(found.select("node", F.col("root").alias("key"))), "classes")
     links = found.groupBy("node").agg(F.sum("links").alias("links"))
-    of = (texts.select("digest", "copies", "node").join(classes, "node", "left").join(links, "node", "left")
-          .select("digest", F.col("copies").alias("n"), F.coalesce("label", "node").alias("class_id"),
+    of = (texts.select("digest", "copies", "doc_id", "rid", "node").join(classes, "node", "left").join(links, "node", "left")
+          .select("digest", "copies", "doc_id", "rid", F.coalesce("label", "node").alias("label"),
                   (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links")))
-    out = join_counted(signed.select("doc_id", "digest"), staged(of, "answers"), "digest", signed.count())
-    alone = signed.filter("digest IS NULL").select("doc_id", F.col("doc_id").alias("class_id"), F.lit(0).cast("long").alias("n_links"))
-    return out.select("doc_id", "class_id", "n_links").unionByName(alone)
+    of = staged(of, "linked")
+    ids = staged(_ids(signed, of), "ids")
+    answers = join_counted(of, ids, "label", of.count()).select("digest", F.col("copies").alias("n"), "class_id", "least", "n_links")
+    out = join_counted(signed.select("doc_id", "rid", "digest"), staged(answers, "answers"), "digest", total)
+    stands = F.when(F.col("class_id").isNull(), F.xxhash64("rid") == F.col("least")).otherwise(F.col("class_id").eqNullSafe(F.col("doc_id")))
+    alone = signed.filter("digest IS NULL").select(
+        "doc_id", "rid", F.col("doc_id").alias("class_id"), F.lit(0).cast("long").alias("n_links"), F.lit(True).alias("stays"))
+    return out.select("doc_id", "rid", "class_id", "n_links", stands.alias("stays")).unionByName(alone)
+
+
+def jaccard_classes(docs: DataFrame, threshold: float = THRESHOLD, recall: float = RECALL, n: int = N) -> DataFrame:
+    """One row per document: doc_id, class_id (the class's smallest doc_id), n_links (documents linked to it)."""
+    docs = _identified(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"))
+    return _classes(docs, threshold, recall, n).select("doc_id", "class_id", "n_links")
 
 
 @carrying
-def keep_one(docs: DataFrame, **kw) -> DataFrame:
-    """The rows of ``docs`` that stand for their class (or, without a doc_id, for no class), with all columns."""
-    goes = jaccard_classes(docs, **kw).filter("class_id <> doc_id").select(F.col("doc_id").alias("_id"))
-    return docs.join(staged(goes, "goes"), F.col("doc_id") == F.col("_id"), "left_anti")
+def keep_one(docs: DataFrame, threshold: float = THRESHOLD, recall: float = RECALL, n: int = N) -> DataFrame:
+    """The rows of ``docs`` that stand for their class, with all columns: those of the id that names it (copies included)
+    or, in a class without ids, those of one text."""
+    docs = _identified(docs)
+    found = _classes(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", "rid"), threshold, recall, n)
+    goes = staged(found.filter("NOT stays").select("rid"), "goes")
+    return docs.join(goes, "rid", "left_anti").drop("rid")
 
 
 def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
