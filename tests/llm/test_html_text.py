@@ -104,6 +104,10 @@ def test_split_hosts_give_the_same(spark, monkeypatch):
     assert all(whole[i]["n_repeated"] == 14 and len(whole[i]["text"].split()) == 120 for i in range(60))
     monkeypatch.setattr(H, "PACK_BYTES", 5000)
     assert answers(spark, rows) == whole
+    # Chunks whose anchors meet in many tasks, and texts whose pages don't travel with them.
+    monkeypatch.setattr(H, "BUCKET_CHUNKS", 2)
+    monkeypatch.setattr(H, "COPIES", 1)
+    assert answers(spark, rows) == whole
 
 
 def test_templates_leave_marked_regions_and_quotes_stay(spark, monkeypatch):
@@ -190,3 +194,25 @@ def test_split_hosts_decide_as_a_brute_force_over_all_windows(spark, monkeypatch
             if len(on[tuple(t[a:a + H.RUN])]) > 1:
                 gone |= set(range(a, a + H.RUN))
         assert got[i] == " ".join(w for k, w in enumerate(t) if k not in gone), i
+
+
+def test_anchors_travel_packed():
+    rng = np.random.default_rng(8)
+    for chunks, n in ((2, 5), (12, 200_000), (5000, 1), (3, 0)):
+        leading = np.unique(H._leading(rng.integers(-2**63, 2**63 - 1, n), chunks))
+        body = H._packed(leading)
+        assert H._unpacked(body).tolist() == leading.tolist() and (n < 1000 or len(body) < 3 * n)
+
+
+def test_all_of_a_large_hosts_copies_are_answered(spark, monkeypatch):
+    """A third of the rows has one text; every row is answered, ids that repeat included, however few copies travel along."""
+    own = lambda i: " ".join(f"w{i}x{k}" for k in range(40))
+    rows = [(i if i % 7 else None, f"http://big.org/{i}", f"<p>{BOILER}</p><p>{own(i)}</p>") for i in range(40)]
+    rows += [(i % 5, "http://big.org/copy", f"<p>{BOILER}</p><p>{own(999)}</p>") for i in range(20)]
+    for copies in (1000, 3):
+        monkeypatch.setattr(H, "PACK_BYTES", 1500)
+        monkeypatch.setattr(H, "COPIES", copies)
+        got = rows_of(H.main_text(pages(spark, rows)))
+        key = lambda r: (r[0] is None, r[0] or 0, r[1], r[2])
+        assert sorted(((r["page_id"], r["url"], r["text"]) for r in got), key=key) == sorted(
+            ((p, u, own(999) if u.endswith("copy") else own(int(u.rsplit("/", 1)[1]))) for p, u, _ in rows), key=key)

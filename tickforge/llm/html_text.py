@@ -13,9 +13,11 @@
    different text that have it in or outside of their blocks, added up) is its template and goes; what fewer quote is text.
 
 Spark deals pages to tasks by host, small hosts packed together. A host of more than ``PACK_BYTES`` of HTML has its
-distinct texts dealt to chunks of about that size. A chunk sends the anchors of its windows of ``RUN`` tokens, the least hash of
-the grams in each, about a quarter of the places. Equal windows have equal anchors, so only windows whose anchor another
-chunk has need leave their chunk; they meet by a 128-bit hash, and a repeat counts wherever on the host its places are.
+distinct texts dealt to chunks of about that size, in one shuffle. A chunk sends the anchors of its windows of ``RUN`` tokens,
+the least hash of the grams in each, about a quarter of the places, as gaps of their leading bits. Equal windows have equal
+anchors, so only windows whose anchor another chunk has need leave their chunk; they meet by a 128-bit hash, and a repeat counts
+wherever on the host its places are. Pages are shuffled with their text, as page_id and url once the text is sent; of a text
+with more than ``COPIES`` pages they are joined to its result.
 
 Defined results: a null html is an empty one; a page without text gets the empty text; a null url is a host of its own;
 rows that repeat are read alike, and equal pages don't make each other's text boilerplate; unclosed elements end with the
@@ -53,8 +55,14 @@ ANCHOR = 6
 MOST_HOSTS = 500_000
 #: Low bits of a chunk's number, for the place in its host.
 CHUNK_BITS = 24
-#: Texts outside of articles that a task remembers.
+#: Texts that a task remembers having sent.
 MEMO = 200_000
+#: Pages with one text that go to its chunk at most; those of a text with more are joined to its result.
+COPIES = 10_000
+#: Chunks whose anchors meet in one task, on average.
+BUCKET_CHUNKS = 16
+#: What a row tells a chunk: shared anchors, a text outside and its pages, the host's number of texts, a window of other chunks.
+ANCHORS, ASIDE, TOTAL, WINDOW = range(4)
 
 #: HTML's elements. Raw text ends at its own end tag only; void elements have no end tag.
 RAW = frozenset("script style textarea title noscript iframe xmp noembed noframes".split())
@@ -258,13 +266,7 @@ class Windows:
 
     def hashes(self, salt: int = 0) -> tuple[np.ndarray, np.ndarray]:
         """Two 64-bit hashes of each class, which depend on its tokens and the salt only."""
-        halves, out = _digests(self.number), []
-        for half in (0, 1):
-            h = np.full(len(self.first), 2 * salt + half + 1, np.uint64)
-            for k in range(self.run):
-                h = _mixed(h, halves[self.tokens[self.first + k], half])
-            out.append(h.view(np.int64))
-        return out[0], out[1]
+        return _window_hashes(self.tokens, _digests(self.number), self.first, salt, self.run)
 
     def anchors(self, salt: int = 0) -> np.ndarray:
         """The anchor of each class."""
@@ -295,13 +297,24 @@ def _anchors(tokens: np.ndarray, halves: np.ndarray, salt: int, run: int = RUN)
     return least.view(np.int64)
 
 
+def _window_hashes(tokens: np.ndarray, halves: np.ndarray, at: np.ndarray, salt: int, run: int = RUN) -> tuple[np.ndarray, np.ndarray]:
+    """Two 64-bit hashes of the windows that begin ``at`` these places."""
+    out = []
+    for half in (0, 1):
+        h = np.full(len(at), 2 * salt + half + 1, np.uint64)
+        for k in range(run):
+            h = _mixed(h, halves[tokens[at + k], half])
+        out.append(h.view(np.int64))
+    return out[0], out[1]
+
+
 def _key(text: str) -> int:
     return int.from_bytes(blake2b(text.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little", signed=True)
 
 
 def _body(text: str) -> bytes:
     """A text as it is staged and shuffled. Equal texts have equal bodies."""
-    return zlib.compress(text.encode("utf-8", "surrogatepass"), 1)
+    return zlib.compress(text.encode("utf-8", "surrogatepass"), 6)
 
 
 def _text(body: bytes | None) -> str | None:
@@ -389,82 +402,171 @@ def _extract(rows: pa.Table) -> pa.Table:
                                 ["page_id", "url", "text", "n_chars", "n_repeated"])
 
 
-def _streams(rows: pa.Table) -> tuple[int, int, list[list[str]], dict[str, int]]:
-    """(host, chunk, distinct texts, texts outside with their pages) of a chunk."""
-    parts = [(_text(t), *more) for t, *more in zip(*(rows.column(c).to_pylist() for c in ("text", "role", "pages")))]
-    return (rows.column("number")[0].as_py(), rows.column("chunk")[0].as_py(), [_tokens(t) for t in sorted({t for t, role, _ in parts if role})],
-            {t: n for t, role, n in sorted(parts) if not role})
+def _parts(rows: pa.Table, side: pa.Table | None = None) -> tuple[int, int, int, list[list[str]], dict[str, int]]:
+    """(host's number, its chunks, chunk, distinct texts, texts outside with their pages, which ``side`` knows) of a chunk."""
+    parts = [(_text(t), role) for t, role in zip(rows.column("text").to_pylist(), rows.column("role").to_pylist())]
+    on = {} if side is None else {a: n for kind, a, n in zip(*(side.column(c).to_pylist() for c in ("kind", "a", "outside"))) if kind == ASIDE}
+    number, chunks, chunk = (rows.column(c)[0].as_py() for c in ("number", "chunks", "chunk"))
+    return (number, chunks, chunk, [_tokens(t) for t in sorted({t for t, role in parts if role})],
+            {t: on.get(_key(t), 0) for t in sorted({t for t, role in parts if not role})})
 
 
-def _anchors_of(streams: list[list[str]], host: int) -> np.ndarray:
-    """The distinct anchors of all windows of token streams."""
+def _windows_of(streams: list[list[str]]) -> tuple[np.ndarray, dict[str, int], np.ndarray, np.ndarray]:
+    """(numbered tokens, their numbers, the stream of each, whether a whole window begins there) of token streams."""
     number: dict[str, int] = {}
     tokens = np.array([number.setdefault(t, len(number)) for s in streams for t in s], np.int64)
     lengths = np.array([len(s) for s in streams], np.int64)
+    stream = np.repeat(np.arange(len(streams)), lengths)
     left = np.repeat(np.cumsum(lengths), lengths) - np.arange(len(tokens))
-    return np.unique(_anchors(tokens, _digests(number), host)[left >= RUN]) if len(tokens) else np.zeros(0, np.int64)
+    return tokens, number, stream, left >= RUN
 
 
-def _chunk_anchors(streams: DataFrame) -> DataFrame:
-    """chunk, anchor of every window, once or more: texts are read where they lie."""
-    def run(batches):
-        for batch in batches:
-            rows = sorted(zip(*(batch.column(c).to_pylist() for c in ("chunk", "number", "text"))), key=lambda r: r[:2])
-            for (chunk, host), part in groupby(rows, key=lambda r: r[:2]):
-                found = _anchors_of([_tokens(_text(r[2])) for r in part], host)
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(found), chunk)), pa.array(found)], ["chunk", "anchor"])
+def _anchors_of(streams: list[list[str]], host: int) -> np.ndarray:
+    """The distinct anchors of all windows of token streams."""
+    tokens, number, _, whole = _windows_of(streams)
+    return np.unique(_anchors(tokens, _digests(number), host)[whole]) if len(tokens) else np.zeros(0, np.int64)
+
+
+def _bits(chunks: int) -> int:
+    """Leading bits of an anchor that tell those of a host of so many chunks apart, but for one in a hundred or so."""
+    return min(62, 27 + chunks.bit_length())
+
+
+def _leading(anchors: np.ndarray, chunks: int) -> np.ndarray:
+    return (anchors.view(np.uint64) >> np.uint64(64 - _bits(chunks))).astype(np.int64)
+
+
+def _packed(numbers: np.ndarray) -> bytes:
+    """Ascending numbers as their gaps, byte by byte of the gaps: about two bytes a number where many are sent at once."""
+    return zlib.compress(np.diff(numbers, prepend=0).astype("<i8").view(np.uint8).reshape(-1, 8).T.tobytes(), 6)
+
+
+def _unpacked(body: bytes) -> np.ndarray:
+    planes = np.frombuffer(zlib.decompress(body), np.uint8).reshape(8, -1)
+    return np.cumsum(np.ascontiguousarray(planes.T).view("<i8").ravel())
+
+
+def _chunk_anchors(rows: pa.Table) -> pa.Table:
+    """number, bucket, chunk, body: a chunk's anchors, dealt to buckets by their size."""
+    number, chunks, chunk, texts, outside = _parts(rows)
+    found = np.unique(_leading(_anchors_of([*texts, *map(_tokens, outside)], number), chunks))
+    buckets = -(-chunks // BUCKET_CHUNKS)
+    edges = np.searchsorted(found, np.array([(k << _bits(chunks)) // buckets for k in range(buckets + 1)], np.int64))
+    out = [(number, k, chunk, _packed(found[i:j])) for k, (i, j) in enumerate(zip(edges[:-1], edges[1:])) if j > i]
+    return pa.Table.from_arrays([pa.array([r[i] for r in out], t) for i, t in enumerate((pa.int64(), pa.int64(), pa.int64(), pa.binary()))],
+                                ["number", "bucket", "chunk", "body"])
 
-    return streams.select("chunk", "number", "text").mapInArrow(run, "chunk long, anchor long")
 
+def _shared_anchors(rows: pa.Table) -> pa.Table:
+    """chunk, body: of a bucket's anchors, those that two chunks have, to each chunk that has them."""
+    chunks = rows.column("chunk").to_pylist()
+    lists = [_unpacked(b) for b in rows.column("body").to_pylist()]
+    _, place, count = np.unique(np.concatenate(lists), return_inverse=True, return_counts=True)
+    shared = np.split(count[place] > 1, np.cumsum([len(x) for x in lists])[:-1])
+    out = [(c, _packed(x[k])) for c, x, k in zip(chunks, lists, shared) if k.any()]
+    return pa.Table.from_arrays([pa.array([r[0] for r in out], pa.int64()), pa.array([r[1] for r in out], pa.binary())], ["chunk", "body"])
 
-def _chunk_windows(rows: pa.Table, shared: pa.Table) -> pa.Table:
-    """Each window class of a chunk whose anchor other chunks have: chunk, its hash (a, b), pages, mix, outside."""
+
+def _chunk_windows(rows: pa.Table, side: pa.Table) -> pa.Table:
+    """Each distinct window of a chunk whose anchor other chunks have: chunk, its hash (a, b), pages, mix, outside."""
     columns = (np.zeros(0, np.int64),) * 6
-    if rows.num_rows and shared.num_rows:
-        host, chunk, texts, outside = _streams(rows)
-        w = Windows(texts, outside)
-        at = np.flatnonzero(np.isin(w.anchors(host), shared.column("anchor").to_numpy()))
-        a, b = w.hashes(host)
-        columns = (np.full(len(at), chunk), a[at], b[at], w.pages[at].astype(np.int64), w.mix[at], w.outside[at])
+    lists = [_unpacked(b) for b in side.column("body").to_pylist() if b is not None]
+    if rows.num_rows and lists:
+        host, chunks, chunk, texts, outside = _parts(rows, side)
+        tokens, number, stream, whole = _windows_of([*texts, *map(_tokens, outside)])
+        halves = _digests(number)
+        at = np.flatnonzero(whole & np.isin(_leading(_anchors(tokens, halves, host), chunks), np.concatenate(lists)))
+        a, b = _window_hashes(tokens, halves, at, host)
+        order = np.lexsort((stream[at], b, a))
+        a, b, stream = a[order], b[order], stream[at][order]
+        fresh = np.ones(len(a), bool)
+        fresh[1:] = (a[1:] != a[:-1]) | (b[1:] != b[:-1])
+        once = fresh.copy()
+        once[1:] |= stream[1:] != stream[:-1]
+        if len(a):
+            cls = (np.cumsum(fresh) - 1)[once]
+            stream, a, b = stream[once], a[fresh], b[fresh]
+            own = stream < len(texts)
+            keys = np.array([_key(" ".join(t)) for t in texts] + [0] * len(outside), np.int64)
+            on = np.array([0] * len(texts) + list(outside.values()), np.int64)
+            begin = np.flatnonzero(np.concatenate([[True], cls[1:] != cls[:-1]]))
+            columns = (np.full(len(a), chunk), a, b, np.add.reduceat(own.astype(np.int64), begin),
+                       np.bitwise_xor.reduceat(keys[stream], begin), np.add.reduceat(on[stream], begin))
     return pa.Table.from_arrays([pa.array(c) for c in columns], ["chunk", "a", "b", "pages", "mix", "outside"])
 
 
-def _chunk_texts(rows: pa.Table, repeated: pa.Table) -> pa.Table:
-    """key, result, n_repeated of a chunk's texts: windows that other chunks share count as the whole host says, others here."""
+def _chunk_texts(rows: pa.Table, side: pa.Table) -> pa.Table:
+    """The pages of a chunk's texts, and key, text, n_repeated of texts whose pages are elsewhere.
+
+    Windows that other chunks share count as the whole host says, others here.
+    """
     out = []
     if rows.num_rows:
-        host, _, texts, outside = _streams(rows)
+        host, _, _, texts, outside = _parts(rows, side)
+        kinds = side.column("kind").to_numpy()
+        total = int(side.column("pages").to_numpy()[kinds == TOTAL][0])
         place = {" ".join(t): i for i, t in enumerate(texts)}
         w = Windows(texts, outside)
         pages, mix, on = w.pages.astype(np.int64), w.mix.copy(), w.outside.copy()
-        if repeated.num_rows and len(pages):
-            known = repeated.sort_by("a")
+        known = side.filter(pa.array(kinds == WINDOW)).sort_by("a")
+        if known.num_rows and len(pages):
             a, b, of_pages, of_mix, of_outside = (known.column(c).to_numpy() for c in ("a", "b", "pages", "mix", "outside"))
             own_a, own_b = w.hashes(host)
             at = np.minimum(np.searchsorted(a, own_a), len(a) - 1)
             hit = (a[at] == own_a) & (b[at] == own_b)
             pages[hit], mix[hit], on[hit] = of_pages[at[hit]], of_mix[at[hit]], of_outside[at[hit]]
-        for key, text, role, total in zip(*(rows.column(c).to_pylist() for c in ("key", "text", "role", "total"))):
+        for key, text, role, heavy, ids in zip(*(rows.column(c).to_pylist() for c in ("key", "text", "role", "heavy", "ids"))):
             if role:
                 i = place[_text(text)]
                 c = w.of[i]
                 result, covered = _decide(texts[i], role == 1, w.keys[i], pages[c], mix[c], on[c], total)
-                out.append((key, _body(result), covered))
-    return pa.Table.from_arrays([pa.array([r[i] for r in out], t) for i, t in enumerate((pa.binary(), pa.binary(), pa.int64()))],
-                                ["key", "result", "n_repeated"])
+                out += [(None, r["page_id"], r["url"], result, len(result), covered) for r in ids]
+                if heavy:
+                    out.append((key, None, None, result, len(result), covered))
+    of = rows.schema.field("ids").type.value_type
+    types = (pa.binary(), of.field("page_id").type, of.field("url").type, pa.string(), pa.int64(), pa.int64())
+    return pa.Table.from_arrays([pa.array([r[i] for r in out], t) for i, t in enumerate(types)],
+                                ["key", "page_id", "url", "text", "n_chars", "n_repeated"])
 
 
-def _unfolded(rows: DataFrame) -> DataFrame:
-    """page_id, url, text, n_chars, n_repeated from rows whose text is a body."""
+def _read_split(pages: DataFrame, light: bool = False) -> DataFrame:
+    """Rows of pages of split hosts (number, chunks, page_id, url, html).
+
+    One per page: number, chunks, chunk, role (1: marked, 2: open), key, page_id, url, text (null where the task has sent it
+    before), and one per text outside, with role 0 and no page. ``light``: number, chunks, own, aside, key of each page, no texts.
+    """
+    kind = dict(pages.dtypes)["page_id"]
+    if light:
+        schema = "number long, chunks long, own long, aside long, key binary"
+    else:
+        schema = f"number long, chunks long, chunk long, role int, key binary, page_id {kind}, url string, text binary"
+    names = [f.split()[0] for f in schema.split(", ")]
+
     def run(batches):
+        seen: set[bytes] = set()
         for batch in batches:
-            texts = [_text(b) for b in batch.column("result").to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("page_id"), batch.column("url"), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64()),
-                 batch.column("n_repeated")], ["page_id", "url", "text", "n_chars", "n_repeated"])
+            of_type = {"key": pa.binary(), "text": pa.binary(), "role": pa.int32(), "page_id": batch.column("page_id").type, "url": pa.string()}
+            rows = []
+            for number, chunks, page_id, url, html in zip(*(batch.column(c).to_pylist() for c in ("number", "chunks", "page_id", "url", "html"))):
+                blocks, marked, outside = read_regions(html or "")
+                role, text = 1 if marked else 2, " ".join(blocks)
+                if light:
+                    rows.append((number, chunks, _key(text), _key(outside) if outside else None, _name(number, role, text)))
+                    continue
+                for role, text, page in ((role, text, (page_id, url)), (0, outside, (None, None))):
+                    name = _name(number, role, text)
+                    sent = name in seen
+                    if not sent and len(seen) < MEMO:
+                        seen.add(name)
+                    if role or (text and not sent):
+                        rows.append((number, chunks, (number << CHUNK_BITS) + _key(text) % chunks, role, name, *page, None if sent else _body(text)))
+            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], of_type.get(n, pa.int64())) for i, n in enumerate(names)], names)
+
+    return pages.select("number", "chunks", "page_id", "url", "html").mapInArrow(run, schema)
+
 
-    return rows.select("page_id", "url", "result", "n_repeated").mapInArrow(
-        run, f"page_id {dict(rows.dtypes)['page_id']}, url string, text string, n_chars long, n_repeated long")
+def _name(number: int, role: int, text: str) -> bytes:
+    return blake2b(f"{number} {role} {text}".encode("utf-8", "surrogatepass"), digest_size=16).digest()
 
 
 def _read(pages: DataFrame) -> DataFrame:
@@ -496,38 +598,55 @@ def _checked(hosts: DataFrame, count: int) -> DataFrame:
     return F.broadcast(hosts) if count <= MOST_HOSTS else hosts
 
 
-def _split_hosts(pages: DataFrame, of: DataFrame, count: int) -> DataFrame:
-    """The pages of the ``count`` hosts ``of`` (host, number, chunks): distinct texts are dealt to chunks, windows meet by hash."""
-    role = F.when(F.col("marked"), 1).otherwise(2)
-    key = lambda host, role, text: F.unhex(F.md5(F.concat(F.encode(F.concat_ws("\0", host, role, F.lit("")), "UTF-8"), text)))
-    rows = staged(_read(pages).withColumn("role", role).withColumn("key", key("host", F.col("role").cast("string"), "text")), "pages")
-    on = rows.select("host", "aside", F.md5("text").alias("t")).distinct().groupBy("host", "aside").agg(F.count(F.lit(1)).alias("pages"))
-    asides = (rows.filter(F.col("outside").isNotNull()).select("host", "aside", F.col("outside").alias("text")).distinct()
-              .join(on, ["host", "aside"]).select("host", "text", F.lit(0).alias("role"), "pages"))
-    texts = rows.select("host", "text", "role", F.lit(1).cast("long").alias("pages")).distinct()
-    totals = rows.select("host", F.md5("text").alias("t")).distinct().groupBy("host").agg(F.count(F.lit(1)).alias("total"))
-    hosts = staged(of.join(totals, "host"), "split")
-    # A chunk's number holds its host's.
-    chunk = F.shiftleft("number", CHUNK_BITS) + F.pmod(F.xxhash64("text"), F.col("chunks"))
-    streams = staged(texts.unionByName(asides).join(_checked(hosts, count), "host").withColumn("chunk", chunk)
-                     .withColumn("key", F.when(F.col("role") > 0, key("host", F.col("role").cast("string"), "text")))
-                     .select("number", "chunk", "role", "text", "pages", "total", "key"), "streams")
-    # Anchors meet first: windows leave their chunk only where another chunk has their anchor.
-    narrow = streams.select("number", "chunk", "role", "text", "pages")
-    shared = staged(_chunk_anchors(streams).groupBy("anchor").agg(F.collect_set("chunk").alias("chunks")).filter(F.size("chunks") > 1)
-                    .select(F.explode("chunks").alias("chunk"), "anchor"), "anchors")
-    windows = narrow.groupBy("chunk").cogroup(shared.groupBy("chunk")).applyInArrow(
+def _split_hosts(pages: DataFrame, tasks: int) -> DataFrame:
+    """The pages of split hosts (with number, chunks): distinct texts are dealt to chunks, windows meet by hash.
+
+    Pages are read twice: first for counts only, then texts are shuffled once, and that exchange serves all three steps.
+    """
+    kind = dict(pages.dtypes)["page_id"]
+    counts = staged(_read_split(pages, light=True).groupBy("number", "chunks", "own", "aside", "key").agg(F.count(F.lit(1)).alias("n")), "counts")
+    heavy = staged(counts.groupBy("key").agg(F.sum("n").alias("n")).filter(F.col("n") > COPIES), "heavy")
+    many = heavy.count()
+    chunk = lambda text: F.shiftleft("number", CHUNK_BITS) + F.pmod(text, F.col("chunks"))
+    null = F.lit(None).cast("long")
+    on = (counts.filter(F.col("aside").isNotNull()).select("number", "chunks", "own", "aside").distinct().groupBy("number", "chunks", "aside")
+          .agg(F.count(F.lit(1)).alias("outside")).select(chunk("aside").alias("chunk"), F.lit(ASIDE).alias("kind"), F.col("aside").alias("a"), "outside"))
+    totals = (counts.select("number", "chunks", "own").distinct().groupBy("number", "chunks").agg(F.count(F.lit(1)).alias("pages"))
+              .withColumn("text", F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1)))
+              .select(chunk("text").alias("chunk"), F.lit(TOTAL).alias("kind"), "pages"))
+    read = _read_split(pages)
+    if many:
+        read = read.join(_checked(heavy.select("key", F.lit(True).alias("heavy")), many), "key", "left").withColumn("heavy", F.col("heavy").isNotNull())
+    else:
+        read = read.withColumn("heavy", F.lit(False))
+    # Pages of a text go with it, unless they are so many that they would burden its chunk.
+    page = F.when(~F.col("heavy") & (F.col("role") > 0), F.struct("page_id", "url"))
+    texts = (read.withColumn("page", page).filter(F.col("page").isNotNull() | F.col("text").isNotNull())
+             .select("chunk", "number", "chunks", "role", "key", "heavy", "text", "page").repartition(tasks, "chunk")
+             .groupBy("chunk", "number", "chunks", "role", "key", "heavy")
+             .agg(F.first("text", ignorenulls=True).alias("text"), F.collect_list("page").alias("ids")))
+    shared = (texts.groupBy("chunk").applyInArrow(_chunk_anchors, "number long, bucket long, chunk long, body binary")
+              .groupBy("number", "bucket").applyInArrow(_shared_anchors, "chunk long, body binary"))
+    side = shared.select("chunk", F.lit(ANCHORS).alias("kind"), null.alias("a"), null.alias("outside"), "body").unionByName(
+        on.withColumn("body", F.lit(None).cast("binary")))
+    windows = texts.groupBy("chunk").cogroup(side.groupBy("chunk")).applyInArrow(
         _chunk_windows, "chunk long, a long, b long, pages long, mix long, outside long")
     repeated = (windows.groupBy("a", "b")
-                .agg(F.sum("pages").alias("pages"), F.bit_xor("mix").alias("mix"), F.sum("outside").alias("outside"),
+                .agg(F.sum("pages").alias("pages"), F.bit_xor("mix").alias("mix"), F.sum("outside").alias("outside"), F.count(F.lit(1)).alias("n"),
                      F.collect_list(F.when(F.col("pages") > 0, F.col("chunk"))).alias("chunks"))
-                .filter(F.col("pages") > 1).withColumn("chunk", F.explode("chunks"))
-                .select("chunk", "a", "b", "pages", "mix", "outside"))
-    done = staged(streams.groupBy("chunk").cogroup(repeated.groupBy("chunk")).applyInArrow(
-        _chunk_texts, "key binary, result binary, n_repeated long"), "texts")
-    ids = rows.select("key", "page_id", "url")
-    counted = done.join(ids.groupBy("key").agg(F.count(F.lit(1)).alias("n")), "key")
-    return _unfolded(join_counted(ids, counted, "key", ids.count()))
+                .filter((F.col("pages") > 1) & (F.col("n") > 1)).withColumn("chunk", F.explode("chunks"))
+                .select("chunk", F.lit(WINDOW).alias("kind"), "a", "b", "pages", "mix", "outside"))
+    side = repeated.unionByName(on, allowMissingColumns=True).unionByName(totals, allowMissingColumns=True)
+    done = texts.groupBy("chunk").cogroup(side.groupBy("chunk")).applyInArrow(
+        _chunk_texts, f"key binary, page_id {kind}, url string, text string, n_chars long, n_repeated long")
+    columns = ["page_id", "url", "text", "n_chars", "n_repeated"]
+    if not many:
+        return done.select(columns)
+    done = staged(done, "texts")
+    ids = read.filter(F.col("heavy") & (F.col("role") > 0)).select("key", "page_id", "url")
+    results = done.filter(F.col("key").isNotNull()).select("key", "text", "n_chars", "n_repeated").join(heavy, "key")
+    rows = heavy.agg(F.sum("n")).first()[0]
+    return done.filter(F.col("key").isNull()).select(columns).unionByName(join_counted(ids, results, "key", rows).select(columns))
 
 
 def main_text(pages: DataFrame) -> DataFrame:
@@ -547,7 +666,8 @@ def main_text(pages: DataFrame) -> DataFrame:
         _extract, f"page_id {kind}, url string, text string, n_chars long, n_repeated long")
     if not count:
         return out
-    return out.unionByName(_split_hosts(pages.join(_checked(large.select("host"), count), "host", "left_semi"), large, count))
+    tasks = min(2 * large.agg(F.sum("chunks")).first()[0], MOST_TASKS)
+    return out.unionByName(_split_hosts(pages.join(_checked(large, count), "host"), tasks))
 
 
 def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
