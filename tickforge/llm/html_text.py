@@ -231,14 +231,16 @@ class Windows:
     def __init__(self, texts: list[list[str]], outside: dict[str, int] | None = None, run: int = RUN):
         """outside: how many pages each text outside is on."""
         streams = [*texts, *map(_tokens, outside or ())]
-        self.run, self.number = run, {}
+        self.run = run
         self.keys = np.array([_key(" ".join(t)) for t in texts], np.int64)
         lengths = np.array([len(t) + 1 for t in streams], np.int64)
-        number = self.number
-        tokens = np.array([-1 if t is None else number.setdefault(t, len(number)) for s in streams for t in (*s, None)], np.int64)
+        numbered, self.number = _numbered(streams)
+        closing = np.zeros(lengths.sum(), bool)
+        closing[np.cumsum(lengths) - 1] = True
+        tokens = np.full(len(closing), -1, np.int64)
+        tokens[~closing] = numbered
         self.tokens = tokens.copy()
-        closing = tokens < 0
-        tokens[closing] = len(number) + np.arange(len(streams))
+        tokens[closing] = len(self.number) + np.arange(len(streams))
         n, length = len(tokens), 1
         rank, active = tokens, np.flatnonzero(np.bincount(tokens)[tokens] > 1) if n else tokens
         while length < run and len(active):
@@ -266,13 +268,24 @@ class Windows:
 
     def hashes(self, salt: int = 0) -> tuple[np.ndarray, np.ndarray]:
         """Two 64-bit hashes of each class, which depend on its tokens and the salt only."""
-        return _window_hashes(self.tokens, _digests(self.number), self.first, salt, self.run)
+        every = np.arange(len(self.first))
+        return self.hash(0, every, salt), self.hash(1, every, salt)
+
+    def hash(self, half: int, classes: np.ndarray, salt: int = 0) -> np.ndarray:
+        """One of the two hashes of these classes."""
+        return _window_hash(self.tokens, _digests(self.number), half, self.first[classes], salt, self.run)
 
     def anchors(self, salt: int = 0) -> np.ndarray:
         """The anchor of each class."""
         return _anchors(self.tokens, _digests(self.number), salt)[self.first] if len(self.first) else np.zeros(0, np.int64)
 
 
+def _numbered(streams: list[list[str]]) -> tuple[np.ndarray, dict[str, int]]:
+    """(the number of each token of the streams, one after the other; the numbers of the distinct tokens)."""
+    coded = pa.array([t for s in streams for t in s], pa.large_string()).dictionary_encode()
+    return coded.indices.to_numpy().astype(np.int64), {t: i for i, t in enumerate(coded.dictionary.to_pylist())}
+
+
 def _digests(number: dict[str, int]) -> np.ndarray:
     """Two 64-bit halves of each token's digest, by the token's number; the last row is for the end of a stream."""
     digests = [blake2b(t.encode("utf-8", "surrogatepass"), digest_size=16).digest() for t in number]
@@ -287,25 +300,25 @@ def _mixed(h: np.ndarray, more: np.ndarray) -> np.ndarray:
 def _anchors(tokens: np.ndarray, halves: np.ndarray, salt: int, run: int = RUN) -> np.ndarray:
     """The anchor of the window of ``run`` tokens that begins at each place: the least hash of its grams."""
     n = len(tokens)
-    padded = np.concatenate([tokens, np.full(run, -1)])
+    digests = halves[np.concatenate([tokens, np.full(run, -1)]), 0]
     grams = np.full(n + run - ANCHOR + 1, salt + 1, np.uint64)
     for k in range(ANCHOR):
-        grams = _mixed(grams, halves[padded[k:k + len(grams)], 0])
+        grams = _mixed(grams, digests[k:k + len(grams)])
     least = grams[:n]
     for k in range(1, run - ANCHOR + 1):
         least = np.minimum(least, grams[k:k + n])
     return least.view(np.int64)
 
 
-def _window_hashes(tokens: np.ndarray, halves: np.ndarray, at: np.ndarray, salt: int, run: int = RUN) -> tuple[np.ndarray, np.ndarray]:
-    """Two 64-bit hashes of the windows that begin ``at`` these places."""
-    out = []
-    for half in (0, 1):
-        h = np.full(len(at), 2 * salt + half + 1, np.uint64)
-        for k in range(run):
-            h = _mixed(h, halves[tokens[at + k], half])
-        out.append(h.view(np.int64))
-    return out[0], out[1]
+def _window_hash(tokens: np.ndarray, halves: np.ndarray, half: int, at: np.ndarray, salt: int, run: int = RUN) -> np.ndarray:
+    """One of two 64-bit hashes of the windows that begin ``at`` these places."""
+    digests, n = np.concatenate([halves[tokens, half], np.zeros(run, np.uint64)]), len(tokens)
+    # Of many places, it is cheaper to hash all in order than to look each up.
+    everywhere = 4 * len(at) > n
+    h = np.full(n if everywhere else len(at), 2 * salt + half + 1, np.uint64)
+    for k in range(run):
+        h = _mixed(h, digests[k:k + n] if everywhere else digests[at + k])
+    return (h[at] if everywhere else h).view(np.int64)
 
 
 def _key(text: str) -> int:
@@ -314,7 +327,7 @@ def _key(text: str) -> int:
 
 def _body(text: str) -> bytes:
     """A text as it is staged and shuffled. Equal texts have equal bodies."""
-    return zlib.compress(text.encode("utf-8", "surrogatepass"), 6)
+    return zlib.compress(text.encode("utf-8", "surrogatepass"), 1)
 
 
 def _text(body: bytes | None) -> str | None:
@@ -413,8 +426,7 @@ def _parts(rows: pa.Table, side: pa.Table | None = None) -> tuple[int, int, int,
 
 def _windows_of(streams: list[list[str]]) -> tuple[np.ndarray, dict[str, int], np.ndarray, np.ndarray]:
     """(numbered tokens, their numbers, the stream of each, whether a whole window begins there) of token streams."""
-    number: dict[str, int] = {}
-    tokens = np.array([number.setdefault(t, len(number)) for s in streams for t in s], np.int64)
+    tokens, number = _numbered(streams)
     lengths = np.array([len(s) for s in streams], np.int64)
     stream = np.repeat(np.arange(len(streams)), lengths)
     left = np.repeat(np.cumsum(lengths), lengths) - np.arange(len(tokens))
@@ -476,7 +488,7 @@ def _chunk_windows(rows: pa.Table, side: pa.Table) -> pa.Table:
         tokens, number, stream, whole = _windows_of([*texts, *map(_tokens, outside)])
         halves = _digests(number)
         at = np.flatnonzero(whole & np.isin(_leading(_anchors(tokens, halves, host), chunks), np.concatenate(lists)))
-        a, b = _window_hashes(tokens, halves, at, host)
+        a, b = (_window_hash(tokens, halves, half, at, host) for half in (0, 1))
         order = np.lexsort((stream[at], b, a))
         a, b, stream = a[order], b[order], stream[at][order]
         fresh = np.ones(len(a), bool)
@@ -511,9 +523,10 @@ def _chunk_texts(rows: pa.Table, side: pa.Table) -> pa.Table:
         known = side.filter(pa.array(kinds == WINDOW)).sort_by("a")
         if known.num_rows and len(pages):
             a, b, of_pages, of_mix, of_outside = (known.column(c).to_numpy() for c in ("a", "b", "pages", "mix", "outside"))
-            own_a, own_b = w.hashes(host)
-            at = np.minimum(np.searchsorted(a, own_a), len(a) - 1)
-            hit = (a[at] == own_a) & (b[at] == own_b)
+            own = w.hash(0, np.arange(len(pages)), host)
+            at = np.minimum(np.searchsorted(a, own), len(a) - 1)
+            hit = np.flatnonzero(a[at] == own)
+            hit = hit[b[at[hit]] == w.hash(1, hit, host)]
             pages[hit], mix[hit], on[hit] = of_pages[at[hit]], of_mix[at[hit]], of_outside[at[hit]]
         for key, text, role, heavy, ids in zip(*(rows.column(c).to_pylist() for c in ("key", "text", "role", "heavy", "ids"))):
             if role:
