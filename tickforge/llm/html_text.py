@@ -30,6 +30,7 @@ import math
 import re
 import zlib
 from collections import Counter
+from functools import cached_property
 from hashlib import blake2b
 from html import unescape
 from itertools import groupby
@@ -38,6 +39,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from xxhash import xxh3_128_digest
 
 from tickforge.llm.common import HOT_KEYS, join_counted, staged, table  # noqa: F401 (a test sets HOT_KEYS here)
 from tickforge.operators.positions import positioned
@@ -51,6 +53,8 @@ MOST_TASKS = 100_000
 LEAST_PAGES = 4
 #: Tokens of the grams that anchor windows: equal windows have the same least gram.
 ANCHOR = 6
+#: Places that are hashed at a time, so that they stay in a core's cache.
+BLOCK = 1 << 14
 #: Split hosts are broadcast up to this many.
 MOST_HOSTS = 500_000
 #: Low bits of a chunk's number, for the place in its host.
@@ -266,6 +270,10 @@ class Windows:
         counts = np.maximum(lengths[:len(texts)] - run, 0)
         self.of = np.split(cls[:counts.sum()], np.cumsum(counts)[:-1]) if len(texts) else []
 
+    @cached_property
+    def digests(self) -> np.ndarray:
+        return _digests(self.number)
+
     def hashes(self, salt: int = 0) -> tuple[np.ndarray, np.ndarray]:
         """Two 64-bit hashes of each class, which depend on its tokens and the salt only."""
         every = np.arange(len(self.first))
@@ -273,52 +281,64 @@ class Windows:
 
     def hash(self, half: int, classes: np.ndarray, salt: int = 0) -> np.ndarray:
         """One of the two hashes of these classes."""
-        return _window_hash(self.tokens, _digests(self.number), half, self.first[classes], salt, self.run)
+        return _window_hash(self.tokens, self.digests, half, self.first[classes], salt, self.run)
 
     def anchors(self, salt: int = 0) -> np.ndarray:
         """The anchor of each class."""
-        return _anchors(self.tokens, _digests(self.number), salt)[self.first] if len(self.first) else np.zeros(0, np.int64)
+        return _anchors(self.tokens, self.digests, salt)[self.first] if len(self.first) else np.zeros(0, np.int64)
 
 
 def _numbered(streams: list[list[str]]) -> tuple[np.ndarray, dict[str, int]]:
     """(the number of each token of the streams, one after the other; the numbers of the distinct tokens)."""
-    coded = pa.array([t for s in streams for t in s], pa.large_string()).dictionary_encode()
-    return coded.indices.to_numpy().astype(np.int64), {t: i for i, t in enumerate(coded.dictionary.to_pylist())}
+    number: dict[str, int] = {}
+    last, of = 0, number.setdefault
+    out = np.empty(sum(map(len, streams)), np.int64)
+    for s in streams:
+        out[last:last + len(s)] = [of(t, len(number)) for t in s]
+        last += len(s)
+    return out, number
 
 
 def _digests(number: dict[str, int]) -> np.ndarray:
     """Two 64-bit halves of each token's digest, by the token's number; the last row is for the end of a stream."""
-    digests = [blake2b(t.encode("utf-8", "surrogatepass"), digest_size=16).digest() for t in number]
+    digests = [xxh3_128_digest(t.encode("utf-8", "surrogatepass")) for t in number]
     return np.concatenate([np.frombuffer(b"".join(digests), np.uint64).reshape(-1, 2), np.zeros((1, 2), np.uint64)])
 
 
 def _mixed(h: np.ndarray, more: np.ndarray) -> np.ndarray:
-    h = (h ^ more) * np.uint64(0x9E3779B97F4A7C15)
-    return h ^ h >> np.uint64(29)
+    """``h`` with ``more`` mixed in, in place."""
+    h ^= more
+    h *= np.uint64(0x9E3779B97F4A7C15)
+    h ^= h >> np.uint64(29)
+    return h
 
 
 def _anchors(tokens: np.ndarray, halves: np.ndarray, salt: int, run: int = RUN) -> np.ndarray:
     """The anchor of the window of ``run`` tokens that begins at each place: the least hash of its grams."""
-    n = len(tokens)
+    n, wide = len(tokens), run - ANCHOR + 1
     digests = halves[np.concatenate([tokens, np.full(run, -1)]), 0]
-    grams = np.full(n + run - ANCHOR + 1, salt + 1, np.uint64)
-    for k in range(ANCHOR):
-        grams = _mixed(grams, digests[k:k + len(grams)])
-    least = grams[:n]
-    for k in range(1, run - ANCHOR + 1):
-        least = np.minimum(least, grams[k:k + n])
+    least = np.empty(n, np.uint64)
+    for i in range(0, n, BLOCK):
+        j = min(i + BLOCK, n)
+        grams = np.full(j - i + wide - 1, salt + 1, np.uint64)
+        for k in range(ANCHOR):
+            _mixed(grams, digests[i + k:i + k + len(grams)])
+        part = least[i:j]
+        part[:] = grams[:j - i]
+        for k in range(1, wide):
+            np.minimum(part, grams[k:k + j - i], out=part)
     return least.view(np.int64)
 
 
 def _window_hash(tokens: np.ndarray, halves: np.ndarray, half: int, at: np.ndarray, salt: int, run: int = RUN) -> np.ndarray:
     """One of two 64-bit hashes of the windows that begin ``at`` these places."""
-    digests, n = np.concatenate([halves[tokens, half], np.zeros(run, np.uint64)]), len(tokens)
-    # Of many places, it is cheaper to hash all in order than to look each up.
-    everywhere = 4 * len(at) > n
-    h = np.full(n if everywhere else len(at), 2 * salt + half + 1, np.uint64)
-    for k in range(run):
-        h = _mixed(h, digests[k:k + n] if everywhere else digests[at + k])
-    return (h[at] if everywhere else h).view(np.int64)
+    digests = halves[tokens, half]
+    h = np.full(len(at), 2 * salt + half + 1, np.uint64)
+    for i in range(0, len(at), BLOCK):
+        part, places = h[i:i + BLOCK], at[i:i + BLOCK]
+        for k in range(run):
+            _mixed(part, digests[places + k])
+    return h.view(np.int64)
 
 
 def _key(text: str) -> int:
