@@ -7,6 +7,7 @@ and returns its result in the portable hand-off form.
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,7 +23,8 @@ from ..operators import newest as nw
 from ..operators import positions as ps
 from ..operators import reports as rp
 from ..operators import silver as sv
-from ..schemas import BRONZE_PARTITIONS, BRONZE_SCHEMA, FACT_SCHEMA, FEED_A_SCHEMA, FEED_B_SCHEMA
+from ..schemas import (BRONZE_PARTITIONS, BRONZE_SCHEMA, FACT_SCHEMA, FEED_A_SCHEMA, FEED_B_SCHEMA, SILVER_COLUMNS,
+                       MissingColumnsError, require_columns)
 from ..session import apply_engine_conf, staged, work_dir
 from ..sinks import writers as wr
 from ..sinks.compaction import CompactedFolder
@@ -180,6 +182,12 @@ def _stg_instruments(spark, sf):
     return ds.stg_instruments(spark, sf)
 
 
+@register("stg_instruments_listed")
+def _stg_instruments_listed(spark, sf):
+    """Instruments that are still listed: the inactive ones go."""
+    return mt.stg_instruments(ds.listed_instruments(spark, sf))
+
+
 @register("fact_orphans")
 def _fact_orphans(spark, sf):
     return gd.enforce_foreign_keys(ds.silver_fact(spark, sf), ds.dim_instrument(spark, sf), ds.dim_time(spark, sf))[1]
@@ -600,6 +608,32 @@ def _bronze_scan_day(spark, sf):
     return ly.read_bronze(spark, _bronze_written(spark, sf), batch_date=BATCH_DATE)
 
 
+@register("bronze_required")
+def _bronze_required(spark, sf):
+    """The newest day of Bronze and the day after, read with rows required: the empty one fails by name (R3)."""
+    path = _bronze_written(spark, sf)
+    newest = ly.read_bronze(spark, path).agg(F.max(F.make_date(F.col("year").cast("int"), F.col("month").cast("int"), F.col("day").cast("int")))).first()[0]
+    out = []
+    for day in (newest, newest + timedelta(days=1)):
+        try:
+            out.append((str(day), ly.read_bronze(spark, path, str(day), require_rows=True).count(), None))
+        except ly.EmptyInputError as e:
+            out.append((str(day), 0, type(e).__name__))
+    return spark.createDataFrame(out, "batch_date string, batch_rows long, error string")
+
+
+@register("silver_required")
+def _silver_required(spark, sf):
+    """Silver whole and without its price, held against the columns that its readers require (R5)."""
+    good, out = ds.silver_good(spark, sf), []
+    for missing in ("", "price"):
+        try:
+            out.append((missing, None, require_columns(good.drop(missing), SILVER_COLUMNS, "silver").count()))
+        except MissingColumnsError as e:
+            out.append((missing, type(e).__name__, 0))
+    return spark.createDataFrame(out, "missing string, error string, n_rows long")
+
+
 @register("silver_scan")
 def _silver_scan(spark, sf):
     path = work_dir(spark, "silver")

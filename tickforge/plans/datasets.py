@@ -8,6 +8,7 @@ Catalyst plan with shared scans pruned to the columns it needs.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..operators import gold, marts, silver
 from ..sources import fixtures
@@ -85,6 +86,15 @@ def stg_instruments(spark: SparkSession, sf_dir: str, wide: bool = False,
     return marts.stg_instruments(dim_instrument(spark, sf_dir, wide), majors)
 
 
+def listed_instruments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Instruments of the wide trades; those without a trade on the newest trade date are inactive."""
+    last = wide_fact(spark, sf_dir).groupBy("symbol").agg(F.max("trade_date").alias("last_date"))
+    newest = wide_fact(spark, sf_dir).agg(F.max("trade_date").alias("newest"))
+    listed = last.join(F.broadcast(newest), F.col("last_date") == F.col("newest"), "left_semi").select("symbol", F.lit(True).alias("listed"))
+    return (dim_instrument(spark, sf_dir, wide=True).join(listed, "symbol", "left")
+            .withColumn("is_active", F.coalesce("listed", F.lit(False))).drop("listed"))
+
+
 def mart_daily_summary(spark: SparkSession, sf_dir: str, wide: bool = False) -> DataFrame:
     """The time dimension here is derived from these same trades, so its
     attributes are computed on the aggregated rows (no second pass)."""

@@ -197,7 +197,7 @@ CTES.update({
                     ELSE strftime(ts, {ISO}) || '+00:00' END AS "timestamp",
                strftime(ts + to_seconds(event_id % 300 + n), {ISO}) || '+00:00' AS ingested_at,
                CASE WHEN event_id % 10 = 7 THEN 'feed_b' ELSE 'feed_a' END AS source,
-               CAST(NULL AS VARCHAR) AS conditions
+               CASE WHEN event_id % 37 = 0 THEN 'I,' || upper(substr(event_type, 1, 1)) END AS conditions
         FROM (SELECT *, 0 AS n FROM events UNION ALL SELECT *, 60 AS n FROM events WHERE event_id % 50 = 0)""",
     "s_cast": f"""
         SELECT trade_id, symbol, TRY_CAST(price AS DOUBLE) AS price, TRY_CAST(quantity AS DOUBLE) AS quantity,
@@ -678,3 +678,16 @@ ORACLE.update({
         {ts('max(ingested_at)')} AS max_ingested_at, {ts('min(traded_at)')} AS first_traded, {ts('max(traded_at)')} AS last_traded
         FROM stg GROUP BY ALL"""),
 })
+
+ORACLE.update({
+    "stg_instruments_listed": with_ctes("""SELECT * FROM w_stg_inst
+        WHERE symbol IN (SELECT symbol FROM w_stg GROUP BY symbol
+                         HAVING max(trade_date) = (SELECT max(trade_date) FROM w_stg))"""),
+    "bronze_required": with_ctes(f"""SELECT t.batch_date, t.batch_rows, CASE WHEN t.batch_rows = 0 THEN 'EmptyInputError' END AS error
+        FROM (SELECT day AS batch_date, (SELECT count(*) FROM bronze WHERE strftime({parse_time('ingested_at')}, '%Y-%m-%d') = day) AS batch_rows
+              FROM (SELECT unnest([strftime(newest, '%Y-%m-%d'), strftime(newest + INTERVAL 1 DAY, '%Y-%m-%d')]) AS day
+                    FROM (SELECT max({parse_time('ingested_at')}) AS newest FROM bronze))) t"""),
+    "silver_required": with_ctes("""SELECT c.missing, c.error, count(s.trade_id) AS n_rows
+        FROM (VALUES ('', NULL), ('price', 'MissingColumnsError')) c(missing, error)
+        LEFT JOIN s_good s ON c.error IS NULL GROUP BY ALL"""),
+})

@@ -53,6 +53,7 @@ def bronze_from_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     Dirt is deterministic per event id: empty and overlong ids, empty symbols,
     NULL, negative, non-numeric and out-of-range prices, feed-B symbols ('-'),
     epoch-millisecond timestamps, and times that are out of range or no time.
+    A few trades carry conditions.
     """
     ev = _events(spark, sf_dir)
     rows = ev.withColumn("n", F.lit(0)).unionByName(
@@ -76,7 +77,7 @@ def bronze_from_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         f" WHEN event_id % 10 = 7 THEN CAST(unix_millis(ts) AS STRING) ELSE {iso.format('ts')} END AS timestamp",
         f"{iso.format('timestampadd(SECOND, event_id % 300 + n, ts)')} AS ingested_at",
         "CASE WHEN event_id % 10 = 7 THEN 'feed_b' ELSE 'feed_a' END AS source",
-        "CAST(NULL AS STRING) AS conditions",
+        "CASE WHEN event_id % 37 = 0 THEN concat('I,', upper(substr(event_type, 1, 1))) END AS conditions",
     )
 
 
