@@ -284,6 +284,32 @@ def test_feed_stream_to_bronze(spark, tmp_dir):
     assert silver.quality_good(silver.silver_prepared(landed)).count() > 0
 
 
+def test_bronze_stream_writes_few_files_in_few_epochs(spark, tmp_dir, monkeypatch):
+    """An epoch takes as many topic files as there are cores, and writes one file an hour, whatever the number of its tasks."""
+    from tickforge.plans import catalog
+
+    cores = spark.sparkContext.defaultParallelism
+    files = 2 * max(2, cores)
+    messages = spark.range(40 * files).selectExpr(
+        "id AS message_id", "timestampadd(HOUR, CAST(id % 3 AS INT), TIMESTAMP'2024-01-02 03:00:00') AS arrived_at").selectExpr(
+        "message_id", "concat('[{\"ev\":\"XT\",\"i\":\"', message_id, '\",\"pair\":\"A-USD\",\"p\":1.0,\"s\":2.0,\"x\":\"1\",\"t\":1704164400000}]') AS value",
+        "arrived_at").repartition(files)
+    monkeypatch.setattr(catalog.fx, "topic_messages", lambda spark, sf: messages)
+    paths, real = [], catalog.st.write_bronze_stream
+
+    def noted(bronze, path, checkpoint, **kw):
+        paths.extend([path, checkpoint])
+        return real(bronze, path, checkpoint, **kw)
+
+    monkeypatch.setattr(catalog.st, "write_bronze_stream", noted)
+    rows = catalog.QUERIES["stream_bronze"](spark, SF_SMALL)
+    assert sorted(int(r.trade_id) for r in rows.collect()) == list(range(40 * files))
+    commits = [n for n in os.listdir(os.path.join(paths[1].removeprefix("file:"), "commits")) if n.isdigit()]
+    assert len(commits) == 2
+    written = [f for _, _, names in os.walk(paths[0].removeprefix("file:")) for f in names if f.endswith(".json")]
+    assert len(written) == 2 * 3
+
+
 def test_dead_letter_run_folder_is_never_overwritten(spark, tmp_dir):
     bad = ds.silver_dead_letter(spark, SF_SMALL)
     base = os.path.join(tmp_dir, "dead")

@@ -694,7 +694,9 @@ def _stream_bronze(spark, sf):
     """Topic records of both feeds streamed into Bronze, read back."""
     landing, out, ckpt = (work_dir(spark, n) for n in ("topic", "stream-bronze", "stream-bronze-ckpt"))
     fx.topic_messages(spark, sf).select("value", "arrived_at").write.parquet(landing)
-    q = st.write_bronze_stream(st.topic_to_bronze(st.topic_file_source(spark, landing, 2)), out, ckpt)
+    # A trigger takes as many files as the cluster reads at once.
+    files = max(2, spark.sparkContext.defaultParallelism)
+    q = st.write_bronze_stream(st.topic_to_bronze(st.topic_file_source(spark, landing, files)), out, ckpt)
     q.awaitTermination()
     return ly.read_bronze_records(spark, out)
 
